@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunkdedup import exact_duplicates
+from .common import crc_fold
+from .fertility import judged
+from .hmm import scored
+from .hyperlang import identified, learn
 from .linefreq import without_boilerplate
 from .minhash import near_duplicates
 
@@ -16,6 +20,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts and verdict of all documents."""
+    return judged(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op2_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    profiles = learn(docs, train=crc_fold("doc_id", 4) != 2)
+    return identified(docs, profiles).select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents on over 10 % of their source's documents, and the texts without them."""
     out = without_boilerplate(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
@@ -27,14 +43,23 @@ def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learnt from six sevenths of them."""
+    out = scored(_table(spark, sf_dir, "documents", "doc_id", "text"), train_on=crc_fold("doc_id", 7) != 2)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents, at a similarity of 0.85 of 5-word shingles."""
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tokeniser_fertility": op1_tokeniser_fertility,
+    "op2_hyperdimensional_language": op2_hyperdimensional_language,
     "op4_line_frequency": op4_line_frequency,
     "op6_chunk_recipes": op6_chunk_recipes,
+    "op7_hidden_markov": op7_hidden_markov,
     "op8_minhash": op8_minhash,
 }
 

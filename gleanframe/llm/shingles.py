@@ -25,15 +25,16 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=_U) * _ODD + _U(seed)) | _U(1)
 
 
-@functools.lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Value of each byte (A-Z as a-z), whether it separates words, powers of the base."""
+@functools.lru_cache(maxsize=2)
+def _tables(fold: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Value of each byte (with ``fold``, A-Z as a-z) and whether it separates words."""
     letters = mix(np.arange(256, dtype=_U) + _U(77))
-    letters[65:91] = letters[97:123]
+    if fold:
+        letters[65:91] = letters[97:123]
     gap = np.zeros(256, bool)
     gap[[9, 10, 11, 12, 13, 32]] = True
     letters[gap] = 0
-    return letters, gap, np.ones(1, _U)
+    return letters, gap
 
 
 _powers = np.ones(1, _U)
@@ -48,12 +49,12 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 texts, A-Z lower-cased, and the count of words per text.
+def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 texts and the count of words per text; ``fold``: A-Z as a-z.
 
     A word's hash is a polynomial in its bytes modulo 2**64, scaled to its start and mixed.
     """
-    letters, gap, _ = _tables()
+    letters, gap = _tables(fold)
     buffer = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
     edge = np.flatnonzero(np.diff(gap[buffer]))
     first, last = edge[0::2] + 1, edge[1::2] + 1
