@@ -94,3 +94,26 @@ def rows_of(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Ite
 def output(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
     """A batch of the given columns in the schema's order."""
     return pa.record_batch([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, by the session's default file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def file_system(uri: str):
+    """The Arrow file system of a folder in shared storage and the path there."""
+    from pyarrow import fs
+
+    if uri.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + uri[6:].lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
+def write_whole(system, path: str, write: Callable) -> None:
+    """A file that appears complete or not at all: another attempt of the task may write the same."""
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as f:
+        write(f)
+    system.move(part, path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .binids import read_ids, write_ids
 from .chunkdedup import exact_duplicates
 from .common import crc_fold
 from .fertility import judged
@@ -14,6 +16,7 @@ from .hmm import scored
 from .hyperlang import identified, learn
 from .linefreq import without_boilerplate
 from .minhash import near_duplicates
+from .packing import packed
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -32,6 +35,12 @@ def op2_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
     return identified(docs, profiles).select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op3_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids by way of frequency-ranked variable-length files."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return read_ids(write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents on over 10 % of their source's documents, and the texts without them."""
     out = without_boilerplate(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
@@ -54,13 +63,21 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), percent=85)
 
 
+def op9_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids packed into sequences of 2,048."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op2_hyperdimensional_language": op2_hyperdimensional_language,
+    "op3_ranked_bytes": op3_ranked_bytes,
     "op4_line_frequency": op4_line_frequency,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_hidden_markov": op7_hidden_markov,
     "op8_minhash": op8_minhash,
+    "op9_least_squares_packing": op9_least_squares_packing,
 }
 
 SQL: dict[str, str] = {

@@ -163,6 +163,13 @@ def json_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     return BatchEncoder(PieceEncoder(public_tokenizers.PATTERN, encode), dtype)
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the greatest id of a file of the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a tiktoken file."""
     with open(path, "rb") as f:
