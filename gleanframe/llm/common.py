@@ -82,7 +82,7 @@ def strings(values: pa.Array) -> list[str]:
     return [x or "" for x in values.to_pylist()]
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def rows_of(batches: Iterable[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` at most, so that long texts don't fill a worker."""
     for b in batches:
         n, size = b.num_rows, max(b.nbytes, 1)

@@ -93,7 +93,7 @@ def packed(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "te
         encoder, task = json_encoder(vocabulary), TaskContext.get().partitionId()
         ranks: Counter[int] = Counter()
         whole = 0
-        for b in rows_of(batches):
+        for b in rows_of(batches, 6 << 20):
             ids = encoder(strings(b.column(1)))
             n = [len(x) + 1 for x in ids]
             rank, first = [], []
@@ -163,7 +163,7 @@ def packed(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "te
     laid = known.select("id", "n", "ids", F.concat(whole, last).alias("pieces"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches):
+        for b in rows_of(batches, 6 << 20):
             out: list[list] = [[] for _ in range(7)]
             for key, n, data, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 width = len(data) // n
