@@ -178,7 +178,7 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", *, width: int = 5, percent: int = 80, rows: int = 8, bands: int = 44
+    docs: DataFrame, id: str = "doc_id", text: str = "text", *, width: int = 5, percent: int = 85, rows: int = 8, bands: int = 44
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document; ids are unique and not null.
 

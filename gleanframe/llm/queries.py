@@ -17,6 +17,8 @@ from .hyperlang import identified, learn
 from .linefreq import without_boilerplate
 from .minhash import near_duplicates
 from .packing import packed
+from .segbpe import round_trip
+from .warc import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -47,6 +49,12 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op5_segmented_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages by way of WARC archives."""
+    read = read_archives(write_archives(_table(spark, sf_dir, "pages", "page_id", "url", "html")))
+    return read.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
 def op6_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents."""
     return exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -69,15 +77,22 @@ def op9_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1)
 
 
+def op10_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by a segment tree and decoded again."""
+    return round_trip(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op2_hyperdimensional_language": op2_hyperdimensional_language,
     "op3_ranked_bytes": op3_ranked_bytes,
     "op4_line_frequency": op4_line_frequency,
+    "op5_segmented_archives": op5_segmented_archives,
     "op6_chunk_recipes": op6_chunk_recipes,
     "op7_hidden_markov": op7_hidden_markov,
     "op8_minhash": op8_minhash,
     "op9_least_squares_packing": op9_least_squares_packing,
+    "op10_segment_tree": op10_segment_tree,
 }
 
 SQL: dict[str, str] = {
@@ -92,6 +107,11 @@ kept as (select p.*, list_filter(p.lines, lambda x: not list_contains(coalesce(l
 done as (select *, case when len(list_filter(rest, lambda x: trim(x, ' ' || chr(9) || chr(13)) <> '')) > 0 then rest else lines end as final from kept)
 select doc_id, source, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(lines) - len(final), 0)::bigint as n_dropped,
   sha256(coalesce(array_to_string(final, chr(10)), '')) as text_sha256 from done""",
+    "op5_segmented_archives": """
+with p as (select page_id, coalesce(html, '') as html, sha256(coalesce(html, '')) as digest from pages),
+o as (select *, min(page_id) over (partition by html) as original, strlen(html) >= 100 as big from p)
+select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest, case when big and original <> page_id then 'revisit' else 'response' end as record_type,
+  case when big and original <> page_id then original end as refers_to, null::varchar as problem from o""",
     "op6_chunk_recipes": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept,
   sha256(coalesce(text, '')) as text_sha256
