@@ -6,7 +6,7 @@ tree without any shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +65,8 @@ def label_month(text: Column) -> Column:
     clean = F.regexp_replace(F.trim(F.translate(text, "'`", "")), r"\s+", " ")
     name = F.lower(F.regexp_extract(clean, r"^([A-Za-z]+)[ -](?:\d{4}|\d{2})$", 1))
     digits = F.nullif(F.regexp_extract(clean, r"^[A-Za-z]+[ -](\d{4}|\d{2})$", 1), F.lit("")).cast("int")
-    month = lambda word: reduce(lambda c, k: c.when(word.isin(_NAMES[k], _NAMES[k][:3]), k + 1), range(1, 12), F.when(word.isin("january", "jan"), 1))
+    table = F.create_map(*[F.lit(x) for k, name in enumerate(_NAMES, 1) for w in dict.fromkeys((name, name[:3])) for x in (w, k)])
+    month = lambda word: F.try_element_at(table, word)
     year = F.when(digits >= 100, digits).when(digits >= 69, digits + 1900).otherwise(digits + 2000)
     iso = F.nullif(F.regexp_extract(clean, r"^\d{4}-(1[0-2]|0?[1-9])$", 1), F.lit("")).cast("int")
     alone = F.regexp_replace(F.lower(clean), r"\.+$", "")
@@ -93,34 +94,60 @@ def resolved(figures: DataFrame, settings: Settings = Settings()) -> DataFrame:
     year, ``flag`` if one disagrees, and ``normal`` for other axes, which have no periods.
     """
     own = lambda name, default: F.coalesce(F.col(name), F.lit(default)) if name in figures.columns else F.lit(default)
-    step = own("monthly_step", 1)
-    df = figures.withColumn("_slots", slots(F.col("bars"), own("x_tolerance", settings.axis_tolerance).cast("double")))
-    df = df.withColumn("_centres", means(F.col("_slots")))
-    df = df.withColumn("_texts", nearest_slots(F.col("_centres"), F.coalesce("labels", F.expr("array()")), typical_gap(F.col("_centres")), settings.label_reach))
-    seen = F.transform("_texts", lambda t, k: F.struct(k.alias("slot"), label_month(t).alias("date"), label_number(t).alias("number")))
-    df = df.withColumns({"_dates": F.filter(seen, lambda s: s["date"].isNotNull()), "_numbers": F.filter(seen, lambda s: s["date"].isNull() & s["number"].isNotNull())})
-    df = df.withColumns({
-        "_axis": F.when((F.size("_dates") > 0) & (F.size("_dates") >= F.size("_numbers")), "date").when(F.size("_numbers") > 0, "number").otherwise("none"),
-        "_year": F.try_element_at(F.filter("_dates", lambda s: s["date"]["year"].isNotNull()), F.lit(1)),
-        "_month": F.try_element_at(F.col("_dates"), F.lit(1)), "_one": F.try_element_at(F.col("_numbers"), F.lit(1)), "_other": F.try_element_at(F.col("_numbers"), F.lit(-1)),
-    })
-    count = F.col("_other.slot") - F.col("_one.slot")
-    jump = F.coalesce(F.nullif((F.col("_other.number") - F.col("_one.number")) / F.nullif(count, F.lit(0)), F.lit(0.0)), F.lit(1.0))
-    dated = F.add_months(F.make_date(F.col("_year.date.year"), F.col("_year.date.month"), F.lit(1)), 0)
+    step, none = own("monthly_step", 1), F.expr("array()")
     shown = lambda v: F.when(v == F.floor(v), F.floor(v).cast("string")).otherwise(v.cast("string"))
-    by_year = F.transform("_slots", lambda s, k: F.date_format(F.add_months(dated, ((k - F.col("_year.slot")) * step).cast("int")), "MMMM yyyy"))
-    by_month = F.transform("_slots", lambda s, k: _month_name((F.pmod(F.col("_month.date.month") - 1 + (k - F.col("_month.slot")) * step, F.lit(12)) + 1).cast("int")))
-    by_number = F.transform("_slots", lambda s, k: shown(F.col("_one.number") + (k - F.col("_one.slot")) * jump))
-    df = df.withColumn("_labels", F.when(F.col("_axis") == "number", by_number).when((F.col("_axis") == "date") & F.col("_year").isNotNull(), by_year).when(F.col("_axis") == "date", by_month))
-    at = lambda s: F.element_at(F.col("_labels"), (s["slot"] + 1).cast("int"))
-    wanted = lambda s: F.when(F.col("_year").isNull(), _month_name(s["date"]["month"])).when(s["date"]["year"].isNull(), F.regexp_extract(at(s), r"(\d+)$", 1)).otherwise(s["date"]["year"].cast("string"))
-    month_ok = lambda s: F.split(at(s), " ")[0] == _month_name(s["date"]["month"])
-    year_ok = lambda s: F.col("_year").isNull() | (F.element_at(F.split(at(s), " "), -1) == wanted(s))
-    agree = F.when(F.col("_axis") == "number", F.forall("_numbers", lambda s: at(s) == shown(s["number"]))).otherwise(F.forall("_dates", lambda s: month_ok(s) & year_ok(s)))
-    status = F.when(F.col("_axis") == "none", "normal").when(~agree, "flag").when((F.col("_axis") == "date") & F.col("_year").isNull(), "geometry_month").otherwise("geometry")
-    pairs = F.flatten(F.zip_with("_slots", "_labels", lambda s, p: F.transform(s["ids"], lambda i: F.struct(i.alias("id"), p.alias("period")))))
-    df = df.withColumns({"periods": F.coalesce(pairs, F.expr("array()").cast("array<struct<id:int,period:string>>")), "status": status})
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    first = lambda a: F.try_element_at(a, F.lit(1))
+    start = lambda s: F.make_date(s["year"]["date"]["year"], s["year"]["date"]["month"], F.lit(1))
+    labels = F.coalesce("labels", none.cast("array<struct<text:string,x_center:double>>"))
+
+    def periods(s: Column) -> Column:
+        by_year = lambda _, k: F.date_format(F.add_months(start(s), ((k - s["year"]["slot"]) * step).cast("int")), "MMMM yyyy")
+        by_month = lambda _, k: _month_name((F.pmod(s["month"]["date"]["month"] - 1 + (k - s["month"]["slot"]) * step, F.lit(12)) + 1).cast("int"))
+        by_number = lambda _, k: shown(s["one"]["number"] + (k - s["one"]["slot"]) * s["jump"])
+        dated = F.when(s["year"].isNotNull(), F.transform(s["slots"], by_year)).otherwise(F.transform(s["slots"], by_month))
+        return F.when(s["axis"] == "number", F.transform(s["slots"], by_number)).when(s["axis"] == "date", dated)
+
+    def agree(s: Column) -> Column:
+        at = lambda d: F.element_at(s["names"], (d["slot"] + 1).cast("int"))
+        month = lambda d: F.split(at(d), " ")[0] == _month_name(d["date"]["month"])
+        year = lambda d: s["year"].isNull() | d["date"]["year"].isNull() | (F.element_at(F.split(at(d), " "), -1) == d["date"]["year"].cast("string"))
+        return F.when(s["axis"] == "number", F.forall(s["numbers"], lambda d: at(d) == shown(d["number"]))).otherwise(F.forall(s["dates"], lambda d: month(d) & year(d)))
+
+    def jump(s: Column) -> Column:
+        count = F.nullif(s["other"]["slot"] - s["one"]["slot"], F.lit(0))
+        return F.coalesce(F.nullif((s["other"]["number"] - s["one"]["number"]) / count, F.lit(0.0)), F.lit(1.0))
+
+    axis = lambda s: F.when((F.size(s["dates"]) > 0) & (F.size(s["dates"]) >= F.size(s["numbers"])), "date").when(F.size(s["numbers"]) > 0, "number").otherwise("none")
+    named = lambda t, k: F.struct(k.alias("slot"), label_month(t).alias("date"), label_number(t).alias("number"))
+    out = _steps(
+        {"slots": slots(F.col("bars"), own("x_tolerance", settings.axis_tolerance).cast("double"))},
+        lambda s: {"centres": means(s["slots"])},
+        lambda s: {"gap": typical_gap(s["centres"])},
+        lambda s: {"texts": nearest_slots(s["centres"], labels, s["gap"], settings.label_reach)},
+        lambda s: {"seen": F.transform(s["texts"], named)},
+        lambda s: {"dates": F.filter(s["seen"], lambda d: d["date"].isNotNull()), "numbers": F.filter(s["seen"], lambda d: d["date"].isNull() & d["number"].isNotNull())},
+        lambda s: {"axis": axis(s), "year": first(F.filter(s["dates"], lambda d: d["date"]["year"].isNotNull())), "month": first(s["dates"]), "one": first(s["numbers"]), "other": F.try_element_at(s["numbers"], F.lit(-1))},
+        lambda s: {"jump": jump(s)},
+        lambda s: {"names": periods(s)},
+        lambda s: {
+            "periods": F.coalesce(F.flatten(F.zip_with(s["slots"], s["names"], lambda x, p: F.transform(x["ids"], lambda i: F.struct(i.alias("id"), p.alias("period"))))), none.cast("array<struct<id:int,period:string>>")),
+            "status": F.when(s["axis"] == "none", "normal").when(~agree(s), "flag").when((s["axis"] == "date") & s["year"].isNull(), "geometry_month").otherwise("geometry"),
+        },
+    )
+    return figures.withColumn("_out", out).withColumns({"periods": F.col("_out.periods"), "status": F.col("_out.status")}).drop("_out")
+
+
+def _steps(fields: dict[str, Column], *more: Callable[[Column], dict[str, Column]]) -> Column:
+    """A struct of named values, each step computed once from those before it.
+
+    A value is bound as the one element of an array that is transformed: the optimizer would move a
+    plain column into the functions that use it, to be computed for each element.
+    """
+    made = F.struct(*[v.alias(k) for k, v in fields.items()])
+    if not more:
+        return made
+    rest = lambda s: _steps({k: s[k] for k in fields} | more[0](s), *more[1:])
+    return F.element_at(F.transform(F.array(made), rest), 1)
 
 
 def with_periods(claims: DataFrame, figures: DataFrame, key: str = "figure") -> DataFrame:

@@ -22,7 +22,8 @@ def readable(elements: DataFrame, rendered: DataFrame | None = None, figure_clai
     if figure_claims is not None:
         line = F.concat(F.coalesce(F.nullif(F.col("field_name"), F.lit("")), F.col("canonical_metric")), F.lit(" = "), F.col("value"), F.coalesce(F.concat(F.lit(" "), F.nullif(F.col("unit"), F.lit(""))), F.lit("")))
         listed = figure_claims.groupBy("doc", "page").agg(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))).alias("_lines"))
-        df = df.join(listed.select("doc", F.col("page").alias("_page"), "_lines"), (df["doc"] == listed["doc"]) & df["page"].eqNullSafe(F.col("_page")), "left").drop(listed["doc"]).drop("_page")
+        listed = listed.select(F.col("doc").alias("_doc"), F.col("page").alias("_page"), "_lines")
+        df = df.join(listed, (F.col("doc") == F.col("_doc")) & F.col("page").eqNullSafe(F.col("_page")), "left").drop("_doc", "_page")
     else:
         df = df.withColumn("_lines", F.lit(None).cast("array<struct<pos int, line string>>"))
     given = lambda c: F.nullif(F.col(c), F.lit(""))

@@ -35,8 +35,8 @@ def run_batch(spark: SparkSession, root: str, out: str, parse: Callable[[str, by
     """
     found = files.submissions(spark, root, limit)
     responses = providers.parsed_by(found, parse)
-    responses.write.mode("overwrite").parquet(f"{out}/_responses")  # a provider is called once, whatever reads its output
-    responses = spark.read.parquet(f"{out}/_responses")
+    responses.write.mode("overwrite").parquet(f"{out}/responses")  # a provider is called once, whatever reads its output
+    responses = spark.read.parquet(f"{out}/responses")
     elements = parsed.elements(responses)
     claims = claims_of(elements)
     origin = found.select(F.col("path").alias("doc"), "team", "report_type", "entity_ref", "entity_id", "entity_name")

@@ -40,7 +40,7 @@ TURNS = """select 'conv_' || conv_id as doc, turn as pos, case when turn % 5 = 0
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """An adapter's rows."""
-    names = set(re.findall(r"\{(\w+)\}", sql))
+    names = set(re.findall(r"\{([a-z]+)\}", sql))
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
@@ -48,7 +48,7 @@ def registered(sql: str | None) -> Callable[[Query], Query]:
     def put(function: Query) -> Query:
         QUERIES[function.__name__] = function
         if sql is not None:
-            SQL[function.__name__] = re.sub(r"\{(\w+)\}", r"\1", sql)
+            SQL[function.__name__] = re.sub(r"\{([a-z]+)\}", r"\1", sql)
         return function
 
     return put
@@ -107,9 +107,9 @@ def chunk_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.new_rows(df, df.where("doc_id % 10 = 0"), order=("doc_id",))
 
 
-VARIANTS = """select o_orderkey as o, '{{"document":{{"elements":[{{"type":"Title","content":"Order ' || o_orderkey || '","bbox":[{{"page_id":' || (o_orderkey % 5) || ',"coord":[1,2,3,' || (o_orderkey % 90) || ']}}]}},'
+VARIANTS = """select o_orderkey as o, case when o_orderkey % 97 = 0 then 'damaged ' else '' end || '{{"document":{{"elements":[{{"type":"Title","content":"Order ' || o_orderkey || '","bbox":[{{"page_id":' || (o_orderkey % 5) || ',"coord":[1,2,3,' || (o_orderkey % 90) || ']}}]}},'
  || '{{"type":"figure","description":"Total ' || cast(floor(o_totalprice) as bigint) || '","confidence":0.5,"bbox":[{{"page_id":' || (o_orderkey % 7) || ',"x0":' || (o_orderkey % 11) || ',"y0":2.5,"x1":30,"y1":40}}]}},'
- || '{{"type":"text","content":"' || o_orderpriority || '"}}]}}}}' || case when o_orderkey % 97 = 0 then '}}' else '' end as response from {orders}"""
+ || '{{"type":"text","content":"' || o_orderpriority || '"}}]}}}}' as response from {orders}"""
 
 
 @registered("""
@@ -220,8 +220,8 @@ def unit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- extractors ----
 @registered(f"""
 with l as ({LINES}), v as (
- select o, n, 1 as k, 'the order ' || o || ' line ' || n as name, '£' || p || 'm' as value, '£m' as unit from l
- union all select o, n, 2, '£' || p || 'm with a discount of', q || '%', '%' from l)
+ select o, n, 1 as k, 'In the order ' || o || ' line ' || n as name, '£' || p || 'm' as value, '£m' as unit from l
+ union all select o, n, 2, n || ' £' || p || 'm with a discount of', q || '%', '%' from l)
 select o, n, k, name as field_name, value, unit from v""")
 def prose_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir, LINES).select("o", "n", F.expr("'In the order ' || o || ' line ' || n || '  £' || p || 'm with a discount of ' || q || '% and a bare ' || n").alias("content"))
@@ -266,7 +266,7 @@ def html_table_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""
 with e as (select event_id, event_type, value, event_id % 6 as m from {events}),
-p as (select event_id, 0 as k, 'Reading ' || event_type as field_name, event_id::varchar as value, 0.7 as confidence, null::varchar as unit from e where m in (0, 1, 2)
+p as (select event_id, 0 as k, 'Reading ' || event_type as field_name, event_id::varchar as value, 0.7::double as confidence, null::varchar as unit from e where m in (0, 1, 2)
  union all select event_id, 1, 'Second', '5', 0.25, '%' from e where m in (0, 1, 2) union all select event_id, 0, 'Lone', '7', 0.7, null from e where m = 5)
 select * from p""")
 def tolerant_json_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,7 +443,7 @@ def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""
 with b as ({_BATCH}) select team, documents / elapsed_seconds * 60 as docs_per_min, pages / elapsed_seconds * 60 as pages_per_min, claims / elapsed_seconds * 60 as claims_per_min, elapsed_seconds / documents as seconds_per_doc, elapsed_seconds / pages as seconds_per_page,
- input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 as llm_cost_usd, pages * 0.005 as ai_parse_cost_usd, (input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 + pages * 0.005) / documents as cost_per_doc_usd from b""")
+ input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 as llm_cost_usd, pages * 0.005::double as ai_parse_cost_usd, (input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 + pages * 0.005) / documents as cost_per_doc_usd from b""")
 def speed_and_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = evaluate.cost(evaluate.speed(frame(spark, sf_dir, _BATCH)), parse_rate=0.005)
     return out.select("team", "docs_per_min", "pages_per_min", "claims_per_min", "seconds_per_doc", "seconds_per_page", "llm_cost_usd", "ai_parse_cost_usd", "cost_per_doc_usd")
@@ -494,7 +494,7 @@ def _periods(df: DataFrame) -> DataFrame:
 _BARS = "b as (select s_suppkey, unnest(range(0, 12)) as i from {supplier}), z as (select s_suppkey, i, unnest(range(0, 1 + s_suppkey % 2)) as j from b)"
 
 
-@registered(f"""with {_BARS} select s_suppkey, (i * 2 + j)::int as bar, i::int as slot, i * 50.0 + s_suppkey % 3 + case when s_suppkey % 2 = 1 then 1.5 else 0 end as centre from z""")
+@registered(f"""with {_BARS} select s_suppkey, (i * 2 + j)::int as bar, i::int as slot, (i * 50.0 + s_suppkey % 3 + case when s_suppkey % 2 = 1 then 1.5 else 0 end)::double as centre from z""")
 def axis_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = charts.slots(F.col("bars"), F.lit(8.0))
     each = _figures(spark, sf_dir, F.array()).select("s_suppkey", F.posexplode(found).alias("slot", "s"))
@@ -532,8 +532,7 @@ BOXES = """select s_suppkey as doc, 0 as pos, 'title' as el_type, 1 as page, 10
 
 @registered("""
 select s_suppkey as doc, 1 as pos, 1 as page, 10 as x0, 0 as y0, 315 as x1, 275 as y1 from {supplier}
-union all select s_suppkey, 3, 1, 100, 205 + s_suppkey % 50 , 300, 400 from {supplier} where false
-union all select s_suppkey, 3, 1, 100, 280, 300, 400 from {supplier} union all select s_suppkey, 4, 1, 305, 40, 420, 150 from {supplier} where false
+union all select s_suppkey, 3, 1, 100, 280, 300, 400 from {supplier}
 union all select s_suppkey, 4, 1, 320, 40, 420, 150 from {supplier}""")
 def figure_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir, BOXES).withColumn("coord", F.array(*[F.col(c).cast("double") for c in "ltrb"]))
