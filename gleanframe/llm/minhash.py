@@ -154,7 +154,8 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of documents (id, component, text) of different components that share one of their rarest shingles.
 
     Complete: the shingles of all stand in one order, rarest first, and sets with 100 x
-    intersection >= percent x union share one of the first n - ceil(n x percent / 100) + 1 of each.
+    intersection >= percent x union share one of the first n - ceil(n x percent / 100) + 1 of each,
+    and where they share their first, enough shingles follow.
     Members of the component that is most frequent at a shingle aren't paired with each other.
     """
     rows = staged(_shingled(docs, width), "rest-shingles")
@@ -165,14 +166,17 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     order = Window.partitionBy("id").orderBy("df", "shingle")
     ranked = known.withColumn("at", F.row_number().over(order) + F.coalesce("alone", F.lit(0)))
     allowed = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    heads = staged(ranked.where(F.col("at") <= allowed).select("shingle", "id", "component", "n"), "rest-heads")
+    heads = staged(ranked.where(F.col("at") <= allowed).select("shingle", "id", "component", "n", "at"), "rest-heads")
     groups = heads.groupBy("shingle", "component").agg(F.count("*").alias("k"))
     main = groups.groupBy("shingle").agg(F.count("*").alias("kinds"), F.max(F.struct("k", "component")).alias("top")).where("kinds > 1")
     main = main.select("shingle", F.col("top.component").alias("main"))
     marked = heads.join(main, "shingle")
-    x = marked.where("component <> main").select("shingle", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    y = marked.select("shingle", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), "main")
+    x = marked.where("component <> main").select("shingle", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+    y = marked.select("shingle", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("ay"), "main")
+    # at the first shingle that two sets share, what follows it in either bounds their intersection
+    most = 1 + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
     near = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    near = near & ((100 + percent) * most >= percent * (F.col("nx") + F.col("ny")))
     both = x.join(y, "shingle").where(near & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
