@@ -593,7 +593,7 @@ def page_runs_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""
 with e as ({ELEMENTS}), c as (select doc, page, string_agg('Sales = ' || pos || ' %', chr(10) order by pos) as lines from e where el_type = 'figure' and pos % 3 = 0 group by doc, page)
-select e.doc, pos, trim(coalesce(case when el_type = 'figure' and lines is not null then trim(coalesce(description, 'Chart')) || chr(10) || lines when el_type = 'figure' then coalesce(description, content) else coalesce(nullif(content, ''), description) end, '')) as text
+select e.doc, pos, trim(coalesce(case when el_type = 'figure' and lines is not null then trim(coalesce(description, 'Chart')) || chr(10) || lines when el_type = 'figure' then coalesce(description, content) when el_type = 'table' then content else coalesce(nullif(content, ''), description) end, '')) as text
  from e left join c on e.doc = c.doc and e.page = c.page""")
 def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir, ELEMENTS)
