@@ -611,3 +611,38 @@ def first_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("'f/' || s_suppkey || '.pptx'").alias("path")).orderBy("path").limit(7)
 
 
+
+
+# ---- fallbacks ----
+@registered("""select p_partkey as k, 'table' as field_name, 'text ' || p_name as value, case when p_partkey % 2 = 0 then 0.5::double else 1.0::double end as confidence from {part} where p_partkey % 3 = 1""")
+def whole_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "p_partkey as k", "case p_partkey % 3 when 0 then '<table><tr><td>a</td><td>' || p_size || '</td></tr></table>' when 1 then ' text ' || p_name || ' ' else ' ' end as html", "case when p_partkey % 2 = 0 then 0.5D end as confidence"
+    )
+    return tables.whole_table_claims(df, tables.table_claims(df, "k"), "k")
+
+
+@registered(f"""
+with e as ({ELEMENTS}) select doc, pos, 'vision' as value from e where el_type = 'figure' and pos % 2 = 0 union all select doc, pos, 'described' from e where el_type = 'figure' and pos % 2 <> 0""")
+def vision_or_description(spark: SparkSession, sf_dir: str) -> DataFrame:
+    figures = frame(spark, sf_dir, ELEMENTS).where("el_type = 'figure'").select("doc", "pos")
+    return charts.or_described(figures.where("pos % 2 = 0").withColumn("value", F.lit("vision")), figures.withColumn("value", F.lit("described")))
+
+
+@registered("""select event_id, case when event_id % 3 in (0, 1) then 2 else 0 end as points from {events}""")
+def embedded_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    call = F.concat(F.lit('{"claims":[{"label":"a","value":'), "event_id", F.lit('},{"label":"b"}]}'))
+    raw = F.when(F.col("event_id") % 3 == 0, call).when(F.col("event_id") % 3 == 1, F.concat(F.lit("I call "), call, F.lit(" now"))).otherwise("no call {at all")
+    arguments = jsonx.embedded_arguments(raw)
+    points = F.when(arguments.isNull(), 0).otherwise(F.size(jsonx.points_of_call(arguments)))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", points.alias("points"))
+
+
+@registered("""select s_suppkey as doc, case s_suppkey % 3 when 0 then 'May 2025' when 1 then '2024 Q1' else 'Q2 2023' end as report_date from {supplier}""")
+def document_report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    documents = rows.selectExpr("s_suppkey as doc", "case when s_suppkey % 3 = 0 then '/x/LCR_May_2025.pptx' else '/x/plain.pptx' end as path")
+    headings = rows.selectExpr("s_suppkey as doc", "1 as pos", "'title' as el_type", "case when s_suppkey % 3 < 2 then 'Micro Report 2024 Q1' else 'plain' end as content")
+    claims = rows.selectExpr("s_suppkey as doc", "1 as pos", "'31-Mar-26' as value", "'x' as field_name", "cast(null as string) as canonical_metric")
+    claims = claims.unionByName(rows.selectExpr("s_suppkey as doc", "2 as pos", "'Q2 2023' as value", "'x' as field_name", "'Reporting Period' as canonical_metric"))
+    return layers.document_dates(documents, headings, claims)
