@@ -17,8 +17,8 @@ from gleanframe.llm.linefreq import without_boilerplate
 from gleanframe.llm.minhash import near_duplicates
 from gleanframe.llm.packing import packed
 
-#: A language that gets less of the cosines than this isn't trusted; the share of chance among four is 0.25.
-LEAST_LANGUAGE_SCORE = 0.4
+#: A language whose share of the cosines isn't so much above that of chance isn't trusted.
+ABOVE_CHANCE = 0.06
 
 
 def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
@@ -32,8 +32,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the corpus itself teaches; missing languages are filled in."""
-    found = staged(identified(docs, learn(docs)), "languages")
-    kept = _without(docs, found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_LANGUAGE_SCORE)), "no-language")
+    profiles = learn(docs)
+    found = staged(identified(docs, profiles), "languages")
+    least = min(1.0, 1 / max(len(profiles.languages), 1) + ABOVE_CHANCE)
+    kept = _without(docs, found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)), "no-language")
     missing = staged(found.join(docs.where("lang is null").select("doc_id"), "doc_id", "left_semi").select("doc_id", "lang_pred"), "filled")
     filled = kept.join(missing, "doc_id", "left").withColumn("lang", F.coalesce("lang", "lang_pred"))
     return filled.select(*docs.columns)
