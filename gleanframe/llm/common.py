@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -13,6 +14,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = __name__.split(".")[0]
+#: Rows that reach Python at once, at most: texts can be long.
+ARROW_ROWS = 2000
+_caches: list = []
+_user = None
+
+
+def cached(function: Callable) -> Callable:
+    """A function whose last results a worker keeps while it works for one operator."""
+    out = functools.lru_cache(maxsize=2)(function)
+    _caches.append(out)
+    return out
+
+
+def working_for(user: str) -> None:
+    """Workers are used again; one that turns to another operator drops what it kept for the last."""
+    global _user
+    if user != _user:
+        for c in _caches:
+            c.cache_clear()
+        _user = user
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,9 +87,18 @@ def ship(spark: SparkSession) -> None:
 def by_batch(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with the package shipped."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    """``mapInArrow`` with the package shipped, in batches of ``ARROW_ROWS`` rows at most."""
+    spark, user = df.sparkSession, function.__module__
+    ship(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working_for(user)
+        yield from function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def crc_fold(column: str | Column, folds: int) -> Column:

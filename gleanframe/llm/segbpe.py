@@ -8,7 +8,6 @@ pre-tokens of like length are merged side by side in numpy.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -18,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, rows_of, strings
+from .common import by_batch, cached, rows_of, strings
 from .tokens import BatchEncoder, PieceEncoder, read_ranks
 
 _NONE = np.int64(1) << np.int64(62)
@@ -122,12 +121,12 @@ def encode_pieces(pieces: list[bytes], table: PairRanks, most: int = 1 << 18) ->
     return out
 
 
-@functools.lru_cache(maxsize=2)
+@cached
 def rank_table(path: str) -> PairRanks:
     return PairRanks(read_ranks(path))
 
 
-@functools.lru_cache(maxsize=2)
+@cached
 def tree_encoder(path: str, pattern: str) -> BatchEncoder:
     """Encoder of whole texts by a rank file; each match of the pattern is encoded by itself."""
     table = rank_table(path)

@@ -10,7 +10,6 @@ from __future__ import annotations
 import array
 import base64
 import contextlib
-import functools
 import itertools
 import json
 import re
@@ -22,8 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .common import cached
+
 #: Entries of a memo. Those that come first stay: the frequent units are among them.
-MEMO_UNITS = 500_000
+MEMO_UNITS = 250_000
 _AMBIGUOUS = re.compile(r"\s (?:\s|\Z)")
 _ASCII_PAIRS = tuple(x + " " for x in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _CUT = re.compile(r"(?<=\S)(?=[\t-\r ])")
@@ -133,7 +134,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-@functools.lru_cache(maxsize=4)
+@cached
 def json_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Encoder by a file of the tokenizers library, without special tokens.
 
@@ -176,7 +177,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-@functools.lru_cache(maxsize=4)
+@cached
 def rank_encoding(path: str, pattern: str = public_tokenizers.PATTERN):
     """The tiktoken library's encoding of a rank file, without special tokens."""
     import tiktoken
