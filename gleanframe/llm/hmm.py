@@ -1,28 +1,33 @@
 """A hidden Markov language model over words.
 
-Counts of all words come first. The most frequent words are symbols of their own; all others, seen
-or not, share one symbol, within which a word has the add-one share of its count. Baum-Welch runs
-over all training texts: each task adds up its expected counts, Spark sums them, and the driver
-makes the next model from the sums, whose size depends on states and symbols alone. The scaled
+Counts of all words come first. Every word seen twice or more is a symbol of its own; those seen
+once or never share one symbol, within which a word has the add-one share of its count. Baum-Welch
+runs over all training texts. The emissions of the most frequent words are held by every task;
+those of all others are a written table by word, joined to the texts that have them, so only its
+rows grow with the corpus. Each task adds up its expected counts, Spark sums them, and the driver
+makes the next model from the sums of the held words and the totals of the others. The scaled
 forward recursion then gives the exact probability of each whole text.
 """
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import by_batch, rows_of, staged, strings
 
 STATES = 12
-#: Words that are symbols of their own, at most; id 0 is the symbol of the others, 1 the end.
-SYMBOLS = 65_534
+#: Most frequent words, whose emissions every task holds; id 0 stands for the others, 1 for the end.
+#: Which words are held changes where their numbers are, not the model.
+HELD = 65_534
 ROUNDS = 3
 #: Training texts are cut into runs of so many tokens for the backward recursion.
 RUN = 128
@@ -64,32 +69,46 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Frequent words by rank, and the totals of the training texts."""
+    """Held words by rank, and the totals of the training texts."""
 
     words: list[str]
-    counts: np.ndarray  # of the symbols: others, end, words
+    counts: np.ndarray  # of the symbols: words seen once, end, held words
     tokens: int  # N
     types: int  # V
-    rare_tokens: int
+    rare_tokens: int  # of words seen once
     rare_types: int
+    tail_tokens: int  # of words seen twice or more that aren't held
+    tail_types: int
+    last: tuple[int, str] | None  # count and word of the last held, if there may be others
 
     @property
     def base_scale(self) -> float:
         return float(np.log10(self.tokens + self.types + 1))
 
 
-def vocabulary(counts: DataFrame, symbols: int) -> Vocabulary:
+def in_tail(last: tuple[int, str] | None) -> Column:
+    """Whether a counted word is a symbol that isn't held."""
+    if last is None:
+        return F.lit(False)
+    c, word = last
+    return (F.col("c") > 1) & (F.col("word") != END) & ((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > word)))
+
+
+def vocabulary(counts: DataFrame, held: int) -> Vocabulary:
+    if not 0 < held <= HELD:
+        raise ValueError(f"{held} held words; ids have 16 bits, so 1 to {HELD}")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where((F.col("c") > 1) & (F.col("word") != END)).orderBy(F.desc("c"), "word").limit(symbols).toPandas()
+    top = counts.where((F.col("c") > 1) & (F.col("word") != END)).select("word", "c").orderBy(F.desc("c"), "word").limit(held).toPandas()
+    last = (int(top["c"].iloc[-1]), top["word"].iloc[-1]) if len(top) == held else None
+    tail = counts.where(in_tail(last)).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = counts.where(F.col("word") == END).agg(F.sum("c")).first()[0] or 0
-    frequent = int(top["c"].sum()) if len(top) else 0
-    rare = total[0] - ends - frequent
+    rare = total[0] - ends - tail[0] - (int(top["c"].sum()) if len(top) else 0)
     own = np.concatenate([[rare, ends], top["c"].to_numpy(np.float64)]) if len(top) else np.array([rare, ends], float)
-    return Vocabulary(top["word"].tolist(), own.astype(float), total[0], total[1], rare, total[1] - (ends > 0) - len(top))
+    return Vocabulary(top["word"].tolist(), own.astype(float), total[0], total[1], rare, total[1] - (ends > 0) - len(top) - tail[1], *tail, last)
 
 
 def encoded(docs: DataFrame, id: str, text: str, known: Vocabulary) -> DataFrame:
-    """Per document: symbols as packed 16-bit integers, what the base score needs, and its rare words with their numbers."""
+    """Per document: symbols as packed 16-bit integers, what the base score needs, its other words with their numbers, and which of them each 0 is."""
     model = docs.sparkSession.sparkContext.broadcast((known.words, np.log10(known.counts + 1)))
     ended = known.counts[1] > 0
     kind = docs.schema[id].dataType.simpleString()
@@ -98,20 +117,23 @@ def encoded(docs: DataFrame, id: str, text: str, known: Vocabulary) -> DataFrame
         words, logs = model.value
         index = {w.encode(): k + 2 for k, w in enumerate(words)}
         for b in rows_of(batches):
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(7)]
             for t in strings(b.column(1)):
                 own = words_of(t)
                 ids = np.fromiter((index.get(w, 0) for w in own), np.uint16, len(own))
-                rare = Counter(own[k] for k in np.flatnonzero(ids == 0).tolist())
+                others = [own[k] for k in np.flatnonzero(ids == 0).tolist()]
+                rare = Counter(others)
+                place = {w: k for k, w in enumerate(rare)}
+                places = np.fromiter((place[w] for w in others), np.uint32, len(others))
                 ids = np.append(ids, np.uint16(1))
                 frequent = ids[ids > 0]
-                for x, y in zip(rows, (ids.tobytes(), len(ids), len(frequent) - (not ended), float(logs[frequent].sum()), [w.decode() for w in rare], list(rare.values())), strict=True):
+                for x, y in zip(rows, (ids.tobytes(), len(ids), len(frequent) - (not ended), float(logs[frequent].sum()), [w.decode() for w in rare], list(rare.values()), places.tobytes()), strict=True):
                     x.append(y)
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
             arrays = [b.column(0), b.column(2), *(pa.array(x, t) for x, t in zip(rows, types, strict=True))]
-            yield pa.record_batch(arrays, names=["id", "train", "symbols", "n_tokens", "n_frequent", "frequent", "rare", "times"])
+            yield pa.record_batch(arrays, names=["id", "train", "symbols", "n_tokens", "n_frequent", "frequent", "rare", "times", "places"])
 
-    schema = f"id {kind}, train boolean, symbols binary, n_tokens long, n_frequent long, frequent double, rare array<string>, times array<long>"
+    schema = f"id {kind}, train boolean, symbols binary, n_tokens long, n_frequent long, frequent double, rare array<string>, times array<long>, places binary"
     return by_batch(docs.select(F.col(id).alias("id"), F.col(text), "train"), work, schema)
 
 
@@ -121,6 +143,7 @@ class Model:
     steps: np.ndarray  # states x states
     emits: np.ndarray  # symbols x states
     share: np.ndarray  # states' share of all tokens
+    tail: np.ndarray | None = None  # 2 x states: a word that isn't held emits its expected count x tail[0] + (c + 1) x tail[1]
 
 
 def batches_of(docs: list[np.ndarray], most: int = 512) -> Iterator[list[int]]:
@@ -193,16 +216,17 @@ def expected(docs: list[np.ndarray], model: Model, symbols: int) -> tuple[np.nda
     return first, steps * model.steps, emits
 
 
-def normed(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, counts: np.ndarray) -> Model:
+def normed(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, tail_mass: np.ndarray, known: Vocabulary) -> Model:
     """The model of the expected counts; every state can emit every symbol."""
     k = len(first)
-    overall = (counts + 1) / (counts + 1).sum()
-    mass = emits.sum(axis=0)
-    own = (emits + SMOOTHING * np.maximum(mass, 1) * overall[:, None]) / (mass + SMOOTHING * np.maximum(mass, 1))
-    own /= own.sum(axis=0)
+    every = (known.counts + 1).sum() + known.tail_tokens + known.tail_types
+    mass = emits.sum(axis=0) + tail_mass
+    smooth = SMOOTHING * np.maximum(mass, 1)
+    tail = np.stack([1 / (mass + smooth), smooth / (mass + smooth) / every])
+    own = emits * tail[0] + (known.counts[:, None] + 1) * tail[1]
     steps = steps + 0.1 + 1e-3 * steps.sum(axis=1, keepdims=True) / k
     share = (mass + 1) / (mass + 1).sum()
-    return Model((first + share) / (first + share).sum(), steps / steps.sum(axis=1, keepdims=True), own, share)
+    return Model((first + share) / (first + share).sum(), steps / steps.sum(axis=1, keepdims=True), own, share, tail)
 
 
 def _summed(rows: DataFrame, work, states: int) -> np.ndarray:
@@ -220,12 +244,62 @@ def _keyed(a: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(at), *(pa.array(a[at, k]) for k in range(a.shape[1]))], names=["key", *(f"s{k}" for k in range(a.shape[1]))])
 
 
+def _packed(keys: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
+    """Keys with their vectors as bytes."""
+    offsets = np.arange(len(a) + 1, dtype=np.int32) * (a.shape[1] * a.itemsize)
+    values = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(a))])
+    return pa.record_batch([pa.array(keys, pa.int64()), values], names=["key", "e"])
+
+
+def _vectors(values: pa.Array, kind: type, states: int) -> np.ndarray:
+    return np.frombuffer(b"".join(values.to_pylist()), kind).reshape(-1, states)
+
+
+def _added(keys: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys and the sums of their vectors."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(a[order], starts, axis=0) if len(keys) else a
+
+
 def _sequences(b: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16) for x in b.column(0).to_pylist()]
 
 
+def with_tail(rows: DataFrame, tail: DataFrame, emitted: DataFrame | None) -> DataFrame:
+    """``rows`` with the expected counts of each text's words that aren't held; null before the first round."""
+    own = tail.withColumn("e", F.lit(None).cast("binary")) if emitted is None else tail.join(emitted, "symbol")
+    lists = own.groupBy("id").agg(F.collect_list(F.struct("at", "symbol", "c", "e")).alias("tail"))
+    return rows.join(lists, "id", "left").select("symbols", "places", "tail", "id")
+
+
+def _own_symbols(b: pa.RecordBatch, model: Model) -> tuple[list[np.ndarray], Model, np.ndarray]:
+    """The texts of a batch (symbols, places, tail), a model in which their words that aren't held have ids behind the held ones, and those words."""
+    held, k = model.emits.shape
+    flat = b.column(2).flatten()
+    counts = pc.fill_null(pc.list_value_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
+    at, symbol, c = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("at", "symbol", "c"))
+    e = np.repeat(c[:, None] / k, k, axis=1) if flat.field("e").null_count else _vectors(flat.field("e"), np.float32, k).astype(float)
+    words, first, inverse = np.unique(symbol, return_index=True, return_inverse=True)
+    docs, begin = [], 0
+    for ids, places, n in zip(_sequences(b), b.column(1).to_pylist(), counts.tolist(), strict=True):
+        ids, places = ids.astype(np.int64), np.frombuffer(places, np.uint32)
+        if n:
+            behind = np.zeros(int(places.max()) + 1, np.int64)
+            behind[at[begin : begin + n]] = held + inverse[begin : begin + n]
+            ids[ids == 0] = behind[places]
+            begin += n
+        docs.append(ids)
+    emits = np.vstack([model.emits, e[first] * model.tail[0] + (c[first, None] + 1) * model.tail[1]]) if len(words) else model.emits
+    return docs, Model(model.first, model.steps, emits, model.share), words
+
+
 def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
-    """A first model: the most frequent words, clustered by the frequent words next to them, seed the states."""
+    """A first model: the most frequent words, clustered by the frequent words next to them, seed the states.
+
+    Id 0 isn't used, so that the seeds are the same whatever is held beyond ``SEEDED`` words.
+    """
     size, near = min(SEEDED, len(known.counts)), min(NEIGHBOURS, len(known.counts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +308,7 @@ def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
             for d in _sequences(b):
                 a, z = d[:-1].astype(np.int64), d[1:].astype(np.int64)
                 for word, other, shift in ((a, z, near), (z, a, 0)):
-                    ok = (word < size) & (other < near)
+                    ok = (word > 0) & (other > 0) & (word < size) & (other < near)
                     found += np.bincount(word[ok] * 2 * near + other[ok] + shift, minlength=found.size).reshape(found.shape) if ok.any() else 0
         yield _keyed(found)
 
@@ -243,7 +317,8 @@ def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
     around[: len(got)] = got
     profile = np.sqrt(around)
     profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-9)
-    weight = known.counts[:size]
+    weight = known.counts[:size].copy()
+    weight[0] = 0
     centres = profile[[int(np.argmax(weight))]]
     while len(centres) < states:  # the word farthest from all centres, by the root of its count
         gap = (1 - (profile @ centres.T).max(axis=1)).clip(0) * np.sqrt(weight)
@@ -258,57 +333,91 @@ def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
     split[:size] = 0.1 / states
     split[np.arange(size), nearest] += 0.9
     split[0] = 1.0 / states
-    emits = known.counts[:, None] * split
-    return normed(emits.sum(axis=0), np.outer(emits.sum(axis=0), emits.sum(axis=0)) / max(emits.sum(), 1), emits, known.counts)
+    emits, tail = known.counts[:, None] * split, np.full(states, known.tail_tokens / states)
+    mass = emits.sum(axis=0) + tail
+    return normed(mass, np.outer(mass, mass) / max(mass.sum(), 1), emits, tail, known)
 
 
-def train(rows: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over the sequences of ``rows`` (symbols)."""
-    model, symbols, context = seeded(rows, known, states), len(known.counts), rows.sparkSession.sparkContext
+def _tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffles that nothing refers to any more; each round has its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def train(rows: DataFrame, tail: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, DataFrame | None]:
+    """Baum-Welch over the sequences of ``rows``: the model and the expected counts (symbol, e) of the words that aren't held."""
+    model, symbols, spark = seeded(rows.select("symbols"), known, states), len(known.counts), rows.sparkSession
+    emitted, own = None, symbols + states + 2  # keys behind the model's are words that aren't held
     for _ in range(rounds):
-        now = context.broadcast(model)
+        now = spark.sparkContext.broadcast(model)
 
         def work(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((symbols + states + 1, states))
+            sums = np.zeros((own, states))
             for b in rows_of(batches, 1 << 20):
-                first, steps, emits = expected(_sequences(b), now.value, symbols)
-                sums[:symbols] += emits
+                docs, local, words = _own_symbols(b, now.value)
+                first, steps, emits = expected(docs, local, symbols + len(words))
+                sums[:symbols] += emits[:symbols]
                 sums[symbols : symbols + states] += steps
-                sums[-1] += first
-            yield _keyed(sums)
-
-        got = np.zeros((symbols + states + 1, states))
-        found = _summed(rows, work, states)
-        got[: len(found)] = found
-        model = normed(got[-1], got[symbols : symbols + states], got[:symbols], known.counts)
+                sums[-2] += first
+                sums[-1] += emits[symbols:].sum(axis=0)
+                if len(words):
+                    yield _packed(words + own, emits[symbols:].astype(np.float32))
+            at = np.flatnonzero(sums.any(axis=1))
+            yield _packed(at, sums[at])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: dict[bool, list] = {True: [], False: []}
+            for b in batches:
+                keys = b.column(0).to_numpy()
+                for behind, mask in ((True, keys >= own), (False, keys < own)):
+                    if mask.any():
+                        parts[behind].append((keys[mask], _vectors(b.column(1).filter(pa.array(mask)), np.float32 if behind else np.float64, states)))
+            for behind, got in parts.items():
+                if got:
+                    keys, sums = _added(np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got]))
+                    yield _packed(keys, sums)
+
+        kinds = "key long, e binary"
+        summed = staged(by_batch(by_batch(with_tail(rows, tail, emitted), work, kinds).repartition("key"), add, kinds), "expected")
+        got = np.zeros((own, states))
+        for r in summed.where(F.col("key") < own).toLocalIterator():
+            got[r.key] = np.frombuffer(r.e)
+        model = normed(got[-2], got[symbols : symbols + states], got[:symbols], got[-1], known)
+        emitted = summed.where(F.col("key") >= own).select((F.col("key") - own).alias("symbol"), "e")
         now.unpersist()
-    return model
+        _tidy(spark)
+    return model, emitted
 
 
 def scored(
     docs: DataFrame, id: str = "doc_id", text: str = "text", train_on: Column | None = None, *,
-    states: int = STATES, symbols: int = SYMBOLS, rounds: int = ROUNDS,
+    states: int = STATES, held: int = HELD, rounds: int = ROUNDS,
 ) -> DataFrame:
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) of every document; ids are unique.
 
     Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end; null text is empty.
-    The model learns from the documents for which ``train_on`` holds (all, if None).
+    The model learns from the documents for which ``train_on`` holds (all, if None). Every word seen
+    twice or more in them is a symbol; the emissions of ``held`` words are with every task.
     ``base_score`` is the sum of log10((c + 1) / (N + V + 1)), with a token's count c, the number
     of tokens N and of different ones V in training; ``score`` is the hidden Markov model's log10
     probability of the text. Without training texts both still are finite. Other columns are
     ignored. An empty table gives an empty one.
     """
     own = docs.withColumn("train", F.coalesce(train_on, F.lit(False)) if train_on is not None else F.lit(True)).select(id, text, "train")
-    counts = staged(word_counts(own.where("train"), text), "word-counts")
-    known = vocabulary(counts, min(symbols, SYMBOLS))
+    counts = staged(word_counts(own.where("train"), text).withColumn("symbol", F.monotonically_increasing_id()), "word-counts")
+    known = vocabulary(counts, held)
     rows = staged(encoded(own, id, text, known), "symbols")
-    model = train(rows.where("train").select("symbols"), known, states, rounds)
-
-    pairs = rows.select("id", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("id", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    met = pairs.join(counts.where(F.col("word") != END), "word", "left")
-    log = F.log10(F.coalesce("c", F.lit(0)) + 1)
+    others = rows.select("id", "train", F.posexplode(F.arrays_zip("rare", "times")).alias("at", "x")).select("id", "train", "at", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    numbered = counts.where(F.col("word") != END).select("word", "c", F.when(in_tail(known.last), F.col("symbol")).alias("symbol"))
+    met = staged(others.join(numbered, "word", "left").select("id", "train", "at", "times", F.coalesce("c", F.lit(0)).alias("c"), "symbol"), "other-words")
+    _tidy(docs.sparkSession)
+    tail = met.where("symbol is not null").select("id", "at", "symbol", "c", "train")
+    model, emitted = train(rows.where("train"), tail.where("train").drop("train"), known, states, rounds)
+
+    log, once = F.log10(F.col("c") + 1), F.col("symbol").isNull()
     rare = met.groupBy("id").agg(
-        F.sum(F.col("times") * log).alias("rare"), F.sum("times").alias("n_rare"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_met")
+        F.sum(F.col("times") * log).alias("others"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_met"),
+        F.sum(F.when(once, F.col("times") * log)).alias("rare"), F.sum(F.when(once, F.col("times"))).alias("n_rare"),
     )
     rare = staged(rare, "rare-words")
 
@@ -316,16 +425,17 @@ def scored(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
-            yield pa.record_batch([b.column(1), pa.array(forward(_sequences(b), now.value))], names=["id", "forward"])
+            texts, local, _ = _own_symbols(b, now.value)
+            yield pa.record_batch([b.column(3), pa.array(forward(texts, local))], names=["id", "forward"])
 
     kind = docs.schema[id].dataType.simpleString()
-    probability = by_batch(rows.select("symbols", "id"), work, f"id {kind}, forward double")
+    probability = by_batch(with_tail(rows, tail.drop("train"), emitted), work, f"id {kind}, forward double")
     all_ = rows.select("id", "train", "n_tokens", "n_frequent", "frequent").join(probability, "id").join(rare, "id", "left")
     num = lambda c: F.coalesce(c, F.lit(0))
     inside = float(np.log10(known.rare_tokens + known.rare_types + 1))
     return all_.select(
         F.col("id").alias(id), "train", "n_tokens", (F.col("n_frequent") + num("n_met")).cast("long").alias("n_known"),
         F.lit(known.tokens).cast("long").alias("train_tokens"),
-        (F.col("frequent") + num("rare") - F.col("n_tokens") * known.base_scale).alias("base_score"),
+        (F.col("frequent") + num("others") - F.col("n_tokens") * known.base_scale).alias("base_score"),
         (F.col("forward") + num("rare") - num("n_rare") * inside).alias("score"),
     )

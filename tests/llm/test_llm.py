@@ -300,6 +300,20 @@ def test_scores(spark, texts):
     assert len(untrained) == 4 and all(math.isfinite(r.score) and r.n_known == 0 for r in untrained)
 
 
+def test_every_word_seen_twice_is_learnt(spark):
+    rng = random.Random(8)
+    lot = [f"w{k}" for k in range(3000)]
+    made = [" ".join(rng.sample(lot[: 1500 if k % 2 else 3000], 100)) for k in range(300)]
+    made += ["nord sud " * 3, "est west " * 3, "zug bahn", None, "once only here", ""]
+    df = table(spark, made)
+    whole, few = ({r.doc_id: r for r in hmm.scored(df, states=3, rounds=2, held=n).collect()} for n in (hmm.HELD, 2100))
+    assert whole.keys() == few.keys() and len(few) == len(made)
+    for k, r in whole.items():  # what is held changes no score
+        assert math.isclose(r.score, few[k].score, rel_tol=1e-5) and math.isclose(r.base_score, few[k].base_score, rel_tol=1e-9) and r.n_known == few[k].n_known
+    with pytest.raises(ValueError):
+        hmm.scored(df, held=hmm.HELD + 1)
+
+
 def test_archives(spark):
     big = "<p>" + "ä<b>line</b>\r\n" * 9000
     pages = [(1, "http://a/ b", "x" * 100), (2, None, "x" * 100), (3, "u", "x" * 99), (4, "u", "x" * 99), (5, "u", None), (6, "u", ""), (7, "u", big), (8, "u\n", big), (9, "u", "WARC/1.1\r\n\r\n0\r\n\r\n" * 20)]
