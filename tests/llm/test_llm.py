@@ -357,3 +357,15 @@ def test_pipeline(spark, tmp_path):
     kept = docs.collect()
     assert {r.doc_id for r in kept} == set(range(70)) and all("menu" not in r.text and r.n_chars == len(r.text) and r.lang for r in kept)
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(70))
+
+
+def test_pipeline_drops_near_copies_at_four_fifths(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(55)]
+    made = [" ".join(words), " ".join([*words[:27], "x", *words[28:]])]  # 46 of 56 shingles shared: 0.82
+    made.append(" ".join([*words[:12], "y", *words[13:27], "z", *words[28:]]))  # 0.67 and 0.82
+    made.append(" ".join(f"v{k}" for k in range(55)))
+    docs = table(spark, made)
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs.where("doc_id <> 7"), "").collect()} == {1, 10}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs.where("doc_id in (1, 7)"), "").collect()} == {1, 7}
