@@ -7,7 +7,7 @@ table, which Spark broadcasts if its measured size is below its threshold.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanframe.llm.common import staged
@@ -17,8 +17,9 @@ from gleanframe.llm.linefreq import without_boilerplate
 from gleanframe.llm.minhash import near_duplicates
 from gleanframe.llm.packing import packed
 
-#: A language whose share of the cosines isn't so much above that of chance isn't trusted.
-ABOVE_CHANCE = 0.06
+#: A text may lie so many interquartile ranges below its language's lower quartile of the fit, or so
+#: far if that is more, and for the noise of short texts this over the root of its n-grams.
+FENCES, REACH, NOISE = 3.0, 0.5, 1.0
 
 
 def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
@@ -30,12 +31,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(docs, judged(docs).where("not kept"), "poor")
 
 
+def _lowest(quartiles: Column) -> Column:
+    return quartiles[0] - F.greatest(FENCES * (quartiles[1] - quartiles[0]), F.lit(REACH))
+
+
+def foreign(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents without letters and those that don't fit the language found for them.
+
+    The band of a language is drawn around the quartiles of all its documents for which it was found;
+    a language without any has that of all documents.
+    """
+    quartiles = F.percentile(F.floor(F.col("fit") * 256) / 256, F.array(F.lit(0.25), F.lit(0.75)))
+    some = found.where(F.col("lang_pred") != UNKNOWN)
+    own = some.join(docs.select("doc_id", "lang"), "doc_id").where("lang = lang_pred")
+    edges = staged(own.groupBy("lang_pred").agg(_lowest(quartiles).alias("low")), "language-bands")
+    overall = some.agg(_lowest(quartiles)).first()[0]
+    low = F.coalesce("low", F.lit(overall)) - NOISE / F.sqrt(F.greatest("n_ngrams", F.lit(1)))
+    return found.join(edges, "lang_pred", "left").where((F.col("lang_pred") == UNKNOWN) | (F.col("fit") < low))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the corpus itself teaches; missing languages are filled in."""
+    """Documents in a language that the corpus itself teaches (all, if it teaches none); missing languages are filled in."""
     profiles = learn(docs)
-    found = staged(identified(docs, profiles), "languages")
-    least = min(1.0, 1 / max(len(profiles.languages), 1) + ABOVE_CHANCE)
-    kept = _without(docs, found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)), "no-language")
+    if not profiles.languages:
+        return docs
+    found = staged(identified(docs, profiles, fit=True), "languages")
+    kept = _without(docs, foreign(found, docs), "no-language")
     missing = staged(found.join(docs.where("lang is null").select("doc_id"), "doc_id", "left_semi").select("doc_id", "lang_pred"), "filled")
     filled = kept.join(missing, "doc_id", "left").withColumn("lang", F.coalesce("lang", "lang_pred"))
     return filled.select(*docs.columns)

@@ -94,6 +94,8 @@ class Profiles:
                 prototypes += v[a] * np.roll(v[b], 1) * (by[:, a, b] @ third)
         length = np.linalg.norm(prototypes, axis=1, keepdims=True)
         self.prototypes = prototypes / np.where(length == 0, 1, length)
+        flat = counts.reshape(len(languages), CLASSES**NGRAM).astype(float)
+        self.peak = (flat**2).sum(axis=1) / np.maximum(flat.sum(axis=1), 1) ** 2  # chance that two n-grams of a language are the same
         self.table = np.empty((CLASSES**NGRAM, len(languages)), np.float32)
         for a, b in pairs:
             at = a * CLASSES * CLASSES + b * CLASSES
@@ -101,6 +103,28 @@ class Profiles:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The language of each text and a score: its share of the positive cosines with all prototypes."""
+        return self.judge(texts)[:2]
+
+    def fit(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """What ``predict`` gives, the number of n-grams, and how well each text fits its language.
+
+        The fit is the cosine with the language's prototype over what a text of so many n-grams
+        drawn from the language would have, so that texts of any length compare; about 1 in the
+        language. A text's norm is that of its n-gram counts, around which the norm of the
+        hypervector scatters by the random products.
+        """
+        langs, score, best, dot, codes, counts = self.judge(texts)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64), counts)
+        each, times = np.unique(owner << 18 | codes, return_counts=True)
+        squares = np.bincount(each >> 18, times.astype(float) ** 2, minlength=len(texts))
+        dimensions = self.prototypes.shape[1]
+        cosine = dot / np.sqrt(np.maximum(squares, 1) * dimensions)
+        mean = counts * (self.peak[best] if self.languages else 0.0)
+        expected = np.sqrt(mean / (1 + mean))
+        return langs, score, counts, np.where(expected > 0, cosine / np.where(expected > 0, expected, 1), 0.0)
+
+    def judge(self, texts: list[str]) -> tuple:
+        """Languages and scores; then numbers of the languages, greatest dot products, n-grams and how many each text has."""
         codes, counts = ngrams(texts)
         dots = np.zeros((len(texts), len(self.languages)))
         some = np.flatnonzero(counts)
@@ -112,7 +136,8 @@ class Profiles:
         total, best = dots.sum(axis=1), dots.argmax(axis=1) if self.languages else np.zeros(len(texts), int)
         known = (total > 0) & (counts > 0)
         score = np.where(known, dots.max(axis=1, initial=0) / np.where(known, total, 1), 0.0)
-        return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)], score
+        langs = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
+        return langs, score, best, dots.max(axis=1, initial=0), codes, counts
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None) -> Profiles:
@@ -154,8 +179,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column
     return Profiles(languages, counts)
 
 
-def identified(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every document.
+def identified(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str = "text", *, fit: bool = False) -> DataFrame:
+    """(id, lang_pred, score) of every document; with ``fit`` also n_ngrams and fit (see ``Profiles.fit``).
 
     ``und`` with score 0 where the text is null or has no letter. Ties go to the language that
     comes first by name. Other columns are ignored.
@@ -165,7 +190,9 @@ def identified(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: st
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):
-            langs, score = model.value.predict(strings(b.column(1)))
-            yield pa.record_batch([b.column(0), pa.array(langs, pa.string()), pa.array(score)], names=["id", "lang_pred", "score"])
+            langs, *numbers = (model.value.fit if fit else model.value.predict)(strings(b.column(1)))
+            yield pa.record_batch([b.column(0), pa.array(langs, pa.string()), *map(pa.array, numbers)], names=["id", "lang_pred", *names])
 
-    return by_batch(docs.select(F.col(id).alias("id"), F.col(text)), work, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
+    names = ["score", "n_ngrams", "fit"] if fit else ["score"]
+    schema = f"id {kind}, lang_pred string, score double" + ", n_ngrams long, fit double" * fit
+    return by_batch(docs.select(F.col(id).alias("id"), F.col(text)), work, schema).withColumnRenamed("id", id)

@@ -369,3 +369,20 @@ def test_pipeline_drops_near_copies_at_four_fifths(spark):
     docs = table(spark, made)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs.where("doc_id <> 7"), "").collect()} == {1, 10}
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs.where("doc_id in (1, 7)"), "").collect()} == {1, 7}
+
+
+def test_pipeline_drops_foreign_and_random_texts(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    parts = {"aa": ["the", "ing", "and", "ther", "ould", "was"], "bb": ["der", "sch", "ung", "ein", "ben", "icht"]}
+    say = lambda lang, n: " ".join("".join(rng.choices(parts[lang], k=2)) for _ in range(n))
+    rows = [(k, say("ab"[k % 2] * 2, (4, 30, 200)[k % 3]), "ab"[k % 2] * 2 if k % 5 else None) for k in range(120)]
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (200, 600, 3000)]
+    foreign = ["nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura " * 2, "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan", "wszyscy ludzie rodzą się wolni i równi pod względem swej godności"]
+    rows += [(200 + k, t, None if k % 2 else "aa") for k, t in enumerate([*noise, *foreign, "123 !"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert kept == {k: "ab"[k % 2] * 2 for k in range(120)}
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language(spark, unknown, "").count() == len(rows)
