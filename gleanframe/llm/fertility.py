@@ -2,8 +2,9 @@
 
 Public vocabularies measure, per text, characters per token, the share of tokens that are pieces
 of a character's bytes, and the entropy of its tokens. Texts outside the band of their language
-(or script, where no language is given) are rejected. The bands are robust fences around the
-quartiles of all texts that pass the base rules.
+(or script, where no language is given) are rejected; where that has few texts, of the band of their
+script among all texts, else of that of all texts. The bands are robust fences around the quartiles
+of all texts that pass the base rules.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_batch, cached, rows_of, staged, strings
@@ -163,8 +164,28 @@ BANDED = {
 }
 
 
+#: The band of all texts, and what stands before a script in the key of its band.
+ALL, ANY_LANGUAGE = "all", "all, script "
+
+
+def levels() -> list[Column]:
+    """The keys of the bands of a text, from its own to that of all texts; the first letter tells them apart."""
+    return [F.concat(F.lit("0"), "key"), F.concat(F.lit("1" + ANY_LANGUAGE), "script"), F.lit("2" + ALL)]
+
+
+def resolved(known: DataFrame, least_texts: int) -> DataFrame:
+    """For each (key, script) of ``known`` the first of its bands that there is, without those of fewer than ``least_texts`` texts."""
+    per_level = known.where(~F.col("base_failed")).withColumn("key", F.explode(F.array(*levels())))
+    found = bands(per_level, least_texts)
+    own = known.select("key", "script").distinct()
+    for k, key in enumerate(levels()):
+        band = found.select(F.col("key").alias(f"key{k}"), F.struct("bands", "slope", "offset", F.substring("key", 2, 1 << 30).alias("band")).alias(f"band{k}"))
+        own = own.withColumn(f"key{k}", key).join(band, f"key{k}", "left")
+    return staged(own.select("key", "script", F.coalesce("band0", "band1", "band2").alias("x")).select("key", "script", "x.*"), "bands-by-key")
+
+
 def bands(known: DataFrame, least_texts: int) -> DataFrame:
-    """(key, measure -> [low, high]) of each key with ``least_texts`` different texts.
+    """(key, measure -> [low, high]) of each key with ``least_texts`` different texts, and of that of all.
 
     A band lies around the quartiles of all texts that pass the base rules (see ``BANDED``); texts of equal measures, such as copies, count once. Quartiles come from
     histograms of fixed bins, so they don't depend on how rows are dealt out. ``spread`` is the
@@ -174,7 +195,7 @@ def bands(known: DataFrame, least_texts: int) -> DataFrame:
     line = own.groupBy("key").agg(
         F.count("*").alias("texts"), F.regr_slope("entropy", F.log2("n_tokens")).alias("slope"), F.regr_intercept("entropy", F.log2("n_tokens")).alias("offset")
     )
-    line = staged(line.where(F.col("texts") >= least_texts), "lines")
+    line = staged(line.where((F.col("texts") >= least_texts) | (F.col("key") == "2" + ALL)), "lines")
     spread = F.col("entropy") - F.coalesce("slope", F.lit(0.0)) * F.log2("n_tokens") - F.coalesce("offset", F.lit(0.0))
     fitted = own.join(line, "key").withColumn("spread", spread)
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) / w).alias("bin")) for m, (w, *_) in BANDED.items()]))
@@ -197,7 +218,8 @@ def judged(
     Base rules: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of the words
     in 8-word windows found twice or more. The others are kept if characters per token, share of
     partial tokens and entropy lie in the bands of their language; texts without one are judged by
-    script, and a language or script with fewer than ``least_texts`` different texts isn't judged.
+    script. One with fewer than ``least_texts`` different texts has the band of its script among all
+    texts, a script with fewer that of all texts; ``band`` tells which.
     ``vocabularies``: paths of rank files. Null text counts as empty and fails. Other columns are
     ignored. An empty table gives an empty one.
     """
@@ -205,7 +227,7 @@ def judged(
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     key = F.coalesce("lang", F.concat(F.lit("script "), F.col("script")))
     known = staged(measure(docs, id, text, lang, paths, pattern), "fertility").withColumns({"base_failed": failed, "key": key})
-    joined = known.join(bands(known, least_texts), "key", "left")
+    joined = known.join(resolved(known, least_texts), ["key", "script"], "left")
     spread = F.col("entropy") - F.coalesce("slope", F.lit(0.0)) * F.log2(F.greatest("n_tokens", F.lit(1))) - F.coalesce("offset", F.lit(0.0))
     joined = joined.withColumn("spread", spread)
     noise = lambda m: BANDED[m][3] / F.sqrt(F.greatest("n_tokens", F.lit(1)))
@@ -214,5 +236,5 @@ def judged(
     inside = under("fallback_share") & under("chars_per_token") & over("chars_per_token") & under("spread") & over("spread")
     kept = ~F.col("base_failed") & (F.col("bands").isNull() | inside)
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    more = ["n_tokens", "chars_per_token", "fallback_share", "entropy", "spread", F.col("key").alias("band")]
+    more = ["n_tokens", "chars_per_token", "fallback_share", "entropy", "spread", F.coalesce("band", "key").alias("band")]
     return joined.select(F.col("id").alias(id), *columns, kept.alias("kept"), *more)

@@ -386,3 +386,15 @@ def test_pipeline_drops_foreign_and_random_texts(spark):
     assert kept == {k: "ab"[k % 2] * 2 for k in range(120)}
     unknown = docs.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.language(spark, unknown, "").count() == len(rows)
+
+
+def test_languages_of_few_texts_are_judged(spark):
+    rng = random.Random(3)
+    words = ["the", "house", "river", "stone", "light", "winter", "morning", "and", "of", "walks", "under", "green"] + [f"{a}{b}" for a in ("lo", "mi", "ra") for b in ("ter", "nal", "ves")]
+    clean = lambda: " ".join(rng.choices(words, k=150))
+    junk = lambda: " ".join("".join(rng.choice("!#xQ7%") for _ in range(9)) for _ in range(150))
+    rows = [(k, clean(), "en") for k in range(80)] + [(100, clean(), "xx"), (101, junk(), "xx"), (102, clean(), None), (103, junk(), None)]
+    rows.append((104, " ".join("".join(rng.choice("!#7%я") for _ in range(9)) for _ in range(150)), None))
+    got = {r.doc_id: r for r in fertility.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {k for k, r in got.items() if not r.kept} == {101, 103, 104}
+    assert (got[0].band, got[100].band, got[102].band, got[104].band) == ("en", "all, script LATIN", "all, script LATIN", "all")
