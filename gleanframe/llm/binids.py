@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_batch, file_system, fresh_path, qualified, rows_of, staged, strings, write_whole
+from .common import by_batch, file_system, fresh_path, operator, qualified, rows_of, staged, strings, write_whole
 from .tokens import json_encoder, vocabulary_size
 
 SHARD_BYTES = 16 << 20
@@ -79,6 +79,7 @@ def _raw_blocks(read: Callable[[int], bytes], dtype: np.dtype) -> Iterator[tuple
         yield np.frombuffer(read(8 * docs), "<i8"), np.frombuffer(read(8 * docs), "<i8"), np.frombuffer(read(dtype.itemsize * ids), dtype)
 
 
+@operator
 def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", *, end: int = 0, folder: str | None = None) -> DataFrame:
     """Write all documents' ids, each document followed by ``end``; returns (shard, path, docs, ids, before).
 
@@ -86,6 +87,8 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
     of all earlier shards. Texts are dealt over shards by ranges of their id and encoded once;
     shards first hold plain ids, and are coded anew when the frequencies of all are known. Files
     are written under another name and moved into place, so a lost executor's task can run again.
+    Ids are taken as 64-bit integers and are not null; a repeated row is written again, next to the
+    other. Other columns are ignored, whatever their names. An empty table gives a shard without documents.
     """
     spark = docs.sparkSession
     folder = qualified(spark, folder or fresh_path(spark, "ids"))
@@ -103,7 +106,7 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
         def write(f) -> None:
             nonlocal counts, total, rows
             with pa.CompressedOutputStream(f, "zstd") as z:
-                for b in rows_of(batches, 6 << 20):
+                for b in rows_of(batches):
                     ids = encoder(strings(b.column(1)))
                     flat = np.concatenate([x for d in ids for x in (d, [end])]).astype(width) if ids else np.empty(0, width)
                     z.write(np.array([len(ids), len(flat)], "<i8").tobytes())
@@ -153,8 +156,13 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
     return coded.select("shard", F.format_string(f"{folder}/%08d.ids", "shard").alias("path"), "docs", "ids", before.alias("before"))
 
 
+@operator
 def read_ids(shards: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each document in the files, decoded whole."""
+    """(doc_id, start, n_tokens, ids_crc32) of each document in the files of ``shards`` (path, before), decoded whole.
+
+    ``start`` counts the ids of all documents before it. Other columns are ignored. A table without
+    files, or files without documents, give an empty one.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

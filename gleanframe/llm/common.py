@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -14,10 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = __name__.split(".")[0]
-#: Rows that reach Python at once, at most: texts can be long.
-ARROW_ROWS = 2000
+#: What reaches Python at once, at most: texts can be long.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
+#: A worker hands free memory back to the system whenever it has read so much.
+_GIVE_BACK = 32 << 20
 _caches: list = []
 _user = None
+_local = threading.local()
+_local_dirs: dict[str, str] = {}
 
 
 def cached(function: Callable) -> Callable:
@@ -27,6 +35,13 @@ def cached(function: Callable) -> Callable:
     return out
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def working_for(user: str) -> None:
     """Workers are used again; one that turns to another operator drops what it kept for the last."""
     global _user
@@ -34,27 +49,46 @@ def working_for(user: str) -> None:
         for c in _caches:
             c.cache_clear()
         _user = user
+        gc.collect()
+        give_back()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
     Where the setting is absent, a local session gets a temporary folder and any other the
-    warehouse; a machine-local folder is never used on a cluster.
+    warehouse; a machine-local folder is never used on a cluster. The setting stays as it is.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-            found = "file://" + tempfile.mkdtemp(prefix="gleanframe-")
-        else:
-            found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    context = spark.sparkContext
+    if context.master.startswith("local") and "cluster" not in context.master:
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="gleanframe-")
+        return _local_dirs[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_dir(spark)}/gleanframe/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one, which goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/gleanframe/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings changed for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -63,9 +97,36 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     Cuts the lineage: what comes after survives lost executors without computing this again,
     and the optimizer sees the written size when it picks a join.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    scopes = getattr(_local, "scopes", None)
+    if scopes:
+        scopes[-1].append(path)
+    with settings(spark, ARROW):
+        df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def operator(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose result is staged, and whose own stages are deleted when that is done."""
+
+    @functools.wraps(function)
+    def run(*args, **kwargs) -> DataFrame:
+        scopes = _local.__dict__.setdefault("scopes", [])
+        own: list[str] = []
+        scopes.append(own)
+        try:
+            out = function(*args, **kwargs)
+        finally:
+            scopes.pop()
+        done = staged(out, function.__name__)
+        hadoop, jvm = out.sparkSession.sparkContext._jsc.hadoopConfiguration(), out.sparkSession.sparkContext._jvm
+        for x in own:
+            place = jvm.org.apache.hadoop.fs.Path(x)
+            place.getFileSystem(hadoop).delete(place, True)
+        return done
+
+    return run
 
 
 def ship(spark: SparkSession) -> None:
@@ -87,16 +148,14 @@ def ship(spark: SparkSession) -> None:
 def by_batch(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with the package shipped, in batches of ``ARROW_ROWS`` rows at most."""
-    spark, user = df.sparkSession, function.__module__
-    ship(spark)
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
-        spark.conf.set(rows, ARROW_ROWS)
+    """``mapInArrow`` with the package shipped. ``staged`` writes it in batches of the sizes in ``ARROW``."""
+    user = function.__module__
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         working_for(user)
         yield from function(batches)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -112,18 +171,18 @@ def strings(values: pa.Array) -> list[str]:
     return [x or "" for x in values.to_pylist()]
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def rows_of(batches: Iterable[pa.RecordBatch], most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` at most, so that long texts don't fill a worker."""
+    read = 0
     for b in batches:
         n, size = b.num_rows, max(b.nbytes, 1)
+        read += size
         step = max(1, n * most_bytes // size) if size > most_bytes else n
         for at in range(0, n, max(step, 1)):
             yield b.slice(at, step)
-
-
-def output(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
-    """A batch of the given columns in the schema's order."""
-    return pa.record_batch([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+        if read > _GIVE_BACK:
+            read = 0
+            give_back()
 
 
 def qualified(spark: SparkSession, path: str) -> str:

@@ -1,12 +1,14 @@
 """A hidden Markov language model over words.
 
 Counts of all words come first. Every word seen twice or more is a symbol of its own; those seen
-once or never share one symbol, within which a word has the add-one share of its count. Baum-Welch
-runs over all training texts. The emissions of the most frequent words are held by every task;
-those of all others are a written table by word, joined to the texts that have them, so only its
-rows grow with the corpus. Each task adds up its expected counts, Spark sums them, and the driver
-makes the next model from the sums of the held words and the totals of the others. The scaled
-forward recursion then gives the exact probability of each whole text.
+once or never share one symbol, within which a word has the add-one share of its count. Texts are
+encoded once, in lots of like length. Baum-Welch runs over all whole training texts: each task adds
+up expected counts, Spark sums them, and the driver makes the next model from the sums.
+
+The emissions of the most frequent words are held by every task and re-estimated in each round.
+Those of all others are tied over the states until the last round, whose expected counts then give
+each of them emissions of its own: a table by word, which grows with the corpus and is joined to the
+lots once, for scoring. The scaled forward recursion gives the exact probability of each whole text.
 """
 
 from __future__ import annotations
@@ -18,23 +20,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, rows_of, staged, strings
+from .common import by_batch, operator, rows_of, settings, ARROW, staged, strings
 
 STATES = 12
 #: Most frequent words, whose emissions every task holds; id 0 stands for the others, 1 for the end.
-#: Which words are held changes where their numbers are, not the model.
 HELD = 65_534
-ROUNDS = 3
-#: Training texts are cut into runs of so many tokens for the backward recursion.
-RUN = 128
+#: Rounds of Baum-Welch at most; they end sooner when a token's mean log10 probability gains less than this.
+ROUNDS, GAIN = 3, 1e-3
+#: Steps of the recursions whose forward variables are kept at once; those before are computed again.
+BLOCK = 2048
+#: Most tokens of a text in each kind of lot, and tokens of a lot, but for its last text.
+LOTS = ((512, 1 << 17), (BLOCK, 1 << 18), (1 << 62, 1 << 20))
 #: Share of a state's emissions that follows the words' overall frequencies.
 SMOOTHING = 0.02
 #: Frequent words that seed the states, and the neighbours by which they are told apart.
 SEEDED, NEIGHBOURS = 2000, 64
+#: Expected counts are summed as multiples of 1 / UNIT, so that no order of rows changes them.
+UNIT = 1 << 16
 _FLUSH = 400_000
 END = ""
 
@@ -98,7 +104,7 @@ def vocabulary(counts: DataFrame, held: int) -> Vocabulary:
     if not 0 < held <= HELD:
         raise ValueError(f"{held} held words; ids have 16 bits, so 1 to {HELD}")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where((F.col("c") > 1) & (F.col("word") != END)).select("word", "c").orderBy(F.desc("c"), "word").limit(held).toPandas()
+    top = counts.where((F.col("c") > 1) & (F.col("word") != END)).select("word", "c").orderBy(F.desc("c"), "word").limit(held).toArrow().to_pandas()
     last = (int(top["c"].iloc[-1]), top["word"].iloc[-1]) if len(top) == held else None
     tail = counts.where(in_tail(last)).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = counts.where(F.col("word") == END).agg(F.sum("c")).first()[0] or 0
@@ -108,32 +114,46 @@ def vocabulary(counts: DataFrame, held: int) -> Vocabulary:
 
 
 def encoded(docs: DataFrame, id: str, text: str, known: Vocabulary) -> DataFrame:
-    """Per document: symbols as packed 16-bit integers, what the base score needs, its other words with their numbers, and which of them each 0 is."""
-    model = docs.sparkSession.sparkContext.broadcast((known.words, np.log10(known.counts + 1)))
-    ended = known.counts[1] > 0
+    """Lots of texts of like length: ids, tokens of each, symbols of all as 16-bit integers, other words, and which of them each 0 is.
+
+    Training texts and others are in different lots.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(known.words)
     kind = docs.schema[id].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, logs = model.value
-        index = {w.encode(): k + 2 for k, w in enumerate(words)}
+        index = {w.encode(): k + 2 for k, w in enumerate(model.value)}
+        open_: dict[tuple[bool, int], list] = {}
+        made, task, type_ = 0, TaskContext.get().partitionId() << 32, None
+
+        def closed(key: tuple[bool, int]) -> pa.RecordBatch:
+            nonlocal made
+            ids, lengths, symbols, others = open_.pop(key)[:4]
+            place: dict[bytes, int] = {}
+            places = np.fromiter((place.setdefault(w, len(place)) for w in others), np.uint32, len(others))
+            made += 1
+            row = ([task + made], [key[0]], [ids], [lengths], [b"".join(symbols)], [[w.decode() for w in place]], [places.tobytes()])
+            types = (pa.int64(), pa.bool_(), pa.list_(type_), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()), pa.binary())
+            return pa.record_batch([pa.array(x, t) for x, t in zip(row, types, strict=True)], names=["lot", "train", "ids", "lengths", "symbols", "words", "places"])
+
         for b in rows_of(batches):
-            rows: list[list] = [[] for _ in range(7)]
-            for t in strings(b.column(1)):
+            type_ = b.column(0).type
+            for key, t, train in zip(b.column(0).to_pylist(), strings(b.column(1)), b.column(2).to_pylist(), strict=True):
                 own = words_of(t)
-                ids = np.fromiter((index.get(w, 0) for w in own), np.uint16, len(own))
-                others = [own[k] for k in np.flatnonzero(ids == 0).tolist()]
-                rare = Counter(others)
-                place = {w: k for k, w in enumerate(rare)}
-                places = np.fromiter((place[w] for w in others), np.uint32, len(others))
-                ids = np.append(ids, np.uint16(1))
-                frequent = ids[ids > 0]
-                for x, y in zip(rows, (ids.tobytes(), len(ids), len(frequent) - (not ended), float(logs[frequent].sum()), [w.decode() for w in rare], list(rare.values()), places.tobytes()), strict=True):
-                    x.append(y)
-            types = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
-            arrays = [b.column(0), b.column(2), *(pa.array(x, t) for x, t in zip(rows, types, strict=True))]
-            yield pa.record_batch(arrays, names=["id", "train", "symbols", "n_tokens", "n_frequent", "frequent", "rare", "times", "places"])
-
-    schema = f"id {kind}, train boolean, symbols binary, n_tokens long, n_frequent long, frequent double, rare array<string>, times array<long>, places binary"
+                found = np.fromiter((index.get(w, 0) for w in own), np.uint16, len(own))
+                at = (train, next(k for k, (most, _) in enumerate(LOTS) if len(own) < most))
+                lot = open_.setdefault(at, [[], [], [], [], 0])
+                lot[0].append(key)
+                lot[1].append(len(own) + 1)
+                lot[2].append(np.append(found, np.uint16(1)).tobytes())
+                lot[3] += [own[k] for k in np.flatnonzero(found == 0).tolist()]
+                lot[4] += len(own) + 1
+                if lot[4] >= LOTS[at[1]][1]:
+                    yield closed(at)
+        for at in list(open_):
+            yield closed(at)
+
+    schema = f"lot long, train boolean, ids array<{kind}>, lengths array<int>, symbols binary, words array<string>, places binary"
     return by_batch(docs.select(F.col(id).alias("id"), F.col(text), "train"), work, schema)
 
 
@@ -142,179 +162,185 @@ class Model:
     first: np.ndarray  # states
     steps: np.ndarray  # states x states
     emits: np.ndarray  # symbols x states
-    share: np.ndarray  # states' share of all tokens
     tail: np.ndarray | None = None  # 2 x states: a word that isn't held emits its expected count x tail[0] + (c + 1) x tail[1]
 
 
-def batches_of(docs: list[np.ndarray], most: int = 512) -> Iterator[list[int]]:
-    """Numbers of the texts in groups of like length, longest first."""
-    order = sorted(range(len(docs)), key=lambda k: -len(docs[k]))
-    for a in range(0, len(order), most):
-        yield order[a : a + most]
-
-
-def forward(docs: list[np.ndarray], model: Model) -> np.ndarray:
+class Sequences:
+    """Texts side by side, by time: the symbols of all texts at step t stand together, longest texts first."""
+
+    def __init__(self, lengths: np.ndarray, symbols: np.ndarray):
+        self.order = np.argsort(-lengths, kind="stable")
+        ordered = lengths[self.order]
+        self.width = int(ordered[0]) if len(ordered) else 0
+        self.live = np.searchsorted(-ordered, -np.arange(self.width), side="left")  # texts longer than t
+        self.offset = np.concatenate([[0], np.cumsum(self.live)]).astype(np.int64)
+        rank = np.empty(len(lengths), np.int64)
+        rank[self.order] = np.arange(len(lengths))
+        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.place = self.offset[step] + np.repeat(rank, lengths)  # of each token in the order by time
+        self.symbols = self.by_time(symbols)
+
+    def by_time(self, values: np.ndarray) -> np.ndarray:
+        out = np.empty_like(values)
+        out[self.place] = values
+        return out
+
+    def forward(self, model: Model, begin: int, end: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Emissions, scaled forward variables and scales of the steps from ``begin`` to ``end``, given those before."""
+        base = self.offset[begin]
+        seen = model.emits[self.symbols[base : self.offset[end]]]
+        alpha, scale, ones = np.empty_like(seen), np.empty(len(seen)), np.ones(len(model.first))
+        for t in range(begin, end):
+            a, z = self.offset[t] - base, self.offset[t + 1] - base
+            prior = model.first if before is None else before[: z - a] @ model.steps
+            now = prior * seen[a:z]
+            scale[a:z] = total = now @ ones
+            before = np.divide(now, total[:, None], out=alpha[a:z])
+        return seen, alpha, scale
+
+
+def forward(lengths: np.ndarray, symbols: np.ndarray, model: Model) -> np.ndarray:
     """log10 probability of each sequence, by the scaled forward recursion."""
-    out = np.zeros(len(docs))
-    for group in batches_of(docs):
-        lengths = np.array([len(docs[k]) for k in group])
-        width = lengths[0]
-        if not width:
-            continue
-        at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        flat = np.concatenate([docs[k] for k in group]).astype(np.int64)
-        live = np.searchsorted(-lengths, -np.arange(width), side="left")  # texts longer than t
-        total, alpha = np.zeros(len(group)), np.empty((len(group), len(model.first)))
-        for t in range(width):
-            n = live[t]
-            prior = alpha[:n] @ model.steps if t else np.broadcast_to(model.first, (n, len(model.first)))
-            alpha = prior * model.emits[flat[at[:n] + t]]
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            total[:n] += np.log10(scale)
-        out[group] = total
+    s = Sequences(lengths, symbols)
+    total, before = np.zeros(len(lengths)), None
+    for begin in range(0, s.width, BLOCK):
+        end = min(begin + BLOCK, s.width)
+        _, alpha, scale = s.forward(model, begin, end, before)
+        logs, base = np.log10(scale), s.offset[begin]
+        for t in range(begin, end):
+            total[: s.live[t]] += logs[s.offset[t] - base : s.offset[t + 1] - base]
+        before = alpha[s.offset[end - 1] - base :].copy()
+    out = np.empty(len(lengths))
+    out[s.order] = total
     return out
 
 
-def expected(docs: list[np.ndarray], model: Model, symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of first states, steps and emissions, by the forward and backward recursions over runs."""
-    k = len(model.first)
-    first, steps, emits = np.zeros(k), np.zeros((k, k)), np.zeros((symbols, k))
-    runs = [(d[a : a + RUN], a == 0) for d in docs for a in range(0, len(d), RUN)]
-    runs.sort(key=lambda r: -len(r[0]))
-    for lot in range(0, len(runs), 1024):
-        part = runs[lot : lot + 1024]
-        lengths = np.array([len(r) for r, _ in part])
-        width, n = lengths[0], len(part)
-        ids = np.zeros((width, n), np.int64)
-        for j, (r, _) in enumerate(part):
-            ids[: len(r), j] = r
-        live = np.searchsorted(-lengths, -np.arange(width), side="left")
-        heads = np.array([x for _, x in part])
-        alpha, scale, seen = np.zeros((width, n, k)), np.ones((width, n)), model.emits[ids]
-        for t in range(width):
-            m = live[t]
-            prior = alpha[t - 1, :m] @ model.steps if t else np.where(heads[:, None], model.first, model.share)
-            now = prior * seen[t, :m]
-            scale[t, :m] = now.sum(axis=1)
-            alpha[t, :m] = now / scale[t, :m, None]
-        beta = np.ones((n, k))
-        for t in range(width - 1, -1, -1):
-            m = live[t]
-            gamma = alpha[t, :m] * beta[:m]
-            alpha[t, :m] = gamma
+def expected(lengths: np.ndarray, symbols: np.ndarray, model: Model, other: np.ndarray | None = None, others: int = 0) -> tuple[np.ndarray, ...]:
+    """Expected counts of first states, steps and emissions of whole sequences, the sum of their log10 probabilities, and expected counts of ``others`` words (``other``: number of each token's, or -1).
+
+    The forward recursion keeps its variables at the edges of blocks; the backward recursion goes
+    from block to block and has the forward variables of each computed again, but for the last.
+    """
+    k, (n, s) = len(model.first), (len(model.emits), Sequences(lengths, symbols))
+    steps, emits, rest, logs = np.zeros((k, k)), np.zeros((n, k)), np.zeros((others, k)), 0.0
+    first, edges, before, found = np.zeros(k), [], None, None
+    begins = range(0, s.width, BLOCK)
+    for begin in begins:
+        edges.append(before)
+        found = s.forward(model, begin, min(begin + BLOCK, s.width), before)
+        logs += float(np.log10(found[2]).sum())
+        before = found[1][s.offset[min(begin + BLOCK, s.width) - 1] - s.offset[begin] :].copy()
+    marked = None if other is None else s.by_time(other)
+    beta = np.ones((len(lengths), k))
+    for begin, edge in zip(reversed(begins), reversed(edges), strict=True):
+        end, base = min(begin + BLOCK, s.width), s.offset[begin]
+        seen, alpha, scale = found or s.forward(model, begin, end, edge)
+        found = None
+        seen /= scale[:, None]
+        for t in range(end - 1, begin - 1, -1):
+            a, z = s.offset[t] - base, s.offset[t + 1] - base
+            m = z - a
+            back = seen[a:z] * beta[:m]
+            alpha[a:z] *= beta[:m]
             if t:
-                back = seen[t, :m] * beta[:m] / scale[t, :m, None]
-                before = alpha[t - 1, :m]
-                steps += before.T @ back
+                prior = alpha[s.offset[t - 1] - base :][:m] if t > begin else edge[:m]
+                steps += prior.T @ back
                 beta[:m] = back @ model.steps.T
-        first += alpha[0][heads].sum(axis=0)
-        mask = np.arange(width)[:, None] < lengths
-        chosen, weights = ids[mask], alpha[mask]
-        for s in range(k):
-            emits[:, s] += np.bincount(chosen, weights[:, s], minlength=symbols)
-    return first, steps * model.steps, emits
+        if not begin:
+            first += alpha[: s.live[0]].sum(axis=0) if s.width else 0
+        ids = s.symbols[base : s.offset[end]]
+        for j in range(k):
+            emits[:, j] += np.bincount(ids, alpha[:, j], minlength=n)
+        if marked is not None:
+            now = marked[base : s.offset[end]]
+            mine = now >= 0
+            for j in range(k):
+                rest[:, j] += np.bincount(now[mine], alpha[mine, j], minlength=others)
+    return first, steps * model.steps, emits, np.array(logs), rest
+
+
+def _chain(first: np.ndarray, steps: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First states and steps from their expected counts; every one is possible."""
+    steps = steps + 0.1 + 1e-3 * steps.sum(axis=1, keepdims=True) / len(first)
+    share = (mass + 1) / (mass + 1).sum()
+    return (first + share) / (first + share).sum(), steps / steps.sum(axis=1, keepdims=True)
 
 
-def normed(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, tail_mass: np.ndarray, known: Vocabulary) -> Model:
-    """The model of the expected counts; every state can emit every symbol."""
-    k = len(first)
+def tied(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, known: Vocabulary) -> Model:
+    """The model of the expected counts in which all words that aren't held have the same emission in each state."""
+    emits = emits.copy()
+    emits[0] = 0
+    mass, prior = emits.sum(axis=0), known.counts + 1
+    smooth = SMOOTHING * np.maximum(mass, 1)
+    own = (emits + np.outer(prior / prior[1:].sum(), smooth)) / (mass + smooth)
+    own[0] = 1  # whatever is the same in all states cancels
+    return Model(*_chain(first, steps, mass), own)
+
+
+def untied(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, rare: np.ndarray, tail_mass: np.ndarray, known: Vocabulary) -> Model:
+    """The model of the expected counts with emissions for every symbol; ``rare``: of the words seen once, together."""
+    emits = emits.copy()
+    emits[0] = rare
     every = (known.counts + 1).sum() + known.tail_tokens + known.tail_types
     mass = emits.sum(axis=0) + tail_mass
     smooth = SMOOTHING * np.maximum(mass, 1)
     tail = np.stack([1 / (mass + smooth), smooth / (mass + smooth) / every])
     own = emits * tail[0] + (known.counts[:, None] + 1) * tail[1]
-    steps = steps + 0.1 + 1e-3 * steps.sum(axis=1, keepdims=True) / k
-    share = (mass + 1) / (mass + 1).sum()
-    return Model((first + share) / (first + share).sum(), steps / steps.sum(axis=1, keepdims=True), own, share, tail)
-
-
-def _summed(rows: DataFrame, work, states: int) -> np.ndarray:
-    """Vectors of ``states`` numbers by key, summed over all tasks: (keys x states)."""
-    columns = ", ".join(f"s{k} double" for k in range(states))
-    got = by_batch(rows, work, f"key long, {columns}").groupBy("key").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)]).toPandas()
-    out = np.zeros((int(got["key"].max()) + 1 if len(got) else 0, states))
-    if len(got):
-        out[got["key"].to_numpy(np.int64)] = got[[f"s{k}" for k in range(states)]].to_numpy()
-    return out
-
-
-def _keyed(a: np.ndarray) -> pa.RecordBatch:
-    at = np.flatnonzero(a.any(axis=1))
-    return pa.record_batch([pa.array(at), *(pa.array(a[at, k]) for k in range(a.shape[1]))], names=["key", *(f"s{k}" for k in range(a.shape[1]))])
+    return Model(*_chain(first, steps, mass), own, tail)
 
 
-def _packed(keys: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
-    """Keys with their vectors as bytes."""
-    offsets = np.arange(len(a) + 1, dtype=np.int32) * (a.shape[1] * a.itemsize)
-    values = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(a))])
-    return pa.record_batch([pa.array(keys, pa.int64()), values], names=["key", "e"])
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
+    """Lengths, symbols, other words and their places of each lot in (lengths, symbols, words, places)."""
+    for b in batches:
+        for k in range(b.num_rows):
+            lengths, symbols, words, places = (b.column(j)[k].as_py() for j in range(4))
+            yield np.array(lengths, np.int64), np.frombuffer(symbols, np.uint16).astype(np.int64), words, np.frombuffer(places, np.uint32).astype(np.int64)
 
 
-def _vectors(values: pa.Array, kind: type, states: int) -> np.ndarray:
-    return np.frombuffer(b"".join(values.to_pylist()), kind).reshape(-1, states)
+def _units(a: np.ndarray) -> list[pa.Array]:
+    """A column of whole multiples of 1 / UNIT for each state."""
+    return [pa.array(x) for x in np.rint(a.T * UNIT).astype(np.int64)]
 
 
-def _added(keys: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys and the sums of their vectors."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[starts], np.add.reduceat(a[order], starts, axis=0) if len(keys) else a
+def _columns(states: int) -> list[str]:
+    return [f"s{k}" for k in range(states)]
 
 
-def _sequences(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint16) for x in b.column(0).to_pylist()]
+def _keyed(a: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(a.any(axis=1))
+    return pa.record_batch([pa.array(at), *_units(a[at])], names=["key", *_columns(a.shape[1])])
 
 
-def with_tail(rows: DataFrame, tail: DataFrame, emitted: DataFrame | None) -> DataFrame:
-    """``rows`` with the expected counts of each text's words that aren't held; null before the first round."""
-    own = tail.withColumn("e", F.lit(None).cast("binary")) if emitted is None else tail.join(emitted, "symbol")
-    lists = own.groupBy("id").agg(F.collect_list(F.struct("at", "symbol", "c", "e")).alias("tail"))
-    return rows.join(lists, "id", "left").select("symbols", "places", "tail", "id")
+def _gathered(rows: DataFrame, keys: int, states: int) -> np.ndarray:
+    """Vectors by key, summed over all tasks: (keys x states)."""
+    with settings(rows.sparkSession, ARROW):
+        got = rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in _columns(states)]).toArrow()
+    out = np.zeros((keys, states))
+    if got.num_rows:
+        out[got["key"].to_numpy()] = np.stack([got[c].to_numpy() for c in _columns(states)], axis=1) / UNIT
+    return out
 
 
-def _own_symbols(b: pa.RecordBatch, model: Model) -> tuple[list[np.ndarray], Model, np.ndarray]:
-    """The texts of a batch (symbols, places, tail), a model in which their words that aren't held have ids behind the held ones, and those words."""
-    held, k = model.emits.shape
-    flat = b.column(2).flatten()
-    counts = pc.fill_null(pc.list_value_length(b.column(2)), 0).to_numpy(zero_copy_only=False)
-    at, symbol, c = (flat.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("at", "symbol", "c"))
-    e = np.repeat(c[:, None] / k, k, axis=1) if flat.field("e").null_count else _vectors(flat.field("e"), np.float32, k).astype(float)
-    words, first, inverse = np.unique(symbol, return_index=True, return_inverse=True)
-    docs, begin = [], 0
-    for ids, places, n in zip(_sequences(b), b.column(1).to_pylist(), counts.tolist(), strict=True):
-        ids, places = ids.astype(np.int64), np.frombuffer(places, np.uint32)
-        if n:
-            behind = np.zeros(int(places.max()) + 1, np.int64)
-            behind[at[begin : begin + n]] = held + inverse[begin : begin + n]
-            ids[ids == 0] = behind[places]
-            begin += n
-        docs.append(ids)
-    emits = np.vstack([model.emits, e[first] * model.tail[0] + (c[first, None] + 1) * model.tail[1]]) if len(words) else model.emits
-    return docs, Model(model.first, model.steps, emits, model.share), words
+def _schema(states: int, key: str = "key long") -> str:
+    return key + "".join(f", {c} long" for c in _columns(states))
 
 
 def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
-    """A first model: the most frequent words, clustered by the frequent words next to them, seed the states.
-
-    Id 0 isn't used, so that the seeds are the same whatever is held beyond ``SEEDED`` words.
-    """
+    """A first model: the most frequent words, clustered by the frequent words next to them, seed the states."""
     size, near = min(SEEDED, len(known.counts)), min(NEIGHBOURS, len(known.counts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((size, 2 * near))
-        for b in rows_of(batches):
-            for d in _sequences(b):
-                a, z = d[:-1].astype(np.int64), d[1:].astype(np.int64)
-                for word, other, shift in ((a, z, near), (z, a, 0)):
-                    ok = (word > 0) & (other > 0) & (word < size) & (other < near)
-                    found += np.bincount(word[ok] * 2 * near + other[ok] + shift, minlength=found.size).reshape(found.shape) if ok.any() else 0
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                d = np.frombuffer(x, np.uint16).astype(np.int64)
+                a, z = d[:-1], d[1:]
+                for word, next_, shift in ((a, z, near), (z, a, 0)):
+                    ok = (a != 1) & (word > 0) & (next_ > 0) & (word < size) & (next_ < near)  # a text ends behind 1
+                    found += np.bincount(word[ok] * 2 * near + next_[ok] + shift, minlength=found.size).reshape(found.shape)
         yield _keyed(found)
 
-    around = np.zeros((size, 2 * near))
-    got = _summed(rows, work, 2 * near)
-    around[: len(got)] = got
+    around = _gathered(by_batch(rows.select("symbols"), work, _schema(2 * near)), size, 2 * near)
     profile = np.sqrt(around)
     profile /= np.maximum(np.linalg.norm(profile, axis=1, keepdims=True), 1e-9)
     weight = known.counts[:size].copy()
@@ -332,10 +358,9 @@ def seeded(rows: DataFrame, known: Vocabulary, states: int) -> Model:
     split = np.full((len(known.counts), states), 1.0 / states)
     split[:size] = 0.1 / states
     split[np.arange(size), nearest] += 0.9
-    split[0] = 1.0 / states
-    emits, tail = known.counts[:, None] * split, np.full(states, known.tail_tokens / states)
-    mass = emits.sum(axis=0) + tail
-    return normed(mass, np.outer(mass, mass) / max(mass.sum(), 1), emits, tail, known)
+    emits = known.counts[:, None] * split
+    mass = emits[1:].sum(axis=0)
+    return tied(mass, np.outer(mass, mass) / max(mass.sum(), 1), emits, known)
 
 
 def _tidy(spark: SparkSession) -> None:
@@ -344,98 +369,137 @@ def _tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def train(rows: DataFrame, tail: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, DataFrame | None]:
-    """Baum-Welch over the sequences of ``rows``: the model and the expected counts (symbol, e) of the words that aren't held."""
-    model, symbols, spark = seeded(rows.select("symbols"), known, states), len(known.counts), rows.sparkSession
-    emitted, own = None, symbols + states + 2  # keys behind the model's are words that aren't held
-    for _ in range(rounds):
-        now = spark.sparkContext.broadcast(model)
-
-        def work(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((own, states))
-            for b in rows_of(batches, 1 << 20):
-                docs, local, words = _own_symbols(b, now.value)
-                first, steps, emits = expected(docs, local, symbols + len(words))
-                sums[:symbols] += emits[:symbols]
-                sums[symbols : symbols + states] += steps
-                sums[-2] += first
-                sums[-1] += emits[symbols:].sum(axis=0)
-                if len(words):
-                    yield _packed(words + own, emits[symbols:].astype(np.float32))
-            at = np.flatnonzero(sums.any(axis=1))
-            yield _packed(at, sums[at])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts: dict[bool, list] = {True: [], False: []}
-            for b in batches:
-                keys = b.column(0).to_numpy()
-                for behind, mask in ((True, keys >= own), (False, keys < own)):
-                    if mask.any():
-                        parts[behind].append((keys[mask], _vectors(b.column(1).filter(pa.array(mask)), np.float32 if behind else np.float64, states)))
-            for behind, got in parts.items():
-                if got:
-                    keys, sums = _added(np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got]))
-                    yield _packed(keys, sums)
-
-        kinds = "key long, e binary"
-        summed = staged(by_batch(by_batch(with_tail(rows, tail, emitted), work, kinds).repartition("key"), add, kinds), "expected")
-        got = np.zeros((own, states))
-        for r in summed.where(F.col("key") < own).toLocalIterator():
-            got[r.key] = np.frombuffer(r.e)
-        model = normed(got[-2], got[symbols : symbols + states], got[:symbols], got[-1], known)
-        emitted = summed.where(F.col("key") >= own).select((F.col("key") - own).alias("symbol"), "e")
-        now.unpersist()
-        _tidy(spark)
-    return model, emitted
-
+def _counted(rows: DataFrame, model: Model, last: bool) -> DataFrame:
+    """Expected counts of each task by key: symbols, then steps, first states, and log10 probability; with ``last`` of other words (``word``, tokens ``n``) instead of a key."""
+    k, symbols = len(model.first), len(model.emits)
+    now = rows.sparkSession.sparkContext.broadcast(model)
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((symbols + k + 2, k))
+        for lengths, ids, words, places in _lots(batches):
+            other = np.full(len(ids), -1, np.int64)
+            other[ids == 0] = places
+            first, steps, emits, logs, rest = expected(lengths, ids, now.value, other if last else None, len(words) if last else 0)
+            sums[:symbols] += emits
+            sums[symbols : symbols + k] += steps
+            sums[-2] += first
+            sums[-1, 0] += logs
+            if last and words:
+                times = np.bincount(places, minlength=len(words))
+                yield pa.record_batch([pa.nulls(len(words), pa.int64()), *_units(rest), pa.array(words, pa.string()), pa.array(times)], names=["key", *_columns(k), "word", "n"])
+        if last:
+            b = _keyed(sums)
+            yield pa.record_batch([*b.columns, pa.nulls(b.num_rows, pa.string()), pa.nulls(b.num_rows, pa.int64())], names=[*b.schema.names, "word", "n"])
+        else:
+            yield _keyed(sums)
+
+    return by_batch(rows.select("lengths", "symbols", "words", "places"), work, _schema(k) + ", word string, n long" * last)
+
+
+def _shares(states: int) -> list[Column]:
+    """Expected counts as shares of 16 bits, four to a 64-bit number."""
+    total = F.greatest(sum((F.col(c) for c in _columns(states)), F.lit(0)), F.lit(1))
+    share = [F.round(F.col(c) * 65535 / total).cast("long") for c in _columns(states)]
+    return [sum((F.shiftleft(x, 16 * j) for j, x in enumerate(share[a : a + 4])), F.lit(0).cast("long")).alias(f"e{a // 4}") for a in range(0, states, 4)]
+
+
+def _unpacked(numbers: np.ndarray, states: int) -> np.ndarray:
+    """Shares of the states, which add up to 1 in each row, from numbers (n x states / 4)."""
+    found = np.ascontiguousarray(numbers).astype("<i8").view("<u2").reshape(len(numbers), -1)[:, :states].astype(float)
+    return found / np.maximum(found.sum(axis=1, keepdims=True), 1)
+
+
+def train(rows: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS, gain: float = GAIN) -> tuple[Model, DataFrame]:
+    """Baum-Welch over the training lots ``rows``: the model, and (word, c, e0, ...) of the words that aren't held."""
+    model, symbols, spark, before = seeded(rows, known, states), len(known.counts), rows.sparkSession, None
+    for _ in range(rounds - 1):
+        got = _gathered(_counted(rows, model, False), symbols + states + 2, states)
+        _tidy(spark)
+        logs = got[-1, 0] / max(known.tokens, 1)
+        if before is not None and logs - before < gain:
+            break
+        before = logs
+        model = tied(got[-2], got[symbols:-2], got[:symbols], known)
+    sums = [F.sum(c).alias(c) for c in _columns(states)]
+    last = staged(_counted(rows, model, True).groupBy("key", "word").agg(F.sum("n").alias("n"), *sums), "expected")
+    _tidy(spark)
+    got = _gathered(last.where("key is not null"), symbols + states + 2, states)
+    words = last.where("word is not null")
+    emitted = staged(words.select("word", F.col("n").alias("c"), *[F.when(F.col("n") > 1, x).alias(f"e{j}") for j, x in enumerate(_shares(states))]), "emissions")
+    once = words.where("n = 1").agg(*sums).first()
+    rare = np.array([x or 0 for x in once], float) / UNIT
+    packed = [F.col(f"e{j}") for j in range(-(-states // 4))]
+    part = lambda k: F.shiftrightunsigned(packed[k // 4], 16 * (k % 4)).bitwiseAND(F.lit(65535)).cast("double")
+    total = F.greatest(sum((part(k) for k in range(states)), F.lit(0.0)), F.lit(1.0))
+    mass = emitted.where("c > 1").agg(*[F.sum(F.col("c") * part(k) / total) for k in range(states)]).first()
+    return untied(got[-2], got[symbols:-2], got[:symbols], rare, np.array([x or 0 for x in mass], float), known), emitted
+
+
+@operator
 def scored(
     docs: DataFrame, id: str = "doc_id", text: str = "text", train_on: Column | None = None, *,
-    states: int = STATES, held: int = HELD, rounds: int = ROUNDS,
+    states: int = STATES, held: int = HELD, rounds: int = ROUNDS, gain: float = GAIN,
 ) -> DataFrame:
-    """(id, train, n_tokens, n_known, train_tokens, base_score, score) of every document; ids are unique.
+    """(id, train, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end; null text is empty.
-    The model learns from the documents for which ``train_on`` holds (all, if None). Every word seen
-    twice or more in them is a symbol; the emissions of ``held`` words are with every task.
+    The model learns from the whole texts for which ``train_on`` holds (all, if None), in ``rounds``
+    of Baum-Welch at most, which end when a token's mean log10 probability gains less than ``gain``.
+    Every word seen twice or more is a symbol. The ``held`` most frequent are re-estimated in each
+    round, the others in the last; their expected counts are shares of 16 bits. States start from
+    clusters of the ``SEEDED`` most frequent words by their ``NEIGHBOURS`` most frequent neighbours.
     ``base_score`` is the sum of log10((c + 1) / (N + V + 1)), with a token's count c, the number
     of tokens N and of different ones V in training; ``score`` is the hidden Markov model's log10
-    probability of the text. Without training texts both still are finite. Other columns are
-    ignored. An empty table gives an empty one.
+    probability of the text. Without training texts both still are finite. A repeated row counts
+    and is scored again. Other columns are ignored. An empty table gives an empty one.
     """
-    own = docs.withColumn("train", F.coalesce(train_on, F.lit(False)) if train_on is not None else F.lit(True)).select(id, text, "train")
-    counts = staged(word_counts(own.where("train"), text).withColumn("symbol", F.monotonically_increasing_id()), "word-counts")
+    trains = F.coalesce(train_on, F.lit(False)) if train_on is not None else F.lit(True)
+    own = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), trains.alias("train"))
+    counts = staged(word_counts(own.where("train"), "text"), "word-counts")
     known = vocabulary(counts, held)
-    rows = staged(encoded(own, id, text, known), "symbols")
-    others = rows.select("id", "train", F.posexplode(F.arrays_zip("rare", "times")).alias("at", "x")).select("id", "train", "at", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    numbered = counts.where(F.col("word") != END).select("word", "c", F.when(in_tail(known.last), F.col("symbol")).alias("symbol"))
-    met = staged(others.join(numbered, "word", "left").select("id", "train", "at", "times", F.coalesce("c", F.lit(0)).alias("c"), "symbol"), "other-words")
+    rows = staged(encoded(own, "id", "text", known), "lots")
+    _tidy(docs.sparkSession)
+    model, emitted = train(rows.where("train"), known, states, rounds, gain)
     _tidy(docs.sparkSession)
-    tail = met.where("symbol is not null").select("id", "at", "symbol", "c", "train")
-    model, emitted = train(rows.where("train"), tail.where("train").drop("train"), known, states, rounds)
-
-    log, once = F.log10(F.col("c") + 1), F.col("symbol").isNull()
-    rare = met.groupBy("id").agg(
-        F.sum(F.col("times") * log).alias("others"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_met"),
-        F.sum(F.when(once, F.col("times") * log)).alias("rare"), F.sum(F.when(once, F.col("times"))).alias("n_rare"),
-    )
-    rare = staged(rare, "rare-words")
 
-    now = docs.sparkSession.sparkContext.broadcast(model)
+    parts = [f"e{j}" for j in range(-(-states // 4))]
+    others = rows.select("lot", F.posexplode("words").alias("at", "word")).join(emitted, "word").select("lot", F.struct("at", "c", *parts).alias("x"))
+    met = others.groupBy("lot").agg(F.collect_list("x").alias("met"))
+    now = docs.sparkSession.sparkContext.broadcast((model, known.counts))
+    inside = float(np.log10(known.rare_tokens + known.rare_types + 1))
+    kind = docs.schema[id].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches):
-            texts, local, _ = _own_symbols(b, now.value)
-            yield pa.record_batch([b.column(3), pa.array(forward(texts, local))], names=["id", "forward"])
-
-    kind = docs.schema[id].dataType.simpleString()
-    probability = by_batch(with_tail(rows, tail.drop("train"), emitted), work, f"id {kind}, forward double")
-    all_ = rows.select("id", "train", "n_tokens", "n_frequent", "frequent").join(probability, "id").join(rare, "id", "left")
-    num = lambda c: F.coalesce(c, F.lit(0))
-    inside = float(np.log10(known.rare_tokens + known.rare_types + 1))
-    return all_.select(
-        F.col("id").alias(id), "train", "n_tokens", (F.col("n_frequent") + num("n_met")).cast("long").alias("n_known"),
-        F.lit(known.tokens).cast("long").alias("train_tokens"),
-        (F.col("frequent") + num("others") - F.col("n_tokens") * known.base_scale).alias("base_score"),
-        (F.col("forward") + num("rare") - num("n_rare") * inside).alias("score"),
-    )
+        model, counts = now.value
+        logs = np.log10(counts + 1)
+        for b in batches:
+            for k, (lengths, ids, words, places) in enumerate(_lots([b.select(["lengths", "symbols", "words", "places"])])):
+                c, shares = np.zeros(len(words), np.int64), np.zeros((len(words), states))
+                if (got := b.column("met")[k].values) is not None and len(got):
+                    at = got.field("at").to_numpy(zero_copy_only=False)
+                    c[at] = got.field("c").to_numpy(zero_copy_only=False)
+                    shares[at] = _unpacked(np.stack([got.field(x).fill_null(0).to_numpy(zero_copy_only=False) for x in parts], axis=1), states)
+                common = np.flatnonzero(c > 1)
+                number = np.zeros(len(words), np.int64)
+                number[common] = len(model.emits) + np.arange(len(common))
+                emits = model.emits
+                if len(common):
+                    emits = np.vstack([emits, c[common, None] * (shares[common] * model.tail[0]) + (c[common, None] + 1) * model.tail[1]])
+                other = ids == 0
+                token_c = np.where(other, 0, counts[ids])
+                token_log = np.where(other, 0, logs[ids])
+                token_c[other] = c[places]
+                token_log[other] = np.log10(c[places] + 1)
+                within = np.zeros(len(ids))
+                within[other] = np.where(c[places] > 1, 0, token_log[other] - inside)
+                ids = ids.copy()
+                ids[other] = number[places]
+                starts = np.cumsum(lengths) - lengths
+                score = forward(lengths, ids, Model(model.first, model.steps, emits)) + np.add.reduceat(within, starts)
+                n_known = np.add.reduceat((token_c > 0).astype(np.int64), starts)
+                base = np.add.reduceat(token_log, starts) - lengths * known.base_scale
+                arrays = [b.column("ids")[k].values, pa.array([b.column("train")[k].as_py()] * len(lengths)), pa.array(lengths), pa.array(n_known), pa.array(base), pa.array(score)]
+                yield pa.record_batch(arrays, names=["id", "train", "n_tokens", "n_known", "base_score", "score"])
+
+    found = by_batch(rows.join(met, "lot", "left"), work, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    return found.select(F.col("id").alias(id), "train", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,9 +6,9 @@ language is the sum over its texts, and a text gets the language whose prototype
 cosine with its vector.
 
 Products with a sum are sums of products: the dot product of a text with a prototype is the sum,
-over its n-grams, of the n-gram vector's dot product with the prototype. Those are computed once
-per n-gram; the text's own length is the same for all languages and cancels in their order and in
-the score.
+over its n-grams, of the n-gram vector's dot product with the prototype. A worker computes those
+once per n-gram that occurs. A text's norm is taken from its n-gram counts, around which the norm
+of the hypervector scatters by the random products.
 """
 
 from __future__ import annotations
@@ -21,172 +21,199 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, rows_of, strings
+from .common import ARROW, by_batch, operator, rows_of, settings, strings
+from .shingles import mix
 
-#: Letter classes: the gap between words, a-z, and the other letters dealt over the rest.
-CLASSES = 64
 NGRAM = 3
 DIMENSIONS = 2048
 SEED = 20240229
-#: Languages a model may have; their counts are gathered by the driver.
-MAX_LANGUAGES = 1000
 UNKNOWN = "und"
+#: Bits of a code point in an n-gram's number.
+_BITS = 21
+#: N-grams whose products with the prototypes a worker keeps; when there are more it starts again.
+_KEPT = 1 << 18
+_BLOCK = 512
 
 
 @functools.lru_cache(maxsize=1)
-def letter_classes() -> np.ndarray:
-    """The class of each code point; 0: no letter."""
-    out = np.zeros(0x110000, np.uint8)
+def letters() -> np.ndarray:
+    """The lower-case letter of each code point as a code point; 0: no letter."""
+    out = np.zeros(0x110000, np.int64)
     for c in range(0x110000):
         x = chr(c)
         if x.isalpha():
-            k = ord(x.lower()[0])
-            out[c] = k - 96 if 97 <= k <= 122 else 27 + (k * 2654435761 >> 7) % (CLASSES - 27)
+            out[c] = ord(x.lower()[0])
     return out
 
 
-@functools.lru_cache(maxsize=4)
-def letter_vectors(dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
-    """A random vector of +1 and -1 for each class."""
-    return (np.random.default_rng(seed).integers(0, 2, (CLASSES, dimensions)) * 2 - 1).astype(np.float32)
+def letter_vectors(points: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
+    """A random vector of +1 and -1 for each code point, from a hash of the seed and the point; 0 stands for the gap between words."""
+    own = mix(points.astype(np.uint64) + np.uint64(seed << 21))
+    words = mix(own[:, None] + np.arange(-(-dimensions // 64), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    bits = np.unpackbits(words.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    return (bits[:, :dimensions].astype(np.int8) << 1) - np.int8(1)
 
 
-def ngram_vectors(first: int, second: int, vectors: np.ndarray) -> np.ndarray:
-    """The vectors of all n-grams that start with two given classes."""
-    return vectors[first] * np.roll(vectors[second], 1) * np.roll(vectors, 2, axis=1)
+def ngram_vectors(codes: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
+    """The vectors of n-grams: the product of their letters' vectors, each rotated by its place."""
+    parts = np.stack([codes >> (_BITS * (NGRAM - 1 - k)) & ((1 << _BITS) - 1) for k in range(NGRAM)])
+    points, at = np.unique(parts, return_inverse=True)
+    at = at.reshape(parts.shape)
+    own = letter_vectors(points, dimensions, seed)
+    out = own[at[0]]
+    for k in range(1, NGRAM):
+        out *= np.roll(own, k, axis=1)[at[k]]
+    return out
+
+
+def bundled(codes: np.ndarray, counts: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
+    """The sum of the n-grams' vectors, each as often as counted; whole numbers."""
+    out = np.zeros(dimensions)
+    for a in range(0, len(codes), _BLOCK):
+        out += counts[a : a + _BLOCK].astype(float) @ ngram_vectors(codes[a : a + _BLOCK], dimensions, seed)
+    return out
 
 
 def encode(text: str, dimensions: int = DIMENSIONS, seed: int = SEED) -> np.ndarray:
     """The hypervector of a text."""
-    codes, _ = ngrams([text])
-    v, out = letter_vectors(dimensions, seed), np.zeros(dimensions, np.float32)
-    for code, n in zip(*np.unique(codes, return_counts=True), strict=True):
-        out += n * ngram_vectors(code >> 12, code >> 6 & 63, v)[code & 63]
-    return out
+    return bundled(*np.unique(ngrams([text])[0], return_counts=True), dimensions, seed)
 
 
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the n-grams of all texts and the number of them per text. Runs without letters count as one gap."""
     points = np.frombuffer("".join(f"\x00{x.replace(chr(0), ' ')} " for x in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     head = points == 0
-    kinds = letter_classes()[points]
+    kinds = letters()[points]
     keep = head | (kinds > 0)
     keep[1:] |= kinds[:-1] > 0
-    kinds, owner = kinds[keep].astype(np.int32), np.cumsum(head[keep], dtype=np.int32) - 1
+    kinds, owner = kinds[keep], np.cumsum(head[keep], dtype=np.int64) - 1
     if len(kinds) < NGRAM:
-        return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    codes = kinds[:-2] << 12 | kinds[1:-1] << 6 | kinds[2:]
+        return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+    codes = kinds[:-2] << 2 * _BITS | kinds[1:-1] << _BITS | kinds[2:]
     whole = (owner[:-2] == owner[2:]) & (codes > 0)
     return codes[whole], np.bincount(owner[:-2][whole], minlength=len(texts))
 
 
 class Profiles:
-    """Prototypes of languages. ``table`` has each n-gram's dot product with each normed prototype."""
-
-    def __init__(self, languages: list[str], counts: np.ndarray, dimensions: int = DIMENSIONS, seed: int = SEED):
-        self.languages, v = languages, letter_vectors(dimensions, seed)
-        by = counts.reshape(len(languages), CLASSES, CLASSES, CLASSES).astype(np.float32)
-        prototypes = np.zeros((len(languages), dimensions), np.float32)
-        pairs = [(a, b) for a in range(CLASSES) for b in range(CLASSES)]
-        third = np.roll(v, 2, axis=1)
-        for a, b in pairs:
-            if by[:, a, b].any():
-                prototypes += v[a] * np.roll(v[b], 1) * (by[:, a, b] @ third)
-        length = np.linalg.norm(prototypes, axis=1, keepdims=True)
-        self.prototypes = prototypes / np.where(length == 0, 1, length)
-        flat = counts.reshape(len(languages), CLASSES**NGRAM).astype(float)
-        self.peak = (flat**2).sum(axis=1) / np.maximum(flat.sum(axis=1), 1) ** 2  # chance that two n-grams of a language are the same
-        self.table = np.empty((CLASSES**NGRAM, len(languages)), np.float32)
-        for a, b in pairs:
-            at = a * CLASSES * CLASSES + b * CLASSES
-            self.table[at : at + CLASSES] = third @ (self.prototypes * (v[a] * np.roll(v[b], 1))).T
+    """Prototypes of languages: the normed sums of all their n-grams' vectors."""
+
+    def __init__(self, languages: list[str], sums: np.ndarray, totals: np.ndarray, seed: int = SEED):
+        self.languages, self.seed, self.dimensions = languages, seed, sums.shape[1]
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        self.prototypes = sums / np.where(length == 0, 1, length)
+        # the chance that two n-grams of a language are the same: a sum's squared norm is about the sum of squared counts times the dimensions
+        self.peak = length[:, 0] ** 2 / self.dimensions / np.maximum(totals, 1.0) ** 2
+        self._keys, self._products = np.empty(0, np.int64), np.empty((0, len(languages)))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_keys": self._keys[:0], "_products": self._products[:0]}
+
+    def products(self, codes: np.ndarray) -> np.ndarray:
+        """Dot products of distinct n-grams' vectors with the prototypes."""
+        if len(self._keys) + len(codes) > _KEPT:
+            self._keys, self._products = self._keys[:0], self._products[:0]
+        new = np.setdiff1d(codes, self._keys)
+        if len(new):
+            made = [ngram_vectors(new[a : a + _BLOCK], self.dimensions, self.seed) @ self.prototypes.T for a in range(0, len(new), _BLOCK)]
+            keys = np.concatenate([self._keys, new])
+            order = np.argsort(keys, kind="stable")
+            self._keys, self._products = keys[order], np.concatenate([self._products, *made])[order]
+        return self._products[np.searchsorted(self._keys, codes)]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """The language of each text and a score: its share of the positive cosines with all prototypes."""
-        return self.judge(texts)[:2]
+        """The language of each text and a score: half of one more than the cosine with its prototype."""
+        return self.fit(texts)[:2]
 
     def fit(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """What ``predict`` gives, the number of n-grams, and how well each text fits its language.
 
         The fit is the cosine with the language's prototype over what a text of so many n-grams
         drawn from the language would have, so that texts of any length compare; about 1 in the
-        language. A text's norm is that of its n-gram counts, around which the norm of the
-        hypervector scatters by the random products.
+        language.
         """
-        langs, score, best, dot, codes, counts = self.judge(texts)
+        codes, counts = ngrams(texts)
+        known = (counts > 0) & (len(self.languages) > 0)
+        if not known.any():
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), counts, np.zeros(len(texts))
+        found = pa.array(codes).dictionary_encode()
+        distinct = found.dictionary.to_numpy()
         owner = np.repeat(np.arange(len(texts), dtype=np.int64), counts)
-        each, times = np.unique(owner << 18 | codes, return_counts=True)
-        squares = np.bincount(each >> 18, times.astype(float) ** 2, minlength=len(texts))
-        dimensions = self.prototypes.shape[1]
-        cosine = dot / np.sqrt(np.maximum(squares, 1) * dimensions)
-        mean = counts * (self.peak[best] if self.languages else 0.0)
+        pairs, times = np.unique(owner * len(distinct) + found.indices.to_numpy(), return_counts=True)
+        owner, at = np.divmod(pairs, len(distinct))
+        products = self.products(distinct)
+        dots = np.stack([np.bincount(owner, times * products[at, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1)
+        best = dots.argmax(axis=1)
+        squares = np.bincount(owner, times.astype(float) ** 2, minlength=len(texts))
+        cosine = dots[np.arange(len(texts)), best] / np.sqrt(np.maximum(squares, 1) * self.dimensions)
+        score = np.where(known, np.clip((1 + cosine) / 2, 0, 1), 0.0)
+        mean = counts * self.peak[best]
         expected = np.sqrt(mean / (1 + mean))
-        return langs, score, counts, np.where(expected > 0, cosine / np.where(expected > 0, expected, 1), 0.0)
-
-    def judge(self, texts: list[str]) -> tuple:
-        """Languages and scores; then numbers of the languages, greatest dot products, n-grams and how many each text has."""
-        codes, counts = ngrams(texts)
-        dots = np.zeros((len(texts), len(self.languages)))
-        some = np.flatnonzero(counts)
-        if len(some) and self.languages:
-            starts = (np.cumsum(counts) - counts)[some]
-            for k in range(len(self.languages)):
-                dots[some, k] = np.add.reduceat(self.table[codes, k].astype(np.float64), starts)
-        dots = np.maximum(dots, 0)
-        total, best = dots.sum(axis=1), dots.argmax(axis=1) if self.languages else np.zeros(len(texts), int)
-        known = (total > 0) & (counts > 0)
-        score = np.where(known, dots.max(axis=1, initial=0) / np.where(known, total, 1), 0.0)
         langs = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
-        return langs, score, best, dots.max(axis=1, initial=0), codes, counts
+        return langs, score, counts, np.where(known & (expected > 0), cosine / np.where(expected > 0, expected, 1), 0.0)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None) -> Profiles:
-    """Profiles from all documents with text and a language for which ``train`` holds.
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None, *, dimensions: int = DIMENSIONS, seed: int = SEED) -> Profiles:
+    """Profiles from all rows with text and a language for which ``train`` holds; a repeated row counts again.
 
-    Each task counts the n-grams of its rows by language; Spark sums the counts. What reaches the
-    driver is bounded by ``MAX_LANGUAGES`` and the number of n-grams.
+    Each task bundles its rows by language, and Spark sums the vectors: what reaches the driver
+    are ``dimensions`` numbers a language. Other columns are ignored. An empty table, or one
+    without languages or letters, teaches none.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
+        found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def added(name: str) -> tuple[np.ndarray, np.ndarray]:
+            codes = np.concatenate([x for x, _ in found[name]])
+            keys, inverse = np.unique(codes, return_inverse=True)
+            return keys, np.bincount(inverse, np.concatenate([n for _, n in found[name]]), minlength=len(keys))
+
+        def bundle(name: str) -> pa.RecordBatch:
+            codes, counts = added(name)
+            found.pop(name)
+            values = np.append(counts.sum(), bundled(codes, counts, dimensions, seed))
+            return pa.record_batch([pa.array([name] * len(values), pa.string()), pa.array(np.arange(-1, dimensions)), pa.array(np.rint(values).astype(np.int64))], names=["lang", "at", "x"])
+
         for b in rows_of(batches):
             codes, counts = ngrams(strings(b.column(0)))
-            langs = b.column(1).to_pylist()
-            names = sorted(set(langs))
-            own = np.repeat(np.array([names.index(x) for x in langs], np.int64), counts)
-            for k, name in enumerate(names):
-                got = np.bincount(codes[own == k], minlength=CLASSES**NGRAM)
-                found[name] = found[name] + got if name in found else got
+            names, which = np.unique(np.array(b.column(1).to_pylist(), object), return_inverse=True)
+            own = np.repeat(which, counts)
+            for k, name in enumerate(names.tolist()):
+                lot = found.setdefault(name, [])
+                lot.append(np.unique(codes[own == k], return_counts=True))
+                if len(lot) > 1 and sum(len(x) for x, _ in lot[1:]) > max(1 << 17, len(lot[0][0])):
+                    found[name] = [added(name)]
+                    if len(found[name][0][0]) > 1 << 20:
+                        yield bundle(name)
             while len(found) > 64:
-                yield rows(found.popitem())
-        for item in found.items():
-            yield rows(item)
-
-    def rows(item: tuple[str, np.ndarray]) -> pa.RecordBatch:
-        at = np.flatnonzero(item[1])
-        return pa.record_batch([pa.array([item[0]] * len(at), pa.string()), pa.array(at), pa.array(item[1][at])], names=["lang", "ngram", "n"])
+                yield bundle(next(iter(found)))
+        for name in list(found):
+            yield bundle(name)
 
     own = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     if train is not None:
         own = own.where(train)
-    counted = by_batch(own.select(F.col(text), F.col(lang).cast("string")), work, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
-    got = counted.toPandas()
-    languages = sorted(got["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; a model has {MAX_LANGUAGES} at most")
-    counts = np.zeros((len(languages), CLASSES**NGRAM))
-    counts[[languages.index(x) for x in got["lang"]], got["ngram"].to_numpy(np.int64)] = got["n"]
-    return Profiles(languages, counts)
+    rows = by_batch(own.select(F.col(text), F.col(lang).cast("string")), work, "lang string, at long, x long")
+    with settings(docs.sparkSession, ARROW):
+        got = rows.groupBy("lang", "at").agg(F.sum("x").alias("x")).toArrow().to_pandas()
+    languages = sorted(got.loc[(got["at"] < 0) & (got["x"] > 0), "lang"].unique())
+    table = np.zeros((len(languages), dimensions + 1))
+    got = got[got["lang"].isin(languages)]
+    table[[languages.index(x) for x in got["lang"]], got["at"].to_numpy(np.int64) + 1] = got["x"]
+    return Profiles(languages, table[:, 1:], table[:, 0], seed)
 
 
+@operator
 def identified(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str = "text", *, fit: bool = False) -> DataFrame:
-    """(id, lang_pred, score) of every document; with ``fit`` also n_ngrams and fit (see ``Profiles.fit``).
+    """(id, lang_pred, score) of every row; with ``fit`` also n_ngrams and fit (see ``Profiles.fit``).
 
-    ``und`` with score 0 where the text is null or has no letter. Ties go to the language that
-    comes first by name. Other columns are ignored.
+    ``score`` is (1 + cosine) / 2, the cosine being that with the best prototype. ``und`` with
+    score 0 where the text is null or has no letter, or no language was learnt. Ties go to the
+    language that comes first by name. A repeated row is judged again. Other columns are ignored.
+    An empty table gives an empty one.
     """
     kind = docs.schema[id].dataType.simpleString()
-    model = docs.sparkSession.sparkContext.broadcast(profiles)  # 64**3 numbers a language
+    model = docs.sparkSession.sparkContext.broadcast(profiles)  # ``dimensions`` numbers a language
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows_of(batches):

@@ -5,6 +5,8 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,46 +18,51 @@ def _line(x: Column) -> Column:
     return F.btrim(x, F.lit(" \t\r"))
 
 
-def _key(x: Column) -> Column:
-    """128 bits of a line, from two hashes of different seeds."""
-    return F.struct(F.xxhash64(x).alias("p"), F.xxhash64(F.lit("line"), x).alias("q"))
+def _keys(text: str) -> Column:
+    """128 bits of each different line of a text, as text, so that Spark compares lists of them by hashing."""
+    return F.array_distinct(F.transform(F.filter(F.transform(F.split(text, "\n"), _line), lambda x: x != ""), lambda x: F.md5(x)))
 
 
-def boilerplate(docs: DataFrame, host: str, text: str, percent: int, min_pages: int) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str, text: str, percent: int, min_pages: int = 1) -> DataFrame:
     """(host, lines) of hosts with boilerplate; null hosts are one host, written as null.
 
     A host has at most (distinct lines of its average page) x 100 / ``percent`` such lines, so the
     list stays small however many pages there are.
     """
-    lines = F.array_distinct(F.transform(F.filter(F.transform(F.split(text, "\n"), _line), lambda x: x != ""), _key))
-    pages = docs.select(F.col(host).alias("host"), lines.alias("lines"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
+    pages = docs.select(F.col(host).alias("host"), _keys(text).alias("lines"))
+    totals = pages.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("total"))
     counts = pages.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("pages"))
-    common = counts.where(F.col("pages") >= min_pages).join(totals, counts["host"].eqNullSafe(totals["host"]))
-    over = common.where(F.col("pages") * 100 > F.col("total") * percent).select(counts["host"], "line")
+    common = counts.where(F.col("pages") >= min_pages).join(totals, F.col("host").eqNullSafe(F.col("of")))
+    over = common.where(F.col("pages") * 100 > F.col("total") * percent).select("host", "line")
     return staged(over.groupBy("host").agg(F.collect_list("line").alias("boilerplate")), "boilerplate")
 
 
 def without_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", *, percent: int = 10, min_pages: int = 5
+    docs: DataFrame, host: str = "source", text: str = "text", *, percent: int = 10, min_pages: int = 1, keep_copies: bool = False
 ) -> DataFrame:
-    """``docs`` with the lines dropped that more than ``percent`` % of its host's pages contain, and on
-    ``min_pages`` pages at least; adds ``n_lines`` and ``n_dropped`` (long).
+    """``docs`` with the lines dropped that more than ``percent`` % of its host's pages contain; adds
+    ``n_lines`` and ``n_dropped`` (long).
 
     Lines are compared without blanks at their ends; a page counts once however often it has a
-    line. Empty lines are kept. A page made of boilerplate alone is a copy rather than a frame
-    around something: it is kept whole, for the operators on copies. Null text stays null with 0
-    lines; null hosts form one host. The columns ``n_lines`` and ``n_dropped`` of the input are
-    replaced, all others pass through. The hosts' lists come back as a written table: Spark
-    broadcasts it if its measured size is below its threshold and else splits hot hosts in a
-    sort-merge join.
+    line, and a row that repeats a page counts as a page. Empty lines are kept. ``min_pages``: a
+    line must also be on so many pages. ``keep_copies``: a page that has lines, all of them
+    boilerplate, is a copy rather than a frame around something, and stays whole, for the operators
+    on copies; else it is left with its empty lines. Null text stays null with 0 lines; null hosts
+    form one host. The columns ``n_lines`` and ``n_dropped`` of the input are replaced, all others
+    pass through, whatever their names. An empty table gives an empty one. The hosts' lists come
+    back as a written table: Spark broadcasts it if its measured size is below its threshold and
+    else splits hot hosts in a sort-merge join.
     """
-    found = boilerplate(docs, host, text, percent, min_pages).withColumnsRenamed({"host": "_host", "boilerplate": "_lines"})
-    joined = docs.join(found, F.col(host).eqNullSafe(F.col("_host")), "left")
+    own = uuid.uuid4().hex
+    owner, bad, kept = (f"{x}_{own}" for x in ("host", "bad", "kept"))
+    found = boilerplate(docs, host, text, percent, min_pages).withColumnsRenamed({"host": owner, "boilerplate": bad})
+    joined = docs.join(found, F.col(host).eqNullSafe(F.col(owner)), "left")
     lines = F.split(text, "\n")
-    known = joined.withColumn("_kept", F.filter(lines, lambda x: ~F.coalesce(F.array_contains("_lines", _key(_line(x))), F.lit(False))))
-    some = F.exists("_kept", lambda x: _line(x) != "")
-    known = known.withColumn("_kept", F.when(F.col("_lines").isNull() | ~some, lines).otherwise(F.col("_kept")))
+    # one pass by hashing finds the page's own boilerplate; each line is looked up in that short list
+    joined = joined.withColumn(bad, F.array_intersect(_keys(text), F.col(bad)))
+    known = joined.withColumn(kept, F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(bad), F.md5(_line(x))), F.lit(False))))
+    some = F.exists(kept, lambda x: _line(x) != "") if keep_copies else F.lit(True)
+    known = known.withColumn(kept, F.when(F.col(bad).isNull() | ~some, lines).otherwise(F.col(kept)))
     count = lambda x: F.coalesce(F.when(x.isNotNull(), F.size(x)), F.lit(0)).cast("long")
-    known = known.withColumns({"n_lines": count(lines), "n_dropped": count(lines) - count(F.col("_kept"))})
-    return known.withColumn(text, F.array_join("_kept", "\n")).drop("_host", "_lines", "_kept")
+    known = known.withColumns({"n_lines": count(lines), "n_dropped": count(lines) - count(F.col(kept))})
+    return known.withColumn(text, F.array_join(kept, "\n")).drop(owner, bad, kept)

@@ -1,12 +1,13 @@
 """Near-duplicate groups by b-bit MinHash, confirmed on full shingle sets.
 
-1. Each text gets the set of its word shingles (64-bit hashes), ``bands`` x ``rows`` minima, a key
+1. Each text gets the set of its word shingles (128-bit hashes), ``bands`` x ``rows`` minima, a key
    per band and a signature of the low ``BITS`` bits of all minima.
-2. Texts with equal sets form a class, whose smallest id stands for it.
+2. Texts with equal sets (by a BLAKE2 digest of the set) form a class, whose smallest id stands for it.
 3. Classes that share a band key are candidates. Buckets of up to ``SMALL`` classes give all their
    pairs, larger ones the pairs with their smallest id. The similarity estimated from the
    signatures' bit counts, corrected for chance collisions, drops those far below the threshold;
-   the others are confirmed on the full sets.
+   the others are confirmed on the full sets, word by word. For that each text travels once to
+   its pivot, and the pivot's text once for ``LOT`` of them.
 4. Large buckets whose members aren't yet in one component go through an exact prefix-filter
    join: two sets can only reach the threshold if they share one of their rarest shingles. It
    gives pairs across components only, so a group of many near copies costs no square.
@@ -15,6 +16,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -23,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_batch, rows_of, staged, strings
+from .common import by_batch, operator, rows_of, staged, strings
 from .components import connected_components
-from .shingles import constants, mix, shingle_sets
+from .shingles import constants, exact_sets, mix, shingle_sets
 
 BITS = 2
 PER_LONG = 64 // BITS
 SMALL = 8
+#: Texts compared with one copy of their pivot, on average.
+LOT = 64
 #: Standard deviations of the estimate that a candidate may lie below the threshold.
 SLACK = 6.0
 
@@ -68,20 +72,18 @@ def signed(docs: DataFrame, id: str, text: str, width: int, rows: int, bands: in
     """Per document: size and fingerprint of its shingle set, band keys and signature (null without words)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = constants(2, 41)
         for b in rows_of(batches):
             sets = shingle_sets([x.encode() for x in strings(b.column(1))], width)
             some = [k for k, s in enumerate(sets) if len(s)]
             none = np.ones(len(sets), bool)
             none[some] = False
-            prints, keys, bits = np.zeros((len(sets), 2), np.uint64), np.zeros((len(sets), bands), np.int64), np.zeros((len(sets), -(-rows * bands // PER_LONG)), np.int64)
+            prints, keys, bits = np.zeros((len(sets), 2), np.int64), np.zeros((len(sets), bands), np.int64), np.zeros((len(sets), -(-rows * bands // PER_LONG)), np.int64)
             if some:
-                keys[some], bits[some] = signatures([sets[k] for k in some], rows, bands)
+                keys[some], bits[some] = signatures([np.ascontiguousarray(sets[k][:, 0]) for k in some], rows, bands)
             for k in some:
-                for j in range(2):
-                    prints[k, j] = mix(sets[k] * q[j]).sum(dtype=np.uint64) + np.uint64(len(sets[k]))
+                prints[k] = np.frombuffer(hashlib.blake2b(np.ascontiguousarray(sets[k]), digest_size=16).digest(), "<i8")
             arrays = [b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-            arrays += [pa.array(prints[:, j].view(np.int64), mask=none) for j in range(2)]
+            arrays += [pa.array(prints[:, j], mask=none) for j in range(2)]
             for x in (keys, bits):
                 arrays.append(pa.array(_lists(x).to_pylist(), pa.list_(pa.int64())) if not len(x) else _lists(x))
             yield pa.record_batch(arrays, names=["id", "n_shingles", "set_a", "set_b", "keys", "bits"])
@@ -107,41 +109,57 @@ def lowest_estimate(threshold: float, hashes: int) -> float:
     return threshold - SLACK * math.sqrt(same * (1 - same) / hashes) / (1 - chance)
 
 
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 x intersection >= percent x union, and share anything."""
+    if not len(p) or not len(q) or 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
+        return False
+    found = np.searchsorted(p, q)
+    found[found == len(p)] = 0
+    shared = int((p[found] == q).sum())
+    return shared > 0 and 100 * shared >= percent * (len(p) + len(q) - shared)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 x intersection >= percent x union."""
+    """The pairs (a, b) whose full sets have 100 x intersection >= percent x union.
+
+    Pairs are dealt by their first member and a lot of its partners, so that no member meets all
+    its partners in one task. Rows that share an id are linked by any of their texts.
+    """
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots"))
+    dealt = staged(pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), "lots").alias("lot")), "pairs")
+    pivots = dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
+    wanted = staged(pivots.unionByName(dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role"))), "wanted")
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    met = texts.join(wanted, "id").select("a", "lot", "role", "id", "text").repartition("a", "lot").sortWithinPartitions("a", "lot", "role", "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, []  # the group and its pivot's texts, which may have come with an earlier batch
         for b in rows_of(batches):
-            x, y = (strings(b.column(k)) for k in (2, 3))
-            places: dict[str, int] = {}
-            at = [[places.setdefault(t, len(places)) for t in side] for side in (x, y)]
-            sets = shingle_sets([t.encode() for t in places], width)
-            keep = []
-            for i, j in zip(*at, strict=True):
-                p, q = sets[i], sets[j]
-                if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
-                    keep.append(False)
-                    continue
-                found = np.searchsorted(p, q)
-                found[found == len(p)] = 0
-                shared = int((p[found] == q).sum()) if len(p) else 0
-                keep.append(shared > 0 and 100 * shared >= percent * (len(p) + len(q) - shared))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.record_batch([b.column(k).filter(mask) for k in (0, 1)], names=["a", "b"])
-
-    return by_batch(both, work, "a long, b long")
+            found = strings(b.column(4))
+            sets = exact_sets([t.encode() for t in [*own, *found]], width)
+            carried, mine, sets = own, sets[: len(own)], sets[len(own) :]
+            left, right = [], []
+            for a, lot, role, key, t, s in zip(*(b.column(k).to_pylist() for k in range(4)), found, sets, strict=True):
+                if (a, lot) != at:
+                    at, carried, mine = (a, lot), [], []
+                if not role:
+                    carried.append(t)
+                    mine.append(s)
+                elif any(_linked(p, s, percent) for p in mine):
+                    left.append(a)
+                    right.append(key)
+            own = carried
+            yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return by_batch(met, work, "a long, b long").distinct()
 
 
 def _shingled(docs: DataFrame, width: int) -> DataFrame:
     """A row for each shingle of the documents (id, component, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_of(batches, 1 << 20):
-            sets = shingle_sets([x.encode() for x in strings(b.column(2))], width)
+        for b in rows_of(batches):
+            sets = [s[:, 0] for s in shingle_sets([x.encode() for x in strings(b.column(2))], width)]
             n = np.array([len(s) for s in sets])
             flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
             ids, comps = (np.repeat(b.column(k).to_numpy(), n) for k in (0, 1))
@@ -169,8 +187,9 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     heads = staged(ranked.where(F.col("at") <= allowed).select("shingle", "id", "component", "n", "at"), "rest-heads")
     groups = heads.groupBy("shingle", "component").agg(F.count("*").alias("k"))
     main = groups.groupBy("shingle").agg(F.count("*").alias("kinds"), F.max(F.struct("k", "component")).alias("top")).where("kinds > 1")
-    main = main.select("shingle", F.col("top.component").alias("main"))
-    marked = heads.join(main, "shingle")
+    # both sides of each join are written tables, so that Spark can split the rows of a frequent shingle
+    main = staged(main.select("shingle", F.col("top.component").alias("main")), "rest-main")
+    marked = staged(heads.join(main, "shingle"), "rest-marked")
     x = marked.where("component <> main").select("shingle", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
     y = marked.select("shingle", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("ay"), "main")
     # at the first shingle that two sets share, what follows it in either bounds their intersection
@@ -181,17 +200,19 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+@operator
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", *, width: int = 5, percent: int = 85, rows: int = 8, bands: int = 44
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every document; ids are unique and not null.
+    """(id, n_shingles, component_id, kept) of every row; ids are integers, not null.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A document's set holds its distinct
     shingles of ``width`` words, with fewer words the whole sequence; one without words (or null)
     is alone. Documents are linked if 100 x intersection >= ``percent`` x union of their full sets;
     ``component_id`` is the least id reachable, ``kept`` marks it. ``rows`` and ``bands`` set the
     candidate search: a pair at similarity s is missed with probability (1 - s**rows)**bands, 1e-6
-    at 0.85. Other columns are ignored. An empty table gives an empty one.
+    at 0.85. Rows that share an id are one node, linked by any of their texts, each with its own
+    ``n_shingles``. Other columns are ignored, whatever their names. An empty table gives an empty one.
     """
     hashes = rows * bands
     known = staged(signed(docs, id, text, width, rows, bands), "signatures")

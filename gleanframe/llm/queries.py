@@ -101,10 +101,9 @@ with pages as (select doc_id, source, coalesce(source, '') || '/' || (source is
 cut as (select host, doc_id, unnest(list_distinct(list_transform(lines, lambda x: trim(x, ' ' || chr(9) || chr(13))))) as line from pages),
 totals as (select host, count(*) as total from pages group by host),
 over as (select c.host, c.line from (select host, line, count(*) as pages from cut where line <> '' group by host, line) c join totals t using (host)
-  where c.pages >= 5 and c.pages * 100 > t.total * 10),
+  where c.pages * 100 > t.total * 10),
 listed as (select host, list(line) as bad from over group by host),
-kept as (select p.*, list_filter(p.lines, lambda x: not list_contains(coalesce(l.bad, []), trim(x, ' ' || chr(9) || chr(13)))) as rest from pages p left join listed l using (host)),
-done as (select *, case when len(list_filter(rest, lambda x: trim(x, ' ' || chr(9) || chr(13)) <> '')) > 0 then rest else lines end as final from kept)
+done as (select p.*, list_filter(p.lines, lambda x: not list_contains(coalesce(l.bad, []), trim(x, ' ' || chr(9) || chr(13)))) as final from pages p left join listed l using (host))
 select doc_id, source, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(lines) - len(final), 0)::bigint as n_dropped,
   sha256(coalesce(array_to_string(final, chr(10)), '')) as text_sha256 from done""",
     "op5_segmented_archives": """

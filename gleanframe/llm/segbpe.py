@@ -2,8 +2,9 @@
 
 A pre-token's bytes are the leaves. A leaf holds the rank of the pair that starts there, and the
 tree's root the leftmost of the least ranks. A merge changes three leaves - the merged one, its
-live neighbour to the left, and the one taken in - and each change climbs the tree's height. Many
-pre-tokens of like length are merged side by side in numpy.
+live neighbour to the left, and the one taken in - and each change climbs the tree's height, or as
+far as it changes a node. Many pre-tokens of like length are merged side by side in numpy; a few
+long ones each by itself in a tree of plain lists.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, cached, rows_of, strings
+from .common import by_batch, cached, operator, rows_of, strings
 from .tokens import BatchEncoder, PieceEncoder, read_ranks
 
 _NONE = np.int64(1) << np.int64(62)
+#: Fewer pre-tokens than this side by side are merged one by one.
+_FEW = 20
 
 
 class PairRanks:
@@ -38,6 +41,7 @@ class PairRanks:
                 a, b = ranks.get(token[:at]), ranks.get(token[at:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = k
+        self.pairs = pairs
         self.keys = np.array(sorted(pairs), np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
 
@@ -103,6 +107,51 @@ def merged(pieces: list[bytes], table: PairRanks) -> list[np.ndarray]:
     return np.split(flat, cuts)
 
 
+def merged_alone(piece: bytes, table: PairRanks) -> np.ndarray:
+    """Ids of one byte string, by the same merges in a tree of plain lists."""
+    n, ranks, none = len(piece), table.pairs, int(_NONE)
+    width = 1 << max(n - 1, 1).bit_length()
+    token = table.single[np.frombuffer(piece, np.uint8)]
+    leaves = np.full(width, _NONE)
+    found = table.of(token[:-1], token[1:])
+    leaves[: n - 1] = np.where(found < _NONE, found * width + np.arange(n - 1), _NONE)
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append(np.minimum(levels[-1][0::2], levels[-1][1::2]))
+    tree = np.concatenate([[_NONE], *reversed(levels)]).tolist()
+    ids, after, before = token.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+
+    def put(at: int, value: int) -> None:
+        node = at + width
+        tree[node] = value
+        node >>= 1
+        while node:
+            a, b = tree[2 * node], tree[2 * node + 1]
+            least = a if a < b else b
+            if tree[node] == least:
+                return
+            tree[node] = least
+            node >>= 1
+
+    while tree[1] < none:
+        rank, at = divmod(tree[1], width)
+        taken = after[at]
+        follow = after[taken]
+        ids[at], after[at], ids[taken] = rank, follow, -1
+        put(taken, none)
+        if follow < n:
+            before[follow] = at
+            new = ranks.get(rank << 32 | ids[follow])
+            put(at, none if new is None else new * width + at)
+        else:
+            put(at, none)
+        left = before[at]
+        if left >= 0:
+            new = ranks.get(ids[left] << 32 | rank)
+            put(left, none if new is None else new * width + left)
+    return np.array([x for x in ids if x >= 0], np.int64)
+
+
 def encode_pieces(pieces: list[bytes], table: PairRanks, most: int = 1 << 18) -> list[np.ndarray]:
     """Ids of each byte string; one that is a token as a whole is that token. Strings are merged in lots of like length."""
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(pieces)
@@ -116,7 +165,9 @@ def encode_pieces(pieces: list[bytes], table: PairRanks, most: int = 1 << 18) ->
         step = max(1, most >> bits)
         for a in range(0, len(members), step):
             part = members[a : a + step]
-            for k, ids in zip(part, merged([pieces[k] for k in part], table), strict=True):
+            texts = [pieces[k] for k in part]
+            done = [merged_alone(x, table) for x in texts] if len(part) < _FEW else merged(texts, table)
+            for k, ids in zip(part, done, strict=True):
                 out[k] = ids
     return out
 
@@ -140,17 +191,18 @@ def decode(ids: np.ndarray, table: PairRanks) -> bytes:
     return b"".join(map(table.bytes.__getitem__, ids.tolist()))
 
 
+@operator
 def round_trip(docs: DataFrame, ranks: str, pattern: str = public_tokenizers.PATTERN, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every document, encoded and decoded again.
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row's text, encoded and decoded again.
 
-    ``ranks``: path of a rank file. Null text is empty: no ids. Other columns are ignored. An
-    empty table gives an empty one.
+    ``ranks``: path of a rank file. Null text is empty: no ids. A repeated row is encoded again.
+    Other columns are ignored, whatever their names. An empty table gives an empty one.
     """
     kind = docs.schema[id].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, table = tree_encoder(ranks, pattern), rank_table(ranks)
-        for b in rows_of(batches, 6 << 20):
+        for b in rows_of(batches):
             n, coded, decoded = [], [], []
             for ids in encoder(strings(b.column(1))):
                 n.append(len(ids))

@@ -1,13 +1,21 @@
-"""Words and word shingles of many texts at once as 64-bit hashes, in numpy."""
+"""Words and word shingles of many texts at once, in numpy.
+
+Inside a batch words have exact numbers. Across batches a word is known by 128 bits of its BLAKE2
+digest and a shingle by two independent 64-bit combinations of its words' halves.
+"""
 
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
+import pyarrow as pa
 
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,82 +33,99 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=_U) * _ODD + _U(seed)) | _U(1)
 
 
-@functools.lru_cache(maxsize=2)
-def _tables(fold: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Value of each byte (with ``fold``, A-Z as a-z) and whether it separates words."""
-    letters = mix(np.arange(256, dtype=_U) + _U(77))
-    if fold:
-        letters[65:91] = letters[97:123]
-    gap = np.zeros(256, bool)
-    gap[[9, 10, 11, 12, 13, 32]] = True
-    letters[gap] = 0
-    return letters, gap
+def word_ids(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Numbers of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 texts, the distinct words by number, and the count of words per text; ``fold``: A-Z as a-z."""
+    joined = b"\n".join([b"", *texts, b""])
+    buffer = np.frombuffer(joined.lower() if fold else joined, np.uint8)
+    gap = _GAP[buffer]
+    edge = np.flatnonzero(gap[1:] != gap[:-1])
+    first, last = edge[0::2] + 1, edge[1::2] + 1
+    offsets = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[~gap].tobytes())])
+    found = words.dictionary_encode()
+    ends = np.cumsum(np.fromiter((len(x) + 1 for x in texts), np.int64, len(texts)))
+    counts = np.diff(np.searchsorted(first, np.concatenate([[0], ends])))
+    return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist(), counts
 
 
-_powers = np.ones(1, _U)
+def digests(words: list[bytes]) -> np.ndarray:
+    """128 bits of each word as two 64-bit numbers."""
+    return np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=16).digest() for w in words]), "<u8").reshape(-1, 2)
 
 
-def powers(n: int) -> np.ndarray:
-    """The base to the power 0 .. n-1."""
-    global _powers
-    if len(_powers) < n:
-        size = 1 << max(20, (n - 1).bit_length())
-        _powers = np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, _ODD)]))
-    return _powers[:n]
+def _paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Equal numbers exactly for equal pairs."""
+    return np.unique(x * (int(y.max(initial=0)) + 1) + y, return_inverse=True)[1].astype(np.int64)
 
 
-def word_hashes(texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 texts and the count of words per text; ``fold``: A-Z as a-z.
+def exact_windows(ids: np.ndarray, width: int) -> np.ndarray:
+    """A number of each window of ``width`` ids, equal exactly for equal windows."""
+    if len(ids) < width:
+        return ids[:0]
+    done, size = ids, 1
+    while size < width:
+        step = min(size, width - size)
+        # two windows of ``size``, the second shifted by ``step``, cover size + step ids
+        done = _paired(done[: len(done) - step], done[step:])
+        size += step
+    return done
 
-    A word's hash is a polynomial in its bytes modulo 2**64, scaled to its start and mixed.
-    """
-    letters, gap = _tables(fold)
-    buffer = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
-    edge = np.flatnonzero(np.diff(gap[buffer]))
-    first, last = edge[0::2] + 1, edge[1::2] + 1
-    total = np.concatenate([np.zeros(1, _U), np.cumsum(letters[buffer] * powers(len(buffer)))])
-    # to bring the hash of each word to the same power, multiply by the base to (length of buffer - start)
-    scale = powers(len(buffer) + 1)[len(buffer) - first]
-    words = mix((total[last] - total[first]) * scale * inverse_power(len(buffer)))
-    ends = np.cumsum(np.fromiter((len(x) + 1 for x in texts), np.int64, len(texts)))
-    counts = np.diff(np.searchsorted(first, np.concatenate([[0], ends])))
-    return words, counts
+
+def _heads(counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a window of ``width`` words of one text starts at each word; the numbers of texts with fewer words."""
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(counts.sum())
+    return left >= width, np.flatnonzero((counts > 0) & (counts < width))
 
 
-def inverse_power(n: int) -> np.uint64:
-    """The inverse, modulo 2**64, of the base to the power n: a word's hash doesn't depend on the batch."""
-    return _U(pow(int(_ODD), -n, 1 << 64))
+def shingle_counts(counts: np.ndarray, width: int) -> np.ndarray:
+    return np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
 
 
 def shingle_hashes(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of ``width`` words of each text in order, and their count per text.
+    """Two hashes (n x 2) of the shingles of ``width`` words of each text in order, and their count per text.
 
     A text with fewer words has its whole sequence as one shingle, a text without words none.
     """
-    words, counts = word_hashes(texts)
-    q = constants(width, 5)
-    n = max(len(words) - width + 1, 0)
-    rolled = np.zeros(len(words), _U)
-    for j in range(width):
-        rolled[:n] += words[j : j + n] * q[j]
-    ends = np.cumsum(counts)
-    starts = ends - counts
-    left = np.repeat(ends, counts) - np.arange(len(words))
-    keep = left >= width
-    short = np.flatnonzero((counts > 0) & (counts < width))
-    for k in short:
-        a, m = starts[k], counts[k]
-        rolled[a] = (words[a : a + m] * q[:m]).sum(dtype=_U) + _U(m)
-        keep[a] = True
-    return mix(rolled[keep]), np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
+    ids, words, counts = word_ids(texts)
+    own, n = digests(words), max(len(ids) - width + 1, 0)
+    keep, short = _heads(counts, width)
+    begin, out = np.cumsum(counts) - counts, []
+    keep[begin[short]] = True
+    for side in range(2):
+        q, h = constants(width, 5 + side), own[:, side][ids]
+        rolled = np.zeros(len(ids), _U)
+        for j in range(width):
+            rolled[:n] += h[j : j + n] * q[j]
+        for k in short:
+            a = begin[k]
+            rolled[a] = (h[a : a + counts[k]] * q[: counts[k]]).sum(dtype=_U) + _U(counts[k])
+        out.append(mix(rolled[keep]))
+    return np.stack(out, axis=1), shingle_counts(counts, width)
 
 
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+    """The distinct shingles of each text as two hashes (n x 2), sorted by the first."""
     hashes, counts = shingle_hashes(texts, width)
     out, at = [], 0
     for n in counts.tolist():
-        x = np.sort(hashes[at : at + n])
+        x = hashes[at : at + n]
+        at += n
+        x = x[np.argsort(x[:, 0], kind="stable")]
+        out.append(x if n < 2 else x[np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)])])
+    return out
+
+
+def exact_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text, by numbers that are exact within this call."""
+    ids, _, counts = word_ids(texts)
+    keep, short = _heads(counts, width)
+    windows = exact_windows(ids, width)[keep[: max(len(ids) - width + 1, 0)]]
+    out, at, begin, whole, few = [], 0, np.cumsum(counts) - counts, {}, set(short.tolist())
+    for k, n in enumerate(shingle_counts(counts, width).tolist()):
+        if k in few:
+            sequence = tuple(ids[begin[k] : begin[k] + counts[k]].tolist())
+            out.append(np.array([-1 - whole.setdefault(sequence, len(whole))], np.int64))
+            continue
+        out.append(np.unique(windows[at : at + n]))
         at += n
-        out.append(x if n < 2 else x[np.concatenate([[True], x[1:] != x[:-1]])])
     return out

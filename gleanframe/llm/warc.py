@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, file_system, fresh_path, qualified, rows_of, staged, write_whole
+from .common import by_batch, file_system, fresh_path, operator, qualified, rows_of, staged, write_whole
 
 #: Payloads below this are stored again rather than revisited.
 LEAST_REVISITED = 100
@@ -72,9 +72,9 @@ def uri_safe(url: str | None) -> str | None:
     return None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def page_records(page: int, url: str | None, payload: bytes, digest: str, refers: int | None, limit: int) -> Iterator[bytes]:
-    """The record of a page and its continuations."""
-    name = f"<urn:page:{page}>"
+def page_records(page: int, url: str | None, payload: bytes, digest: str, refers: int | None, limit: int, copy: str = "0.0") -> Iterator[bytes]:
+    """The record of a page and its continuations; ``copy`` tells rows of one page apart."""
+    name = f"<urn:page:{page}:{copy}>"
     fields = [("WARC-Type", "response" if refers is None else "revisit"), ("WARC-Record-ID", name), ("WARC-Date", DATE)]
     if (target := uri_safe(url)) is not None:
         fields.append(("WARC-Target-URI", target))
@@ -90,10 +90,11 @@ def page_records(page: int, url: str | None, payload: bytes, digest: str, refers
     parts = [block[a : a + limit] for a in range(0, len(block), limit)]
     yield record([*fields, ("WARC-Segment-Number", "1")], parts[0])
     for k, part in enumerate(parts[1:], 2):
-        more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{page}:{k}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(k))]
+        more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"{name[:-1]}:{k}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", str(k))]
         yield record(more + [("WARC-Segment-Total-Length", str(len(block)))] * (k == len(parts)), part)
 
 
+@operator
 def write_archives(
     pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", *, folder: str | None = None, segment_bytes: int = SEGMENT_BYTES
 ) -> DataFrame:
@@ -102,7 +103,10 @@ def write_archives(
     Null html is the empty payload; a null url is left out. Of equal payloads of 100 bytes or more
     the page of the smallest id is a response and the others revisit it. Equality is found by the
     payloads' SHA-256 before anything is written; only digests that occur twice come back, and
-    Spark broadcasts them if their measured size allows it. Ids are unique integers.
+    Spark broadcasts them if their measured size allows it. Ids are any integers, not null. Rows
+    that repeat an id have a record each; of those of the smallest id each is a response. A
+    record's name holds the page and the row's place; a revisit names the page that it refers to.
+    Other columns are ignored, whatever their names. An empty table gives no files.
     """
     folder = qualified(pages.sparkSession, folder or fresh_path(pages.sparkSession, "warc"))
     system, base = file_system(folder)
@@ -119,18 +123,19 @@ def write_archives(
         first = next(rows, None)
         if first is None:
             return
-        path, n = f"{base}/part-{TaskContext.get().partitionId():06d}.warc.gz", 0
+        task = TaskContext.get().partitionId()
+        path, n = f"{base}/part-{task:06d}.warc.gz", 0
 
         def write(f) -> None:
             nonlocal n
             f.write(record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:file:{path.rpartition('/')[2]}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
-            row = first
+            row, at = first, 0
             while row is not None:
                 page, address, content, digest, refers = row
-                for x in page_records(page, address, content.encode(), digest, refers, segment_bytes):
+                for x in page_records(page, address, content.encode(), digest, refers, segment_bytes, f"{task}.{at}"):
                     f.write(x)
                     n += 1
-                row = next(rows, None)
+                row, at = next(rows, None), at + 1
 
         write_whole(system, path, write)
         yield pa.record_batch([pa.array([f"{folder}/{path.rpartition('/')[2]}"]), pa.array([n])], names=["path", "records"])
@@ -159,12 +164,13 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def _number(name: str | None) -> int | None:
-    found = re.fullmatch(r"<urn:page:(\d+)(?::\d+)?>", name or "")
+def _page(name: str | None) -> int | None:
+    """The page that a record, or a revisit's reference, names."""
+    found = re.fullmatch(r"<urn:page:(-?\d+)(?::[\d.]+)?(?::\d+)?>", name or "")
     return int(found[1]) if found else None
 
 
-_READ = "id long, type string, refers long, declared string, segment long, total long, payload_bytes long, digest string, block binary, problem string"
+_READ = "id long, origin string, type string, refers long, declared string, segment long, total long, payload_bytes long, digest string, block binary, problem string"
 
 
 def _decoded(block: bytes) -> tuple[int | None, str | None, str | None]:
@@ -176,12 +182,15 @@ def _decoded(block: bytes) -> tuple[int | None, str | None, str | None]:
     return len(payload), hashlib.sha256(payload).hexdigest(), None
 
 
+@operator
 def read_archives(archives: DataFrame) -> DataFrame:
     """(id, payload_bytes, payload_digest, record_type, refers_to, problem) of each response and revisit in the files (path).
 
-    A revisit has the payload of the response that it refers to. ``problem`` is null, or says what
+    Continuations are grouped by the name of their first record. A revisit has the payload of a
+    response of the page that it refers to, of several that with its own digest. ``problem`` is null, or says what
     is wrong: a gap between segments, another length than declared, malformed framing, a digest
-    that differs from the declared one, or a revisit without its response.
+    that differs from the declared one, or a revisit without its response. A table without files
+    gives an empty one.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,10 +204,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         if kind not in ("response", "revisit", "continuation"):
                             continue
                         segment, total = fields.get("warc-segment-number"), fields.get("warc-segment-total-length")
-                        page = _number(fields.get("warc-segment-origin-id") if kind == "continuation" else fields.get("warc-record-id"))
+                        origin = fields.get("warc-segment-origin-id") if kind == "continuation" else fields.get("warc-record-id")
                         n, digest, problem = _decoded(block) if kind == "response" and segment is None else (None, None, None)
                         declared = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
-                        rows.append((page, kind, _number(fields.get("warc-refers-to")), declared, segment and int(segment), total and int(total), n, digest, None if segment is None else block, problem))
+                        rows.append((_page(origin), origin, kind, _page(fields.get("warc-refers-to")), declared, segment and int(segment), total and int(total), n, digest, None if segment is None else block, problem))
                         if len(rows) >= 500:
                             yield _batch(rows)
                             rows = []
@@ -206,15 +215,15 @@ def read_archives(archives: DataFrame) -> DataFrame:
                     yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
+        types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
         return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in _READ.split(", ")])
 
     files = max(1, archives.count())
     seen = staged(by_batch(archives.select("path").repartition(files, "path"), read, _READ), "records")
 
     parts = F.array_sort(F.collect_list(F.struct("segment", "block")))
-    whole = seen.where("segment is not null").groupBy("id").agg(
-        parts.alias("parts"), F.max("total").alias("total"), F.max("declared").alias("declared"), F.count_if(F.col("type") == "response").alias("heads")
+    whole = seen.where("segment is not null").groupBy("origin").agg(
+        F.max("id").alias("id"), parts.alias("parts"), F.max("total").alias("total"), F.max("declared").alias("declared"), F.count_if(F.col("type") == "response").alias("heads")
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +248,12 @@ def read_archives(archives: DataFrame) -> DataFrame:
     wrong = F.when(F.col("problem").isNotNull(), F.col("problem")).when(F.col("digest") != F.col("declared"), F.lit("the digest isn't the declared one"))
     direct = responses.select("id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), wrong.alias("problem"))
     visits = seen.where("type = 'revisit'").select("id", "refers", "declared")
-    found = visits.join(responses.select(F.col("id").alias("refers"), "payload_bytes", "digest", "problem"), "refers", "left")
+    # of a page with several responses (repeated rows), the one with the revisit's digest if there is, else the first by digest
+    known = responses.groupBy(F.col("id").alias("refers"), "digest").agg(F.min(F.struct("payload_bytes", "problem")).alias("x"))
+    fits = F.struct((F.col("digest") == F.col("declared")).alias("fits"), "digest", "x")
+    visits = visits.withColumn("row", F.monotonically_increasing_id())
+    found = visits.join(known, "refers", "left").groupBy("row", "id", "refers", "declared").agg(F.max(fits).alias("best"))
+    found = found.select("id", "refers", "declared", F.col("best.digest").alias("digest"), F.col("best.x.payload_bytes").alias("payload_bytes"), F.col("best.x.problem").alias("problem"))
     lost = F.when(F.col("digest").isNull() & F.col("problem").isNull(), F.lit("its response is missing")).otherwise(wrong)
     again = found.select("id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), F.col("refers").alias("refers_to"), lost.alias("problem"))
     return direct.unionByName(again)

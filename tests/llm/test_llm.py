@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
-from gleanframe.llm import binids, chunkdedup, fertility, hmm, hyperlang, linefreq, minhash, packing, segbpe, shingles, tokens, warc
+from gleanframe.llm import binids, chunkdedup, common, fertility, hyperlang, linefreq, minhash, packing, segbpe, shingles, tokens, warc
 from gleanframe.llm.common import crc_fold
 from gleanframe.llm.components import connected_components
 
@@ -61,6 +63,18 @@ def test_round_trip_of_empty_and_full_tables(spark, texts, library):
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
     assert segbpe.round_trip(df.limit(0), RANKS).count() == 0
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id long, text string")
+    assert segbpe.round_trip(twice, RANKS).count() == 2
+
+
+def test_long_pre_tokens(library):
+    rng, table_ = random.Random(4), segbpe.rank_table(RANKS)
+    for n in (2, 255, 257, 3000):
+        piece = bytes(rng.choices(b"abcdefghinst", k=n))
+        assert segbpe.merged_alone(piece, table_).tolist() == library._core_bpe.encode_single_piece(piece)
+    began = time.monotonic()
+    ids = segbpe.encode_pieces([bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=1 << 18))], table_)[0]
+    assert segbpe.decode(ids, table_).isalpha() and time.monotonic() - began < 30
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 1000])
@@ -114,7 +128,7 @@ def test_least_squares_is_optimal():
     rng = random.Random(2)
     counts = {k: rng.randint(1, 50) for k in range(1, 16)}
     columns = packing.combinations(counts, 16)
-    x = packing.least_squares(columns, counts, 2000)
+    x = packing.least_squares(columns, counts)
     a = np.zeros((17, len(columns)))
     for j, c in enumerate(columns):
         for v in c:
@@ -125,11 +139,31 @@ def test_least_squares_is_optimal():
     assert all(sum(c) == 16 for c, _ in used) and min(left.values()) >= 0
 
 
+def test_least_squares_scales_with_the_counts():
+    rng = random.Random(2)
+    counts = {k: rng.randint(1, 50) for k in range(1, 256)}
+    columns = packing.combinations(counts, 256)
+    one = packing.least_squares(columns, counts)
+    for scale in (1000, 10**6):
+        assert np.allclose(packing.least_squares(columns, {k: v * scale for k, v in counts.items()}), one * scale, rtol=1e-9)
+    a = np.zeros((256, len(columns)))
+    for j, c in enumerate(columns):
+        for v in c:
+            a[v, j] += 1
+    slope = a.T @ (a @ one - np.array([counts.get(k, 0) for k in range(256)])) / 50
+    assert (one >= 0).all() and slope.min() > -2e-4 and np.abs(slope[one > 0]).max() < 2e-4
+    with pytest.warns(UserWarning):
+        packing.least_squares(columns, counts, steps=3)
+    assert packing.least_squares([], {1: 2}).tolist() == []
+
+
+def near_set(t):
+    w = (t or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
 def near_brute(rows, percent):
-    sets = {}
-    for k, t in rows.items():
-        w = (t or "").encode().lower().split()
-        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    sets = {k: near_set(t) for k, t in rows.items()}
     root = {k: k for k in rows}
 
     def find(k):
@@ -164,6 +198,23 @@ def test_near_duplicates(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, a), (4, c), (4, c), (5, None)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 36, 1, True), (1, 36, 1, True), (2, 36, 1, False), (3, 36, 1, False), (4, 36, 4, True), (4, 36, 4, True), (5, 0, 5, True)]
+
+
+def test_a_pivot_with_very_many_partners(spark):
+    base = [f"w{k}" for k in range(200)]
+    made = [" ".join(base)] + [" ".join([*base[: 3 + k % 190], f"x{k}", *base[4 + k % 190 :]]) for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 301)], "a long, b long")
+    got = {(r.a, r.b) for r in minhash.confirmed(pairs, df, "doc_id", "text", 5, 85).collect()}
+    zero = near_set(made[0])
+    assert got == {(0, k) for k in range(1, 301) if 100 * len(zero & near_set(made[k])) >= 85 * len(zero | near_set(made[k]))} and len(got) == 300
+
+
 def test_signature_estimate(spark):
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
@@ -175,10 +226,36 @@ def test_signature_estimate(spark):
         assert abs(df.select(minhash.estimate(F.col("a"), F.col("b"), 352).alias("e")).first()["e"] - true) < 0.12
 
 
-def test_word_hashes_do_not_depend_on_the_batch():
-    one, _ = shingles.word_hashes([b"Aa bb", b"cc"])
-    two, counts = shingles.word_hashes([b"", b"zz  cc\tAA", b"bb "])
-    assert one.tolist() == [two[2], two[3], two[1]] and counts.tolist() == [0, 3, 1]
+def thue_morse(n):
+    """Two texts of n letters whose difference no polynomial modulo a power of two sees."""
+    out = "a"
+    while len(out) < n:
+        out += out.translate(str.maketrans("ab", "ba"))
+    return out, out.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_are_exact():
+    ids, words, counts = shingles.word_ids([b"", b"zz  cc\tAA", b"bb aa"])
+    assert ids.tolist() == [0, 1, 2, 3, 2] and words == [b"zz", b"cc", b"aa", b"bb"] and counts.tolist() == [0, 3, 2]
+    assert shingles.word_ids([b"Aa aa"], fold=False)[0].tolist() == [0, 1]
+    one, two = (shingles.shingle_sets(x)[-1].tolist() for x in ([b"a b c d e f"], [b"x y", b"A  b c D e f"]))
+    assert one == two  # hashes don't depend on the batch
+    first, second = thue_morse(1024)
+    own = [f"w{k}" for k in range(7)]
+    assert fertility.repeated_words([" ".join([first, *own, second, *own]).encode()]) == [0]
+    assert fertility.repeated_words([" ".join([first, *own, first, *own]).encode()]) == [16]
+    sets = [{tuple(x) for x in s.tolist()} for s in shingles.shingle_sets([f"{x} p q r s t".encode() for x in (first, second)])]
+    assert len(sets[0]) == len(sets[1]) == 2 and len(sets[0] & sets[1]) == 1
+
+
+def test_exact_sets():
+    rng = random.Random(1)
+    made = [" ".join(rng.choices("abcdefg", k=rng.randint(0, 60))) for _ in range(120)]
+    wanted = [near_set(t) for t in made]
+    exact, hashed = shingles.exact_sets([t.encode() for t in made]), shingles.shingle_sets([t.encode() for t in made])
+    for i in range(0, 120, 5):
+        for j in range(120):
+            assert len(np.intersect1d(exact[i], exact[j])) == len(np.intersect1d(hashed[i][:, 0], hashed[j][:, 0])) == len(wanted[i] & wanted[j])
 
 
 def test_components(spark):
@@ -200,18 +277,45 @@ def test_exact_duplicates(spark, texts):
     for k, t in rows.items():
         r = got[k]
         assert (r.keep_id, r.group_size, r.kept, r.text_sha256) == (max(same[t]), len(same[t]), k == max(same[t]), hashlib.sha256(t.encode()).hexdigest())
+    twice = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "a"), (3, ""), (3, None)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in chunkdedup.exact_duplicates(twice).collect())
+    assert got == [(1, 2, 4, False)] * 2 + [(2, 2, 4, False), (2, 2, 4, True), (3, 3, 2, False), (3, 3, 2, True)]
     joined = df.select("text", F.array_join(chunkdedup.chunks(F.coalesce("text", F.lit(""))), "").alias("again")).collect()
     assert all((r.text or "") == r.again for r in joined)
     assert chunkdedup.exact_duplicates(df.limit(0)).count() == 0
 
 
+def test_recipes_of_clashing_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(chunkdedup.F, "xxhash64", lambda c: F.length(c).cast("long"))  # any two chunks of a length clash
+    made = ["abc", "abd", "abc", "", None, "x" * 5000, "y" * 5000, "x" * 4999 + "z", "abd"]
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in chunkdedup.exact_duplicates(df).collect()}
+    assert got == {0: (2, 2), 2: (2, 2), 1: (8, 2), 8: (8, 2), 3: (4, 2), 4: (4, 2), 5: (5, 1), 6: (6, 1), 7: (7, 1)}
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ ", "абвгдежзийклмнопрстуфхцчшщъыьэюя ", "אבגדהוזחטיכלמנסעפצקרשת ", "กขคงจฉชซดตถทธนบปพฟภมยรลวศสหอ", "\u4e00\u4e50\u4ea4\u5019\u5143\u516c\u5206\u52a8\u5370\u53e3\u547d\u56fd\u5927\u5b66\u5c0f\u5e74\u6210\u65e5\u6c34\u706b"])
+def test_chunks_follow_the_content_in_every_script(spark, letters):
+    text = "".join(random.Random(3).choices(letters, k=40_000))
+    rows = spark.createDataFrame([(text,), ("~" + text,)], "t string").select(chunkdedup.chunks(F.col("t")).alias("c")).collect()
+    one, two = (set(r.c) for r in rows)
+    assert "".join(rows[0].c) == text and len(one) > 40 and len(one & two) > 0.8 * len(one)
+
+
 def test_line_frequency(spark):
     rows = [(k, f"  Menu \t\nown line {k}\n\n{'rare' if k < 3 else 'x'}", "clash", 1, "c", "h" if k < 20 else None, "en") for k in range(40)]
     rows += [(100, "Menu", "i", 1, "c", "h", "en"), (101, None, "i", 1, "c", "h", "en"), (102, "", "i", 1, "c", "h", "en")]
-    got = {r.doc_id: r for r in linefreq.without_boilerplate(spark.createDataFrame(rows, SCHEMA)).collect()}
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in linefreq.without_boilerplate(df, min_pages=5, keep_copies=True).collect()}
     assert got[1].text == "own line 1\n\nrare" and (got[1].n_lines, got[1].n_dropped) == (4, 1) and got[30].text == "own line 30\n"
     assert got[100].text == "Menu" and got[101].text is None and got[101].n_lines == 0 and got[102].text == ""
     assert got[1].key == "c" and linefreq.without_boilerplate(spark.createDataFrame([], SCHEMA)).count() == 0
+    alone = {r.doc_id: r for r in linefreq.without_boilerplate(df).collect()}  # the ratio alone
+    assert alone[100].text == "" and (alone[100].n_lines, alone[100].n_dropped) == (1, 1) and alone[1].text == "own line 1\n"  # rare: 3 of 23 pages
+    clash = df.withColumns({"host": F.lit(1), "lines": F.lit(2), "boilerplate": F.lit(3), "n_lines": F.lit("old")})
+    again = linefreq.without_boilerplate(clash)
+    assert {r.doc_id: r.text for r in again.collect()} == {k: r.text for k, r in alone.items()} and {"host", "lines", "boilerplate"} < set(again.columns)
+    few = spark.createDataFrame([(1, "a\nb", "h"), (1, "a\nb", "h"), (2, None, "h"), (3, "c", "h")], "doc_id long, text string, source string")
+    assert sorted((r.doc_id, r.text or "") for r in linefreq.without_boilerplate(few, percent=40).collect()) == [(1, ""), (1, ""), (2, ""), (3, "c")]
 
 
 def base_brute(t):
@@ -239,6 +343,7 @@ def test_fertility_bands(spark):
     got = {r.doc_id: r for r in fertility.judged(df).collect()}
     kept = [got[3 * k + 1].kept for k in range(len(clean) + len(junk) + len(ODD))]
     assert all(kept[:80]) and not any(kept[80:])
+    assert fertility.script_of("aя" * 1024) == fertility.script_of("я" + "aя" * 1024) == "CYRILLIC" and fertility.script_of("a" * 9 + "1" * 5000) == "LATIN"
     assert fertility.judged(df.limit(0)).count() == 0 and fertility.judged(df.limit(3), lang=None).count() == 3
 
 
@@ -255,63 +360,30 @@ def test_language_profiles(spark):
     got = {r.doc_id: r for r in hyperlang.identified(df, profiles).collect()}
     assert all(got[k].lang_pred == sorted(parts)[k % 3] and 0 <= got[k].score <= 1 for k in range(240))
     assert all((got[k].lang_pred, got[k].score) == ("und", 0) for k in (500, 501, 502))
-    text = rows[0][1]  # the folded products are the cosines of the text's own vector
-    cosines = profiles.prototypes @ hyperlang.encode(text)
-    assert math.isclose(profiles.predict([text])[1][0], cosines.max() / np.maximum(cosines, 0).sum(), rel_tol=1e-4)
+    text = rows[0][1]  # the folded products are those of the text's own vector
+    vector, counts = hyperlang.encode(text), np.unique(hyperlang.ngrams([text])[0], return_counts=True)[1]
+    cosine = (profiles.prototypes @ vector).max() / math.sqrt((counts**2).sum() * hyperlang.DIMENSIONS)
+    assert math.isclose(profiles.predict([text])[1][0], (1 + cosine) / 2, rel_tol=1e-9)
+    own = sum(hyperlang.encode(r[1]) for r in rows[:240] if r[6] == "bb" and zlib.crc32(str(r[0]).encode()) % 4 != 2)
+    assert np.allclose(profiles.prototypes[1], own / np.linalg.norm(own))
     none = hyperlang.learn(df.limit(0))
     assert {r.lang_pred for r in hyperlang.identified(df, none).collect()} == {"und"}
 
 
-def test_forward_is_the_sum_over_paths():
-    rng = np.random.default_rng(0)
-    norm = lambda a, axis: a / a.sum(axis=axis, keepdims=True)
-    m = hmm.Model(norm(rng.random(3), 0), norm(rng.random((3, 3)), 1), norm(rng.random((5, 3)), 0), np.ones(3) / 3)
-    docs = [np.array(x, np.uint16) for x in ([1], [0, 2, 4, 1], [3, 3, 1])]
-    for d, got in zip(docs, hmm.forward(docs, m), strict=True):
-        total = 0.0
-        for path in np.ndindex(*(3,) * len(d)):
-            p = m.first[path[0]] * m.emits[d[0], path[0]]
-            for t in range(1, len(d)):
-                p *= m.steps[path[t - 1], path[t]] * m.emits[d[t], path[t]]
-            total += p
-        assert math.isclose(got, math.log10(total), rel_tol=1e-9)
-    first, steps, emits = hmm.expected(docs, m, 5)
-    assert math.isclose(first.sum(), 3) and math.isclose(steps.sum(), 5) and math.isclose(emits.sum(), 8)
-    before = hmm.forward(docs, m).sum()  # a round of Baum-Welch can't lower the likelihood
-    after = hmm.Model(first / first.sum(), norm(steps + 1e-12, 1), norm(emits + 1e-12, 0), m.share)
-    assert hmm.forward(docs, after).sum() >= before - 1e-6
-
-
-def test_scores(spark, texts):
-    df = table(spark, [*texts, *[t for t in texts[17:57] for _ in range(3)]])
-    got = {r.doc_id: r for r in hmm.scored(df, train_on=crc_fold("doc_id", 7) != 2, states=4, rounds=2).collect()}
-    rows = {r.doc_id: [*(r.text or "").encode().lower().split(), None] for r in df.collect()}
-    counts = Counter()
-    for k, w in rows.items():
-        if zlib.crc32(str(k).encode()) % 7 != 2:
-            counts.update(w)
-    n, v = sum(counts.values()), len(counts)
-    for k, w in rows.items():
-        r = got[k]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(counts[x] > 0 for x in w), n)
-        assert math.isclose(r.base_score, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9) and math.isfinite(r.score) and r.score < 0
-    assert hmm.scored(df.limit(0)).count() == 0
-    untrained = hmm.scored(df.limit(4), train_on=F.lit(False)).collect()
-    assert len(untrained) == 4 and all(math.isfinite(r.score) and r.n_known == 0 for r in untrained)
-
-
-def test_every_word_seen_twice_is_learnt(spark):
-    rng = random.Random(8)
-    lot = [f"w{k}" for k in range(3000)]
-    made = [" ".join(rng.sample(lot[: 1500 if k % 2 else 3000], 100)) for k in range(300)]
-    made += ["nord sud " * 3, "est west " * 3, "zug bahn", None, "once only here", ""]
-    df = table(spark, made)
-    whole, few = ({r.doc_id: r for r in hmm.scored(df, states=3, rounds=2, held=n).collect()} for n in (hmm.HELD, 2100))
-    assert whole.keys() == few.keys() and len(few) == len(made)
-    for k, r in whole.items():  # what is held changes no score
-        assert math.isclose(r.score, few[k].score, rel_tol=1e-5) and math.isclose(r.base_score, few[k].base_score, rel_tol=1e-9) and r.n_known == few[k].n_known
-    with pytest.raises(ValueError):
-        hmm.scored(df, held=hmm.HELD + 1)
+def test_language_of_texts_with_letters_is_always_known(spark):
+    rows = [(1, "the thing then there", "aa"), (1, "the thing then there", "aa"), (2, "zq", None), (3, "mnv", None), (4, "эюя", None), (5, "1 2", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((r.doc_id, r.lang_pred) for r in hyperlang.identified(df, hyperlang.learn(df)).collect())
+    assert got == [(1, "aa"), (1, "aa"), (2, "aa"), (3, "aa"), (4, "aa"), (5, "und")]
+    tied = spark.createDataFrame([(1, "abc", "b"), (2, "abc", "a")], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in hyperlang.identified(tied, hyperlang.learn(tied)).collect()} == {"a"}
+
+
+def test_languages_are_told_apart_by_letters_of_their_own():
+    points = np.array(sorted(set("абвгдежзийклмнопрстуфхцчшщъыьэюяіїєґąćęłńóśźżàâçéèêëîïôûùüÿñ漢字仮名")), str).view(np.uint32)
+    vectors = hyperlang.letter_vectors(points).astype(float)
+    products = vectors @ vectors.T / hyperlang.DIMENSIONS - np.eye(len(points))
+    assert np.abs(products).max() < 0.15
 
 
 def test_archives(spark):
@@ -327,9 +399,21 @@ def test_archives(spark):
     assert warc.read_archives(warc.write_archives(df.limit(0))).count() == 0
 
 
+def test_archives_of_any_and_repeated_ids(spark):
+    big = "y<p>" * 20000
+    rows = [(-5, "u", "x" * 200), (7, "u", "x" * 200), (-5, "u", "x" * 200), (8, "u", big), (8, "v", big + "!"), (9, "u", big), (10, "u", big + "!"), (8, "u", "short")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    got = warc.read_archives(warc.write_archives(df)).collect()
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted(map(str, ((r.id, r.payload_digest, r.record_type, r.refers_to, r.problem) for r in got))) == sorted(map(str, [
+        (-5, digest("x" * 200), "response", None, None), (-5, digest("x" * 200), "response", None, None), (7, digest("x" * 200), "revisit", -5, None),
+        (8, digest(big), "response", None, None), (8, digest(big + "!"), "response", None, None), (8, digest("short"), "response", None, None),
+        (9, digest(big), "revisit", 8, None), (10, digest(big + "!"), "revisit", 8, None)]))
+
+
 def test_damaged_archives(spark, tmp_path):
     page = lambda k, limit, drop=(): b"".join(x for i, x in enumerate(warc.page_records(k, "u", b"y" * 1000, hashlib.sha256(b"y" * 1000).hexdigest(), None, limit)) if i not in drop)
-    lost = warc.record([("WARC-Type", "revisit"), ("WARC-Record-ID", "<urn:page:5>"), ("WARC-Refers-To", "<urn:page:77>")], b"")
+    lost = warc.record([("WARC-Type", "revisit"), ("WARC-Record-ID", "<urn:page:5:0.0>"), ("WARC-Refers-To", "<urn:page:77>")], b"")
     wrong = b"".join(warc.page_records(6, "u", b"z" * 200, "0" * 64, None, 10**6))
     (tmp_path / "a.warc.gz").write_bytes(page(1, 300) + page(2, 300, {1}) + page(3, 300, {0}) + page(4, 10**6) + lost + wrong)
     got = {r.id: r.problem for r in warc.read_archives(spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "path string")).collect()}
@@ -340,6 +424,16 @@ def test_damaged_archives(spark, tmp_path):
     assert warc.unchunked(b"3;x=1\r\nabc\r\n0\r\nT: v\r\n\r\n") == b"abc"
 
 
+def test_stages_are_deleted_and_settings_kept(spark):
+    before, folder = dict(spark.sparkContext.getConf().getAll()), common.shared_dir(spark).removeprefix("file://") + "/gleanframe"
+    rows, size = (spark.conf.get(k) for k in common.ARROW)
+    had = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = spark.createDataFrame([(k, f"some words of text {k} " * 9) for k in range(20)], "doc_id long, text string")
+    out = minhash.near_duplicates(df)
+    assert len(set(os.listdir(folder)) - had) == 1 and out.count() == 20
+    assert [spark.conf.get(k) for k in common.ARROW] == [rows, size] and dict(spark.sparkContext.getConf().getAll()) == before
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
