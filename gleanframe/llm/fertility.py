@@ -176,7 +176,7 @@ def measure(docs: DataFrame, id: str, text: str, lang: str | None, paths: Sequen
 #: the quartiles, the least such reach, and what is added to it over the square root of the tokens,
 #: for the noise of short texts.
 BANDED = {
-    "chars_per_token": (1 / 256, 2.5, 0.08, 2.0),
+    "chars_per_token": (1 / 256, 3.5, 0.08, 2.0),
     "fallback_share": (1 / 1024, 3.0, 0.03, 0.3),
     "spread": (1 / 64, 2.0, 0.4, 4.0),
 }
