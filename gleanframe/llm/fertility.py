@@ -206,11 +206,10 @@ def resolved(known: DataFrame, least_texts: int, vocabularies: int) -> DataFrame
     per_level = known.where(~F.col("base_failed")).withColumn("key", F.explode(F.array(*levels())))
     found = bands(per_level, least_texts, vocabularies)
     lines = [_numbered(x, k) for k in range(vocabularies) for x in ("slope", "offset")]
-    own = known.select("key", "script").distinct()
-    for k, key in enumerate(levels()):
-        band = found.select(F.col("key").alias(f"key{k}"), F.struct("bands", *lines, F.substring("key", 2, 1 << 30).alias("band")).alias(f"band{k}"))
-        own = own.withColumn(f"key{k}", key).join(band, f"key{k}", "left")
-    return staged(own.select("key", "script", F.coalesce("band0", "band1", "band2").alias("x")).select("key", "script", "x.*"), "bands-by-key")
+    band = found.select(F.col("key").alias("of"), F.struct("bands", *lines, F.substring("key", 2, 1 << 30).alias("band")).alias("x"))
+    own = known.select("key", "script").distinct().select("key", "script", F.posexplode(F.array(*levels())).alias("level", "of"))
+    first = own.join(band, "of").groupBy("key", "script").agg(F.min_by("x", "level").alias("x"))
+    return staged(first.select("key", "script", "x.*"), "bands-by-key")
 
 
 def bands(known: DataFrame, least_texts: int, vocabularies: int) -> DataFrame:

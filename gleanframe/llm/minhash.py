@@ -125,7 +125,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id: str, text: str, width: int,
     Pairs are dealt by their first member and a lot of its partners, so that no member meets all
     its partners in one task. Rows that share an id are linked by any of their texts.
     """
-    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots"))
+    # written tables on both sides, so that Spark can split the rows of a pivot with very many partners
+    pairs = staged(pairs.select("a", "b"), "likely")
+    degree = staged(pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots")), "degrees")
     dealt = staged(pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), "lots").alias("lot")), "pairs")
     pivots = dealt.select(F.col("a").alias("id"), "a", "lot", F.lit(0).alias("role")).distinct()
     wanted = staged(pivots.unionByName(dealt.select(F.col("b").alias("id"), "a", "lot", F.lit(1).alias("role"))), "wanted")
