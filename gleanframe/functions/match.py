@@ -10,6 +10,8 @@ from .text import VALUE_MARKS, comparable_value
 #: Share of the truth's words that a field must have, and the tolerance of values read from charts.
 WORD_SHARE, CHART_TOLERANCE = 0.6, 0.03
 CHART_TYPES = ("figure", "chart")
+#: Firms that a configuration may have.
+MOST_FIRMS = 10_000
 
 
 def field_words(text: Column) -> Column:
@@ -42,9 +44,12 @@ def value_matches(found: Column, truth: Column, kind: Column, tolerance: float =
 def with_firm(rows: DataFrame, entity: str, firms: DataFrame, name: str = "firm", order: str = "position") -> DataFrame:
     """``rows`` with the settings of the first firm whose name contains the entity's or is contained in it.
 
-    Case and spaces don't count. ``firms`` (name, position, settings) is a configuration of a few
-    rows; entities are matched once each. Rows without a firm keep nulls.
+    Case and spaces don't count. ``firms`` (name, position, settings) is a configuration of
+    ``MOST_FIRMS`` rows at most, which every task compares with its entities, each once; more are
+    an error. Rows without a firm keep nulls.
     """
+    if firms.limit(MOST_FIRMS + 1).count() > MOST_FIRMS:
+        raise ValueError(f"more than {MOST_FIRMS} firms")
     key = lambda c: F.replace(F.lower(c), F.lit(" "), F.lit(""))
     entities = rows.select(F.col(entity).alias("_entity")).where(key(F.col(entity)) != "").distinct()
     keyed = firms.withColumn("_key", key(F.col(name))).where("_key <> ''")

@@ -83,7 +83,7 @@ def last_words(text: Column, k: int) -> Column:
     return F.array_join(F.slice(words, F.greatest(F.size(words) - k + 1, F.lit(1)), k), " ")
 
 
-def storage_path(c: Column) -> Column:
-    """Volume paths without their scheme, other dbfs paths below /dbfs; empty is null."""
-    out = F.when(c.startswith("dbfs:/Volumes"), F.replace(c, F.lit("dbfs:"), F.lit(""))).when(c.startswith("dbfs:"), F.replace(c, F.lit("dbfs:"), F.lit("/dbfs"))).otherwise(c)
-    return _given(out)
+def storage_path(c: Column, scheme: str = "store:", volumes: str = "/volumes", mounted: str = "/store") -> Column:
+    """Paths below ``volumes`` without their scheme, others of the scheme below the folder where it is mounted; empty is null."""
+    plain = F.substring(c, len(scheme) + 1, 1 << 30)
+    return _given(F.when(c.startswith(scheme + volumes), plain).when(c.startswith(scheme), F.concat(F.lit(mounted), plain)).otherwise(c))

@@ -29,15 +29,16 @@ def needs_image(kind: Column, content: Column, confidence: Column, settings: Set
     return F.coalesce((kind == "figure") & (_blank(content) | F.coalesce(confidence < settings.figure_threshold, F.lit(False))), F.lit(False))
 
 
+# Routes: ``as_parsed`` takes the parser's output, ``read_image`` has a model read the picture, ``read_text`` the description.
 def table_route(kind: Column, content: Column, confidence: Column, settings: Settings = Settings()) -> Column:
     weak = _blank(content) | F.coalesce(confidence < settings.table_threshold, F.lit(False))
-    return F.when((kind == "table") & weak, "sonnet_image").otherwise("use_ai_parse")
+    return F.when((kind == "table") & weak, "read_image").otherwise("as_parsed")
 
 
 def figure_route(description: Column, content: Column, confidence: Column, settings: Settings = Settings()) -> Column:
     kind = figure_class(description, content)
     image = (kind == "no_content") | F.coalesce(confidence < settings.figure_threshold, F.lit(False))
-    return F.when(kind == "logo", "skip").when(image, "sonnet_image").otherwise("sonnet_text")
+    return F.when(kind == "logo", "skip").when(image, "read_image").otherwise("read_text")
 
 
 def route(kind: Column) -> Column:

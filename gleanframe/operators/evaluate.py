@@ -142,8 +142,8 @@ def speed(runs: DataFrame) -> DataFrame:
 def cost(runs: DataFrame, settings: Settings = Settings(), parse_rate: float = 0.0) -> DataFrame:
     """Cost of runs (input_tokens, output_tokens, documents, pages), model rates per million tokens, parsing per page."""
     model = F.col("input_tokens") / 1e6 * settings.input_rate + F.col("output_tokens") / 1e6 * settings.output_rate
-    known = runs.withColumns({"llm_cost_usd": model, "ai_parse_cost_usd": F.col("pages") * parse_rate})
-    total = F.col("llm_cost_usd") + F.col("ai_parse_cost_usd")
+    known = runs.withColumns({"llm_cost_usd": model, "parse_cost_usd": F.col("pages") * parse_rate})
+    total = F.col("llm_cost_usd") + F.col("parse_cost_usd")
     return known.withColumns({"total_cost_usd": total, "cost_per_doc_usd": ratio(total, F.col("documents")), "cost_per_page_usd": ratio(total, F.col("pages"))})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,18 +19,40 @@ TITLED = r"(?i)titled\s+['\"]([^'\"]+)['\"]"
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
 
-def value_spans(text: Column) -> Column:
-    """(value, before) of each value in a text: values are fenced by marks, and the text cut at them."""
+def value_spans(text: Column, kept: Callable[[Column], Column]) -> Column:
+    """(value, before, n) of each value in a text: values are fenced by marks, the text is cut at them and folded.
+
+    ``kept`` reduces the text before a value to what can still matter, so that work and memory grow
+    with the text alone. The cut text is bound as the one element of an array: the optimizer would
+    have it computed again for each value.
+    """
     clean = F.translate(text, _OPEN + _CLOSE, "  ")
     parts = F.split(F.regexp_replace(clean, f"(?iU){VALUE}", f"{_OPEN}$0{_CLOSE}"), _OPEN)
-    before = lambda i: F.replace(F.array_join(F.slice(parts, 1, i), ""), F.lit(_CLOSE), F.lit(""))
-    spans = F.transform(parts, lambda p, i: F.struct(F.element_at(F.split(p, _CLOSE), 1).alias("value"), before(i).alias("before"), i.alias("n")))
-    return F.filter(spans, lambda s: s["n"] > 0)
+    none = F.array().cast("array<struct<value: string, before: string, n: int>>")
+
+    def step(done: Column, part: Column) -> Column:
+        span = F.struct(F.substring_index(part, _CLOSE, 1).alias("value"), done["before"].alias("before"), (F.size(done["spans"]) + 1).alias("n"))
+        return F.struct(kept(F.concat(done["before"], F.replace(part, F.lit(_CLOSE), F.lit("")))).alias("before"), F.array_append(done["spans"], span).alias("spans"))
+
+    def folded(p: Column) -> Column:
+        return F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.struct(kept(p[0]).alias("before"), none.alias("spans")), step, lambda x: x["spans"])
+
+    return F.element_at(F.transform(F.array(parts), folded), 1)
+
+
+def _last_pieces(words: int) -> Callable[[Column], Column]:
+    """The end of a text that holds its last words, cut at single spaces."""
+    return lambda before: F.substring_index(before, " ", -(words + 2))
+
+
+def _last_clause(before: Column) -> Column:
+    """The text behind the last clause mark that something follows."""
+    return F.element_at(F.split(before, r"(?i),(?=.)|;(?=.)|\band\b(?=.)"), -1)
 
 
 def prose_values(rows: DataFrame, text: str = "content", title: str | None = None, words: int = 6) -> DataFrame:
     """A row for each value with currency or unit; its name is the last words before it. Values without any are skipped."""
-    each = rows.withColumn("_span", F.explode(value_spans(squeezed(F.col(text)))))
+    each = rows.withColumn("_span", F.explode(value_spans(squeezed(F.col(text)), _last_pieces(words))))
     named = each.withColumn("field_name", last_words(F.col("_span.before"), words)).where("field_name <> ''")
     if title:
         named = named.withColumn("field_name", joined_context(F.col(title), F.col("field_name")))
@@ -48,7 +72,7 @@ def figure_values(rows: DataFrame, text: str = "description", title: str | None
     """A row for each value of a figure's description, named by the chart's title and the label before it."""
     clean = squeezed(F.col(text))
     own = F.nullif(F.trim(F.regexp_extract(clean, TITLED, 1)), F.lit(""))
-    each = rows.withColumns({"_chart": own, "_span": F.explode(value_spans(clean))})
+    each = rows.withColumns({"_chart": own, "_span": F.explode(value_spans(clean, _last_clause))})
     named = each.withColumn("field_name", figure_label(F.col("_span.before"))).where("field_name <> ''")
     name = joined_context(*([F.col(title)] if title else []), F.col("_chart"), F.col("field_name"))
     value = squeezed(F.col("_span.value"))

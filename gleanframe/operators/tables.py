@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from ..functions.numbers import has_digit, has_number
 from ..functions.text import joined_context, squeezed, unit_of
 from ..schemas import PARSED
+from ..shipping import ship
 
 #: Columns that may hold row labels, and header rows of a rendered table, at most.
 LABEL_COLUMNS, RENDERED_HEADERS = 5, 3
+#: The greatest spans that HTML allows; greater ones count as these.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 
 
 class _Cells(HTMLParser):
@@ -34,8 +37,9 @@ class _Cells(HTMLParser):
         if tag == "tr":
             self.row = []
         elif tag in ("td", "th"):
-            spans = [int(v) if (v := dict(attrs).get(k) or "1").strip().isdigit() else 1 for k in ("colspan", "rowspan")]
-            self.cell = [[], tag == "th", *(max(1, s) for s in spans)]
+            given = dict(attrs)
+            spans = [int(v) if (v := (given.get(k) or "1").strip()).isascii() and v.isdigit() else 1 for k in SPANS]
+            self.cell = [[], tag == "th", *(min(max(1, s), most) for s, most in zip(spans, SPANS.values(), strict=True))]
 
     def handle_data(self, data: str) -> None:
         if self.cell is not None:
@@ -79,6 +83,7 @@ def grids(tables: DataFrame, key: str, html: str) -> DataFrame:
             types = [b.column(0).type, pa.int32(), pa.int32(), pa.string(), pa.bool_()]
             yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["key", "row", "col", "text", "header"])
 
+    ship(tables.sparkSession)
     cells = tables.select(F.col(key).alias("key"), html).mapInArrow(work, f"key {kind}, row int, col int, text string, header boolean")
     return cells.withColumn("text", squeezed(F.col("text")))
 

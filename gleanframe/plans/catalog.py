@@ -127,8 +127,8 @@ def variant_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 with e as (select *, lower(trim(concat_ws(' ', description, content))) as t, trim(coalesce(content, '')) = '' as blank from ({ELEMENTS}) as e),
 c as (select *, case when regexp_matches(coalesce(description, '') || ' ' || coalesce(content, ''), '(?i)logo|emblem|icon|crest|letterhead') then 'logo' when regexp_matches(t, '-?[0-9][0-9,]*(\\.[0-9]+)?') then 'data' else 'no_content' end as figure_class from e)
 select doc, pos, case when el_type in ('page_header', 'page_footer', 'page_number') then 'skip' when el_type = 'title' then 'context' else el_type end as route, figure_class,
- el_type = 'figure' and (blank or share < 0.75) as needs_image, case when el_type = 'table' and (blank or share < 0.6) then 'sonnet_image' else 'use_ai_parse' end as table_route,
- case when el_type = 'figure' then case when figure_class = 'logo' then 'skip' when figure_class = 'no_content' or share < 0.75 then 'sonnet_image' else 'sonnet_text' end end as figure_route from c""")
+ el_type = 'figure' and (blank or share < 0.75) as needs_image, case when el_type = 'table' and (blank or share < 0.6) then 'read_image' else 'as_parsed' end as table_route,
+ case when el_type = 'figure' then case when figure_class = 'logo' then 'skip' when figure_class = 'no_content' or share < 0.75 then 'read_image' else 'read_text' end end as figure_route from c""")
 def element_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, content, description, share = (F.col(c) for c in ("el_type", "content", "description", "share"))
     share = share.cast("double")
@@ -156,11 +156,11 @@ def entity_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""
-select s_suppkey, case when s_suppkey % 3 = 0 then '/Volumes/a/' || s_suppkey when s_suppkey % 3 = 1 then '/dbfs/tmp/' || s_suppkey else '/mnt/' || s_suppkey end as path,
+select s_suppkey, case when s_suppkey % 3 = 0 then '/volumes/a/' || s_suppkey when s_suppkey % 3 = 1 then '/store/tmp/' || s_suppkey else '/mnt/' || s_suppkey end as path,
  case when s_suppkey % 2 = 0 then 'r' || s_suppkey || '.pptx' else 'r' || s_suppkey || '.pdf' end as document from {supplier}""")
 def paths_and_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
-    path = F.concat(F.when(k % 3 == 0, "dbfs:/Volumes/a/").when(k % 3 == 1, "dbfs:/tmp/").otherwise("/mnt/"), k)
+    path = F.concat(F.when(k % 3 == 0, "store:/volumes/a/").when(k % 3 == 1, "store:/tmp/").otherwise("/mnt/"), k)
     id = F.concat(F.lit("r"), k, F.when(k % 2 == 0, ".pptx-s2-img0").otherwise(".pdf-p3-aiparsetxt"))
     return spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", text.storage_path(path).alias("path"), text.source_document(id).alias("document"))
 
@@ -443,10 +443,10 @@ def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""
 with b as ({_BATCH}) select team, documents / elapsed_seconds * 60 as docs_per_min, pages / elapsed_seconds * 60 as pages_per_min, claims / elapsed_seconds * 60 as claims_per_min, elapsed_seconds / documents as seconds_per_doc, elapsed_seconds / pages as seconds_per_page,
- input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 as llm_cost_usd, pages * 0.005::double as ai_parse_cost_usd, (input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 + pages * 0.005) / documents as cost_per_doc_usd from b""")
+ input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 as llm_cost_usd, pages * 0.005::double as parse_cost_usd, (input_tokens / 1e6 * 3 + output_tokens / 1e6 * 15 + pages * 0.005) / documents as cost_per_doc_usd from b""")
 def speed_and_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = evaluate.cost(evaluate.speed(frame(spark, sf_dir, _BATCH)), parse_rate=0.005)
-    return out.select("team", "docs_per_min", "pages_per_min", "claims_per_min", "seconds_per_doc", "seconds_per_page", "llm_cost_usd", "ai_parse_cost_usd", "cost_per_doc_usd")
+    return out.select("team", "docs_per_min", "pages_per_min", "claims_per_min", "seconds_per_doc", "seconds_per_page", "llm_cost_usd", "parse_cost_usd", "cost_per_doc_usd")
 
 
 @registered(f"""
@@ -608,7 +608,7 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""select path from (select 'f/' || s_suppkey || '.pptx' as path from {supplier}) order by path limit 7""")
 def first_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("'f/' || s_suppkey || '.pptx'").alias("path")).orderBy("path").limit(7)
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("'f/' || s_suppkey || '.pptx'").alias("path")).transform(files.first_paths, 7)
 
 
 

@@ -4,15 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-ELEMENT = "doc string, pos int, el_type string, content string, description string, confidence double, page int, coord array<double>"
-CLAIM = (
-    "doc string, pos int, field_name string, element_type string, canonical_metric string, value string, unit string, reporting_basis string, "
-    "netting string, scale string, as_at_date string, confidence double, source_element_id string, entity_ref string, model_used string, "
-    "needs_review boolean, grounding string, citation_tier string, review_tier string, measure_type string, period string, page int, "
-    "bbox array<double>, domain_tag string, tag_source string"
-)
+#: What a model that reads a figure's geometry returns: bars and the labels of the axis.
 GEOMETRY = "bars array<struct<id int, series string, value string, x_center double>>, labels array<struct<text string, x_center double>>"
-TRUTH = "document string, page string, element_type string, field_name string, value string, should_extract string, notes string"
 
 # Element types without content of their own, and those that give context.
 LAYOUT = ("page_header", "page_footer", "page_number")
@@ -46,12 +39,13 @@ class RunParameters:
 
     source: str
     prefix: str
+    volumes: str = "/volumes"
 
     def checked(self, taken: set[str] = frozenset()) -> "RunParameters":
-        """A volume path of five parts at least and a new prefix that ends in one underscore; ValueError otherwise."""
+        """A path of five parts at least below ``volumes`` and a new prefix that ends in one underscore; ValueError otherwise."""
         prefix = self.prefix.strip().rstrip("_") + "_"
-        if not self.source.startswith("/Volumes") or len([x for x in self.source.split("/") if x]) < 4 + (not self.source.endswith("/")):
-            raise ValueError("the source is a folder below /Volumes/<catalog>/<schema>/<volume>")
+        if not self.source.startswith(self.volumes) or len([x for x in self.source.split("/") if x]) < 4 + (not self.source.endswith("/")):
+            raise ValueError(f"the source is a folder below {self.volumes}/<catalog>/<schema>/<volume>")
         if prefix == "_" or prefix in taken:
             raise ValueError("the prefix is empty or taken")
-        return RunParameters(self.source, prefix)
+        return RunParameters(self.source, prefix, self.volumes)

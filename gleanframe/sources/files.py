@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Levels of folders above a file, and the convention of file names.
@@ -28,15 +28,33 @@ def attributed(paths: DataFrame, root: str, path: str = "path") -> DataFrame:
     return named.withColumn("entity_ref", one_spaced(F.col("entity"))).drop("_parts")
 
 
+def first_paths(paths: DataFrame, limit: int | None, path: str = "path") -> DataFrame:
+    """The first ``limit`` rows by path (0 or None: all, in no order); each task keeps so many."""
+    return paths.orderBy(path).limit(limit) if limit else paths
+
+
 def submissions(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
-    """All submissions below a root, by path; empty if there is no such root. ``limit`` 0 or None: all.
+    """All submissions below a root, or the first ``limit`` by path (0 or None: all); empty if there is no such root.
 
-    The scan lists files; their content is read only by those who select it.
+    Files are listed and, with a limit, sorted by their names; the content is read of those alone
+    that are chosen, and only by those who select it.
     """
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], "path string, content binary, team string, report_type string, entity string, entity_id string, entity_name string, entity_ref string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        return spark.createDataFrame([], "path string, content binary, modified timestamp, team string, report_type string, entity string, entity_id string, entity_name string, entity_ref string")
     base = at.toUri().getPath()
-    found = attributed(files.withColumn("path", F.regexp_replace("path", "^[a-z]+:/+", "/")), base).select("path", "content", *LEVELS, "entity_ref").orderBy("path")
-    return found.limit(limit) if limit else found
+    named = lambda df: attributed(df.withColumn("path", F.regexp_replace("file", "^[a-z]+:/+", "/")), base)
+    read = lambda *where: spark.read.format("binaryFile").option("recursiveFileLookup", True).load([*where]).withColumnsRenamed({"path": "file", "modificationTime": "modified"})
+    where = [root]
+    if limit:
+        where = [r["file"] for r in first_paths(named(read(root).select("file")), limit).select("file").collect()]  # ``limit`` names
+        if not where:
+            where, limit = [root], None
+    return named(read(*where)).select("path", "content", "modified", *LEVELS, "entity_ref")
+
+
+def images_by_time(files: DataFrame, pattern: str = r"(?i)\.(png|jpe?g)$") -> DataFrame:
+    """(place, path, modified) of image files, numbered by time of change, then by path, within their folder."""
+    folder = F.substring_index("path", "/", -1)
+    found = files.where(F.col("path").rlike(pattern)).select("path", "modified").withColumn("folder", F.expr("substring(path, 1, length(path) - length(substring_index(path, '/', -1)))"))
+    return found.withColumn("place", F.row_number().over(Window.partitionBy("folder").orderBy("modified", "path")) - 1).select("folder", "place", "path", "modified", folder.alias("name"))

@@ -13,6 +13,8 @@ from collections.abc import Awaitable, Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..shipping import ship
+
 
 def parsed_by(files: DataFrame, parse: Callable[[str, bytes], str]) -> DataFrame:
     """(doc, response, error) of files (path, content)."""
@@ -27,6 +29,7 @@ def parsed_by(files: DataFrame, parse: Callable[[str, bytes], str]) -> DataFrame
                     rows.append((path, None, str(e)[:200]))
             yield pd.DataFrame(rows, columns=["doc", "response", "error"])
 
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(work, "doc string, response string, error string")
 
 
@@ -69,6 +72,7 @@ def read_by_model(figures: DataFrame, read: Callable[[dict], Awaitable[str]], co
         for f in frames:
             yield pd.DataFrame(asyncio.run(all_of(f.to_dict("records"))), columns=["doc", "pos", "raw", "error"])
 
+    ship(figures.sparkSession)
     return figures.mapInPandas(work, "doc string, pos int, raw string, error string")
 
 

@@ -68,6 +68,6 @@ def test_points_in(spark, raw, n):
 
 
 def test_paths_and_names(spark):
-    assert of(spark, text.storage_path(F.lit("dbfs:/Volumes/a"))) == "/Volumes/a"
+    assert of(spark, text.storage_path(F.lit("store:/volumes/a"))) == "/volumes/a"
     assert of(spark, files.entity_of_file_name(F.lit("A12_Bank_Report_2024-01-31.pdf"))) == "A12"
     assert of(spark, files.entity_of_file_name(F.lit("report.pdf"))) is None

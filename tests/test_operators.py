@@ -140,9 +140,9 @@ def test_stream_ends_and_resumes(spark, tmp_path):
 
 
 def test_parameters():
-    assert RunParameters("/Volumes/a/b/c/d", " run_ ").checked().prefix == "run_"
+    assert RunParameters("/volumes/a/b/c/d", " run_ ").checked().prefix == "run_"
     with pytest.raises(ValueError):
         RunParameters("/tmp/x", "p").checked()
     with pytest.raises(ValueError):
-        RunParameters("/Volumes/a/b/c/d", "p").checked({"p_"})
+        RunParameters("/volumes/a/b/c/d", "p").checked({"p_"})
     assert Settings().table_name("gold", "Team A", "LCR") == "prod_gold_team_a_lcr"
