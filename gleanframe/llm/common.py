@@ -103,7 +103,23 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         scopes[-1].append(path)
     with settings(spark, ARROW):
         df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def finished(stage: DataFrame) -> None:
+    """Delete a stage that nothing reads any more, before its operator ends."""
+    path = stage._staged_at
+    for scope in getattr(_local, "scopes", []):
+        if path in scope:
+            scope.remove(path)
+    _delete(stage.sparkSession, path)
 
 
 def operator(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -119,10 +135,8 @@ def operator(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         finally:
             scopes.pop()
         done = staged(out, function.__name__)
-        hadoop, jvm = out.sparkSession.sparkContext._jsc.hadoopConfiguration(), out.sparkSession.sparkContext._jvm
         for x in own:
-            place = jvm.org.apache.hadoop.fs.Path(x)
-            place.getFileSystem(hadoop).delete(place, True)
+            _delete(out.sparkSession, x)
         return done
 
     return run

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, operator, rows_of, settings, ARROW, staged, strings
+from .common import ARROW, by_batch, finished, operator, rows_of, settings, staged, strings
 
 STATES = 12
 #: Most frequent words, whose emissions every task holds; id 0 stands for the others, 1 for the end.
@@ -34,7 +34,7 @@ ROUNDS, GAIN = 3, 1e-3
 #: Steps of the recursions whose forward variables are kept at once; those before are computed again.
 BLOCK = 2048
 #: Most tokens of a text in each kind of lot, and tokens of a lot, but for its last text.
-LOTS = ((512, 1 << 17), (BLOCK, 1 << 18), (1 << 62, 1 << 20))
+LOTS = ((512, 1 << 18), (BLOCK, 1 << 19), (1 << 62, 1 << 20))
 #: Share of a state's emissions that follows the words' overall frequencies.
 SMOOTHING = 0.02
 #: Frequent words that seed the states, and the neighbours by which they are told apart.
@@ -289,8 +289,8 @@ def untied(first: np.ndarray, steps: np.ndarray, emits: np.ndarray, rare: np.nda
     return Model(*_chain(first, steps, mass), own, tail)
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
-    """Lengths, symbols, other words and their places of each lot in (lengths, symbols, words, places)."""
+def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Lengths, symbols, other words (or their number) and their places of each lot in (lengths, symbols, words, places)."""
     for b in batches:
         for k in range(b.num_rows):
             lengths, symbols, words, places = (b.column(j)[k].as_py() for j in range(4))
@@ -432,6 +432,7 @@ def train(rows: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
     part = lambda k: F.shiftrightunsigned(packed[k // 4], 16 * (k % 4)).bitwiseAND(F.lit(65535)).cast("double")
     total = F.greatest(sum((part(k) for k in range(states)), F.lit(0.0)), F.lit(1.0))
     mass = emitted.where("c > 1").agg(*[F.sum(F.col("c") * part(k) / total) for k in range(states)]).first()
+    finished(last)
     return untied(got[-2], got[symbols:-2], got[:symbols], rare, np.array([x or 0 for x in mass], float), known), emitted
 
 
@@ -457,6 +458,7 @@ def scored(
     own = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), trains.alias("train"))
     counts = staged(word_counts(own.where("train"), "text"), "word-counts")
     known = vocabulary(counts, held)
+    finished(counts)
     rows = staged(encoded(own, "id", "text", known), "lots")
     _tidy(docs.sparkSession)
     model, emitted = train(rows.where("train"), known, states, rounds, gain)
@@ -474,13 +476,13 @@ def scored(
         logs = np.log10(counts + 1)
         for b in batches:
             for k, (lengths, ids, words, places) in enumerate(_lots([b.select(["lengths", "symbols", "words", "places"])])):
-                c, shares = np.zeros(len(words), np.int64), np.zeros((len(words), states))
+                c, shares = np.zeros(words, np.int64), np.zeros((words, states))
                 if (got := b.column("met")[k].values) is not None and len(got):
                     at = got.field("at").to_numpy(zero_copy_only=False)
                     c[at] = got.field("c").to_numpy(zero_copy_only=False)
                     shares[at] = _unpacked(np.stack([got.field(x).fill_null(0).to_numpy(zero_copy_only=False) for x in parts], axis=1), states)
                 common = np.flatnonzero(c > 1)
-                number = np.zeros(len(words), np.int64)
+                number = np.zeros(words, np.int64)
                 number[common] = len(model.emits) + np.arange(len(common))
                 emits = model.emits
                 if len(common):
@@ -501,5 +503,6 @@ def scored(
                 arrays = [b.column("ids")[k].values, pa.array([b.column("train")[k].as_py()] * len(lengths)), pa.array(lengths), pa.array(n_known), pa.array(base), pa.array(score)]
                 yield pa.record_batch(arrays, names=["id", "train", "n_tokens", "n_known", "base_score", "score"])
 
-    found = by_batch(rows.join(met, "lot", "left"), work, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    lots = rows.withColumn("words", F.size("words"))  # the words themselves stay behind
+    found = by_batch(lots.join(met, "lot", "left"), work, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("id").alias(id), "train", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
