@@ -40,13 +40,13 @@ def admissible(kind: Column, text: Column) -> Column:
     return ~is_layout(kind) & (F.length(F.trim(F.coalesce(text, F.lit("")))) >= LEAST)
 
 
-def chunks(readable_elements: DataFrame, path: str = "doc") -> DataFrame:
-    """Chunk rows of the admissible elements, with id, hash and a map of what they measure."""
+def chunks(readable_elements: DataFrame, path: str = "doc", carried: tuple[str, ...] = ()) -> DataFrame:
+    """Chunk rows of the admissible elements, with id, hash and a map of what they measure; ``carried`` columns pass through."""
     kept = readable_elements.where(admissible(F.col("el_type"), F.col("text")))
     measures = F.map_filter(F.create_map(F.lit("page"), F.col("page").cast("string"), F.lit("element_type"), F.col("el_type")), lambda k, v: v.isNotNull())
     return kept.select(
         chunk_id(F.col(path), F.col("page"), F.col("text")).alias("chunk_id"), F.lit("raw_text").alias("chunk_type"), F.col("text").alias("content"),
-        F.element_at(F.split(path, "/"), -1).alias("source_document_id"), short_hash(F.col("text")).alias("content_hash"), "page", F.lit("1.0").alias("schema_version"), measures.alias("metrics"),
+        F.element_at(F.split(path, "/"), -1).alias("source_document_id"), short_hash(F.col("text")).alias("content_hash"), "page", F.lit("1.0").alias("schema_version"), measures.alias("metrics"), *carried,
     )
 
 

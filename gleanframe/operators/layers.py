@@ -87,12 +87,6 @@ def gold(claims: DataFrame) -> DataFrame:
     return kept.withColumns(derived)
 
 
-def review(claims: DataFrame) -> DataFrame:
-    """Flagged claims, unfiltered, with a reason."""
-    reason = F.when(F.coalesce(F.col("needs_review"), F.lit(False)), "conflict").otherwise("low_confidence")
-    return claims.withColumn("review_reason", reason)
-
-
 def analytical(rows: DataFrame) -> DataFrame:
     """The parts of a metric's path as columns."""
     part = lambda k: F.try_element_at(F.split("canonical_metric", r" \| "), F.lit(k))

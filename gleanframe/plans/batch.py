@@ -1,44 +1,82 @@
-"""A whole batch: files to elements, claims, layers and chunks, as one plan with four sinks."""
+"""A whole batch: files to elements, claims, layers and chunks, as one plan with several sinks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Awaitable, Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import entity_or_unknown
+from ..functions import jsonx
+from ..functions.text import entity_or_unknown, is_ornament
+from ..operators import charts, evaluate, layers, prose, quality, tables
 from ..operators import chunks as ch
 from ..operators import elements as el
-from ..operators import layers, prose, quality, tables
 from ..schemas import Settings
 from ..sources import files, parsed, providers
 
 CLAIM_COLUMNS = ("doc", "pos", "page", "element_type", "field_name", "canonical_metric", "value", "unit", "confidence", "citation_tier", "content")
 
 
-def claims_of(elements: DataFrame) -> DataFrame:
-    """Claims of all elements by route: tables by their grid, prose and captions by their values, figures by their description."""
+def _keyed(elements: DataFrame) -> DataFrame:
+    return elements.where("el_type = 'table'").withColumn("key", F.concat_ws("\u0001", "doc", F.col("pos").cast("string")))
+
+
+def claims_of(elements: DataFrame, vision: DataFrame | None = None) -> DataFrame:
+    """Claims of all elements by route: tables by their grid or, without any number in it, as a whole; prose and captions by their values; figures by what a model read (``vision``) or else by their description."""
     known = el.with_context(elements)
     text = known.where(F.col("el_type").isin("text", "caption", "footnote"))
-    keyed = known.where("el_type = 'table'").withColumn("key", F.concat_ws("\u0001", "doc", F.col("pos").cast("string")))
-    table = tables.table_claims(keyed, "key", "content", "context").join(keyed.select("key", "doc", "pos", "page", "content"), "key")
-    figure = prose.figure_values(known.where((F.col("el_type") == "figure") & (el.figure_class(F.col("description"), F.col("content")) == "data")), "description", "context")
-    parts = [table, prose.prose_values(text, "content", "context"), figure]
-    return parts[0].select(*CLAIM_COLUMNS).unionByName(parts[1].select(*CLAIM_COLUMNS)).unionByName(parts[2].select(*CLAIM_COLUMNS))
+    keyed = _keyed(known)
+    found = tables.table_claims(keyed, "key", "content", "context")
+    place = keyed.select("key", "doc", "pos", "page", "content")
+    table = found.join(place, "key")
+    whole = tables.whole_table_claims(keyed, found, "key", "content").withColumns({
+        "canonical_metric": F.col("field_name"), "unit": F.lit(None).cast("string"), "element_type": F.lit("table"), "citation_tier": F.lit("parsed"),
+    }).join(place, "key")
+    figure = prose.figure_values(known.where((F.col("el_type") == "figure") & (el.figure_class(F.col("description"), F.col("content")) == "data")), "description", "context").select(*CLAIM_COLUMNS)
+    if vision is not None:
+        figure = charts.or_described(vision.select(*CLAIM_COLUMNS), figure)
+    parts = [table, whole, prose.prose_values(text, "content", "context"), figure]
+    out = parts[0].select(*CLAIM_COLUMNS)
+    for x in parts[1:]:
+        out = out.unionByName(x.select(*CLAIM_COLUMNS))
+    return out
+
+
+def vision_claims(elements: DataFrame, readings: DataFrame) -> DataFrame:
+    """Claims of the figures that a model read: (doc, pos, raw, error) to one row for each point with a name and a value."""
+    points = readings.where("raw is not null").select("doc", "pos", F.explode(jsonx.points_in(F.col("raw"))).alias("point"))
+    place = elements.select("doc", "pos", "page", "content")
+    return charts.points_to_claims(points).join(place, ["doc", "pos"]).select(*CLAIM_COLUMNS)
+
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read again: a provider is called once, whatever reads its output."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def run_batch(spark: SparkSession, root: str, out: str, parse: Callable[[str, bytes], str] = providers.as_json, settings: Settings = Settings(), limit: int | None = None) -> dict[str, int]:
+
+def run_batch(
+    spark: SparkSession, root: str, out: str, parse: Callable[[str, bytes], str] = providers.as_json, settings: Settings = Settings(), limit: int | None = None,
+    read: Callable[[dict], Awaitable[str]] | None = None,
+) -> dict[str, int]:
     """Ingest all submissions below ``root`` into layers below ``out``; returns rows added by layer. Running twice adds nothing.
 
-    One bad document doesn't fail the batch: it becomes a quarantine row.
+    ``bronze`` has the elements, ``silver`` all claims, ``gold`` the measures, ``review`` the flagged
+    claims with a reason, ``audit`` what each document covers, ``chunks`` the readable text with
+    tables as Markdown and figures with their claims. ``read`` (a model) gets each figure that needs
+    its picture read, with the image of its page, if the parser gave one; ``readings`` below ``out``
+    keeps its answers. One bad document doesn't fail the batch: it becomes a quarantine row.
     """
     found = files.submissions(spark, root, limit)
-    responses = providers.parsed_by(found, parse)
-    responses.write.mode("overwrite").parquet(f"{out}/responses")  # a provider is called once, whatever reads its output
-    responses = spark.read.parquet(f"{out}/responses")
+    responses = _written(providers.parsed_by(found, parse), f"{out}/responses")
     elements = parsed.elements(responses)
-    claims = claims_of(elements)
+    vision = None
+    if read is not None:
+        used, figures = el.hybrid_split(elements, settings)
+        wanted = parsed.page_images(figures.select("doc", "pos", "page", "description"), parsed.pages(responses))
+        vision = vision_claims(elements, _written(providers.read_by_model(wanted, read), f"{out}/readings"))
+    claims = claims_of(elements, vision)
     origin = found.select(F.col("path").alias("doc"), "team", "report_type", "entity_ref", "entity_id", "entity_name")
     dates = layers.document_dates(origin.select("doc", F.col("doc").alias("path")), elements, claims)
     full = claims.join(origin, "doc").join(dates, "doc", "left").withColumns({
@@ -47,13 +85,44 @@ def run_batch(spark: SparkSession, root: str, out: str, parse: Callable[[str, by
     }).drop("content")
     silver = layers.stamped(full, {}).persist()
     clean, review = quality.gated(silver, None, settings)
+    whose = F.col("doc")
     lost = responses.join(elements.select("doc").distinct(), "doc", "left_anti").join(origin, "doc").withColumns({"pos": F.lit(0), "error": F.coalesce("error", F.lit("no elements"))}).select("doc", "pos", "team", "report_type", "error")
-    indexed = ch.chunks(ch.readable(elements).join(origin, "doc")).withColumn("_doc", F.col("source_document_id"))
+    bronze = elements.join(origin.select("doc", "team", "report_type"), "doc")
+    audit = evaluate.coverage_audit(elements.withColumn("ornament", is_ornament(F.col("description"), F.col("content"))), claims).join(origin.select("doc", "team", "report_type"), "doc").withColumn("pos", F.lit(0))
+    rendered = tables.markdown(_keyed(elements), "key", "content").join(_keyed(elements).select("key", "doc", "pos"), "key")
+    readable = ch.readable(elements, rendered, claims.where("citation_tier = 'llm_estimated'").select("doc", "page", "pos", "field_name", "canonical_metric", "value", "unit"))
+    indexed = ch.chunks(readable.join(origin.select("doc", "team", "report_type"), "doc"), carried=("team", "report_type"))
+    hashed = lambda df, *c: df.withColumn("content_hash", layers.row_hash(whose, *[F.col(x) for x in c]))
     try:
         return {
+            "bronze": layers.append(hashed(bronze, "pos", "el_type", "content", "description"), f"{out}/bronze"),
             "silver": layers.append(silver, f"{out}/silver"), "gold": layers.append(layers.gold(clean), f"{out}/gold"),
-            "review": layers.append(review, f"{out}/review"), "quarantine": layers.append(lost.withColumn("content_hash", layers.row_hash(F.col("doc"), F.col("error"))), f"{out}/quarantine"),
-            "chunks": layers.append(indexed.drop("_doc", "metrics").withColumnsRenamed({}).withColumns({"team": F.lit("all"), "report_type": F.lit("all")}), f"{out}/chunks", "chunk_id", ("source_document_id", "page")),
+            "review": layers.append(review, f"{out}/review"), "quarantine": layers.append(hashed(lost, "error"), f"{out}/quarantine"),
+            "audit": layers.append(hashed(audit, "elements_total", "elements_accounted", "claims_total"), f"{out}/audit"),
+            "chunks": layers.append(indexed, f"{out}/chunks", "chunk_id", ("source_document_id", "page")),
         }
     finally:
         silver.unpersist()
+
+
+def batch_totals(spark: SparkSession, out: str) -> DataFrame:
+    """One row for a batch's layers below ``out``: documents, pages, claims, gold, review, quarantined, indexed."""
+    counts = {"bronze": {"elements": F.count("*"), "documents": F.countDistinct("doc"), "pages": F.countDistinct("doc", "page")}}
+    counts |= {layer: {name: F.count("*")} for layer, name in (("silver", "claims"), ("gold", "gold"), ("review", "review"), ("quarantine", "quarantined"), ("chunks", "indexed"))}
+    rows = spark.createDataFrame([(name, 0) for c in counts.values() for name in c], "metric string, n long")
+    for layer, wanted in counts.items():
+        stored = layers.stored_rows(spark, f"{out}/{layer}")
+        if stored is not None:
+            one = stored.agg(*[c.alias(name) for name, c in wanted.items()])
+            rows = rows.unionByName(one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("n")) for name in wanted])).alias("x")).select("x.*"))
+    return rows.groupBy().pivot("metric", [name for c in counts.values() for name in c]).agg(F.max("n"))
+
+
+def run_metrics(totals: DataFrame, run: str, sink: Callable[[str, dict[str, float]], None] | None = None) -> DataFrame:
+    """(run, metric, value) of a one-row table's numbers; ``sink`` (a tracker's callable) also gets them, if given."""
+    numbers = [f.name for f in totals.schema if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "byte")]
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in numbers])
+    out = totals.select(F.lit(run).alias("run"), F.explode(pairs).alias("x")).select("run", "x.*").where("value is not null")
+    if sink is not None:
+        sink(run, {r["metric"]: r["value"] for r in out.collect()})  # a row for each measure
+    return out

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, jsonx, match, numbers, text
-from ..operators import charts, chunks, elements, evaluate, layers, prose, quality, query, regions, tables
+from ..operators import charts, chunks, elements, evaluate, history, layers, prose, quality, query, regions, tables
 
 from ..sources import files, parsed
 from ..streaming import ingest
@@ -584,11 +584,30 @@ def topk_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
 with e as (select user_id, event_id, event_type, row_number() over w - 1 as place, lag(event_type) over w as before, lead(event_type, 2) over w as after, row_number() over (partition by user_id, event_type order by event_id) as i, row_number() over (partition by user_id, event_type order by event_id desc) as j
  from {events} window w as (partition by user_id order by event_id)) select user_id, event_id, event_type, place::int as place, before, after, i = 1 as first_of_kind, j = 1 as last_of_kind from e""")
 def page_runs_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w, kind = Window.partitionBy("user_id").orderBy("event_id"), Window.partitionBy("user_id", "event_type")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "user_id", "event_id", "event_type", (F.row_number().over(w) - 1).alias("place"), F.lag("event_type").over(w).alias("before"), F.lead("event_type", 2).over(w).alias("after"),
-        (F.col("event_id") == F.min("event_id").over(kind)).alias("first_of_kind"), (F.col("event_id") == F.max("event_id").over(kind)).alias("last_of_kind"),
-    )
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type")
+    rows = history.neighbours(history.placed(rows, "user_id", "event_id"), "user_id", "event_id", "event_type", before=-1, after=2)
+    return history.ends_of_kind(rows, ["user_id", "event_type"], "event_id")
+
+
+@registered("""select user_id, arg_min(event_type, event_id) as first_type, arg_max(event_type, event_id) as last_type from {events} group by user_id""")
+def first_and_last_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", "event_type")
+    first, last = (history.picked(rows, ["user_id"], F.col("event_id"), x).select("user_id", F.col("event_type").alias(f"{name}_type")) for name, x in (("first", False), ("last", True)))
+    return first.join(last, "user_id")
+
+
+@registered("""select case when s_suppkey % 3 = 0 then 'UNKNOWN_ENTITY_REF' else s_name end as entity_ref, s_suppkey from {supplier}""")
+def entity_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.expr("case when s_suppkey % 3 = 0 then '' else s_name end")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(text.entity_or_unknown(name).alias("entity_ref"), "s_suppkey")
+
+
+@registered("""with p as (select s_suppkey as doc, unnest([1, 2, 5]) as page from {supplier}) select doc, page, case when page <= 2 then 'img' || page when page = 5 then 'img5' end as image_uri from p""")
+def images_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("doc"))
+    wanted = docs.select("doc", F.explode(F.array(*map(F.lit, (1, 2, 5)))).alias("page"))
+    images = docs.select("doc", F.explode(F.array(*[F.struct(F.lit(p).alias("pos"), F.lit(n).cast("int").alias("page"), F.lit(u).alias("image_uri")) for p, n, u in ((0, None, "img1"), (1, 2, "img2"), (2, 5, "img5"))])).alias("x")).select("doc", "x.*")
+    return parsed.page_images(wanted, images).select("doc", "page", "image_uri")
 
 
 @registered(f"""

@@ -1,6 +1,7 @@
 """Worked examples and properties of the operators."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from gleanframe.operators import charts, elements, evaluate, layers, prose, quality, tables
 from gleanframe.plans import batch, report
 from gleanframe.schemas import RunParameters, Settings
-from gleanframe.sources import parsed, providers
+from gleanframe.sources import files, parsed, providers
 from gleanframe.sources import tables as stored
 from gleanframe.streaming import ingest
 
@@ -118,12 +119,74 @@ def test_batch_runs_twice_and_quarantines(spark, tmp_path):
     (place / "A_March_2024.json").write_text(json.dumps({"document": {"elements": elements_}}))
     (place / "bad.json").write_text("{")
     first = batch.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"))
-    assert first["silver"] == 4 and first["quarantine"] == 1 and first["chunks"] == 3
+    assert first["silver"] == 4 and first["quarantine"] == 1 and first["chunks"] == 3 and (first["bronze"], first["review"], first["audit"]) == (3, 0, 1)
+    markdown = [r.content for r in stored.stored(spark, str(tmp_path / "out/chunks")).collect() if r.content.startswith("|")]
+    assert len(markdown) == 1 and "| --- |" in markdown[0]
+    totals = batch.batch_totals(spark, str(tmp_path / "out"))
+    got = {}
+    rows = {r.metric: r.value for r in batch.run_metrics(totals, "run 1", lambda run, m: got.update(m)).collect()}
+    assert rows == got and (rows["documents"], rows["pages"], rows["claims"], rows["quarantined"], rows["indexed"], rows["review"]) == (1, 1, 4, 1, 3, 0)
     assert not any(batch.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out")).values())
     gold = stored.stored(spark, str(tmp_path / "out/gold"))
     assert {r.report_date for r in gold.collect()} == {"March 2024"} and gold.first()["entity_ref"] == "Acme Corp"
 
 
+def test_append_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "doc string, pos int, value string, team string, report_type string, content_hash string")
+    path = str(tmp_path / "x")
+    assert layers.append(none, path) == 0 and layers.append(none, path) == 0 and layers.stored_rows(spark, path) is None
+    rows = spark.createDataFrame([("d", 1, "v", "t", "r", "h"), ("d", 2, "w", None, "r", "i"), ("d", 3, "w", "u", "r", None)], none.schema)
+    assert layers.append(rows, path) == 3 and layers.append(rows, path) == 0 and layers.append(none, path) == 0
+    assert layers.append(rows.where("pos = 1").withColumn("content_hash", F.lit("new")), path) == 1 and layers.stored_rows(spark, path).count() == 4
+
+
+def test_batch_of_tables_without_numbers_and_read_figures(spark, tmp_path):
+    place = tmp_path / "in/team/rep/Acme/E1/main"
+    place.mkdir(parents=True)
+    listed = [{"type": "table", "content": "<table><tr><td>only words</td></tr></table>", "bbox": [{"page_id": 1}]}, {"type": "figure", "content": "", "description": "", "bbox": [{"page_id": 2}]}, {"type": "figure", "content": "", "description": "Sales titled 'S' reached 7%", "bbox": [{"page_id": 2}]}]
+    (place / "A.json").write_text(json.dumps({"document": {"elements": listed, "pages": [{"id": 1, "image_uri": "i1"}, {"id": 2, "image_uri": "i2"}]}}))
+    doc = str(place / "A.json")
+    answer = json.dumps([{"field_name": "Profit", "value": "12", "unit": "%", "source_type": "chart"}])
+    got = batch.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), read=providers.Replay({(doc, 1): answer, (doc, 2): "[]"}))
+    silver = {(int(r.pos), r.field_name, r.value) for r in stored.stored(spark, str(tmp_path / "out/silver")).collect()}
+    assert got["silver"] == 3 and silver == {(0, "table", "<table><tr><td>only words</td></tr></table>"), (1, "Profit", "12"), (2, "Sales titled 'S'", "7%")}, silver
+    assert spark.read.parquet(str(tmp_path / "out/readings")).count() == 2
+
+
+def test_one_long_text_takes_linear_time(spark):
+    def seconds(n):
+        df = spark.createDataFrame([(" ".join(f"metric {k} was £{k}m, and" for k in range(n)),)], "content string")
+        began = time.monotonic()
+        rows = prose.prose_values(df).collect()
+        figures = prose.figure_values(df.withColumnRenamed("content", "description")).collect()
+        assert len(rows) == len(figures) == n and rows[-1]["field_name"].endswith(f"metric {n - 1} was") and figures[-1]["field_name"] == f"metric {n - 1}"
+        return time.monotonic() - began
+
+    seconds(50)
+    assert seconds(2000) < 20
+
+
+def test_spans_are_bounded(spark):
+    html = "<table><tr><td colspan=1000000000 rowspan=999999999>a</td></tr><tr><td>5</td></tr></table>"
+    assert max(c for _, c, _, _ in tables.grid_of(html)) <= 1000
+
+
+def test_images_by_time(spark):
+    rows = [("/a/p2.png", 20), ("/a/p1.JPG", 30), ("/a/x.txt", 10), ("/b/q.png", 5), ("/a/p0.png", 20)]
+    df = spark.createDataFrame(rows, "path string, t int").select("path", F.timestamp_seconds("t").alias("modified"))
+    assert sorted((r.path, r.place) for r in files.images_by_time(df).collect()) == [("/a/p0.png", 0), ("/a/p1.JPG", 2), ("/a/p2.png", 1), ("/b/q.png", 0)]
+
+
+def test_submissions_by_path(spark, tmp_path):
+    for name in ("c", "a", "b"):
+        place = tmp_path / f"team/rep/Ent  {name}/E/main"
+        place.mkdir(parents=True)
+        (place / f"{name}.bin").write_bytes(name.encode())
+    got = files.submissions(spark, str(tmp_path), 2).collect()
+    assert {(bytes(r.content), r.entity_ref) for r in got} == {(b"a", "Ent a"), (b"b", "Ent b")}
+    assert files.submissions(spark, str(tmp_path)).count() == 3 and files.submissions(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_model_reads_with_retries(spark):
     df = spark.createDataFrame([("d", 1), ("d", 2)], "doc string, pos int")
     got = {r.pos: (r.raw, r.error is None) for r in providers.read_by_model(df, providers.Replay({("d", 1): "[]"}), attempts=2, first_delay=0.0).collect()}
