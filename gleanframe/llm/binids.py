@@ -106,7 +106,7 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
         def write(f) -> None:
             nonlocal counts, total, rows
             with pa.CompressedOutputStream(f, "zstd") as z:
-                for b in rows_of(batches):
+                for b in rows_of(batches, 2 << 20):
                     ids = encoder(strings(b.column(1)))
                     flat = np.concatenate([x for d in ids for x in (d, [end])]).astype(width) if ids else np.empty(0, width)
                     z.write(np.array([len(ids), len(flat)], "<i8").tobytes())

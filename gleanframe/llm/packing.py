@@ -116,7 +116,7 @@ def packed(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "te
         encoder, task = json_encoder(vocabulary), TaskContext.get().partitionId()
         ranks: Counter[int] = Counter()
         whole = 0
-        for b in rows_of(batches):
+        for b in rows_of(batches, 2 << 20):
             ids = encoder(strings(b.column(1)))
             n = [len(x) + 1 for x in ids]
             rank, first = [], []

@@ -23,8 +23,8 @@ import regex
 
 from .common import cached
 
-#: Entries of a memo. Those that come first stay: the frequent units are among them.
-MEMO_UNITS = 250_000
+#: Entries of the memos of units and of their pre-tokens. Those that come first stay: the frequent ones are among them.
+MEMO_UNITS, MEMO_PIECES = 500_000, 250_000
 _AMBIGUOUS = re.compile(r"\s (?:\s|\Z)")
 _ASCII_PAIRS = tuple(x + " " for x in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _CUT = re.compile(r"(?<=\S)(?=[\t-\r ])")
@@ -47,6 +47,11 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return flat[at]
 
 
+def listed(values: pa.Array) -> list[str]:
+    """Python strings of an array without nulls; much faster than ``to_pylist``."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class BatchEncoder:
     """Ids of whole texts. ``missing`` encodes units that the memo lacks: texts to packed ids.
 
@@ -63,8 +68,8 @@ class BatchEncoder:
         made = self.missing([keys[k][1:] if keys[k][:1] == " " else " " + keys[k] for k in lack])
         for k, x in zip(lack, made, strict=True):
             found[k] = x
-            if len(memo) < self.limit and len(keys[k]) < 200:
-                memo[keys[k]] = x
+        if len(memo) < self.limit:
+            memo.update((keys[k], x) for k, x in zip(lack, made, strict=True) if len(keys[k]) < 200)
         return found
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
@@ -80,12 +85,12 @@ class BatchEncoder:
             heads = pa.array([" " + texts[k].split(" ", 1)[0] for k in plain], pa.large_string())
             index = found.indices.to_numpy().astype(np.int64)
             index[at[:-1]] = len(found.dictionary) + np.arange(len(plain))
-            units.append((found.dictionary.to_pylist() + heads.to_pylist(), index))
+            units.append((listed(found.dictionary) + listed(heads), index))
         if rest:
             cuts = [[" " + u for u in _CUT.split(texts[k])] for k in rest]
             counts[rest] = [len(x) for x in cuts]
             found = pa.array([u for x in cuts for u in x], pa.large_string()).dictionary_encode()
-            units.append((found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)))
+            units.append((listed(found.dictionary), found.indices.to_numpy().astype(np.int64)))
         out: list[np.ndarray] = [np.empty(0, self.dtype)] * len(texts)
         for group, (keys, index) in zip([x for x in (plain, rest) if x], units, strict=True):
             ids = self.packed(keys)
@@ -105,28 +110,37 @@ class PieceEncoder:
     ``encode`` turns a list of distinct pre-tokens into their packed ids.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]], limit: int = MEMO_UNITS):
+    def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]], limit: int = MEMO_PIECES):
         self.findall, self.encode, self.limit, self.memo = regex.compile(pattern).findall, encode, limit, {}
 
     def pieces(self, unit: str) -> list[str]:
-        """A word, or a word and one mark, by a short way; all else by the pattern."""
-        word = unit[1:] if unit[:1] == " " else unit
-        if word.isalpha():
-            return [unit]
+        """A word and one mark by a short way; all else by the pattern."""
+        word = unit.removeprefix(" ")
         if word[:-1].isalpha() and word[-1] in ".,;:!?":
             return [unit[:-1], unit[-1]]
         return self.findall(unit)
 
     def __call__(self, units: list[str]) -> list[bytes]:
-        cuts, memo = list(map(self.pieces, units)), self.memo
+        cuts, memo = [(x,) if x.removeprefix(" ").isalpha() else self.pieces(x) for x in units], self.memo
         lack = [x for x in set(itertools.chain.from_iterable(cuts)) if x not in memo]
         made = dict(zip(lack, self.encode(lack), strict=True))
-        out = [b"".join([memo.get(x) or made[x] for x in c]) for c in cuts]
+        out = [(memo.get(c[0]) or made[c[0]]) if len(c) == 1 else b"".join([memo.get(x) or made[x] for x in c]) for c in cuts]
         if len(memo) < self.limit:
             memo.update((x, y) for x, y in made.items() if len(x) < 200)
         return out
 
 
+def spelled(pieces: list[str], letters: dict[int, str]) -> list[str]:
+    """The pieces in the letters that stand for their bytes: all without line feeds at once, those with one by one."""
+    table = np.array([ord(letters[k]) if k != 10 else 10 for k in range(256)], "<u4")
+    flat = "\n".join(pieces)
+    if flat.count("\n") == len(pieces) - 1:
+        return table[np.frombuffer(flat.encode(), np.uint8)].tobytes().decode("utf-32-le").split("\n")
+    broken = ["\n" in x for x in pieces]
+    rest = iter(spelled([x for x, y in zip(pieces, broken, strict=True) if not y], letters) if not all(broken) else [])
+    return [x.encode().decode("latin-1").translate(letters) if y else next(rest) for x, y in zip(pieces, broken, strict=True)]
+
+
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -155,11 +169,13 @@ def json_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     bpe = t.model
     with contextlib.suppress(AttributeError):
         bpe._resize_cache(0)  # the memos here come first; the model's own costs more than it saves
-    letters, tokenize, code = byte_letters(), bpe.tokenize, np.dtype(dtype).char
+    letters, tokenize, code, width = byte_letters(), bpe.tokenize, np.dtype(dtype).char, np.dtype(dtype).itemsize
 
     def encode(pieces: list[str]) -> list[bytes]:
-        shown = [x.encode().decode("latin-1").translate(letters) for x in pieces]
-        return [array.array(code, [y.id for y in tokenize(x)]).tobytes() for x in shown]
+        made = [[y.id for y in tokenize(x)] for x in spelled(pieces, letters)] if pieces else []
+        flat = array.array(code, itertools.chain.from_iterable(made)).tobytes()
+        ends = list(itertools.accumulate((len(x) * width for x in made), initial=0))
+        return [flat[a:z] for a, z in itertools.pairwise(ends)]
 
     return BatchEncoder(PieceEncoder(public_tokenizers.PATTERN, encode), dtype)
 

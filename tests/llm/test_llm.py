@@ -492,3 +492,10 @@ def test_languages_of_few_texts_are_judged(spark):
     got = {r.doc_id: r for r in fertility.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert {k for k, r in got.items() if not r.kept} == {101, 103, 104}
     assert (got[0].band, got[100].band, got[102].band, got[104].band) == ("en", "all, script LATIN", "all, script LATIN", "all")
+
+
+def test_pieces_spelled_at_once():
+    letters = tokens.byte_letters()
+    one_by_one = lambda xs: [x.encode().decode("latin-1").translate(letters) for x in xs]
+    for pieces in (["a", " b", "é\t", "日本"], ["\n", "a\nb"], ["a", "\n\n", " ñ", "\r\n"], ["\n", "x"], [""], ["", "\n"]):
+        assert tokens.spelled(pieces, letters) == one_by_one(pieces)
