@@ -43,3 +43,13 @@ def has_number(text: Column) -> Column:
 
 def has_digit(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).rlike(r"\d")
+
+
+def rounded(value: Column, places: int = 4) -> Column:
+    """A number for display: rounded half to even; null stays null."""
+    return F.bround(value, places)
+
+
+def percent(share: Column) -> Column:
+    """A share as per cent with one digit; ``n/a`` if it is null."""
+    return F.when(share.isNotNull(), F.format_string("%.1f%%", share.cast("double") * 100)).otherwise("n/a")

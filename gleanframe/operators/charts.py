@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..schemas import ESTIMATED, Settings
 
 _NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+#: Fixed value: the year of a month printed without one, where labels are only counted from.
+YEARLESS = 1900
 _SLOT = "array<struct<sum double, n int, ids array<int>>>"
 
 
@@ -137,6 +139,46 @@ def resolved(figures: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return figures.withColumn("_out", out).withColumns({"periods": F.col("_out.periods"), "status": F.col("_out.status")}).drop("_out")
 
 
+def anchored(figures: DataFrame) -> DataFrame:
+    """Adds ``periods`` and ``status`` to figures by two anchors, an alternative to ``resolved`` that keeps printed labels.
+
+    A label goes to its nearest bar, the last one wins. The first two bars with a date give the step
+    in months (1 if it rounds to none); bars without a label are counted on from the first. With fewer
+    than two dates such bars are ``FLAG_REVIEW`` and the status is ``flag``, else it is ``geometry``.
+    """
+    labels = F.coalesce("labels", F.expr("array()").cast("array<struct<text:string,x_center:double>>"))
+    placed = lambda b, k: F.struct(F.coalesce(b["x_center"].cast("double"), F.lit(0.0)).alias("x"), k.alias("k"), b["id"].cast("int").alias("id"))
+    bars = F.array_sort(F.transform(F.coalesce("bars", F.expr("array()").cast("array<struct<id:int,series:string,value:string,x_center:double>>")), placed))
+
+    def homes(s: Column) -> Column:
+        far = lambda label: F.transform(s["bars"], lambda b: F.abs(b["x"] - F.coalesce(label["x_center"], F.lit(0.0))))
+        return F.transform(labels, lambda t: F.struct((F.array_position(far(t), F.array_min(far(t))) - 1).alias("slot"), F.coalesce(t["text"], F.lit("")).alias("text")))
+
+    printed = lambda s: F.transform(s["bars"], lambda _, k: F.try_element_at(F.filter(s["homes"], lambda h: h["slot"] == k), F.lit(-1))["text"])
+    dated = lambda s: F.filter(F.transform(s["texts"], lambda t, k: F.struct(k.alias("slot"), label_month(t).alias("date"))), lambda d: d["date"].isNotNull())
+    year = lambda d: F.coalesce(d["date"]["year"], F.lit(YEARLESS))
+
+    def step(s: Column) -> Column:
+        months = (year(s["b"]) - year(s["a"])) * 12 + s["b"]["date"]["month"] - s["a"]["date"]["month"]
+        return F.coalesce(F.nullif(F.bround(months / (s["b"]["slot"] - s["a"]["slot"]), 0).cast("int"), F.lit(0)), F.lit(1))
+
+    def period(s: Column, k: Column) -> Column:
+        start = F.make_date(year(s["a"]), s["a"]["date"]["month"], F.lit(1))
+        counted = F.date_format(F.add_months(start, (k - s["a"]["slot"]) * s["step"]), "MMMM yyyy")
+        return F.coalesce(F.element_at(s["texts"], k + 1), F.when(s["b"].isNull(), "FLAG_REVIEW").otherwise(counted))
+
+    out = _steps(
+        {"bars": bars},
+        lambda s: {"homes": homes(s)},
+        lambda s: {"texts": printed(s)},
+        lambda s: {"dates": dated(s)},
+        lambda s: {"a": F.try_element_at(s["dates"], F.lit(1)), "b": F.try_element_at(s["dates"], F.lit(2))},
+        lambda s: {"step": step(s)},
+        lambda s: {"periods": F.transform(s["bars"], lambda b, k: F.struct(b["id"].alias("id"), period(s, k).alias("period"))), "status": F.when(s["b"].isNull(), "flag").otherwise("geometry")},
+    )
+    return figures.withColumn("_out", out).withColumns({"periods": F.col("_out.periods"), "status": F.col("_out.status")}).drop("_out")
+
+
 def _steps(fields: dict[str, Column], *more: Callable[[Column], dict[str, Column]]) -> Column:
     """A struct of named values, each step computed once from those before it.
 

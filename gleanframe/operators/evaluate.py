@@ -147,15 +147,26 @@ def cost(runs: DataFrame, settings: Settings = Settings(), parse_rate: float = 0
     return known.withColumns({"total_cost_usd": total, "cost_per_doc_usd": ratio(total, F.col("documents")), "cost_per_page_usd": ratio(total, F.col("pages"))})
 
 
-def run_summary(coverage: DataFrame) -> DataFrame:
-    """Sums of per-document coverage over a run."""
+def run_summary(coverage: DataFrame, *by: str) -> DataFrame:
+    """Sums of per-document coverage over a run, or over each of several."""
     pages, claimed = F.sum("total_pages"), F.sum("pages_with_claims")
-    return coverage.agg(
+    return coverage.groupBy(*by).agg(
         F.count("*").alias("documents"), pages.alias("total_pages"), claimed.alias("pages_with_claims"), F.coalesce(ratio(claimed, pages), F.lit(0.0)).alias("page_coverage"),
         F.sum(F.size("pages_missing_claims")).alias("pages_missing_claims_total"), F.sum(F.size("pages_no_elements")).alias("pages_no_elements_total"), F.sum("n_claims").alias("claims_total"),
     )
 
 
+def run_evaluation(runs: DataFrame, coverage: DataFrame, claims: DataFrame, settings: Settings = Settings(), parse_rate: float = 0.0) -> DataFrame:
+    """Runs (run, elapsed_seconds, input_tokens, output_tokens) with their coverage, faithfulness, speed and cost, a row each.
+
+    ``coverage`` (of documents) and ``claims`` name their ``run``. A run without documents or claims
+    has counts and shares of zero and null where a count would divide.
+    """
+    merged = runs.join(run_summary(coverage, "run"), "run", "left").join(faithfulness(claims, "run").drop("n_claims"), "run", "left")
+    merged = merged.fillna(0, [c for c in merged.columns if c not in runs.columns])
+    return cost(speed(merged.withColumns({"pages": F.col("total_pages"), "claims": F.col("claims_total")})), settings, parse_rate).drop("pages", "claims")
+
+
 def scorecard(totals: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Coverage, quality, robustness and cost of batches (documents, claims, gold, review, quarantined, indexed, llm_cost_usd)."""
     docs = F.greatest(F.lit(1), F.col("documents"))

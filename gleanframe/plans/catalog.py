@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, jsonx, match, numbers, text
 from ..operators import charts, chunks, elements, evaluate, history, layers, prose, quality, query, regions, tables
 
-from ..sources import files, parsed
+from ..sources import files, parsed, prompts
 from ..streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,6 +181,14 @@ def numeric_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, VALUES).select("k", "v", numbers.measure(v, f).alias("measure"), numbers.first_number(v).alias("first_number"), numbers.has_number(v).alias("has_number"), numbers.has_digit(v).alias("has_digit"))
 
 
+@registered("""
+with p as (select p_partkey as k, case when p_partkey % 5 <> 0 then p_size / 13 end as share from {part})
+select k, round_even(share, 4) as rounded, case when share is null then 'n/a' else printf('%.1f%%', share * 100) end as percent from p""")
+def shares_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share = F.when(F.col("p_partkey") % 5 != 0, F.col("p_size") / 13)
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"), numbers.rounded(share).alias("rounded"), numbers.percent(share).alias("percent"))
+
+
 @registered(f"""
 with l as ({LINES}), t as (select o, n, 'from ' || (p - p % 50) || ' to -' || q || '.5 and 1,' || lpad((p % 1000)::varchar, 3, '0') as t, p from l)
 select o, n, array_to_string(list_transform(regexp_extract_all(t, '-?\\d[\\d,]*(?:\\.\\d+)?'), lambda x: replace(x, ',', '')::double::varchar), ',') as numbers, (p - p % 50) % 100 = 0 as first_is_round from t""")
@@ -429,6 +437,23 @@ def faithfulness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.faithfulness(frame(spark, sf_dir, CLAIMS), "team")
 
 
+@registered(f"""
+with c as ({CLAIMS}), d as (select team, doc, count(distinct page) as k, count(*) as n from c group by all), s as (select team as run, count(*) as documents, count(*) * 7 as total_pages, sum(k) as pages_with_claims, sum(7 - k) as pages_missing_claims_total, sum(n) as claims_total from d group by team),
+f as (select team as run, avg((citation_tier = 'parsed')::int) as parsed, avg((grounding = 'grounded')::int) as verified from c group by team), r as (select unnest(['A', 'N', 'none', 'R']) as run),
+m as (select run, coalesce(documents, 0) as documents, coalesce(total_pages, 0) as total_pages, coalesce(pages_with_claims, 0) as pages_with_claims, coalesce(pages_missing_claims_total, 0) as missing, coalesce(claims_total, 0) as claims_total, coalesce(parsed, 0) as parsed, coalesce(verified, 0) as verified from r left join s using (run) left join f using (run))
+select run, documents::bigint as documents, total_pages::bigint as total_pages, pages_with_claims::bigint as pages_with_claims, missing::bigint as pages_missing_claims_total, claims_total::bigint as claims_total, coalesce(pages_with_claims / nullif(total_pages, 0), 0) as page_coverage, parsed as grounded_parsed_frac, verified as grounded_verified_frac,
+ documents / 30::double * 60 as docs_per_min, 30::double / nullif(total_pages, 0) as seconds_per_page, 2e6 / 1e6 * 3 + 1e5 / 1e6 * 15 + total_pages * 0.005::double as total_cost_usd, (2e6 / 1e6 * 3 + 1e5 / 1e6 * 15 + total_pages * 0.005::double) / nullif(documents, 0) as cost_per_doc_usd from m""")
+def run_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = frame(spark, sf_dir, CLAIMS).withColumn("run", F.col("team"))
+    pages = claims.groupBy("run", "doc").agg(F.countDistinct("page").cast("int").alias("pages_with_claims"), F.count("*").alias("n_claims"))
+    coverage = pages.withColumns({"total_pages": F.lit(7), "pages_missing_claims": F.array_repeat(F.lit(0), 7 - F.col("pages_with_claims")), "pages_no_elements": F.array().cast("array<int>")})
+    runs = spark.createDataFrame([(r, 30.0, 2_000_000, 100_000) for r in ("A", "N", "none", "R")], "run string, elapsed_seconds double, input_tokens long, output_tokens long")
+    out = evaluate.run_evaluation(runs, coverage, claims, parse_rate=0.005)
+    return out.select(
+        "run", "documents", "total_pages", "pages_with_claims", "pages_missing_claims_total", "claims_total", "page_coverage", "grounded_parsed_frac", "grounded_verified_frac", "docs_per_min", "seconds_per_page", "total_cost_usd", "cost_per_doc_usd"
+    )
+
+
 _BATCH = f"select team, count(distinct doc) as documents, count(*) as claims, count(distinct doc) * 7 as pages, count(case when confidence >= 0.6 then 1 end) as gold, count(case when confidence < 0.6 then 1 end) as review, count(case when page = 7 then 1 end) as quarantined, sum(q) * 1000 as input_tokens, sum(q) * 100 as output_tokens, cast(count(*) as double) / 10 as elapsed_seconds, cast(count(distinct doc) as double) / 100 as llm_cost_usd from ({CLAIMS}) as c group by team"
 
 
@@ -519,6 +544,16 @@ def axis_periods_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _periods(_figures(spark, sf_dir, labels))
 
 
+@registered(f"""
+with {_BARS}, m as (select *, 1 + s_suppkey % 2 as per, case when j = 0 and i = 2 then 'Nov 2023' when j = 0 and i = 5 then case when s_suppkey % 10 = 7 then 'June?' else 'May-24' end when j = 0 and i = 8 then 'x' end as printed from z)
+select s_suppkey, case when s_suppkey % 10 = 7 then 'flag' else 'geometry' end as status, (i * 2 + j)::int as bar,
+ coalesce(printed, case when s_suppkey % 10 = 7 then 'FLAG_REVIEW' else strftime(make_date(2023, 11, 1) + to_months(((i * per + j - 2 * per) * (2 / per))::int), '%B %Y') end) as period from m""")
+def axis_two_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = F.array(_label(2, F.lit("Nov 2023")), _label(5, F.when(F.col("s_suppkey") % 10 == 7, "June?").otherwise("May-24")), _label(8, F.lit("overruled")), _label(8, F.lit("x")))
+    out = charts.anchored(_figures(spark, sf_dir, labels)).select("s_suppkey", "status", F.explode("periods").alias("p"))
+    return out.select("s_suppkey", "status", F.col("p.id").alias("bar"), F.col("p.period").alias("period"))
+
+
 @registered(f"""with {_BARS} select s_suppkey, (i * 2 + j)::int as bar, strftime(make_date(2024, 1, 1) + to_months(i::int), '%B %Y') as period from z where j = 0""")
 def period_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = charts.resolved(_figures(spark, sf_dir, F.array(_label(0, F.lit("2024-01")))))
@@ -572,6 +607,21 @@ def firm_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.with_firm(spark.read.parquet(f"{sf_dir}/nation.parquet"), "n_name", firms).select("n_nationkey", "n_name", "position", "step")
 
 
+@registered("""
+with n as (select n_nationkey, starts_with(lower(n_name), 'nation_2') as known from {nation})
+select n_nationkey, case when known then 'system,user,assistant,user' else 'system,user' end as roles, case when known then 'i1,' else '' end || 'img' || n_nationkey as images, known as noted, case when known then '{"claims":[]}' end as answer from n""")
+def example_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = [("i1", "Mind the offset scale.", '{"claims":[]}'), ("i2", None, None), (None, " ", "[]")]
+    firms = spark.createDataFrame([("Nation _2", 1, shown), ("other", 2, None)], f"firm string, position int, examples {prompts.EXAMPLES}")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumn("image_uri", F.concat(F.lit("img"), "n_nationkey"))
+    said = F.col("messages")
+    part = lambda name: F.array_join(F.transform(said, lambda m: m[name]), ",")
+    answer = F.filter(said, lambda m: m["role"] == "assistant")
+    return prompts.with_messages(nation, "n_name", firms).select(
+        "n_nationkey", part("role").alias("roles"), part("image").alias("images"), F.endswith(said[0]["text"], F.lit("\nMind the offset scale.")).alias("noted"), F.try_element_at(answer, F.lit(1))["text"].alias("answer")
+    )
+
+
 @registered("""
 select vec_id from (select vec_id, list_cosine_similarity(embedding::double[], (select embedding::double[] from {embeddings} where vec_id = 0)) as s from {embeddings}) order by round(s, 12) desc, vec_id limit 10""")
 def topk_narrative(spark: SparkSession, sf_dir: str) -> DataFrame:
