@@ -17,6 +17,7 @@ from .hyperlang import identified, learn
 from .linefreq import without_boilerplate
 from .minhash import near_duplicates
 from .packing import packed
+from .postings import contaminated
 from .segbpe import round_trip
 from .warc import read_archives, write_archives
 
@@ -82,6 +83,11 @@ def op10_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside passages of ten words of the benchmark."""
+    return contaminated(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op2_hyperdimensional_language": op2_hyperdimensional_language,
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_least_squares_packing": op9_least_squares_packing,
     "op10_segment_tree": op10_segment_tree,
+    "op11_positional_index": op11_positional_index,
 }
 
 SQL: dict[str, str] = {
@@ -115,4 +122,15 @@ select page_id, strlen(html)::bigint as payload_bytes, digest as payload_digest,
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size, doc_id = max(doc_id) over same as kept,
   sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))""",
+    "op11_positional_index": r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+wins as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') as s from (select item_id, w, least(10, len(w)) as k, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as i from b where len(w) > 0)),
+laid as (select r, i, k, array_to_string(w[i:i + k - 1], ' ') as s from (select r, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from d cross join (select distinct k from wins) where len(w) >= k)),
+occ as (select r, i, k, item_id from laid join wins using (k, s)),
+hit as (select r, count(distinct p) as n_hit from (select r, unnest(generate_series(i, i + k - 1)) as p from occ) group by r),
+ids as (select r, list(item_id order by item_id) as x from (select distinct r, item_id::varchar as item_id from occ) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(x), 0)::bigint as n_items,
+  sha256(coalesce(array_to_string(x, ','), '')) as items_sha256, n_hit is not null as contaminated
+from d left join hit using (r) left join ids using (r)""",
 }
