@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import linked_tokens
 from .binids import read_ids, write_ids
 from .chunkdedup import exact_duplicates
 from .common import crc_fold
@@ -19,6 +20,7 @@ from .minhash import near_duplicates
 from .packing import packed
 from .postings import contaminated
 from .segbpe import round_trip
+from .tandem import periodic_runs, with_planted_runs
 from .warc import read_archives, write_archives
 
 
@@ -88,6 +90,17 @@ def op11_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op12_group_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two vocabularies over all documents."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return linked_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_tandem_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which repeat themselves."""
+    return periodic_runs(_table(spark, sf_dir, "documents", "doc_id", "text"), rewrite=with_planted_runs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokeniser_fertility": op1_tokeniser_fertility,
     "op2_hyperdimensional_language": op2_hyperdimensional_language,
@@ -100,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_least_squares_packing": op9_least_squares_packing,
     "op10_segment_tree": op10_segment_tree,
     "op11_positional_index": op11_positional_index,
+    "op12_group_dictionary": op12_group_dictionary,
+    "op13_tandem_repeats": op13_tandem_repeats,
 }
 
 SQL: dict[str, str] = {
