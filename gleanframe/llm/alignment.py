@@ -110,7 +110,7 @@ class Chunk:
     def add(self, ids: list[int | None], texts: list[str]) -> None:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
         usable = [k for k, x in enumerate(texts) if x and SPACE not in x]
-        plain = [k for k in usable if self.groups.by_word and is_plain(" " + texts[k])]
+        plain = [k for k in usable if self.groups.by_word and is_plain(" " + texts[k]) and texts[k][-1] != " "]
         if plain:
             cut = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
             coded = cut.flatten().dictionary_encode()
