@@ -70,28 +70,52 @@ def page_coverage(chunks: DataFrame, totals: DataFrame) -> DataFrame:
     return sums.select("document", "total_pages", "pages_processed", ratio(F.col("pages_processed"), some).alias("coverage"), (some - F.col("pages_processed")).alias("missing_pages"))
 
 
+def least_of(rows: DataFrame, keys: list[str], order: list[str], k: int, name: str) -> DataFrame:
+    """(keys, name): the first ``k`` rows of each key by ``order``, as a list of structs.
+
+    Row numbers up to ``k`` are a group limit, which Spark applies before its shuffle too: a task
+    hands on ``k`` rows a key at most, and no list is longer.
+    """
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    few = rows.withColumn("_n", n).where(F.col("_n") <= k)
+    rest = [c for c in rows.columns if c not in keys]
+    listed = few.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_n", *rest))).alias("_few"))
+    return listed.select(*keys, F.transform("_few", lambda x: F.struct(*[x[c].alias(c) for c in rest])).alias(name))
+
+
+def counted_by(rows: DataFrame, key: str, what: str, n: Column, name: str) -> DataFrame:
+    """(key, name): a map from each value of ``what``, null left out, to its number."""
+    each = rows.where(F.col(what).isNotNull()).groupBy(key, what).agg(n.cast("long").alias("_k"))
+    return each.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(what, "_k")))).alias(name))
+
+
 def coverage_audit(elements: DataFrame, claims: DataFrame, sample: int = 50) -> DataFrame:
-    """Per document: elements in all, by type, accounted for, skipped and not accounted for; claims by page; empty pages; a sample of gaps.
+    """Per document: elements in all, by type, accounted for, skipped and not accounted for; claims in all and by page; empty pages; the first ``sample`` gaps.
 
     An element is accounted for if its page has a claim. ``elements`` has ``ornament`` for logos.
+    Claims without a page count in all, and account for elements without one.
     """
     per_page = claims.groupBy("doc", "page").agg(F.count("*").alias("k"))
     found = elements.join(per_page.select(F.col("doc").alias("_d"), F.col("page").alias("_p"), F.col("k")), (F.col("doc") == F.col("_d")) & F.col("page").eqNullSafe(F.col("_p")), "left")
     skipped = F.col("el_type").isin(*LAYOUT) | ((F.col("el_type") == "figure") & F.coalesce("ornament", F.lit(False)))
     state = F.when(skipped, "skipped").when(F.col("k").isNotNull(), "accounted").otherwise("unaccounted")
     marked = found.withColumn("state", state)
+    # sums over types and pages first: what is left of a document is a row for each of them
     is_ = lambda s: F.count_if(F.col("state") == s)
-    gap = F.when(F.col("state") == "unaccounted", F.struct("pos", F.col("el_type").alias("type"), "page"))
+    by_type = marked.groupBy("doc", "el_type").agg(F.count("*").alias("n"), is_("accounted").alias("accounted"), is_("skipped").alias("skipped"), is_("unaccounted").alias("unaccounted"))
+    sums = by_type.groupBy("doc").agg(
+        F.sum("n").alias("elements_total"), *[F.sum(x).alias(f"elements_{x}") for x in ("accounted", "skipped", "unaccounted")],
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("el_type", F.lit("")).alias("t"), "n")))).alias("elements_by_type"),
+    )
     by_page = marked.where("page is not null").groupBy("doc", "page").agg(F.max(F.coalesce("k", F.lit(0))).alias("k"))
     pages = by_page.groupBy("doc").agg(F.count("*").alias("pages_total"), F.count_if(F.col("k") == 0).alias("empty_pages"), F.array_sort(F.collect_list(F.when(F.col("k") == 0, F.col("page")))).alias("empty_page_list"))
-    sums = marked.groupBy("doc").agg(
-        F.count("*").alias("elements_total"), is_("accounted").alias("elements_accounted"), is_("skipped").alias("elements_skipped"), is_("unaccounted").alias("elements_unaccounted"),
-        F.slice(F.array_sort(F.collect_list(gap)), 1, sample).alias("gap_sample"),
-    )
-    total = claims.groupBy("doc").agg(F.count("*").alias("claims_total"))
+    gaps = least_of(marked.where("state = 'unaccounted'").select("doc", "pos", F.col("el_type").alias("type"), "page"), ["doc"], ["pos"], sample, "gap_sample")
+    claimed = per_page.groupBy("doc").agg(F.sum("k").alias("claims_total"))
+    claimed = claimed.join(counted_by(per_page, "doc", "page", F.sum("k"), "claims_by_page"), "doc", "left")
     share = 100 * F.col("elements_accounted") / F.greatest(F.lit(1), F.col("elements_total") - F.col("elements_skipped"))
-    out = sums.withColumn("accounted_pct", share).join(pages, "doc", "left").join(total, "doc", "left")
-    return out.fillna(0, ["claims_total", "pages_total", "empty_pages"])
+    out = sums.withColumn("accounted_pct", share).join(pages, "doc", "left").join(claimed, "doc", "left").join(gaps, "doc", "left")
+    nothing = {"claims_by_page": F.create_map().cast(out.schema["claims_by_page"].dataType), "gap_sample": F.array().cast(out.schema["gap_sample"].dataType)}
+    return out.fillna(0, ["claims_total", "pages_total", "empty_pages"]).withColumns({c: F.coalesce(c, empty) for c, empty in nothing.items()})
 
 
 def coverage_ok(audit: DataFrame, unaccounted: int = 0, empty: int = 0) -> DataFrame:

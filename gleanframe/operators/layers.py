@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_of_file, date_within, is_date, is_date_field, report_date
 from ..functions.numbers import measure
 from ..functions.text import entity_or_unknown, short_hash, source_document
+from . import batches
 from .quality import is_measure
 
 #: What a row's identity is made of, and the columns of a layer that aren't strings.
@@ -47,33 +48,15 @@ def new_rows(rows: DataFrame, stored: DataFrame | None, key: str = "content_hash
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of a layer; None where nothing has been written."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(place):
-        return None
-    files = system.listFiles(place, True)
-    while files.hasNext():
-        if files.next().getPath().getName().endswith(".parquet"):
-            return spark.read.option("mergeSchema", True).parquet(path)
-    return None
+    """The rows of a layer that committed batches wrote; None where there are none."""
+    return batches.stored_rows(spark, path)
 
 
 def append(rows: DataFrame, path: str, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos"), by: tuple[str, ...] = ("team", "report_type")) -> int:
-    """Append the rows that a layer lacks, in folders by team and report type; returns their number. Columns may be new.
-
-    Only the folders that the rows belong to are compared. Without new rows nothing is written.
-    """
-    known = typed(rows)
-    stored = stored_rows(rows.sparkSession, path)
-    if stored is not None:
-        mine = known.select(*by).distinct()  # few: a row for each folder
-        same = [F.col(c).cast("string").eqNullSafe(F.col(f"_{c}").cast("string")) for c in by]
-        stored = stored.join(F.broadcast(mine.toDF(*[f"_{c}" for c in by])), same, "left_semi")
-    added = Observation()
-    fresh = new_rows(known, stored, key, order).observe(added, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").partitionBy(*by).parquet(path)
-    return added.get["n"]
+    """Append the rows that a layer lacks as a batch of their own; returns their number. See ``batches.Batch.append``."""
+    out, _, layer = path.rstrip("/").rpartition("/")
+    with batches.Batch(rows.sparkSession, out) as batch:
+        return batch.append(rows, layer, key, order, by)
 
 
 def gold(claims: DataFrame) -> DataFrame:

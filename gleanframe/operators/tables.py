@@ -104,13 +104,13 @@ def _rows(cells: DataFrame) -> DataFrame:
     return marked.withColumn("is_header", F.col("_head") & (F.col("row") < F.coalesce(stop, F.lit(1 << 30)))).drop("_head", "_first", "headers", "valued", "last")
 
 
-def table_claims(tables: DataFrame, key: str = "key", html: str = "html", title: str | None = None) -> DataFrame:
+def table_claims(tables: DataFrame, key: str = "key", html: str = "html", title: str | None = None, cells: DataFrame | None = None) -> DataFrame:
     """A claim for each cell with a number beside the label columns: (key, row, col, field_name, canonical_metric, value, ...).
 
     Names run from title and section over the row's labels to the column's headers. A row with one
     label alone is a section; blank labels repeat the one above.
     """
-    cells = grids(tables, key, html)
+    cells = grids(tables, key, html) if cells is None else cells
     rows = _rows(cells)
     flat = rows.select("key", "row", "width", "is_header", F.explode("texts").alias("col", "text"))
     listed = F.array_sort(F.collect_list(F.when(F.col("is_header") & (F.col("text") != ""), F.struct("row", "text"))))
@@ -146,13 +146,13 @@ def whole_table_claims(tables: DataFrame, claims: DataFrame, key: str = "key", h
     return rest.select(key, F.lit("table").alias("field_name"), F.trim(html).alias("value"), F.coalesce("confidence", F.lit(1.0)).alias("confidence"))
 
 
-def markdown(tables: DataFrame, key: str = "key", html: str = "html") -> DataFrame:
+def markdown(tables: DataFrame, key: str = "key", html: str = "html", cells: DataFrame | None = None) -> DataFrame:
     """(key, markdown) of each table with cells.
 
     Its header is made of the leading rows without any digit, up to three and one at least, merged
     by column.
     """
-    cells = grids(tables, key, html)
+    cells = grids(tables, key, html) if cells is None else cells
     lists = cells.groupBy("key", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("texts"), F.max(has_digit(F.col("text"))).alias("valued"), F.max("col").alias("last"))
     rows = lists.groupBy("key").agg(F.max("last").alias("wide"))
     full = lists.join(rows, "key").withColumn("line", F.transform(F.sequence(F.lit(0), F.col("wide")), lambda c: F.coalesce(F.col("texts")[c], F.lit(""))))

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonx
 from ..functions.text import entity_or_unknown, is_ornament
-from ..operators import charts, evaluate, layers, prose, quality, tables
+from ..operators import batches, charts, evaluate, layers, prose, quality, tables
 from ..operators import chunks as ch
 from ..operators import elements as el
 from ..schemas import Settings
-from ..sources import files, parsed, providers
+from ..sources import files, parsed, providers, rawpages
 
+#: What a batch writes.
+LAYERS = ("bronze", "silver", "gold", "review", "quarantine", "audit", "pages", "chunks")
 CLAIM_COLUMNS = ("doc", "pos", "page", "element_type", "field_name", "canonical_metric", "value", "unit", "confidence", "citation_tier", "content")
 
 
@@ -22,12 +24,12 @@ def _keyed(elements: DataFrame) -> DataFrame:
     return elements.where("el_type = 'table'").withColumn("key", F.concat_ws("\u0001", "doc", F.col("pos").cast("string")))
 
 
-def claims_of(elements: DataFrame, vision: DataFrame | None = None) -> DataFrame:
-    """Claims of all elements by route: tables by their grid or, without any number in it, as a whole; prose and captions by their values; figures by what a model read (``vision``) or else by their description."""
+def claims_of(elements: DataFrame, vision: DataFrame | None = None, cells: DataFrame | None = None) -> DataFrame:
+    """Claims of all elements by route: tables by their grid (``cells``, if it is known) or, without any number in it, as a whole; prose and captions by their values; figures by what a model read (``vision``) or else by their description."""
     known = el.with_context(elements)
     text = known.where(F.col("el_type").isin("text", "caption", "footnote"))
     keyed = _keyed(known)
-    found = tables.table_claims(keyed, "key", "content", "context")
+    found = tables.table_claims(keyed, "key", "content", "context", cells)
     place = keyed.select("key", "doc", "pos", "page", "content")
     table = found.join(place, "key")
     whole = tables.whole_table_claims(keyed, found, "key", "content").withColumns({
@@ -50,59 +52,66 @@ def vision_claims(elements: DataFrame, readings: DataFrame) -> DataFrame:
     return charts.points_to_claims(points).join(place, ["doc", "pos"]).select(*CLAIM_COLUMNS)
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written and read again: a provider is called once, whatever reads its output."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def run_batch(
+    spark: SparkSession, root: str, out: str, parse: Callable[..., str] = providers.as_json, settings: Settings = Settings(), limit: int | None = None,
+    read: Callable[[dict], Awaitable[str]] | None = None, **how,
+) -> dict[str, int]:
+    """Ingest all submissions below ``root`` into layers below ``out``; returns rows added by layer. Running twice adds nothing, and asks no provider. See ``process``."""
+    return process(files.submissions(spark, root, limit), out, parse, settings, read, **how)
 
 
-def run_batch(
-    spark: SparkSession, root: str, out: str, parse: Callable[[str, bytes], str] = providers.as_json, settings: Settings = Settings(), limit: int | None = None,
-    read: Callable[[dict], Awaitable[str]] | None = None,
+def process(
+    found: DataFrame, out: str, parse: Callable[..., str] = providers.as_json, settings: Settings = Settings(), read: Callable[[dict], Awaitable[str]] | None = None,
+    *, id: str | None = None, options: dict | None = None, retry_failed: bool = False, images: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Ingest all submissions below ``root`` into layers below ``out``; returns rows added by layer. Running twice adds nothing.
+    """Ingest ``found`` (path, content, team, report_type, entity_ref, entity_id, entity_name) into layers below ``out``; returns rows added by layer.
 
     ``bronze`` has the elements, ``silver`` all claims, ``gold`` the measures, ``review`` the flagged
     claims with a reason, ``audit`` what each document covers, ``chunks`` the readable text with
-    tables as Markdown and figures with their claims. ``read`` (a model) gets each figure that needs
-    its picture read, with the image of its page, if the parser gave one; ``readings`` below ``out``
-    keeps its answers. One bad document doesn't fail the batch: it becomes a quarantine row.
+    tables as Markdown and figures with their claims, ``pages`` the page counts of the raw files;
+    they become visible together, and a batch whose ``id`` is committed adds nothing. ``read`` (a
+    model) gets each figure that needs its picture read, with the image of its page, if the parser
+    gave one, or else of its place among ``images`` (doc, place, path). All answers of parser and
+    model stay in the ledger ``answers``. One bad document doesn't fail the batch: it becomes a
+    quarantine row. Elements, grids and claims are written once and read by all that needs them.
     """
-    found = files.submissions(spark, root, limit)
-    responses = _written(providers.parsed_by(found, parse), f"{out}/responses")
-    elements = parsed.elements(responses)
-    vision = None
-    if read is not None:
-        used, figures = el.hybrid_split(elements, settings)
-        wanted = parsed.page_images(figures.select("doc", "pos", "page", "description"), parsed.pages(responses))
-        vision = vision_claims(elements, _written(providers.read_by_model(wanted, read), f"{out}/readings"))
-    claims = claims_of(elements, vision)
-    origin = found.select(F.col("path").alias("doc"), "team", "report_type", "entity_ref", "entity_id", "entity_name")
-    dates = layers.document_dates(origin.select("doc", F.col("doc").alias("path")), elements, claims)
-    full = claims.join(origin, "doc").join(dates, "doc", "left").withColumns({
-        "source_document": F.element_at(F.split("doc", "/"), -1), "entity_ref": entity_or_unknown(F.col("entity_ref")),
-        "grounding": quality.grounding(F.col("value"), F.coalesce("content", F.lit("")), F.col("element_type") == "figure"), "as_at_date": F.lit(None).cast("string"),
-    }).drop("content")
-    silver = layers.stamped(full, {}).persist()
-    clean, review = quality.gated(silver, None, settings)
-    whose = F.col("doc")
-    lost = responses.join(elements.select("doc").distinct(), "doc", "left_anti").join(origin, "doc").withColumns({"pos": F.lit(0), "error": F.coalesce("error", F.lit("no elements"))}).select("doc", "pos", "team", "report_type", "error")
-    bronze = elements.join(origin.select("doc", "team", "report_type"), "doc")
-    audit = evaluate.coverage_audit(elements.withColumn("ornament", is_ornament(F.col("description"), F.col("content"))), claims).join(origin.select("doc", "team", "report_type"), "doc").withColumn("pos", F.lit(0))
-    rendered = tables.markdown(_keyed(elements), "key", "content").join(_keyed(elements).select("key", "doc", "pos"), "key")
-    readable = ch.readable(elements, rendered, claims.where("citation_tier = 'llm_estimated'").select("doc", "page", "pos", "field_name", "canonical_metric", "value", "unit"))
-    indexed = ch.chunks(readable.join(origin.select("doc", "team", "report_type"), "doc"), carried=("team", "report_type"))
-    hashed = lambda df, *c: df.withColumn("content_hash", layers.row_hash(whose, *[F.col(x) for x in c]))
-    try:
-        return {
-            "bronze": layers.append(hashed(bronze, "pos", "el_type", "content", "description"), f"{out}/bronze"),
-            "silver": layers.append(silver, f"{out}/silver"), "gold": layers.append(layers.gold(clean), f"{out}/gold"),
-            "review": layers.append(review, f"{out}/review"), "quarantine": layers.append(hashed(lost, "error"), f"{out}/quarantine"),
-            "audit": layers.append(hashed(audit, "elements_total", "elements_accounted", "claims_total"), f"{out}/audit"),
-            "chunks": layers.append(indexed, f"{out}/chunks", "chunk_id", ("source_document_id", "page")),
+    spark = found.sparkSession
+    with batches.Batch(spark, out, id) as batch:
+        if batch.done:
+            return dict.fromkeys(LAYERS, 0)
+        responses = batch.written(providers.parsed_by(found, parse, f"{out}/answers", options, retry_failed), "responses")
+        elements = batch.written(parsed.elements(responses), "elements")
+        vision = None
+        if read is not None:
+            used, figures = el.hybrid_split(elements, settings)
+            wanted = parsed.page_images(figures.select("doc", "pos", "page", "description"), parsed.pages(responses), images)
+            wanted = wanted.join(responses.select("doc", "digest"), "doc")
+            vision = vision_claims(elements, batch.written(providers.read_by_model(wanted, read, f"{out}/answers", options=options, retry_failed=retry_failed), "readings"))
+        cells = batch.written(tables.grids(_keyed(elements), "key", "content"), "cells")
+        claims = batch.written(claims_of(elements, vision, cells), "claims")
+        origin = batch.written(found.select(F.col("path").alias("doc"), "team", "report_type", "entity_ref", "entity_id", "entity_name"), "origin")
+        dates = layers.document_dates(origin.select("doc", F.col("doc").alias("path")), elements, claims)
+        full = claims.join(origin, "doc").join(dates, "doc", "left").withColumns({
+            "source_document": F.element_at(F.split("doc", "/"), -1), "entity_ref": entity_or_unknown(F.col("entity_ref")),
+            "grounding": quality.grounding(F.col("value"), F.coalesce("content", F.lit("")), F.col("element_type") == "figure"), "as_at_date": F.lit(None).cast("string"),
+        }).drop("content")
+        silver = batch.written(layers.stamped(full, {}), "stamped")
+        clean, review = quality.gated(silver, None, settings)
+        whose = ["doc", "team", "report_type"]
+        lost = responses.join(elements.select("doc").distinct(), "doc", "left_anti").join(origin, "doc").withColumns({"pos": F.lit(0), "error": F.coalesce("error", F.lit("no elements"))}).select(*whose, "pos", "error")
+        bronze = elements.join(origin.select(*whose), "doc")
+        audit = evaluate.coverage_audit(elements.withColumn("ornament", is_ornament(F.col("description"), F.col("content"))), claims).join(origin.select(*whose), "doc").withColumn("pos", F.lit(0))
+        rendered = tables.markdown(_keyed(elements), "key", "content", cells).join(_keyed(elements).select("key", "doc", "pos"), "key")
+        readable = ch.readable(elements, rendered, claims.where("citation_tier = 'llm_estimated'").select("doc", "page", "pos", "field_name", "canonical_metric", "value", "unit"))
+        indexed = ch.chunks(readable.join(origin.select(*whose), "doc"), carried=("team", "report_type"))
+        raw = rawpages.page_counts(found).withColumnRenamed("path", "doc").join(origin.select(*whose), "doc").withColumn("pos", F.lit(0))
+        hashed = lambda df, *c: df.withColumn("content_hash", layers.row_hash(F.col("doc"), *[F.col(x) for x in c]))
+        made = {
+            "bronze": hashed(bronze, "pos", "el_type", "content", "description"), "silver": silver, "gold": layers.gold(clean), "review": review, "quarantine": hashed(lost, "error"),
+            "audit": hashed(audit, "elements_total", "elements_accounted", "claims_total"), "pages": hashed(raw.where("total_pages is not null"), "total_pages"),
         }
-    finally:
-        silver.unpersist()
+        added = {layer: batch.append(rows, layer) for layer, rows in made.items()}
+        return added | {"chunks": batch.append(indexed, "chunks", "chunk_id", ("source_document_id", "page"))}
 
 
 def batch_totals(spark: SparkSession, out: str) -> DataFrame:

@@ -42,13 +42,27 @@ def pages(responses: DataFrame, doc: str = "doc", response: str = "response") ->
     return each.select("doc", "pos", number.alias("page"), F.try_variant_get("p", "$.image_uri", "string").alias("image_uri"))
 
 
-def page_images(wanted: DataFrame, images: DataFrame) -> DataFrame:
-    """``wanted`` (doc, page) with the image of its page: by number, else the one before it in order."""
-    direct = images.where("image_uri is not null").select("doc", "page", F.col("image_uri").alias("_by_number"))
-    placed = images.select("doc", F.col("pos").alias("_place"), F.col("image_uri").alias("_by_place"))
-    place = F.greatest(F.coalesce("page", F.lit(0)) - 1, F.lit(0))
-    both = wanted.withColumn("_place", place).join(direct, ["doc", "page"], "left").join(placed, ["doc", "_place"], "left")
-    return both.withColumn("image_uri", F.coalesce("_by_number", "_by_place")).drop("_by_number", "_by_place", "_place")
+def page_images(wanted: DataFrame, images: DataFrame, by_time: DataFrame | None = None) -> DataFrame:
+    """``wanted`` (doc, page) with ``image_uri``: the image of its page number, else of the number before it, else by time of change.
+
+    ``images`` (doc, pos, page, image_uri) lists pages; one without a number counts by its place, and
+    of several with one number the first with an image is taken. ``by_time`` (doc, place, path) numbers
+    image files from 0 and serves page ``place`` + 1 where no listed page does. A missing page number
+    is looked up as 0. Every wanted row comes back once.
+    """
+    numbered = images.where("image_uri is not null").withColumn("_number", F.coalesce("page", "pos"))
+    listed = numbered.groupBy(F.col("doc").alias("_doc"), "_number").agg(F.min_by("image_uri", F.struct(F.col("page").isNull(), "pos")).alias("_uri"))
+    before = F.greatest(F.coalesce(F.col("page"), F.lit(1)) - 1, F.lit(0))
+    own = wanted.columns
+    chain = [(listed, F.col("page")), (listed, before)]
+    if by_time is not None:
+        files = by_time.groupBy(F.col("doc").alias("_doc"), F.col("place").alias("_number")).agg(F.min("path").alias("_uri"))
+        chain.append((files, before))
+    out = wanted
+    for k, (table, number) in enumerate(chain):
+        step = table.toDF(f"_doc{k}", f"_number{k}", f"_uri{k}")
+        out = out.join(step, (F.col("doc") == F.col(f"_doc{k}")) & (number == F.col(f"_number{k}")), "left")
+    return out.select(*own, F.coalesce(*[f"_uri{k}" for k in range(len(chain))]).alias("image_uri"))
 
 
 #: Tags of web pages, and the element types that they stand for.

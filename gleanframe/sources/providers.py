@@ -1,36 +1,43 @@
 """Seams for what Spark can't do itself: parsing binary documents and reading figures by a model.
 
-A provider is any picklable callable. Calls run in ``mapInPandas`` on the executors, and their
-output should be written before it is used twice. Failures become rows with an ``error``.
+A provider is any picklable callable. Calls run on the executors, and every answer is recorded in a
+ledger (``ledger``), failures with their ``error``: no question is asked twice.
 """
 
 from __future__ import annotations
 
 import asyncio
 import random
-from collections.abc import Awaitable, Callable, Iterator
+from collections.abc import Awaitable, Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..shipping import ship
+from .ledger import ask, question, recorded
 
 
-def parsed_by(files: DataFrame, parse: Callable[[str, bytes], str]) -> DataFrame:
-    """(doc, response, error) of files (path, content)."""
+def parse_with(parse: Callable, options: dict | None) -> Callable[[list[dict]], list[tuple[str | None, str | None]]]:
+    """Answers to files (path, content): a response, or an error; options, if any, are the parser's third argument."""
+
+    def answer(rows: list[dict]) -> list[tuple[str | None, str | None]]:
+        out = []
+        for x in rows:
+            try:
+                out.append((parse(x["path"], x["content"], options) if options else parse(x["path"], x["content"]), None))
+            except Exception as e:  # one document never fails the batch
+                out.append((None, str(e)[:200] or type(e).__name__))
+        return out
+
+    return answer
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for path, content in zip(f["path"], f["content"], strict=True):
-                try:
-                    rows.append((path, parse(path, content), None))
-                except Exception as e:  # one document never fails the batch
-                    rows.append((path, None, str(e)[:200]))
-            yield pd.DataFrame(rows, columns=["doc", "response", "error"])
 
-    ship(files.sparkSession)
-    return files.select("path", "content").mapInPandas(work, "doc string, response string, error string")
+def parsed_by(files: DataFrame, parse: Callable[..., str], record: str, options: dict | None = None, retry_failed: bool = False) -> DataFrame:
+    """(doc, digest, response, error) of files (path, content), asked once a content and options and recorded at ``record``."""
+    digest = F.sha2(F.coalesce("content", F.lit(b"")), 256)
+    asked = files.select("path", "content", digest.alias("digest")).withColumn("key", question(F.lit("parse"), F.col("digest"), options=options))
+    ask(asked, record, parse_with(parse, options), retry_failed)
+    said = recorded(files.sparkSession, record).withColumnRenamed("raw", "response")
+    return asked.drop("content").join(said, "key", "left").select(F.col("path").alias("doc"), "digest", "response", "error")
 
 
 def as_json(path: str, content: bytes) -> str:
@@ -50,30 +57,36 @@ async def with_retries(call: Callable[[], Awaitable[str]], attempts: int = 8, fi
     raise ValueError("attempts must be positive")
 
 
-def read_by_model(figures: DataFrame, read: Callable[[dict], Awaitable[str]], concurrent: int = 8, attempts: int = 8, first_delay: float = 2.0) -> DataFrame:
-    """(doc, pos, raw, error) of figures; ``read`` gets a row as a dict (with prompt and examples, if any).
-
-    ``concurrent`` calls are in flight in a task.
-    """
+def read_with(read: Callable[[dict], Awaitable[str]], concurrent: int = 8, attempts: int = 8, first_delay: float = 2.0) -> Callable[[list[dict]], list[tuple[str | None, str | None]]]:
+    """Answers of a model to rows; ``concurrent`` calls are in flight in a task."""
 
-    async def all_of(rows: list[dict]) -> list[tuple]:
+    async def all_of(rows: list[dict]) -> list[tuple[str | None, str | None]]:
         gate = asyncio.Semaphore(concurrent)
 
-        async def one(row: dict) -> tuple:
+        async def one(row: dict) -> tuple[str | None, str | None]:
             async with gate:
                 try:
-                    return row["doc"], row["pos"], await with_retries(lambda: read(row), attempts, first_delay), None
+                    return await with_retries(lambda: read(row), attempts, first_delay), None
                 except Exception as e:
-                    return row["doc"], row["pos"], None, str(e)[:200]
+                    return None, str(e)[:200] or type(e).__name__
 
         return await asyncio.gather(*map(one, rows))
 
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame(asyncio.run(all_of(f.to_dict("records"))), columns=["doc", "pos", "raw", "error"])
+    return lambda rows: asyncio.run(all_of(rows))
+
 
-    ship(figures.sparkSession)
-    return figures.mapInPandas(work, "doc string, pos int, raw string, error string")
+def read_by_model(
+    figures: DataFrame, read: Callable[[dict], Awaitable[str]], record: str, concurrent: int = 8, attempts: int = 8, first_delay: float = 2.0,
+    options: dict | None = None, retry_failed: bool = False,
+) -> DataFrame:
+    """(doc, pos, raw, error) of figures; ``read`` gets a row as a dict (with prompt and examples, if any).
+
+    A figure is asked once for its row and the options: the row holds what tells its content
+    (a digest of its document, its place, its image) and the prompt, if they may change.
+    """
+    asked = figures.withColumn("key", question(F.lit("read"), *[F.col(c) for c in sorted(figures.columns)], options=options))
+    ask(asked, record, read_with(read, concurrent, attempts, first_delay), retry_failed)
+    return asked.select("doc", "pos", "key").join(recorded(figures.sparkSession, record), "key", "left").select("doc", "pos", "raw", "error")
 
 
 class Replay:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.batches import stored_rows
+
 
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """A labelled CSV: header names without byte-order mark, case and blanks; page as an integer or null."""
@@ -14,8 +16,10 @@ def ground_truth(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, path: str, documents: list[str] | None = None, entities: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
-    """A stored layer, of some documents or entities; the filters reach the scan."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """A stored layer's committed rows, of some documents or entities; the filters reach the scan. An error if there are none."""
+    df = stored_rows(spark, path)
+    if df is None:
+        raise FileNotFoundError(f"no batch is committed at {path}")
     if documents:
         df = df.where(F.col("source_document").isin(documents))
     if entities:
@@ -24,8 +28,8 @@ def stored(spark: SparkSession, path: str, documents: list[str] | None = None, e
 
 
 def table_names(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the catalog's tables that match a pattern with ``*``."""
-    return sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES LIKE '{pattern}'").collect())
+    """Names of the catalog's tables that match a pattern with ``*``, without regard to case."""
+    return sorted(t.name for t in spark.catalog.listTables(pattern=pattern))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

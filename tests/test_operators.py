@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gleanframe.operators import charts, elements, evaluate, layers, prose, quality, tables
 from gleanframe.plans import batch, report
 from gleanframe.schemas import RunParameters, Settings
-from gleanframe.sources import files, parsed, prompts, providers
+from gleanframe.sources import files, ledger, parsed, prompts, providers
 from gleanframe.sources import tables as stored
 from gleanframe.streaming import ingest
 
@@ -169,7 +169,7 @@ def test_batch_of_tables_without_numbers_and_read_figures(spark, tmp_path):
     got = batch.run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), read=providers.Replay({(doc, 1): answer, (doc, 2): "[]"}))
     silver = {(int(r.pos), r.field_name, r.value) for r in stored.stored(spark, str(tmp_path / "out/silver")).collect()}
     assert got["silver"] == 3 and silver == {(0, "table", "<table><tr><td>only words</td></tr></table>"), (1, "Profit", "12"), (2, "Sales titled 'S'", "7%")}, silver
-    assert spark.read.parquet(str(tmp_path / "out/readings")).count() == 2
+    assert ledger.recorded(spark, str(tmp_path / "out/answers")).count() == 3
 
 
 def test_one_long_text_takes_linear_time(spark):
@@ -206,9 +206,9 @@ def test_submissions_by_path(spark, tmp_path):
     assert files.submissions(spark, str(tmp_path)).count() == 3 and files.submissions(spark, str(tmp_path / "none")).count() == 0
 
 
-def test_model_reads_with_retries(spark):
+def test_model_reads_with_retries(spark, tmp_path):
     df = spark.createDataFrame([("d", 1), ("d", 2)], "doc string, pos int")
-    got = {r.pos: (r.raw, r.error is None) for r in providers.read_by_model(df, providers.Replay({("d", 1): "[]"}), attempts=2, first_delay=0.0).collect()}
+    got = {r.pos: (r.raw, r.error is None) for r in providers.read_by_model(df, providers.Replay({("d", 1): "[]"}), str(tmp_path / "a"), attempts=2, first_delay=0.0).collect()}
     assert got == {1: ("[]", True), 2: (None, False)}
 
 
