@@ -9,23 +9,24 @@ a distinct group, weighted by the documents that hold it, and what they give is
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_batch, cached, operator, rows_of, staged, strings
-from .tokens import byte_letters, gather, is_plain, json_encoder, listed
+from .tokens import BatchEncoder, byte_letters, gather, is_plain, json_encoder
 
 SPACE = "▁"
-#: Texts of about so many bytes make a chunk: what a task says about a group it says once a chunk.
-CHUNK = 8 << 20
-#: Units whose groups a worker remembers.
-MEMO = 400_000
+#: Texts of about so many characters make a chunk: what a task says about a group it says once a chunk.
+CHUNK = 4 << 20
+#: Words whose groups a worker remembers, and groups that it has numbers for, at most.
+MEMO = 250_000
+WRONG = -1
 _CHUNK = (
     "chunk long, ids array<long>, n_a array<int>, n_b array<int>, sizes array<int>, groups array<int>, links array<int>, shas array<string>, "
     "keys array<string>, docs array<int>, twice array<struct<a:int,b:int,n:int>>"
@@ -33,61 +34,79 @@ _CHUNK = (
 
 
 class Groups:
-    """The groups of texts, each as the text ``a1,a2|b1`` of its ids in order; None where the tokens don't spell the text."""
+    """Numbers of the groups of texts; ``keys`` has each group as the text ``a1,a2|b1`` of its ids in order.
+
+    A text that B's tokens don't spell has the one number WRONG.
+    """
 
     def __init__(self, json_path: str, piece_path: str):
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.left = json_encoder(json_path)
-        bytes_of = {c: b for b, c in byte_letters().items()}
+        bytes_of = set(byte_letters().values())
         vocabulary = Tokenizer.from_file(json_path).get_vocab(with_added_tokens=True)
-        sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.left_sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, k in vocabulary.items():
-            sizes[k] = sum(1 if c in bytes_of else len(c.encode()) for c in token)
-        self.left_sizes = sizes.tolist()
+            self.left_sizes[k] = sum(1 if c in bytes_of else len(c.encode()) for c in token)
         self.right = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         pieces = [self.right.id_to_piece(k) for k in range(self.right.get_piece_size())]
         self.spelled = [bytes([int(x[3:5], 16)]) if self.right.is_byte(k) else x.replace(SPACE, " ").encode() for k, x in enumerate(pieces)]
-        self.right_sizes = [len(x) for x in self.spelled]
-        #: No piece goes on behind a space that follows a letter: a text's words can be encoded one by one.
+        self.right_sizes = np.array([len(x) for x in self.spelled])
+        # no piece goes on behind a space that follows a letter: the words of a text can be encoded one by one
         self.by_word = not any(" " in x.decode("utf-8", "replace").lstrip(" ") for x in self.spelled)
-        self.memo: dict[str, list[str] | None] = {}
-
-    def _cut(self, a: list[int], b: list[int], text: bytes) -> list[str] | None:
-        if b"".join([self.spelled[y] for y in b]) != text:
-            return None
-        out, left, right = [], self.left_sizes, self.right_sizes
-        i = j = i0 = j0 = x = y = 0
-        while i < len(a):
-            if x <= y:
-                x += left[a[i]]
-                i += 1
-            while y < x:
-                y += right[b[j]]
-                j += 1
-            if x == y:
-                out.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-                i0, j0 = i, j
-        return out
-
-    def of_texts(self, texts: list[str]) -> list[list[str] | None]:
-        """The groups of a space and each text."""
-        if not texts:
-            return []
-        a = [x.tolist() for x in self.left([" " + x for x in texts])]
-        b = self.right.encode(texts, num_threads=1)
-        return [self._cut(x, y, b" " + t.encode()) for x, y, t in zip(a, b, texts, strict=True)]
-
-    def of_words(self, words: list[str]) -> list[list[str] | None]:
-        """The same, remembered; no word has a space."""
-        memo = self.memo
-        lack = [x for x in words if x not in memo]
-        made = dict(zip(lack, self.of_texts(lack), strict=True))
-        out = [made[x] if x in made else memo[x] for x in words]
-        if len(memo) < MEMO:
-            memo.update((x, y) for x, y in made.items() if len(x) < 200)
-        return out
+        self.forget()
+
+    def forget(self) -> None:
+        """Number groups anew, so that what a worker remembers stays bounded. ``sides``: a group's tokens of A and of B, and its links."""
+        self.keys: list[str] = []
+        self.sides: list[tuple[int, int, np.ndarray]] = []
+        self.number: dict[int | tuple, int] = {}
+        self.words = BatchEncoder(self._words, "<i4", MEMO)
+
+    def _number(self, code: int | tuple, a: list[int], b: list[int]) -> int:
+        found = self.number.get(code)
+        if found is None:
+            found = self.number[code] = len(self.keys)
+            self.keys.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
+            self.sides.append((len(a), len(b), np.array(sorted({x << 32 | y for x in a for y in b}), np.int64)))
+        return found
+
+    def _words(self, units: list[str]) -> list[bytes]:
+        words = [x.removeprefix(" ") for x in units]
+        packed = self.left.missing([" " + x for x in words]) if isinstance(self.left, BatchEncoder) else [x.tobytes() for x in self.left([" " + x for x in words])]
+        return [x.tobytes() for x in self.numbered(words, [np.frombuffer(x, self.left.dtype if isinstance(self.left, BatchEncoder) else "<u4") for x in packed])]
+
+    def numbered(self, texts: list[str], left: list[np.ndarray]) -> list[np.ndarray]:
+        """The numbers of the groups of a space and each text, whose A ids are given."""
+        right = self.right.encode(texts, num_threads=1) if texts else []
+        sizes_a, sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))
+        a = np.concatenate([*left, np.empty(0, np.int64)]).astype(np.int64)
+        b = np.fromiter(itertools.chain.from_iterable(right), np.int64, int(sizes_b.sum()))
+        plain = [b" " + x.encode() for x in texts]
+        if b"".join([self.spelled[y] for y in b.tolist()]) != b"".join(plain):
+            good = [b"".join([self.spelled[y] for y in x]) == t for x, t in zip(right, plain, strict=True)]
+            rest = iter(self.numbered([x for x, y in zip(texts, good, strict=True) if y], [x for x, y in zip(left, good, strict=True) if y]))
+            return [next(rest) if y else np.array([WRONG], np.int32) for y in good]
+        # all texts behind each other: where tokens of both end, texts end too
+        end_a, end_b = np.cumsum(self.left_sizes[a]), np.cumsum(self.right_sizes[b])
+        cut_a, cut_b = np.flatnonzero(np.isin(end_a, end_b)) + 1, np.flatnonzero(np.isin(end_b, end_a)) + 1
+        from_a, from_b = (np.concatenate([[0], x[:-1]]) if len(x) else x for x in (cut_a, cut_b))
+        n_a, n_b = cut_a - from_a, cut_b - from_b
+        out = np.empty(len(cut_a), np.int32)
+        single = (n_a == 1) & (n_b == 1)
+        codes, index = np.unique(a[from_a[single]] << 32 | b[from_b[single]], return_inverse=True)
+        out[single] = np.array([self._number(x, [x >> 32], [x & 0xFFFFFFFF]) for x in codes.tolist()], np.int32)[index] if len(codes) else 0
+        flat_a, flat_b = a.tolist(), b.tolist()
+        for k in np.flatnonzero(~single).tolist():
+            x, y = flat_a[from_a[k] : cut_a[k]], flat_b[from_b[k] : cut_b[k]]
+            out[k] = self._number((*x, -1, *y), x, y)
+        ends = np.searchsorted(cut_a, np.cumsum(sizes_a), "right")
+        return np.split(out, ends[:-1]) if texts else []
+
+    def of_texts(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the groups of a space and each text, encoded whole."""
+        return self.numbered(texts, self.left([" " + x for x in texts])) if texts else []
 
 
 @cached
@@ -99,56 +118,40 @@ class Chunk:
     """Documents of a task and the distinct groups in them."""
 
     def __init__(self, groups: Groups):
-        self.groups, self.number, self.size = groups, {}, 0
+        if len(groups.keys) > MEMO:
+            groups.forget()
+        self.groups, self.size = groups, 0
         self.ids: list[int | None] = []
         self.found: list[np.ndarray] = []
 
-    def _numbers(self, keys: list[str]) -> list[int]:
-        number = self.number
-        return [number.setdefault(x, len(number)) for x in keys]
-
     def add(self, ids: list[int | None], texts: list[str]) -> None:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
         usable = [k for k, x in enumerate(texts) if x and SPACE not in x]
         plain = [k for k in usable if self.groups.by_word and is_plain(" " + texts[k]) and texts[k][-1] != " "]
-        if plain:
-            cut = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
-            coded = cut.flatten().dictionary_encode()
-            made = self.groups.of_words(listed(coded.dictionary))
-            bad = np.array([x is None for x in made])
-            own = [self._numbers(x or []) for x in made]
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            flat = np.array([x for y in own for x in y], np.int32)
-            index, at = coded.indices.to_numpy().astype(np.int64), cut.offsets.to_numpy()
-            lengths = sizes[index]
-            every = gather(flat, (np.cumsum(sizes) - sizes)[index], lengths)
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            wrong = np.concatenate([[0], np.cumsum(bad[index])])
-            for j, k in enumerate(plain):
-                if wrong[at[j]] == wrong[at[j + 1]]:
-                    out[k] = every[ends[at[j]] : ends[at[j + 1]]]
         rest = sorted(set(usable) - set(plain))
-        for k, x in zip(rest, self.groups.of_texts([texts[k] for k in rest]), strict=True):
-            if x is not None:
-                out[k] = np.array(self._numbers(x), np.int32)
+        for some, made in ((plain, self.groups.words), (rest, self.groups.of_texts)):
+            for k, x in zip(some, made([texts[k] for k in some]), strict=True):
+                if x.min() != WRONG:
+                    out[k] = x.copy()  # not a view that keeps the batch alive
         self.ids += ids
         self.found += out
         self.size += sum(map(len, texts))
 
     def row(self, chunk: int) -> pa.RecordBatch:
         """What the table of chunks holds; a document's links are pairs of tokens, ``docs`` counts documents by group."""
-        keys = list(self.number)
-        sides = [tuple([int(t) for t in side.split(",")] for side in key.split("|")) for key in keys]
-        n_a, n_b = (np.array([len(x[side]) for x in sides], np.int64) for side in (0, 1))
         sizes = np.fromiter(map(len, self.found), np.int64, len(self.found))
-        flat = np.concatenate([*self.found, np.empty(0, np.int32)])
+        used, flat = np.unique(np.concatenate([*self.found, np.empty(0, np.int32)]), return_inverse=True)
+        keys = [self.groups.keys[k] for k in used.tolist()]
+        sides = [self.groups.sides[k] for k in used.tolist()]
+        n_a, n_b = (np.array([x[side] for x in sides], np.int64) for side in (0, 1))
         ends = np.concatenate([[0], np.cumsum(sizes)])
         sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[flat])])[ends])
-        shas = [hashlib.sha256(";".join([keys[g] for g in x.tolist()]).encode()).hexdigest() if len(x) else "" for x in self.found]
+        named = self.groups.keys
+        shas = [hashlib.sha256(";".join([named[g] for g in x.tolist()]).encode()).hexdigest() if len(x) else "" for x in self.found]
         held = np.unique(np.repeat(np.arange(len(sizes)), sizes) * max(len(keys), 1) + flat)
         doc, group = held // max(len(keys), 1), held % max(len(keys), 1)
         # links that a document holds in several groups count once
-        codes = [np.unique(np.add.outer(np.array(a, np.int64) << 32, np.array(b, np.int64))) for a, b in sides]
+        codes = [x[2] for x in sides]
         distinct, name = np.unique(np.concatenate([*codes, np.empty(0, np.int64)]), return_inverse=True)
         width = np.fromiter(map(len, codes), np.int64, len(codes))
         linked = gather(name, (np.cumsum(width) - width)[group], width[group])
@@ -208,6 +211,8 @@ def pair_counts(links: DataFrame, chunks: DataFrame) -> DataFrame:
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document of a chunk, with the sums over its groups."""
+    groups_of.cache_clear()  # the encoders' work is done
+    json_encoder.cache_clear()
     for b in batches:
         for row in range(b.num_rows):
             x = {name: b.column(k)[row].values for k, name in enumerate(b.schema.names) if name != "chunk"}
