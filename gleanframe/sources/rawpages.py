@@ -5,6 +5,7 @@ Only directories of a file are read: a ZIP's list of parts, a PDF's trailer, cro
 
 from __future__ import annotations
 
+import contextlib
 import io
 import re
 import zipfile
@@ -64,9 +65,10 @@ class Pdf:
         self.content, self.places, self.root = content, {}, None
         starts = re.findall(rb"startxref\s+(\d+)", content[-2048:])
         at, seen = int(starts[-1]) if starts else None, set()
-        while at is not None and at not in seen and len(seen) < DEPTH:
-            seen.add(at)
-            at = self._section(at)
+        with contextlib.suppress(ValueError, TypeError, KeyError, IndexError, zlib.error):  # a damaged section is as good as none
+            while at is not None and at not in seen and len(seen) < DEPTH:
+                seen.add(at)
+                at = self._section(at)
         if self.root is None or self.root not in self.places:
             self._scanned()
 
