@@ -127,7 +127,7 @@ class Chunk:
     def add(self, ids: list[int | None], texts: list[str]) -> None:
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
         usable = [k for k, x in enumerate(texts) if x and SPACE not in x]
-        plain = [k for k in usable if self.groups.by_word and is_plain(" " + texts[k]) and texts[k][-1] != " "]
+        plain = [k for k in usable if self.groups.by_word and "  " not in f" {texts[k]} " and is_plain(" " + texts[k])]
         rest = sorted(set(usable) - set(plain))
         for some, made in ((plain, self.groups.words), (rest, self.groups.of_texts)):
             for k, x in zip(some, made([texts[k] for k in some]), strict=True):
