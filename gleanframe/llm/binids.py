@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_batch, file_system, fresh_path, operator, qualified, rows_of, staged, strings, write_whole
+from .common import by_batch, callers_path, file_system, operator, qualified, rows_of, staged, strings, write_whole
 from .tokens import json_encoder, vocabulary_size
 
 SHARD_BYTES = 16 << 20
@@ -91,7 +91,7 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
     other. Other columns are ignored, whatever their names. An empty table gives a shard without documents.
     """
     spark = docs.sparkSession
-    folder = qualified(spark, folder or fresh_path(spark, "ids"))
+    folder = qualified(spark, folder or callers_path(spark, "ids"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
     system, base = file_system(folder)

@@ -77,6 +77,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def callers_path(spark: SparkSession, name: str) -> str:
+    """A new folder for files that an operator returns: it goes with the operator that called this one, if any."""
+    path = fresh_path(spark, name)
+    scopes = getattr(_local, "scopes", None) or []
+    if len(scopes) > 1:
+        scopes[-2].append(path)
+    return path
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """The session's settings changed for a while."""
@@ -123,7 +132,7 @@ def finished(stage: DataFrame) -> None:
 
 
 def operator(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A function whose result is staged, and whose own stages are deleted when that is done."""
+    """A function whose result is staged, and whose own stages are deleted when that is done or has failed."""
 
     @functools.wraps(function)
     def run(*args, **kwargs) -> DataFrame:
@@ -131,12 +140,21 @@ def operator(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         own: list[str] = []
         scopes.append(own)
         try:
-            out = function(*args, **kwargs)
+            try:
+                out = function(*args, **kwargs)
+            finally:
+                scopes.pop()
+            at = getattr(out, "_staged_at", None)
+            if at in own:  # a stage already
+                own.remove(at)
+                done = out
+                if scopes:
+                    scopes[-1].append(at)
+            else:
+                done = staged(out, function.__name__)
         finally:
-            scopes.pop()
-        done = staged(out, function.__name__)
-        for x in own:
-            _delete(out.sparkSession, x)
+            for x in own:
+                _delete(SparkSession.getActiveSession(), x)
         return done
 
     return run

@@ -217,7 +217,8 @@ def bands(known: DataFrame, least_texts: int, vocabularies: int) -> DataFrame:
 
     A band lies around the quartiles of all texts that pass the base rules (see ``BANDED``); texts
     of equal measures, such as copies, count once. Quartiles come from histograms of fixed bins, so
-    they don't depend on how rows are dealt out.
+    they don't depend on how rows are dealt out, but for the last bits of the lines fitted to the
+    entropies, whose sums of doubles Spark adds in the order in which tasks end.
     """
     each = range(vocabularies)
     own = known.where(~F.col("base_failed")).select("key", "n_chars", *[_numbered(m, k) for k in each for m in MEASURES]).distinct()

@@ -174,8 +174,10 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of documents (id, component, text) of different components that share one of their rarest shingles.
 
     Complete: the shingles of all stand in one order, rarest first, and sets with 100 x
-    intersection >= percent x union share one of the first n - ceil(n x percent / 100) + 1 of each,
-    and where they share their first, enough shingles follow.
+    intersection >= percent x union share one of the first n - ceil(n x percent / 100) + 1 of each.
+    Where they share their first, what follows it in either bounds their intersection: the shorter
+    set meets the longer at places only from which it could share enough with a set of its own
+    length, and meets sets of lengths near its own alone. Sets that can't reach the share so don't meet.
     Members of the component that is most frequent at a shingle aren't paired with each other.
     """
     rows = staged(_shingled(docs, width), "rest-shingles")
@@ -191,14 +193,18 @@ def prefix_pairs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     main = groups.groupBy("shingle").agg(F.count("*").alias("kinds"), F.max(F.struct("k", "component")).alias("top")).where("kinds > 1")
     # both sides of each join are written tables, so that Spark can split the rows of a frequent shingle
     main = staged(main.select("shingle", F.col("top.component").alias("main")), "rest-main")
-    marked = staged(heads.join(main, "shingle"), "rest-marked")
-    x = marked.where("component <> main").select("shingle", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
-    y = marked.select("shingle", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("ay"), "main")
-    # at the first shingle that two sets share, what follows it in either bounds their intersection
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent * 1.01 if percent < 100 else 1.01))
+    marked = staged(heads.join(main, "shingle").withColumn("band", band), "rest-marked")
+    # of a pair the shorter (of equal ones that of the smaller id) stands where the rest of it can still share enough
+    # with a set of its own length at least; the longer one has at most 100 / percent as many: its band or the next
+    enough = (100 + percent) * (1 + F.col("n") - F.col("at")) >= percent * 2 * F.col("n")
+    short = marked.where(enough).select("shingle", "band", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"), (F.col("component") == F.col("main")).alias("mx"))
+    long = marked.select("shingle", F.explode(F.array("band", F.col("band") - 1)).alias("band"), F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("at").alias("ay"), (F.col("component") == F.col("main")).alias("my"))
     most = 1 + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
-    near = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    near = near & ((100 + percent) * most >= percent * (F.col("nx") + F.col("ny")))
-    both = x.join(y, "shingle").where(near & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
+    near = (F.col("cx") != F.col("cy")) & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y"))))
+    near = near & (100 * F.col("nx") >= percent * F.col("ny")) & ((100 + percent) * most >= percent * (F.col("nx") + F.col("ny")))
+    met = lambda s, l: s.join(l, ["shingle", "band"]).where(near).select("x", "y")
+    both = met(short.where("not mx"), long).unionByName(met(short.where("mx"), long.where("not my")))
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

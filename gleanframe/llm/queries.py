@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .alignment import linked_tokens
 from .binids import read_ids, write_ids
 from .chunkdedup import exact_duplicates
-from .common import crc_fold
+from .common import crc_fold, operator
 from .fertility import judged
 from .hmm import scored
 from .hyperlang import identified, learn
@@ -40,18 +40,21 @@ def op2_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
     return identified(docs, profiles).select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@operator
 def op3_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids by way of frequency-ranked variable-length files."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return read_ids(write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0))
 
 
+@operator
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents on over 10 % of their source's documents, and the texts without them."""
     out = without_boilerplate(_table(spark, sf_dir, "documents", "doc_id", "source", "text"))
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+@operator
 def op5_segmented_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages by way of WARC archives."""
     read = read_archives(write_archives(_table(spark, sf_dir, "pages", "page_id", "url", "html")))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, file_system, fresh_path, operator, qualified, rows_of, staged, write_whole
+from .common import by_batch, callers_path, file_system, operator, qualified, rows_of, staged, write_whole
 
 #: Payloads below this are stored again rather than revisited.
 LEAST_REVISITED = 100
@@ -108,7 +108,7 @@ def write_archives(
     record's name holds the page and the row's place; a revisit names the page that it refers to.
     Other columns are ignored, whatever their names. An empty table gives no files.
     """
-    folder = qualified(pages.sparkSession, folder or fresh_path(pages.sparkSession, "warc"))
+    folder = qualified(pages.sparkSession, folder or callers_path(pages.sparkSession, "warc"))
     system, base = file_system(folder)
     system.create_dir(base, recursive=True)
     text = F.coalesce(F.col(html), F.lit(""))
