@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import ESTIMATED, Settings
+from ..schemas import GEOMETRY, ESTIMATED, Settings
 
 _NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 #: Fixed value: the year of a month printed without one, where labels are only counted from.
@@ -139,6 +139,27 @@ def resolved(figures: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return figures.withColumn("_out", out).withColumns({"periods": F.col("_out.periods"), "status": F.col("_out.status")}).drop("_out")
 
 
+def geometry_of(raw: Column) -> Column:
+    """Bars and labels in a model's answer (JSON of ``schemas.GEOMETRY``, with or without words around it); null if it has none.
+
+    Numbers may be given as text; what can't be read is null, and lists of another form are empty.
+    """
+    whole = F.try_parse_json(F.regexp_extract(F.coalesce(raw, F.lit("")), r"(?s)\{.*\}", 0))
+    listed = lambda name: F.coalesce(F.try_variant_get(whole, f"$.{name}", "array<variant>"), F.array().cast("array<variant>"))
+    got = lambda x, name, kind: F.try_variant_get(x, f"$.{name}", "string").try_cast(kind)
+    bar = lambda x: F.struct(got(x, "id", "int").alias("id"), got(x, "series", "string").alias("series"), got(x, "value", "string").alias("value"), got(x, "x_center", "double").alias("x_center"))
+    label = lambda x: F.struct(got(x, "text", "string").alias("text"), got(x, "x_center", "double").alias("x_center"))
+    made = F.struct(F.transform(listed("bars"), bar).alias("bars"), F.transform(listed("labels"), label).alias("labels")).cast(f"struct<{GEOMETRY.replace(' array', ':array').replace(', labels', ',labels')}>")
+    return F.when(whole.isNotNull(), made)
+
+
+def read_axes(answers: DataFrame, raw: str = "raw", **how) -> DataFrame:
+    """``answers`` of a model to the axis prompt, with ``bars``, ``labels``, ``periods`` and ``status`` (see ``resolved``); ``unread`` where an answer has no geometry."""
+    found = answers.withColumn("_g", geometry_of(F.col(raw)))
+    out = resolved(found.withColumns({"bars": F.col("_g.bars"), "labels": F.col("_g.labels")}), **how)
+    return out.withColumn("status", F.when(F.col("_g").isNull(), F.lit("unread")).otherwise(F.col("status"))).drop("_g")
+
+
 def anchored(figures: DataFrame) -> DataFrame:
     """Adds ``periods`` and ``status`` to figures by two anchors, an alternative to ``resolved`` that keeps printed labels.
 

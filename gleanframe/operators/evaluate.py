@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +23,26 @@ def ratio(a: Column, b: Column) -> Column:
 def _greedy(pairs: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
     """One-to-one pairs: by order of the left number, each takes its first right number that is still free.
 
-    Keys are a document's page, so a group is small; the pairs of one are folded in an array.
+    A group's pairs pass by in order, sorted by Spark, and a task remembers only which numbers of the
+    group at hand are taken: time follows the pairs, memory the matches of the largest group.
     """
-    listed = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(left).cast("long").alias("l"), F.col(right).cast("long").alias("r")))).alias("_pairs"))
-    kind = "array<struct<l:bigint,r:bigint>>"
-    taken = F.aggregate(
-        "_pairs", F.array().cast(kind),
-        lambda done, p: F.when(F.exists(done, lambda d: (d["l"] == p["l"]) | (d["r"] == p["r"])), done).otherwise(F.concat(done, F.array(p))).cast(kind),
-    )
-    return listed.select(*keys, F.explode(taken).alias("_p")).select(*keys, F.col("_p.l").alias(left), F.col("_p.r").alias(right))
+    plain = pairs.select(*keys, F.col(left).cast("long").alias(left), F.col(right).cast("long").alias(right))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, done, taken = None, None, set()
+        for b in batches:
+            own, kept = [c.to_pylist() for c in b.columns], []
+            for row, (*key, l, r) in enumerate(zip(*own, strict=True)):
+                if key != group:
+                    group, done, taken = key, None, set()
+                if l != done and r not in taken:
+                    done = l
+                    taken.add(r)
+                    kept.append(row)
+            yield pa.RecordBatch.from_struct_array(b.to_struct_array().take(pa.array(kept, pa.int64())))
+
+    ordered = plain.repartition(*keys).sortWithinPartitions(*keys, left, right)
+    return ordered.mapInArrow(work, plain.schema)
 
 
 def matched(truth: DataFrame, claims: DataFrame, tolerance: float = Settings.chart_tolerance) -> DataFrame:

@@ -1,20 +1,22 @@
-"""HTML tables: grid, headers, sections and claims.
+"""HTML tables: layout, headers, sections, claims and Markdown.
 
-Cutting markup into a grid needs a parser and is an Arrow function; all else is relational, keyed
-by the table, so that one shuffle serves it.
+Cutting markup needs a parser, so one Arrow function reads a table from its markup to the cells that
+become claims, row by row; names, units and all else are expressions. No step shuffles.
+A cell with spans is kept as a rectangle and laid out one row at a time.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import has_digit, has_number
-from ..functions.text import joined_context, squeezed, unit_of
+from ..functions.numbers import TEXT_NUMBER
+from ..functions.text import PART, joined_context, unit_of
 from ..schemas import PARSED
 from ..shipping import ship
 
@@ -22,6 +24,17 @@ from ..shipping import ship
 LABEL_COLUMNS, RENDERED_HEADERS = 5, 3
 #: The greatest spans that HTML allows; greater ones count as these.
 SPANS = {"colspan": 1000, "rowspan": 65534}
+#: Claims in a row of ``read_tables``, runs of a table that are kept rather than laid out again, and tables in a batch, at most.
+CLAIMS_A_ROW, KEPT_RUNS, TABLES_A_BATCH = 2000, 20_000, 200
+
+_NUMBER = re.compile(TEXT_NUMBER, re.ASCII)
+_DIGIT = re.compile("[0-9]")
+#: White space as Unicode has it.
+_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_CLAIM = "array<struct<row:int,col:int,section:string,path:string,heading:string,value:string>>"
+
+#: A stretch of a row: first column, column behind it, text, is header, has a number.
+Run = tuple[int, int, str, bool, bool]
 
 
 class _Cells(HTMLParser):
@@ -56,86 +69,198 @@ class _Cells(HTMLParser):
             self.cell = None
 
 
-def grid_of(html: str | None) -> list[tuple[int, int, str, bool]]:
-    """(row, column, text, is header) of a table's cells, spans expanded; cells below the last row are left out."""
+def _parsed(html: str | None) -> list[list[tuple[str, bool, int, int]]]:
     parser = _Cells()
     parser.feed(html or "")
     parser.close()
-    placed: dict[tuple[int, int], tuple[str, bool]] = {}
-    for r, cells in enumerate(parser.rows):
-        at = 0
+    return parser.rows
+
+
+def laid_out(rows: list[list[tuple[str, bool, int, int]]]) -> Iterator[list[Run]]:
+    """Each row's runs from left to right: its own cells and those that reach down into it.
+
+    A cell begins at the first free column; where it spans taken ones, it covers them.
+    """
+    reaching: list[tuple[int, int, int, str, bool, bool]] = []  # row behind the last, then a run
+    for r, cells in enumerate(rows):
+        reaching = [x for x in reaching if x[0] > r]
+        taken = sorted((x[1], x[2]) for x in reaching)
+        at = k = 0
         for text, header, wide, high in cells:
-            while (r, at) in placed:
-                at += 1
-            placed |= {(r + i, at + j): (text, header) for i in range(min(high, len(parser.rows) - r)) for j in range(wide)}
+            while k < len(taken) and taken[k][0] <= at:
+                at = max(at, taken[k][1])
+                k += 1
+            text = _BLANK.sub(" ", text).strip(" ")
+            reaching.append((r + high, at, at + wide, text, header, _NUMBER.search(text) is not None))
             at += wide
-    return [(r, c, *cell) for (r, c), cell in sorted(placed.items())]
+        yield _uncovered([x[1:] for x in reaching])
+
+
+def _uncovered(runs: list[Run]) -> list[Run]:
+    """Runs in order of their columns, without what a later one covers."""
+    runs = sorted(enumerate(runs), key=lambda x: x[1][0])
+    if all(a[1][1] <= b[1][0] for a, b in zip(runs, runs[1:], strict=False)):
+        return [x for _, x in runs]
+    out: list[Run] = []
+    edges = sorted({e for _, x in runs for e in x[:2]})
+    for a, z in zip(edges, edges[1:], strict=False):
+        over = max(((n, x) for n, x in runs if x[0] <= a and x[1] >= z), default=None, key=lambda x: x[0])
+        if over is not None:
+            out.append((a, z, *over[1][2:]))
+    return out
+
+
+def grid_of(html: str | None) -> Iterator[tuple[int, int, str, bool]]:
+    """(row, column, text, is header) of a table's cells, spans expanded; cells below the last row are left out."""
+    for r, runs in enumerate(laid_out(_parsed(html))):
+        for a, z, text, header, _ in runs:
+            for c in range(a, z):
+                yield r, c, text, header
+
+
+class _Table:
+    """A table's rows, as often as they are asked for, its width, header rows and label columns."""
 
+    def __init__(self, html: str | None):
+        self.source, self.kept = _parsed(html), []
+        self.width, heads, runs_so_far, first_columns = 0, [], 0, []
+        for runs in laid_out(self.source):
+            runs_so_far += len(runs)
+            if runs_so_far <= KEPT_RUNS:
+                self.kept.append(runs)
+            self.width = max(self.width, runs[-1][1] if runs else 0)
+            heads.append((sum(z - a for a, z, _, header, _ in runs if header), any(number and not header for *_, header, number in runs)))
+            first_columns.append([(c, text, number) for a, z, text, _, number in runs for c in range(a, min(z, LABEL_COLUMNS + 1))])
+        if runs_so_far > KEPT_RUNS:
+            self.kept = []
+        is_head = [n >= max(1, self.width // 2) and not valued for n, valued in heads]
+        first = is_head.index(True) if True in is_head else len(is_head)
+        stop = next((r for r in range(first, len(is_head)) if not is_head[r]), len(is_head))
+        self.header = range(first, stop)  # the first run of header rows alone
+        seen, valued, filled = set(), set(), set()
+        for r, columns in enumerate(first_columns):
+            for c, text, number in columns:
+                seen.add(c)
+                if r not in self.header and text:
+                    filled.add(c)
+                    if number:
+                        valued.add(c)
+        ends = [c for c in sorted(seen) if c in valued or c not in filled or c >= LABEL_COLUMNS]
+        self.labels = max(1, ends[0] if ends else self.width)
 
-def grids(tables: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, row, col, text, header) of all tables."""
+    def rows(self) -> Iterator[list[Run]]:
+        return iter(self.kept) if self.kept else laid_out(self.source)
+
+    def claims(self) -> Iterator[tuple[int, int, str | None, str | None, str | None, str]]:
+        """(row, column, section, labels, heading, value) of each cell with a number beside the label columns.
+
+        A row with one label alone is a section; blank labels repeat the one above.
+        """
+        above: list[list[Run]] = []
+        headings: dict[int, str | None] = {}
+        section, label = None, [""] * LABEL_COLUMNS
+
+        def heading(c: int) -> str | None:
+            if c not in headings:
+                texts = [text for runs in above for a, z, text, *_ in runs if a <= c < z and text]
+                headings[c] = " ".join(dict.fromkeys(texts)) or None
+            return headings[c]
+
+        if self.header:
+            for r, runs in enumerate(self.rows()):
+                if r >= self.header.stop:
+                    break
+                if r in self.header:
+                    above.append(runs)
+        for r, runs in enumerate(self.rows()):
+            if r in self.header:
+                continue
+            kinds = {text: number for _, _, text, _, number in runs if text}
+            if len(kinds) == 1 and self.width > 1 and not any(kinds.values()):
+                section = next(iter(kinds))
+                continue
+            for a, z, text, *_ in runs:
+                if a >= LABEL_COLUMNS:
+                    break
+                if text:
+                    label[a : min(z, LABEL_COLUMNS)] = [text] * (min(z, LABEL_COLUMNS) - a)
+            path = PART.join(x for x in label[: self.labels] if x) or None
+            for a, z, text, _, number in runs:
+                if number:
+                    for c in range(max(a, self.labels), z):
+                        yield r, c, section, path, heading(c), text
+
+    def markdown(self) -> str | None:
+        """The table as Markdown; its header is made of the leading rows without any digit, up to three and one at least, merged by column."""
+        if not self.width:
+            return None
+        lines, plain = [], 0
+        for r, runs in enumerate(self.rows()):
+            line = [""] * self.width
+            for a, z, text, *_ in runs:
+                line[a:z] = [text] * (z - a)
+            if plain == r < RENDERED_HEADERS and not any(_DIGIT.search(x[2]) for x in runs):
+                plain = r + 1
+            lines.append(line if r < RENDERED_HEADERS else f"| {' | '.join(line)} |")
+        n = max(1, plain)
+        merged = [" ".join(dict.fromkeys(x for x in column if x)) for column in zip(*lines[:n], strict=True)]
+        shown = [merged, ["---"] * self.width, *lines[n:]]
+        return "\n".join(x if isinstance(x, str) else f"| {' | '.join(x)} |" for x in shown)
+
+
+def read_tables(tables: DataFrame, key: str, html: str, render: bool = True) -> DataFrame:
+    """(key, part, markdown, claims) of all tables: a row each, more where a table has very many claims; ``markdown`` in the first, if it has cells."""
     kind = tables.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claims_type = pa.list_(pa.struct([("row", pa.int32()), ("col", pa.int32()), *[(x, pa.string()) for x in ("section", "path", "heading", "value")]]))
         for b in batches:
-            found = [(k, *cell) for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for cell in grid_of(h)]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            types = [b.column(0).type, pa.int32(), pa.int32(), pa.string(), pa.bool_()]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["key", "row", "col", "text", "header"])
+            made: list[tuple] = []
+            held = 0
 
-    ship(tables.sparkSession)
-    cells = tables.select(F.col(key).alias("key"), html).mapInArrow(work, f"key {kind}, row int, col int, text string, header boolean")
-    return cells.withColumn("text", squeezed(F.col("text")))
+            def flush(key_type=b.column(0).type) -> pa.RecordBatch:
+                columns = zip(*made, strict=True)
+                kinds = (key_type, pa.int32(), pa.string(), claims_type)
+                return pa.record_batch([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["key", "part", "markdown", "claims"])
 
+            for k in range(b.num_rows):  # one table's text at a time
+                table, part, some = _Table(b.column(1)[k].as_py()), 0, []
+                own = b.column(0)[k].as_py()
+                shown = table.markdown() if render else None
+                for claim in table.claims():
+                    some.append(claim)
+                    if len(some) == CLAIMS_A_ROW:
+                        made.append((own, part, shown if part == 0 else None, some))
+                        part, some = part + 1, []
+                        yield flush()
+                        made, held = [], 0
+                if some or part == 0:
+                    made.append((own, part, shown if part == 0 else None, some))
+                held += 1 + len(some) // 20 + len(shown or "") // 1000
+                if held >= TABLES_A_BATCH:
+                    yield flush()
+                    made, held = [], 0
+            if made:
+                yield flush()
 
-def _rows(cells: DataFrame) -> DataFrame:
-    """A row for each table row: its texts by column, width of its table, and whether it is a header row."""
-    rows = cells.groupBy("key", "row").agg(
-        F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("texts"),
-        F.count_if("header").alias("headers"), F.max(~F.col("header") & has_number(F.col("text"))).alias("valued"), F.max("col").alias("last"),
-    )
-    whole = Window.partitionBy("key")
-    wide = rows.withColumn("width", F.max("last").over(whole) + 1)
-    marked = wide.withColumn("_head", (F.col("headers") >= F.greatest(F.lit(1), F.floor(F.col("width") / 2))) & ~F.col("valued"))
-    first = F.min(F.when(F.col("_head"), F.col("row"))).over(whole)
-    marked = marked.withColumn("_first", first)
-    stop = F.min(F.when(~F.col("_head") & (F.col("row") > F.col("_first")), F.col("row"))).over(whole)
-    # the first run of header rows alone
-    return marked.withColumn("is_header", F.col("_head") & (F.col("row") < F.coalesce(stop, F.lit(1 << 30)))).drop("_head", "_first", "headers", "valued", "last")
+    ship(tables.sparkSession)
+    return tables.select(F.col(key).alias("key"), html).mapInArrow(work, f"key {kind}, part int, markdown string, claims {_CLAIM}")
 
 
-def table_claims(tables: DataFrame, key: str = "key", html: str = "html", title: str | None = None, cells: DataFrame | None = None) -> DataFrame:
+def table_claims(tables: DataFrame, key: str = "key", html: str = "html", title: str | None = None, read: DataFrame | None = None) -> DataFrame:
     """A claim for each cell with a number beside the label columns: (key, row, col, field_name, canonical_metric, value, ...).
 
     Names run from title and section over the row's labels to the column's headers. A row with one
-    label alone is a section; blank labels repeat the one above.
+    label alone is a section; blank labels repeat the one above. ``read`` is what ``read_tables``
+    gave, if it is written already.
     """
-    cells = grids(tables, key, html) if cells is None else cells
-    rows = _rows(cells)
-    flat = rows.select("key", "row", "width", "is_header", F.explode("texts").alias("col", "text"))
-    listed = F.array_sort(F.collect_list(F.when(F.col("is_header") & (F.col("text") != ""), F.struct("row", "text"))))
-    columns = flat.groupBy("key", "col").agg(
-        F.array_join(F.array_distinct(F.transform(listed, lambda x: x["text"])), " ").alias("heading"),
-        F.max(~F.col("is_header") & has_number(F.col("text"))).alias("valued"), F.max(~F.col("is_header") & (F.col("text") != "")).alias("filled"), F.max("width").alias("width"),
-    )
-    ends = F.min(F.when(F.col("valued") | ~F.col("filled") | (F.col("col") >= LABEL_COLUMNS), F.col("col")))
-    tablewise = columns.groupBy("key").agg(F.greatest(F.lit(1), F.coalesce(ends, F.max("width"))).alias("labels"), F.map_from_entries(F.collect_list(F.struct("col", "heading"))).alias("headings"))
-
-    body = rows.where(~F.col("is_header")).join(tablewise, "key")
-    kinds = F.array_distinct(F.filter(F.map_values("texts"), lambda t: t != ""))
-    section = F.when((F.size(kinds) == 1) & ~has_number(F.try_element_at(kinds, F.lit(1))) & (F.col("width") > 1), F.try_element_at(kinds, F.lit(1)))
-    upto = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    body = body.withColumn("_section", section)
-    label = lambda c: F.last(F.when(F.col("_section").isNull(), F.nullif(F.col("texts")[c], F.lit(""))), ignorenulls=True).over(upto)
-    body = body.withColumns({"section": F.last("_section", ignorenulls=True).over(upto)} | {f"_label{c}": label(c) for c in range(LABEL_COLUMNS)})
-    path = joined_context(*[F.when(F.lit(c) < F.col("labels"), F.col(f"_label{c}")) for c in range(LABEL_COLUMNS)])
-    values = body.where(F.col("_section").isNull()).select("key", "row", "section", "labels", "headings", path.alias("path"), F.explode("texts").alias("col", "value"))
-    values = values.where((F.col("col") >= F.col("labels")) & has_number(F.col("value"))).withColumn("_heading", F.nullif(F.col("headings")[F.col("col")], F.lit("")))
+    done = read_tables(tables, key, html, render=False) if read is None else read
+    values = done.select("key", F.explode("claims").alias("x")).select("key", "x.*")
     if title:
         values = values.join(tables.select(F.col(key).alias("key"), F.col(title).alias("_title")), "key")
-    parts = [F.col(x) for x in (["_title"] if title else [])] + [F.col("section"), F.col("path"), F.col("_heading")]
+    parts = [F.col(x) for x in (["_title"] if title else []) + ["section", "path", "heading"]]
     return values.select(
-        F.col("key").alias(key), "row", "col", F.coalesce("_heading", F.lit("value")).alias("field_name"), F.coalesce(joined_context(*parts), F.lit("value")).alias("canonical_metric"),
+        F.col("key").alias(key), "row", "col", F.coalesce("heading", F.lit("value")).alias("field_name"), F.coalesce(joined_context(*parts), F.lit("value")).alias("canonical_metric"),
         "value", unit_of(F.col("value")).alias("unit"), F.lit("table").alias("element_type"), F.lit(0.9).alias("confidence"), F.lit(PARSED).alias("citation_tier"),
     )
 
@@ -146,22 +271,7 @@ def whole_table_claims(tables: DataFrame, claims: DataFrame, key: str = "key", h
     return rest.select(key, F.lit("table").alias("field_name"), F.trim(html).alias("value"), F.coalesce("confidence", F.lit(1.0)).alias("confidence"))
 
 
-def markdown(tables: DataFrame, key: str = "key", html: str = "html", cells: DataFrame | None = None) -> DataFrame:
-    """(key, markdown) of each table with cells.
-
-    Its header is made of the leading rows without any digit, up to three and one at least, merged
-    by column.
-    """
-    cells = grids(tables, key, html) if cells is None else cells
-    lists = cells.groupBy("key", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("texts"), F.max(has_digit(F.col("text"))).alias("valued"), F.max("col").alias("last"))
-    rows = lists.groupBy("key").agg(F.max("last").alias("wide"))
-    full = lists.join(rows, "key").withColumn("line", F.transform(F.sequence(F.lit(0), F.col("wide")), lambda c: F.coalesce(F.col("texts")[c], F.lit(""))))
-    whole = full.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("row", "line", "valued"))).alias("rows"), F.max("wide").alias("wide"))
-    plain = F.array_position(F.transform(F.slice("rows", 1, RENDERED_HEADERS), lambda r: r["valued"]), True)
-    count = F.greatest(F.lit(1), F.when(plain > 0, plain - 1).otherwise(F.least(F.size("rows"), F.lit(RENDERED_HEADERS)))).cast("int")
-    whole = whole.withColumn("_n", count)
-    merged = F.transform(F.sequence(F.lit(0), F.col("wide")), lambda c: F.array_join(F.array_distinct(F.filter(F.transform(F.slice("rows", 1, F.col("_n")), lambda r: r["line"][c]), lambda t: t != "")), " "))
-    line = lambda a: F.concat(F.lit("| "), F.array_join(a, " | "), F.lit(" |"))
-    rest = F.transform(F.slice("rows", F.col("_n") + 1, F.size("rows")), lambda r: line(r["line"]))
-    rule = line(F.array_repeat(F.lit("---"), F.col("wide") + 1))
-    return whole.select(F.col("key").alias(key), F.array_join(F.concat(F.array(line(merged), rule), rest), "\n").alias("markdown"))
+def markdown(tables: DataFrame, key: str = "key", html: str = "html", read: DataFrame | None = None) -> DataFrame:
+    """(key, markdown) of each table with cells."""
+    done = read_tables(tables, key, html) if read is None else read
+    return done.where("part = 0 and markdown is not null").select(F.col("key").alias(key), "markdown")

@@ -24,12 +24,12 @@ def _keyed(elements: DataFrame) -> DataFrame:
     return elements.where("el_type = 'table'").withColumn("key", F.concat_ws("\u0001", "doc", F.col("pos").cast("string")))
 
 
-def claims_of(elements: DataFrame, vision: DataFrame | None = None, cells: DataFrame | None = None) -> DataFrame:
-    """Claims of all elements by route: tables by their grid (``cells``, if it is known) or, without any number in it, as a whole; prose and captions by their values; figures by what a model read (``vision``) or else by their description."""
+def claims_of(elements: DataFrame, vision: DataFrame | None = None, read_tables: DataFrame | None = None) -> DataFrame:
+    """Claims of all elements by route: tables by their cells (``read_tables``, if they are read already) or, without any number in it, as a whole; prose and captions by their values; figures by what a model read (``vision``) or else by their description."""
     known = el.with_context(elements)
     text = known.where(F.col("el_type").isin("text", "caption", "footnote"))
     keyed = _keyed(known)
-    found = tables.table_claims(keyed, "key", "content", "context", cells)
+    found = tables.table_claims(keyed, "key", "content", "context", read_tables)
     place = keyed.select("key", "doc", "pos", "page", "content")
     table = found.join(place, "key")
     whole = tables.whole_table_claims(keyed, found, "key", "content").withColumns({
@@ -73,7 +73,7 @@ def process(
     model) gets each figure that needs its picture read, with the image of its page, if the parser
     gave one, or else of its place among ``images`` (doc, place, path). All answers of parser and
     model stay in the ledger ``answers``. One bad document doesn't fail the batch: it becomes a
-    quarantine row. Elements, grids and claims are written once and read by all that needs them.
+    quarantine row. Elements, tables and claims are written once and read by all that needs them.
     """
     spark = found.sparkSession
     with batches.Batch(spark, out, id) as batch:
@@ -87,8 +87,8 @@ def process(
             wanted = parsed.page_images(figures.select("doc", "pos", "page", "description"), parsed.pages(responses), images)
             wanted = wanted.join(responses.select("doc", "digest"), "doc")
             vision = vision_claims(elements, batch.written(providers.read_by_model(wanted, read, f"{out}/answers", options=options, retry_failed=retry_failed), "readings"))
-        cells = batch.written(tables.grids(_keyed(elements), "key", "content"), "cells")
-        claims = batch.written(claims_of(elements, vision, cells), "claims")
+        read_tables = batch.written(tables.read_tables(_keyed(elements), "key", "content"), "tables")
+        claims = batch.written(claims_of(elements, vision, read_tables), "claims")
         origin = batch.written(found.select(F.col("path").alias("doc"), "team", "report_type", "entity_ref", "entity_id", "entity_name"), "origin")
         dates = layers.document_dates(origin.select("doc", F.col("doc").alias("path")), elements, claims)
         full = claims.join(origin, "doc").join(dates, "doc", "left").withColumns({
@@ -101,7 +101,7 @@ def process(
         lost = responses.join(elements.select("doc").distinct(), "doc", "left_anti").join(origin, "doc").withColumns({"pos": F.lit(0), "error": F.coalesce("error", F.lit("no elements"))}).select(*whose, "pos", "error")
         bronze = elements.join(origin.select(*whose), "doc")
         audit = evaluate.coverage_audit(elements.withColumn("ornament", is_ornament(F.col("description"), F.col("content"))), claims).join(origin.select(*whose), "doc").withColumn("pos", F.lit(0))
-        rendered = tables.markdown(_keyed(elements), "key", "content", cells).join(_keyed(elements).select("key", "doc", "pos"), "key")
+        rendered = tables.markdown(_keyed(elements), "key", "content", read_tables).join(_keyed(elements).select("key", "doc", "pos"), "key")
         readable = ch.readable(elements, rendered, claims.where("citation_tier = 'llm_estimated'").select("doc", "page", "pos", "field_name", "canonical_metric", "value", "unit"))
         indexed = ch.chunks(readable.join(origin.select(*whose), "doc"), carried=("team", "report_type"))
         raw = rawpages.page_counts(found).withColumnRenamed("path", "doc").join(origin.select(*whose), "doc").withColumn("pos", F.lit(0))

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..functions import dates, jsonx, match, numbers, text
 from ..operators import charts, chunks, elements, evaluate, history, layers, prose, quality, query, regions, tables
 
@@ -330,10 +331,13 @@ def stamp_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc", "pos", "extraction_date", "report_date", "content_hash")
 
 
-@registered(f"""with c as ({CLAIMS}) select doc, pos, {_HASH} as content_hash from c where page <> 2""")
+@registered(f"""with c as ({CLAIMS}) select doc, pos, {_HASH} as content_hash from c""")
 def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = layers.stamped(frame(spark, sf_dir, CLAIMS), {})
-    return layers.new_rows(rows.unionByName(rows), rows.where("page = 2")).select("doc", "pos", "content_hash")
+    """Some rows are stored, then all of them come, each twice, and all of them again."""
+    rows, path = layers.stamped(frame(spark, sf_dir, CLAIMS), {}), f"{scratch.fresh_path(spark, 'append')}/claims"
+    for some in (rows.where("page = 2"), rows.unionByName(rows), rows):
+        layers.append(some, path)
+    return layers.stored_rows(spark, path).select("doc", "pos", "content_hash")
 
 
 @registered(f"""with c as ({CLAIMS}) select doc, pos, element_type, citation_tier from c where not (citation_tier = 'llm_estimated' and element_type = 'text')""")
@@ -398,14 +402,17 @@ _MADE = f"select doc, pos, page, el_type as element_type from ({ELEMENTS}) as e
 with e as (select *, regexp_matches(coalesce(description, '') || ' ' || coalesce(content, ''), '(?i)logo') as ornament from ({ELEMENTS}) as e), c as ({_MADE}), k as (select doc, page, count(*) as k from c group by doc, page),
 m as (select e.*, coalesce(k.k, 0) as k, case when el_type = 'page_footer' or (el_type = 'figure' and ornament) then 'skipped' when k.k is not null then 'accounted' else 'unaccounted' end as state from e left join k on e.doc = k.doc and e.page = k.page),
 s as (select doc, count(*) as elements_total, count(*) filter (state = 'accounted') as elements_accounted, count(*) filter (state = 'skipped') as elements_skipped, count(*) filter (state = 'unaccounted') as elements_unaccounted, count(distinct page) as pages_total,
- count(distinct case when k = 0 then page end) as empty_pages, coalesce((list(pos order by pos) filter (state = 'unaccounted'))[1:50], []) as gaps from m group by doc)
+ count(distinct case when k = 0 then page end) as empty_pages, coalesce((list(pos order by pos) filter (state = 'unaccounted'))[1:50], []) as gaps from m group by doc),
+y as (select doc, string_agg(el_type || '=' || n, ',' order by el_type) as by_type from (select doc, el_type, count(*) as n from e group by doc, el_type) group by doc),
+g as (select doc, string_agg(page || '=' || k, ',' order by page) as by_page from k where page is not null group by doc)
 select doc, elements_total, elements_accounted, elements_skipped, elements_unaccounted, pages_total, empty_pages, coalesce(t.n, 0) as claims_total, 100 * elements_accounted / greatest(1, elements_total - elements_skipped) as accounted_pct,
- array_to_string(gaps, ',') as gaps, elements_unaccounted <= 5 and empty_pages <= 1 as coverage_ok from s left join (select doc, count(*) as n from c group by doc) t using (doc)""")
+ array_to_string(gaps, ',') as gaps, by_type, coalesce(by_page, '') as by_page, elements_unaccounted <= 5 and empty_pages <= 1 as coverage_ok from s join y using (doc) left join g using (doc) left join (select doc, count(*) as n from c group by doc) t using (doc)""")
 def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = frame(spark, sf_dir, ELEMENTS).withColumn("ornament", text.is_ornament(F.col("description"), F.col("content")))
     out = evaluate.coverage_ok(evaluate.coverage_audit(df, frame(spark, sf_dir, _MADE)), 5, 1)
     gaps = _join(F.transform("gap_sample", lambda g: g["pos"])).alias("gaps")
-    return out.select("doc", "elements_total", "elements_accounted", "elements_skipped", "elements_unaccounted", "pages_total", "empty_pages", "claims_total", "accounted_pct", gaps, "coverage_ok")
+    pairs = lambda c: _join(F.transform(F.array_sort(F.map_entries(c)), lambda x: F.concat_ws("=", x["key"].cast("string"), x["value"].cast("string"))))
+    return out.select("doc", "elements_total", "elements_accounted", "elements_skipped", "elements_unaccounted", "pages_total", "empty_pages", "claims_total", "accounted_pct", gaps, pairs("elements_by_type").alias("by_type"), pairs("claims_by_page").alias("by_page"), "coverage_ok")
 
 
 _MODALITY_SQL = f"""
@@ -652,12 +659,20 @@ def entity_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(text.entity_or_unknown(name).alias("entity_ref"), "s_suppkey")
 
 
-@registered("""with p as (select s_suppkey as doc, unnest([1, 2, 5]) as page from {supplier}) select doc, page, case when page <= 2 then 'img' || page when page = 5 then 'img5' end as image_uri from p""")
+@registered("""
+with d as (select s_suppkey as doc, s_suppkey % 7 as gap from {supplier}),
+i as (select doc, k as pos, case when k % 4 = 3 then null else k + gap end as page, 'img' || doc || '-' || k as image_uri from d, unnest(generate_series(0, 5)) as t(k) where doc % 3 <> 0 or k <> 2),
+n as (select doc, coalesce(page, pos) as number, arg_min(image_uri, (page is null, pos)) as image_uri from i group by doc, coalesce(page, pos)),
+w as (select doc, k as page from d, unnest(generate_series(0, 13)) as t(k)), f as (select doc, k as place, 'file' || k as path from d, unnest(generate_series(0, doc % 12)) as t(k))
+select w.doc, w.page, coalesce(a.image_uri, b.image_uri, f.path) as image_uri from w left join n a on a.doc = w.doc and a.number = w.page
+left join n b on b.doc = w.doc and b.number = greatest(w.page - 1, 0) left join f on f.doc = w.doc and f.place = greatest(w.page - 1, 0)""")
 def images_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("doc"))
-    wanted = docs.select("doc", F.explode(F.array(*map(F.lit, (1, 2, 5)))).alias("page"))
-    images = docs.select("doc", F.explode(F.array(*[F.struct(F.lit(p).alias("pos"), F.lit(n).cast("int").alias("page"), F.lit(u).alias("image_uri")) for p, n, u in ((0, None, "img1"), (1, 2, "img2"), (2, 5, "img5"))])).alias("x")).select("doc", "x.*")
-    return parsed.page_images(wanted, images).select("doc", "page", "image_uri")
+    """Pages whose numbers have gaps, repeat or are missing, and files in order of time for what no listed page serves."""
+    docs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("doc"), (F.col("s_suppkey") % 7).alias("gap"))
+    upto = lambda n: docs.select("*", F.explode(F.sequence(F.lit(0), n)).alias("k"))
+    listed = upto(F.lit(5)).where("doc % 3 <> 0 or k <> 2").select("doc", F.col("k").alias("pos"), F.when(F.col("k") % 4 != 3, F.col("k") + F.col("gap")).cast("int").alias("page"), F.concat_ws("-", F.concat(F.lit("img"), "doc"), "k").alias("image_uri"))
+    by_time = upto((F.col("doc") % 12).cast("int")).select("doc", F.col("k").alias("place"), F.concat(F.lit("file"), "k").alias("path"))
+    return parsed.page_images(upto(F.lit(13)).select("doc", F.col("k").alias("page")), listed, by_time).select("doc", "page", "image_uri")
 
 
 @registered(f"""
