@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import scratch
 from ..functions import dates, jsonx, match, numbers, text
-from ..operators import charts, chunks, elements, evaluate, history, layers, prose, quality, query, regions, tables
-
+from ..operators import charts, chunks, elements, evaluate, history, layers, prose, quality, query, regions, tables, textindex
 from ..sources import files, parsed, prompts
 from ..streaming import ingest
 
@@ -730,3 +729,20 @@ def document_report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = rows.selectExpr("s_suppkey as doc", "1 as pos", "'31-Mar-26' as value", "'x' as field_name", "cast(null as string) as canonical_metric")
     claims = claims.unionByName(rows.selectExpr("s_suppkey as doc", "2 as pos", "'Q2 2023' as value", "'x' as field_name", "'Reporting Period' as canonical_metric"))
     return layers.document_dates(documents, headings, claims)
+
+
+_BM25_WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+
+
+@registered(f"""
+with d as (select doc_id, {_BM25_WORDS} as w from {{documents}}), s as (select count(*) as n, avg(len(w)) as mean from d),
+t as (select doc_id, len(w) as size, unnest(w) as term from d), c as (select doc_id, size, term, count(*) as tf from t group by doc_id, size, term),
+f as (select term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) as idf from c cross join s group by term, n),
+q as (select item_id, unnest(list_distinct({_BM25_WORDS})) as term from {{benchmark}}),
+x as (select item_id, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) as score from q join f using (term) join c using (term) cross join s group by item_id, doc_id),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from x)
+select item_id, doc_id, rank::int as rank, round(score, 4) as score from r where rank <= 5""")
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, asked = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    index = textindex.build(docs, "doc_id", "text", f"{scratch.fresh_path(spark, 'index')}/documents")
+    return textindex.search(index, asked, "item_id", "text", 5).select("item_id", F.col("id").alias("doc_id"), "rank", F.round("score", 4).alias("score"))
