@@ -60,12 +60,14 @@ def comparable_document(c: Column) -> Column:
 
 def unit_of(c: Column) -> Column:
     """Currency with scale, else scale, else per cent or basis points, else the first unit token; null without any."""
-    found = F.regexp_extract_all(c, F.lit(UNIT), F.lit(1))
-    low = F.transform(found, lambda x: F.lower(x))
-    pick = lambda a, wanted: F.coalesce(F.try_element_at(F.filter(a, lambda x: x.isin(wanted)), F.lit(1)), F.lit(""))
-    money = F.concat(pick(found, ["£", "$", "€"]), pick(low, ["m", "bn", "k", "million", "billion"]))
-    unit = F.when(money != "", money).otherwise(pick(found, ["%", "bps"]))
-    return F.coalesce(_given(unit), F.try_element_at(found, F.lit(1)))
+    def first(found: Column) -> Column:
+        pick = lambda a, wanted: F.coalesce(F.try_element_at(F.filter(a, lambda x: x.isin(wanted)), F.lit(1)), F.lit(""))
+        low = F.transform(found, lambda x: F.lower(x))
+        money = F.concat(pick(found, ["£", "$", "€"]), pick(low, ["m", "bn", "k", "million", "billion"]))
+        return F.coalesce(F.nullif(money, F.lit("")), _given(pick(found, ["%", "bps"])), F.try_element_at(found, F.lit(1)))
+
+    # the tokens are bound as the one element of an array: they are looked for once
+    return F.element_at(F.transform(F.array(F.regexp_extract_all(c, F.lit(UNIT), F.lit(1))), first), 1)
 
 
 def is_ornament(description: Column, content: Column) -> Column:
@@ -79,8 +81,7 @@ def chunk_id(path: Column, page: Column, content: Column) -> Column:
 
 def last_words(text: Column, k: int) -> Column:
     """The last ``k`` words, joined by spaces."""
-    words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-    return F.array_join(F.slice(words, F.greatest(F.size(words) - k + 1, F.lit(1)), k), " ")
+    return F.substring_index(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), " ", -k)
 
 
 def storage_path(c: Column, scheme: str = "store:", volumes: str = "/volumes", mounted: str = "/store") -> Column:

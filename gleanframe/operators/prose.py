@@ -19,25 +19,36 @@ TITLED = r"(?i)titled\s+['\"]([^'\"]+)['\"]"
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
 
-def value_spans(text: Column, kept: Callable[[Column], Column]) -> Column:
-    """(value, before, n) of each value in a text: values are fenced by marks, the text is cut at them and folded.
-
-    ``kept`` reduces the text before a value to what can still matter, so that work and memory grow
-    with the text alone. The cut text is bound as the one element of an array: the optimizer would
-    have it computed again for each value.
+def value_spans(text: Column, kept: Callable[[Column], Column], enough: Callable[[Column], Column]) -> Column:
+    """(value, before, n) of each value in a text: values are fenced by marks and the text is cut at them.
+
+    ``kept`` reduces the text before a value to what can still matter, ``enough`` tells of the text
+    since the last value that nothing before it can. Where that holds between all values of a text,
+    each has that text, to be reduced; else the parts are folded, so that work and memory grow with
+    the text alone. The cut text is bound as the one element of an array: the optimizer would have
+    it computed again for each value.
     """
     clean = F.translate(text, _OPEN + _CLOSE, "  ")
     parts = F.split(F.regexp_replace(clean, f"(?iU){VALUE}", f"{_OPEN}$0{_CLOSE}"), _OPEN)
     none = F.array().cast("array<struct<value: string, before: string, n: int>>")
+    value = lambda part: F.substring_index(part, _CLOSE, 1)
+    # with the last character of the value, on which a word's edge may depend
+    since = lambda part: F.concat(F.right(value(part), F.lit(1)), F.substring_index(part, _CLOSE, -1))
+    later = lambda p: F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0)))
 
     def step(done: Column, part: Column) -> Column:
-        span = F.struct(F.substring_index(part, _CLOSE, 1).alias("value"), done["before"].alias("before"), (F.size(done["spans"]) + 1).alias("n"))
+        span = F.struct(value(part).alias("value"), done["before"].alias("before"), (F.size(done["spans"]) + 1).alias("n"))
         return F.struct(kept(F.concat(done["before"], F.replace(part, F.lit(_CLOSE), F.lit("")))).alias("before"), F.array_append(done["spans"], span).alias("spans"))
 
     def folded(p: Column) -> Column:
-        return F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.struct(kept(p[0]).alias("before"), none.alias("spans")), step, lambda x: x["spans"])
+        return F.aggregate(later(p), F.struct(kept(p[0]).alias("before"), none.alias("spans")), step, lambda x: x["spans"])
+
+    def alone(p: Column) -> Column:
+        return F.transform(later(p), lambda part, k: F.struct(value(part).alias("value"), F.when(k == 0, p[0]).otherwise(since(p[k])).alias("before"), (k + 1).alias("n")))
 
-    return F.element_at(F.transform(F.array(parts), folded), 1)
+    between = lambda p: F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0)))
+    spans = lambda p: F.when(F.forall(between(p), lambda x: enough(since(x))), alone(p)).otherwise(folded(p))
+    return F.element_at(F.transform(F.array(parts), spans), 1)
 
 
 def _last_pieces(words: int) -> Callable[[Column], Column]:
@@ -45,25 +56,38 @@ def _last_pieces(words: int) -> Callable[[Column], Column]:
     return lambda before: F.substring_index(before, " ", -(words + 2))
 
 
+def _has_pieces(words: int) -> Callable[[Column], Column]:
+    """Whether a text has so many single spaces that its last words are in it."""
+    return lambda text: F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) >= words + 2
+
+
+_MARK = r"(?i),(?=.)|;(?=.)|\band\b(?=.)"
+
+
 def _last_clause(before: Column) -> Column:
     """The text behind the last clause mark that something follows."""
-    return F.element_at(F.split(before, r"(?i),(?=.)|;(?=.)|\band\b(?=.)"), -1)
+    return F.regexp_replace(before, rf"(?i)^.*(?:{_MARK.removeprefix('(?i)')})", "")  # unlike split, it compiles the pattern once
 
 
 def prose_values(rows: DataFrame, text: str = "content", title: str | None = None, words: int = 6) -> DataFrame:
     """A row for each value with currency or unit; its name is the last words before it. Values without any are skipped."""
-    each = rows.withColumn("_span", F.explode(value_spans(squeezed(F.col(text)), _last_pieces(words))))
-    named = each.withColumn("field_name", last_words(F.col("_span.before"), words)).where("field_name <> ''")
-    if title:
-        named = named.withColumn("field_name", joined_context(F.col(title), F.col("field_name")))
+    kept = _last_pieces(words)
+    each = rows.withColumn("_span", F.explode(value_spans(squeezed(F.col(text)), kept, _has_pieces(words))))
+    named = _bound(each, last_words(kept(F.col("_span.before")), words)).where("_named.field_name <> ''")
+    name = joined_context(F.col(title), F.col("_named.field_name")) if title else F.col("_named.field_name")
+    out = named.withColumns({"field_name": name, "n": F.col("_span.n"), "value": F.col("_named.value"), "unit": F.col("_named.unit"), "element_type": F.lit("text"), "confidence": F.lit(0.7), "citation_tier": F.lit(PARSED)})
+    return out.withColumn("canonical_metric", F.col("field_name")).drop("_span", "_named")
+
+
+def _bound(each: DataFrame, label: Column) -> DataFrame:
+    """Adds ``_named`` (field_name, value, unit) of a span, as a generated column: the optimizer would compute the label again wherever it is used."""
     value = squeezed(F.col("_span.value"))
-    out = named.withColumns({"n": F.col("_span.n"), "value": value, "unit": unit_of(value), "element_type": F.lit("text"), "confidence": F.lit(0.7), "citation_tier": F.lit(PARSED)})
-    return out.withColumn("canonical_metric", F.col("field_name")).drop("_span")
+    return each.withColumn("_named", F.explode(F.array(F.struct(label.alias("field_name"), value.alias("value"), unit_of(value).alias("unit")))))
 
 
 def figure_label(before: Column, words: int = 4) -> Column:
     """The label in the text before a value: its last clause without fillers and introduction."""
-    clause = F.element_at(F.split(before, r"(?i),|;|\band\b"), -1)
+    clause = F.regexp_replace(before, r"(?i)^.*(?:,|;|\band\b)", "")
     plain = F.regexp_replace(F.regexp_replace(clause, f"(?i){FILLERS}", " "), f"(?i){INTRODUCTION}", "")
     return last_words(plain, words)
 
@@ -72,9 +96,8 @@ def figure_values(rows: DataFrame, text: str = "description", title: str | None
     """A row for each value of a figure's description, named by the chart's title and the label before it."""
     clean = squeezed(F.col(text))
     own = F.nullif(F.trim(F.regexp_extract(clean, TITLED, 1)), F.lit(""))
-    each = rows.withColumns({"_chart": own, "_span": F.explode(value_spans(clean, _last_clause))})
-    named = each.withColumn("field_name", figure_label(F.col("_span.before"))).where("field_name <> ''")
-    name = joined_context(*([F.col(title)] if title else []), F.col("_chart"), F.col("field_name"))
-    value = squeezed(F.col("_span.value"))
-    out = named.withColumns({"n": F.col("_span.n"), "canonical_metric": name, "value": value, "unit": unit_of(value), "element_type": F.lit("text"), "confidence": F.lit(0.75), "citation_tier": F.lit(ESTIMATED)})
-    return out.drop("_span", "_chart")
+    each = rows.withColumns({"_chart": own, "_span": F.explode(value_spans(clean, _last_clause, lambda x: x.rlike(_MARK)))})
+    named = _bound(each, figure_label(_last_clause(F.col("_span.before")))).where("_named.field_name <> ''")
+    name = joined_context(*([F.col(title)] if title else []), F.col("_chart"), F.col("_named.field_name"))
+    out = named.withColumns({"field_name": F.col("_named.field_name"), "n": F.col("_span.n"), "canonical_metric": name, "value": F.col("_named.value"), "unit": F.col("_named.unit"), "element_type": F.lit("text"), "confidence": F.lit(0.75), "citation_tier": F.lit(ESTIMATED)})
+    return out.drop("_span", "_chart", "_named")

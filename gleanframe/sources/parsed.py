@@ -10,10 +10,10 @@ ARRAYS = ("coord", "bbox", "polygon", "rectangle", "box")
 CORNERS = (("x0", "y0", "x1", "y1"), ("left", "top", "right", "bottom"), ("x_min", "y_min", "x_max", "y_max"))
 
 
-def coordinates(element: Column) -> Column:
-    """Left, top, right and bottom of the element's first box, under whatever name; else null."""
-    get = lambda key: F.try_variant_get(element, f"$.bbox[0].{key}", "double")
-    found = [F.try_variant_get(element, f"$.bbox[0].{k}", "array<double>") for k in ARRAYS]
+def coordinates(box: Column) -> Column:
+    """Left, top, right and bottom of an element's box, under whatever name; else null."""
+    get = lambda key: F.try_variant_get(box, f"$.{key}", "double")
+    found = [F.try_variant_get(box, f"$.{k}", "array<double>") for k in ARRAYS]
     found += [F.when(sum((get(k).isNotNull().cast("int") for k in ks), F.lit(0)) == 4, F.array(*map(get, ks))) for ks in CORNERS]
     return F.coalesce(*found)
 
@@ -24,12 +24,12 @@ def elements(responses: DataFrame, doc: str = "doc", response: str = "response")
     Types are in lower case; unknown ones are kept.
     """
     listed = F.try_variant_get(F.try_parse_json(response), "$.document.elements", "array<variant>")
-    each = responses.select(F.col(doc).alias("doc"), F.posexplode(listed).alias("pos", "e"))
+    each = responses.select(F.col(doc).alias("doc"), F.posexplode(listed).alias("pos", "e")).withColumn("box", F.try_variant_get("e", "$.bbox[0]", "variant"))
     text = lambda key: F.try_variant_get("e", f"$.{key}", "string")
     return each.select(
         "doc", "pos", F.lower(F.coalesce(text("type"), F.lit(""))).alias("el_type"), text("content").alias("content"), text("description").alias("description"),
-        F.try_variant_get("e", "$.confidence", "double").alias("confidence"), F.try_variant_get("e", "$.bbox[0].page_id", "int").alias("page"),
-        coordinates(F.col("e")).alias("coord"),
+        F.try_variant_get("e", "$.confidence", "double").alias("confidence"), F.try_variant_get("box", "$.page_id", "int").alias("page"),
+        coordinates(F.col("box")).alias("coord"),
     )
 
 
