@@ -101,14 +101,14 @@ def write_ids(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, (system, base), shard = json_encoder(vocabulary), file_system(folder), TaskContext.get().partitionId()
-        counts, total, rows = np.zeros(1, np.int64), 0, 0
+        counts, total, rows, last = np.zeros(1, np.int64), 0, 0, np.array([end], width)
 
         def write(f) -> None:
             nonlocal counts, total, rows
             with pa.CompressedOutputStream(f, "zstd") as z:
                 for b in rows_of(batches, 2 << 20):
                     ids = encoder(strings(b.column(1)))
-                    flat = np.concatenate([x for d in ids for x in (d, [end])]).astype(width) if ids else np.empty(0, width)
+                    flat = np.concatenate([x for d in ids for x in (d, last)]).astype(width, copy=False) if ids else np.empty(0, width)
                     z.write(np.array([len(ids), len(flat)], "<i8").tobytes())
                     z.write(b.column(0).to_numpy().astype("<i8").tobytes())
                     z.write(np.array([len(d) + 1 for d in ids], "<i8").tobytes())
