@@ -336,7 +336,7 @@ def idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = layers.stamped(frame(spark, sf_dir, CLAIMS), {}), f"{scratch.fresh_path(spark, 'append')}/claims"
     for some in (rows.where("page = 2"), rows.unionByName(rows)):
         layers.append(some, path)
-    return layers.stored_rows(spark, path).select("doc", "pos", "content_hash")
+    return layers.stored_rows(spark, path).select("doc", F.col("pos").cast("int").alias("pos"), "content_hash")
 
 
 @registered(f"""with c as ({CLAIMS}) select doc, pos, element_type, citation_tier from c where not (citation_tier = 'llm_estimated' and element_type = 'text')""")
@@ -662,7 +662,7 @@ def entity_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 with d as (select s_suppkey as doc, s_suppkey % 7 as gap from {supplier}),
 i as (select doc, k as pos, case when k % 4 = 3 then null else k + gap end as page, 'img' || doc || '-' || k as image_uri from d, unnest(generate_series(0, 5)) as t(k) where doc % 3 <> 0 or k <> 2),
 n as (select doc, coalesce(page, pos) as number, arg_min(image_uri, (page is null, pos)) as image_uri from i group by doc, coalesce(page, pos)),
-w as (select doc, k as page from d, unnest(generate_series(0, 13)) as t(k)), f as (select doc, k as place, 'file' || k as path from d, unnest(generate_series(0, doc % 12)) as t(k))
+w as (select doc, k::int as page from d, unnest(generate_series(0, 13)) as t(k)), f as (select doc, k as place, 'file' || k as path from d, unnest(generate_series(0, doc % 12)) as t(k))
 select w.doc, w.page, coalesce(a.image_uri, b.image_uri, f.path) as image_uri from w left join n a on a.doc = w.doc and a.number = w.page
 left join n b on b.doc = w.doc and b.number = greatest(w.page - 1, 0) left join f on f.doc = w.doc and f.place = greatest(w.page - 1, 0)""")
 def images_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
