@@ -113,8 +113,9 @@ def filters(keys: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
     sizes = keys.groupBy(*by).agg(F.count("*").alias("_rows"))
     power = F.greatest(F.lit(0), F.ceil(F.log2(F.col("_rows") / KEYS_A_BLOCK)))
     sized = sizes.withColumn("of", F.pow(F.lit(2.0), power).cast("long")).drop("_rows")
-    named = sized.withColumnsRenamed({c: f"_{c}" for c in by})
-    joined = keys.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]) if by else keys.crossJoin(sized)  # one row
+    named = sized.withColumnsRenamed({c: f"_{c}" for c in by}).withColumn("_all", F.lit(1))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] or [F.col("_one") == F.col("_all")]
+    joined = keys.withColumn("_one", F.lit(1)).join(named, same)
     marks = joined.select(*by, "of", _block(key, F.col("of")).alias("block"), F.explode(_bits(key)).alias("bit"))
     return marks.groupBy(*by, "of", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 

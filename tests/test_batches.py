@@ -145,9 +145,19 @@ def test_filters_have_no_false_negatives(spark, n):
     assert batches.possible(keys, "k", seen, ("team",)).count() == n
     others = spark.range(n, n + 3000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), F.when(F.col("id") % 3 == 0, "a").alias("team"))
     assert batches.possible(others, "k", seen, ("team",)).count() < 60
+    whole = batches.filters(keys.drop("team"), "k", ())
+    assert batches.possible(keys, "k", whole, ()).count() == n and batches.possible(others, "k", whole, ()).count() < 60
     assert batches.possible(keys.where("team = 'a'").withColumn("team", F.lit("z")), "k", seen, ("team",)).count() == 0
 
 
+def test_layers_without_folders(spark, tmp_path):
+    rows = rows_of(spark, [("d", 1, "a", "t", "r"), ("d", 2, "b", "t", "r")])
+    for wanted in (2, 0):
+        with batches.Batch(spark, str(tmp_path / "lake")) as b:
+            assert b.append(rows, "x", by=()) == wanted
+    assert layers.stored_rows(spark, str(tmp_path / "lake/x")).count() == 2
+
+
 def test_half_a_batch_is_not_seen(spark, tmp_path):
     out, by = str(tmp_path / "lake"), rows_of(spark, [("d", 1, "h", "t", "r")])
     with pytest.raises(RuntimeError, match="between"), batches.Batch(spark, out, "one") as b:
