@@ -64,3 +64,12 @@ def test_empty_index(spark, tmp_path):
     assert textindex.search(index, spark.createDataFrame([(1, "a")], "q int, text string")).count() == 0
     again = textindex.opened(spark, str(tmp_path / "i"))
     assert again.terms.count() == 0
+
+
+def test_scores_stay_in_the_task_of_their_block(spark, tmp_path):
+    rng = random.Random(2)
+    docs = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(20))) for i in range(3000)]
+    index = textindex.build(spark.createDataFrame(docs, "id long, text string"), "id", "text", str(tmp_path / "i"))
+    top = textindex.search(index, spark.createDataFrame([(1, "w1 w2 w3"), (2, "w4 w2")], "q int, text string"))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and not re.search(r"Exchange hashpartitioning\(q#\d+L?, \w+#", plan)
