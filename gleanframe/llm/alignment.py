@@ -242,7 +242,7 @@ def linked_tokens(docs: DataFrame, json_path: str, piece_path: str, id: str = "d
     null ids stay null. Other columns are ignored, whatever their names. An empty table gives an
     empty one. Distinct groups and pairs are tables joined by key, never gathered.
     """
-    chunks = staged(chunked(docs, id, text, json_path, piece_path), "chunks")
+    chunks = staged(chunked(docs, id, text, json_path, piece_path), "chunks", large_rows=True)
     keys = chunks.select("chunk", F.posexplode(F.arrays_zip("keys", "docs")).alias("at", "x")).select("chunk", "at", F.col("x.keys").alias("key"), F.col("x.docs").alias("docs"))
     dictionary = staged(keys.groupBy("key").agg(F.sum("docs").alias("docs")), "dictionary")
     links = staged(expanded(dictionary), "links")
@@ -250,6 +250,6 @@ def linked_tokens(docs: DataFrame, json_path: str, piece_path: str, id: str = "d
     best = F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best")
     scores = links.join(counted, ["a", "b"]).groupBy("key").agg(best, F.sum(F.col("times") * F.col("count")).alias("count_sum"))
     back = keys.join(staged(scores, "scores"), "key").groupBy("chunk").agg(F.collect_list(F.struct("at", "n_best", "count_sum")).alias("scores"))
-    whole = chunks.select("chunk", "ids", "n_a", "n_b", "sizes", "groups", "links", "shas").join(staged(back, "back"), "chunk", "left")
+    whole = chunks.select("chunk", "ids", "n_a", "n_b", "sizes", "groups", "links", "shas").join(staged(back, "back", large_rows=True), "chunk", "left")
     schema = "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return by_batch(whole, _summed, schema).withColumnRenamed("id", id)

@@ -21,6 +21,12 @@ from ..shipping import ship
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 #: A worker hands free memory back to the system whenever it has read so much.
 _GIVE_BACK = 32 << 20
+#: For stages of rows of megabytes: Parquet's writer looks at its size only every hundred rows, and its reader decodes as
+#: many rows of a row group as it can, which else grows with what a task holds.
+LARGE_ROWS = {
+    "parquet.block.size": str(8 << 20), "parquet.block.row.count.limit": "4", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "4",
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "4",
+}
 _caches: list = []
 _user = None
 _local = threading.local()
@@ -99,11 +105,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "zstd", large_rows: bool = False) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Cuts the lineage: what comes after survives lost executors without computing this again,
-    and the optimizer sees the written size when it picks a join.
+    and the optimizer sees the written size when it picks a join. ``large_rows`` tells of rows of megabytes.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
@@ -111,7 +117,7 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     if scopes:
         scopes[-1].append(path)
     with settings(spark, ARROW):
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

@@ -225,3 +225,26 @@ def test_periodic_runs_are_brute_force(spark):
             assert (long["n_runs"], long["start"], long["length"], long["period"]) == (2, 0, 4000, 1)
     assert tandem.periodic_runs(d.limit(0)).count() == 0
     assert tandem.periodic_runs(spark.createDataFrame([(None, "a " * 8)], "doc_id long, text string")).first()["n_runs"] == 1
+
+
+def test_linked_tokens_chunks_are_in_small_row_groups(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    most = {}
+    plain = alignment.staged
+
+    def seen(df, name, *more, **named):
+        if name in ("chunks", "back"):  # as many large rows in one task as a large table gives
+            many = df.select("*", F.explode(F.sequence(F.lit(1), F.lit(60))).alias("_r")).drop("_r").coalesce(1)
+            files = glob.glob(plain(many, name, *more, **named)._staged_at.removeprefix("file://") + "/*.parquet")
+            groups = [pq.ParquetFile(f).metadata for f in files]
+            most[name] = max(m.row_group(k).num_rows for m in groups for k in range(m.num_row_groups))
+        return plain(df, name, *more, **named)
+
+    monkeypatch.setattr(alignment, "staged", seen)
+    docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(60)], "doc_id long, text string")
+    assert alignment.linked_tokens(docs, JSON, PIECES).count() == 60
+    assert set(most) == {"chunks", "back"} and max(most.values()) <= 4
