@@ -228,3 +228,24 @@ def test_parameters():
     with pytest.raises(ValueError):
         RunParameters("/volumes/a/b/c/d", "p").checked({"p_"})
     assert Settings().table_name("gold", "Team A", "LCR") == "prod_gold_team_a_lcr"
+
+
+def test_simple_markup_is_cut_as_the_parser_does(spark):
+    import random
+
+    rng = random.Random(5)
+    span = lambda: rng.choice(["", "", "", " colspan=2", " rowspan='3'", ' colspan="0" rowspan=2', " colspan=99999"])
+    cell = lambda: f"<{(t := rng.choice(['td', 'th']))}{span()}>{rng.choice(['', 'Row  1', '£5m', '7 &gt; 5', 'a > b', chr(160) + '3'])}</{t}>"
+    for _ in range(300):
+        html = "<table>" + "".join("<tr>" + "".join(cell() for _ in range(rng.randint(0, 4))) + "</tr>" for _ in range(rng.randint(0, 5))) + "</table>"
+        assert tables._SIMPLE.fullmatch(html)
+        parser = tables._Cells()
+        parser.feed(html)
+        parser.close()
+        assert tables._parsed(html) == parser.rows
+    for odd in ("<table><tr><td>1<td>2</tr></table>", "<tr><td>1</th></tr>", "<table><tr><td class=x>1</td></tr></table>", "<TABLE><tr></tr></TABLE>", "x"):
+        assert not tables._SIMPLE.fullmatch(odd)
+    df = spark.createDataFrame([(1, "<table><tr><th>A</th><th>B</th></tr><tr><td>r</td><td>5</td></tr></table>"), (2, None)], "key int, html string")
+    whole = tables.read_tables(df, "key", "html").collect()
+    assert [len(r.claims) for r in whole] == [1, 0]
+    assert [(r.key, r.markdown, len(r.claims)) for r in tables.read_tables(df, "key", "html", claim=False).collect()] == [(r.key, r.markdown, 0) for r in whole]
