@@ -12,6 +12,7 @@ import base64
 import contextlib
 import itertools
 import json
+import os
 import re
 from collections.abc import Callable
 
@@ -25,6 +26,8 @@ from .common import cached
 
 #: Entries of the memos of units and of their pre-tokens. Those that come first stay: the frequent ones are among them.
 MEMO_UNITS, MEMO_PIECES = 500_000, 250_000
+#: Units that the library encodes in one call, and entries of the memo before it: two workers of an executor hold one each.
+LUMP, MEMO_LUMPS = 500, 250_000
 _AMBIGUOUS = re.compile(r"\s (?:\s|\Z)")
 _ASCII_PAIRS = tuple(x + " " for x in " \n\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _CUT = re.compile(r"(?<=\S)(?=[\t-\r ])")
@@ -130,6 +133,41 @@ class PieceEncoder:
         return out
 
 
+class LumpEncoder:
+    """Packed ids of units, many in one call of the library's ``tokenizer``.
+
+    Short units of a space and a text without spaces that doesn't end in white space keep their ids
+    when they stand one behind the other, and the id with a unit's space is its first. All others
+    go to ``other``, as does a lump in which spaces and units aren't equally many.
+    """
+
+    def __init__(self, tokenizer, other: Callable[[list[str]], list[bytes]], dtype: str, space: str):
+        self.encode, self.other, self.dtype = tokenizer.encode_batch_fast, other, np.dtype(dtype)
+        ids = [k for x, k in tokenizer.get_vocab(with_added_tokens=False).items() if space in x]
+        self.spaced = np.zeros(max(ids, default=0) + 1, bool)
+        self.spaced[ids] = True
+
+    def lump(self, units: list[str]) -> list[bytes]:
+        flat = np.array(self.encode(["".join(units)], add_special_tokens=False)[0].ids, np.int64)
+        first = np.flatnonzero(self.spaced[np.minimum(flat, len(self.spaced) - 1)] & (flat < len(self.spaced)))
+        if len(first) != len(units) or first[0]:
+            return self.other(units)
+        width, data = self.dtype.itemsize, flat.astype(self.dtype).tobytes()
+        return [data[a:z] for a, z in itertools.pairwise([*(first * width).tolist(), len(data)])]
+
+    def __call__(self, units: list[str]) -> list[bytes]:
+        alone = [k for k, x in enumerate(units) if x.rfind(" ") != 0 or len(x) > 200 or x[-1].isspace()]
+        out: list[bytes] = [b""] * len(units)
+        for k, x in zip(alone, self.other([units[k] for k in alone]), strict=True):
+            out[k] = x
+        kept = sorted(set(range(len(units))) - set(alone))
+        for at in range(0, len(kept), LUMP):
+            some = kept[at : at + LUMP]
+            for k, x in zip(some, self.lump([units[k] for k in some]), strict=True):
+                out[k] = x
+        return out
+
+
 def spelled(pieces: list[str], letters: dict[int, str]) -> list[str]:
     """The pieces in the letters that stand for their bytes: all without line feeds at once, those with one by one."""
     table = np.array([ord(letters[k]) if k != 10 else 10 for k in range(256)], "<u4")
@@ -155,6 +193,7 @@ def json_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     Files with a normalizer or another than the plain byte-level pre-tokenizer are encoded text
     by text.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -177,7 +216,9 @@ def json_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
         ends = list(itertools.accumulate((len(x) * width for x in made), initial=0))
         return [flat[a:z] for a, z in itertools.pairwise(ends)]
 
-    return BatchEncoder(PieceEncoder(public_tokenizers.PATTERN, encode), dtype)
+    whole = Tokenizer(bpe)
+    whole.pre_tokenizer = t.pre_tokenizer
+    return BatchEncoder(LumpEncoder(whole, PieceEncoder(public_tokenizers.PATTERN, encode), dtype, letters[32]), dtype, MEMO_LUMPS)
 
 
 def vocabulary_size(path: str) -> int:
