@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import gc
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ARROW, by_batch, finished, operator, rows_of, settings, staged, strings
+from .common import ARROW, by_batch, finished, give_back, operator, rows_of, settings, staged, strings, working_for
 
 STATES = 12
 #: Most frequent words, whose emissions every task holds; id 0 stands for the others, 1 for the end.
@@ -33,6 +34,8 @@ HELD = 65_534
 ROUNDS, GAIN = 3, 1e-3
 #: Steps of the recursions whose forward variables are kept at once; those before are computed again.
 BLOCK = 2048
+#: Every so many steps the recursions' variables are divided by their sums; between, a step may leave 1e-18 of a text's probability.
+RESCALED = 16
 #: Most tokens of a text in each kind of lot, and tokens of a lot, but for its last text.
 LOTS = ((512, 1 << 18), (BLOCK, 1 << 19), (1 << 62, 1 << 20))
 #: Share of a state's emissions that follows the words' overall frequencies.
@@ -42,6 +45,8 @@ SEEDED, NEIGHBOURS = 2000, 64
 #: Expected counts are summed as multiples of 1 / UNIT, so that no order of rows changes them.
 UNIT = 1 << 16
 _FLUSH = 400_000
+#: Tokens whose expected counts of steps are added up at once.
+_AT_ONCE = 16384
 END = ""
 
 
@@ -50,6 +55,10 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def _strings(words: Iterable[bytes]) -> pa.Array:
+    return pa.array(list(words), pa.binary()).cast(pa.string())
+
+
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """(word, c) over all documents; the empty word stands for the end of a text."""
 
@@ -57,7 +66,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
         found: Counter[bytes] = Counter()
 
         def flush() -> pa.RecordBatch:
-            rows = pa.record_batch([pa.array([x.decode() for x in found], pa.string()), pa.array(found.values(), pa.int64())], names=["word", "c"])
+            rows = pa.record_batch([_strings(found), pa.array(found.values(), pa.int64())], names=["word", "c"])
             found.clear()
             return rows
 
@@ -132,15 +141,17 @@ def encoded(docs: DataFrame, id: str, text: str, known: Vocabulary) -> DataFrame
             place: dict[bytes, int] = {}
             places = np.fromiter((place.setdefault(w, len(place)) for w in others), np.uint32, len(others))
             made += 1
-            row = ([task + made], [key[0]], [ids], [lengths], [b"".join(symbols)], [[w.decode() for w in place]], [places.tobytes()])
-            types = (pa.int64(), pa.bool_(), pa.list_(type_), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()), pa.binary())
-            return pa.record_batch([pa.array(x, t) for x, t in zip(row, types, strict=True)], names=["lot", "train", "ids", "lengths", "symbols", "words", "places"])
+            row = ([task + made], [key[0]], [ids], [lengths], [b"".join(symbols)], [places.tobytes()])
+            types = (pa.int64(), pa.bool_(), pa.list_(type_), pa.list_(pa.int32()), pa.binary(), pa.binary())
+            arrays = [pa.array(x, t) for x, t in zip(row, types, strict=True)]
+            arrays.insert(5, pa.ListArray.from_arrays(pa.array([0, len(place)], pa.int32()), _strings(place)))
+            return pa.record_batch(arrays, names=["lot", "train", "ids", "lengths", "symbols", "words", "places"])
 
         for b in rows_of(batches):
             type_ = b.column(0).type
             for key, t, train in zip(b.column(0).to_pylist(), strings(b.column(1)), b.column(2).to_pylist(), strict=True):
                 own = words_of(t)
-                found = np.fromiter((index.get(w, 0) for w in own), np.uint16, len(own))
+                found = np.fromiter(map(index.get, own, repeat(0)), np.uint16, len(own))
                 at = (train, next(k for k, (most, _) in enumerate(LOTS) if len(own) < most))
                 lot = open_.setdefault(at, [[], [], [], [], 0])
                 lot[0].append(key)
@@ -185,34 +196,58 @@ class Sequences:
         out[self.place] = values
         return out
 
-    def forward(self, model: Model, begin: int, end: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Emissions, scaled forward variables and scales of the steps from ``begin`` to ``end``, given those before."""
-        base = self.offset[begin]
-        seen = model.emits[self.symbols[base : self.offset[end]]]
-        alpha, scale, ones = np.empty_like(seen), np.empty(len(seen)), np.ones(len(model.first))
-        for t in range(begin, end):
-            a, z = self.offset[t] - base, self.offset[t + 1] - base
-            prior = model.first if before is None else before[: z - a] @ model.steps
-            now = prior * seen[a:z]
-            scale[a:z] = total = now @ ones
-            before = np.divide(now, total[:, None], out=alpha[a:z])
+    def forward(self, model: Model, tops: np.ndarray, begin: int, end: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Emissions and forward variables of the steps from ``begin`` to ``end``, given those before, and by what they were divided.
+
+        Emissions are divided by the symbol's greatest, ``tops``. So a step leaves a good part of a text's probability, and only every
+        ``RESCALED``-th needs to be divided by what is left.
+        """
+        base, at = self.offset[begin], (self.offset[begin : end + 1] - self.offset[begin]).tolist()
+        ids = self.symbols[base : self.offset[end]]
+        seen = np.take(model.emits, ids, axis=0)
+        seen /= tops[ids, None]
+        alpha, scale, ones = np.empty_like(seen), np.ones(len(seen)), np.ones(len(model.first))
+        for t, a, z in zip(range(begin, end), at, at[1:]):
+            now, m = alpha[a:z], z - a
+            if before is None:
+                np.multiply(model.first, seen[a:z], out=now)
+            else:
+                if t % RESCALED == 0:
+                    scale[a:z] = total = before[:m] @ ones
+                    before = before[:m] / total[:, None]
+                np.matmul(before[:m], model.steps, out=now)
+                np.multiply(now, seen[a:z], out=now)
+            before = now
         return seen, alpha, scale
 
+    def ends(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The texts that end within these steps, and the places of their last tokens since ``begin``."""
+        after = int(self.live[end]) if end < self.width else 0
+        texts = np.arange(after, int(self.live[begin]))
+        last = len(self.live) - np.searchsorted(self.live[::-1], texts, side="right") - 1
+        return texts, self.offset[last] + texts - self.offset[begin]
+
+
+def _tops(model: Model) -> np.ndarray:
+    top = model.emits.max(axis=1)
+    return np.where(top > 0, top, 1.0)
+
 
 def forward(lengths: np.ndarray, symbols: np.ndarray, model: Model) -> np.ndarray:
     """log10 probability of each sequence, by the scaled forward recursion."""
-    s = Sequences(lengths, symbols)
+    s, tops = Sequences(lengths, symbols), _tops(model)
     total, before = np.zeros(len(lengths)), None
     for begin in range(0, s.width, BLOCK):
         end = min(begin + BLOCK, s.width)
-        _, alpha, scale = s.forward(model, begin, end, before)
-        logs, base = np.log10(scale), s.offset[begin]
-        for t in range(begin, end):
-            total[: s.live[t]] += logs[s.offset[t] - base : s.offset[t + 1] - base]
-        before = alpha[s.offset[end - 1] - base :].copy()
+        _, alpha, scale = s.forward(model, tops, begin, end, before)
+        for t in range(-(-begin // RESCALED) * RESCALED, end, RESCALED):
+            total[: s.live[t]] += np.log10(scale[s.offset[t] - s.offset[begin] : s.offset[t + 1] - s.offset[begin]])
+        texts, last = s.ends(begin, end)
+        total[texts] += np.log10(alpha[last].sum(axis=1))
+        before = alpha[s.offset[end - 1] - s.offset[begin] :].copy()
     out = np.empty(len(lengths))
     out[s.order] = total
-    return out
+    return out + np.add.reduceat(np.log10(tops)[symbols], np.cumsum(lengths) - lengths) if len(lengths) else out
 
 
 def expected(lengths: np.ndarray, symbols: np.ndarray, model: Model, other: np.ndarray | None = None, others: int = 0) -> tuple[np.ndarray, ...]:
@@ -220,42 +255,67 @@ def expected(lengths: np.ndarray, symbols: np.ndarray, model: Model, other: np.n
 
     The forward recursion keeps its variables at the edges of blocks; the backward recursion goes
     from block to block and has the forward variables of each computed again, but for the last.
+    The loops over steps hold the recursions alone; sums are taken of many steps at once.
     """
-    k, (n, s) = len(model.first), (len(model.emits), Sequences(lengths, symbols))
-    steps, emits, rest, logs = np.zeros((k, k)), np.zeros((n, k)), np.zeros((others, k)), 0.0
+    k, (n, s), tops = len(model.first), (len(model.emits), Sequences(lengths, symbols)), _tops(model)
+    steps, emits, rest, logs = np.zeros((k, k)), np.zeros((n, k)), np.zeros((others, k)), float(np.log10(tops)[symbols].sum())
     first, edges, before, found = np.zeros(k), [], None, None
     begins = range(0, s.width, BLOCK)
     for begin in begins:
         edges.append(before)
-        found = s.forward(model, begin, min(begin + BLOCK, s.width), before)
-        logs += float(np.log10(found[2]).sum())
-        before = found[1][s.offset[min(begin + BLOCK, s.width) - 1] - s.offset[begin] :].copy()
+        end = min(begin + BLOCK, s.width)
+        found = None  # the last block's goes before the next comes
+        found = s.forward(model, tops, begin, end, before)
+        logs += float(np.log10(found[2]).sum() + np.log10(found[1][s.ends(begin, end)[1]].sum(axis=1)).sum())
+        before = found[1][s.offset[end - 1] - s.offset[begin] :].copy()
     marked = None if other is None else s.by_time(other)
-    beta = np.ones((len(lengths), k))
+    ones, back_steps = np.ones(k), np.ascontiguousarray(model.steps.T)
+    ahead = np.ones((len(lengths), k))  # backward variables of the texts that go on behind a block
     for begin, edge in zip(reversed(begins), reversed(edges), strict=True):
         end, base = min(begin + BLOCK, s.width), s.offset[begin]
-        seen, alpha, scale = found or s.forward(model, begin, end, edge)
+        back, alpha, scale = found or s.forward(model, tops, begin, end, edge)
         found = None
-        seen /= scale[:, None]
+        at = (s.offset[begin : end + 1] - base).tolist()
+        beta = np.ones_like(alpha)
+        beta[at[-2] :] = ahead[: at[-1] - at[-2]]
         for t in range(end - 1, begin - 1, -1):
-            a, z = s.offset[t] - base, s.offset[t + 1] - base
-            m = z - a
-            back = seen[a:z] * beta[:m]
-            alpha[a:z] *= beta[:m]
-            if t:
-                prior = alpha[s.offset[t - 1] - base :][:m] if t > begin else edge[:m]
-                steps += prior.T @ back
-                beta[:m] = back @ model.steps.T
+            a, z = at[t - begin], at[t - begin + 1]
+            now = back[a:z]
+            np.multiply(now, beta[a:z], out=now)
+            if t > begin:
+                to = beta[at[t - begin - 1] :][: z - a]
+                np.matmul(now, back_steps, out=to)
+                if t % RESCALED == 0:
+                    to /= (to @ ones)[:, None]
+            elif t:
+                to = now @ back_steps
+                ahead[: z - a] = to / (to @ ones)[:, None]
+        live = np.diff(at)
+        before = np.arange(at[-1]) - np.repeat(np.concatenate([live[:1], live[:-1]]), live)  # the same text's token before, if in the block
         if not begin:
-            first += alpha[: s.live[0]].sum(axis=0) if s.width else 0
+            shares = alpha[: at[1]] * beta[: at[1]]
+            first += (shares / (shares @ ones)[:, None]).sum(axis=0)
+        pieces = []
+        for a in range(0, at[-1], _AT_ONCE):
+            z = min(a + _AT_ONCE, at[-1])
+            shares = alpha[a:z] * beta[a:z]
+            weight = 1 / (shares @ ones)
+            shares *= weight[:, None]
+            pieces.append(beta[a:z].reshape(k, z - a))  # these are over; the shares take their place, by state
+            pieces[-1][:] = shares.T
+            back[a:z] *= (weight / scale[a:z])[:, None]
+            if (b := max(a, at[1])) < z:
+                steps += np.take(alpha, before[b:z], axis=0).T @ back[b:z]
+        if edge is not None:
+            steps += edge[: at[1]].T @ back[: at[1]]
         ids = s.symbols[base : s.offset[end]]
+        numbers = None if marked is None else marked[base : s.offset[end]]
+        mine = None if marked is None else np.flatnonzero(numbers >= 0)
         for j in range(k):
-            emits[:, j] += np.bincount(ids, alpha[:, j], minlength=n)
-        if marked is not None:
-            now = marked[base : s.offset[end]]
-            mine = now >= 0
-            for j in range(k):
-                rest[:, j] += np.bincount(now[mine], alpha[mine, j], minlength=others)
+            shares = np.concatenate([x[j] for x in pieces])
+            emits[:, j] += np.bincount(ids, shares, minlength=n)
+            if mine is not None:
+                rest[:, j] += np.bincount(numbers[mine], shares[mine], minlength=others)
     return first, steps * model.steps, emits, np.array(logs), rest
 
 
@@ -293,8 +353,12 @@ def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Lengths, symbols, other words (or their number) and their places of each lot in (lengths, symbols, words, places)."""
     for b in batches:
         for k in range(b.num_rows):
-            lengths, symbols, words, places = (b.column(j)[k].as_py() for j in range(4))
-            yield np.array(lengths, np.int64), np.frombuffer(symbols, np.uint16).astype(np.int64), words, np.frombuffer(places, np.uint32).astype(np.int64)
+            lengths, symbols, words, places = (b.column(j)[k] for j in range(4))
+            yield lengths.values.to_numpy().astype(np.int64), _numbers(symbols, np.uint16), words.values if isinstance(words, pa.ListScalar) else words.as_py(), _numbers(places, np.uint32)
+
+
+def _numbers(value: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(value.as_py(), kind).astype(np.int64)
 
 
 def _units(a: np.ndarray) -> list[pa.Array]:
@@ -384,9 +448,9 @@ def _counted(rows: DataFrame, model: Model, last: bool) -> DataFrame:
             sums[symbols : symbols + k] += steps
             sums[-2] += first
             sums[-1, 0] += logs
-            if last and words:
+            if last and len(words):
                 times = np.bincount(places, minlength=len(words))
-                yield pa.record_batch([pa.nulls(len(words), pa.int64()), *_units(rest), pa.array(words, pa.string()), pa.array(times)], names=["key", *_columns(k), "word", "n"])
+                yield pa.record_batch([pa.nulls(len(words), pa.int64()), *_units(rest), words, pa.array(times)], names=["key", *_columns(k), "word", "n"])
         if last:
             b = _keyed(sums)
             yield pa.record_batch([*b.columns, pa.nulls(b.num_rows, pa.string()), pa.nulls(b.num_rows, pa.int64())], names=[*b.schema.names, "word", "n"])
@@ -421,18 +485,18 @@ def train(rows: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
         before = logs
         model = tied(got[-2], got[symbols:-2], got[:symbols], known)
     sums = [F.sum(c).alias(c) for c in _columns(states)]
-    last = staged(_counted(rows, model, True).groupBy("key", "word").agg(F.sum("n").alias("n"), *sums), "expected")
+    summed = _counted(rows, model, True).groupBy("key", "word").agg(F.sum("n").alias("c"), *sums)
+    own = F.col("key").isNotNull() | (F.col("c") == 1)  # of all others the shares are enough
+    last = staged(summed.select("key", "word", "c", *[F.when(own, F.col(c)).alias(c) for c in _columns(states)], *[F.when(F.col("c") > 1, x).alias(f"e{j}") for j, x in enumerate(_shares(states))]), "expected")
     _tidy(spark)
     got = _gathered(last.where("key is not null"), symbols + states + 2, states)
-    words = last.where("word is not null")
-    emitted = staged(words.select("word", F.col("n").alias("c"), *[F.when(F.col("n") > 1, x).alias(f"e{j}") for j, x in enumerate(_shares(states))]), "emissions")
-    once = words.where("n = 1").agg(*sums).first()
+    emitted = last.where("word is not null").select("word", "c", *[f"e{j}" for j in range(-(-states // 4))])
+    once = last.where("word is not null and c = 1").agg(*sums).first()
     rare = np.array([x or 0 for x in once], float) / UNIT
     packed = [F.col(f"e{j}") for j in range(-(-states // 4))]
     part = lambda k: F.shiftrightunsigned(packed[k // 4], 16 * (k % 4)).bitwiseAND(F.lit(65535)).cast("double")
     total = F.greatest(sum((part(k) for k in range(states)), F.lit(0.0)), F.lit(1.0))
     mass = emitted.where("c > 1").agg(*[F.sum(F.col("c") * part(k) / total) for k in range(states)]).first()
-    finished(last)
     return untied(got[-2], got[symbols:-2], got[:symbols], rare, np.array([x or 0 for x in mass], float), known), emitted
 
 
@@ -465,22 +529,22 @@ def scored(
     _tidy(docs.sparkSession)
 
     parts = [f"e{j}" for j in range(-(-states // 4))]
-    others = rows.select("lot", F.posexplode("words").alias("at", "word")).join(emitted, "word").select("lot", F.struct("at", "c", *parts).alias("x"))
-    met = others.groupBy("lot").agg(F.collect_list("x").alias("met"))
+    others = rows.select("lot", F.posexplode("words").alias("at", "word")).join(emitted, "word").select(F.col("lot").alias("of"), "at", "c", *parts)
     now = docs.sparkSession.sparkContext.broadcast((model, known.counts))
     inside = float(np.log10(known.rare_tokens + known.rare_types + 1))
     kind = docs.schema[id].dataType.simpleString()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(lot: pa.Table, met: pa.Table) -> pa.Table:
+        working_for(__name__)
         model, counts = now.value
-        logs = np.log10(counts + 1)
-        for b in batches:
+        logs, made = np.log10(counts + 1), []
+        for b in lot.to_batches():
             for k, (lengths, ids, words, places) in enumerate(_lots([b.select(["lengths", "symbols", "words", "places"])])):
                 c, shares = np.zeros(words, np.int64), np.zeros((words, states))
-                if (got := b.column("met")[k].values) is not None and len(got):
-                    at = got.field("at").to_numpy(zero_copy_only=False)
-                    c[at] = got.field("c").to_numpy(zero_copy_only=False)
-                    shares[at] = _unpacked(np.stack([got.field(x).fill_null(0).to_numpy(zero_copy_only=False) for x in parts], axis=1), states)
+                if met.num_rows:
+                    at = met["at"].to_numpy()
+                    c[at] = met["c"].to_numpy()
+                    shares[at] = _unpacked(np.stack([met[x].fill_null(0).to_numpy() for x in parts], axis=1), states)
                 common = np.flatnonzero(c > 1)
                 number = np.zeros(words, np.int64)
                 number[common] = len(model.emits) + np.arange(len(common))
@@ -501,8 +565,13 @@ def scored(
                 n_known = np.add.reduceat((token_c > 0).astype(np.int64), starts)
                 base = np.add.reduceat(token_log, starts) - lengths * known.base_scale
                 arrays = [b.column("ids")[k].values, pa.array([b.column("train")[k].as_py()] * len(lengths)), pa.array(lengths), pa.array(n_known), pa.array(base), pa.array(score)]
-                yield pa.record_batch(arrays, names=["id", "train", "n_tokens", "n_known", "base_score", "score"])
-
-    lots = rows.withColumn("words", F.size("words"))  # the words themselves stay behind
-    found = by_batch(lots.join(met, "lot", "left"), work, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
-    return found.select(F.col("id").alias(id), "train", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+                made.append(pa.record_batch(arrays, names=["id", "train", "n_tokens", "n_known", "base_score", "score"]))
+        give_back()
+        return pa.Table.from_batches(made)
+
+    spark = docs.sparkSession
+    # the words' partitions are hashed, not sorted, where all of them are small
+    with settings(spark, {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")}):
+        lots = rows.withColumn("words", F.size("words"))  # the words themselves stay behind
+        found = lots.groupBy("lot").cogroup(others.groupBy("of")).applyInArrow(work, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+        return staged(found.select(F.col("id").alias(id), "train", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score"), "scored")
