@@ -13,8 +13,8 @@ from ..schemas import ESTIMATED, PARSED
 # A value with a currency or unit (the first alternative that fits wins), words
 # between a label and its value, and words that end an introduction.
 VALUE = r"(?:[£$€]\s?\d[\d,]*(?:\.\d+)?\s?(?:m|bn|k|bps|%)?|\d[\d,]*(?:\.\d+)?\s?(?:m|bn|k|bps|%|million|billion))"
-FILLERS = r"\b(?:at|of|is|was|are|reached|reaching|peaking|approximately|approx|about|around|roughly|circa|=|:|to)\b"
-INTRODUCTION = r".*\b(?:shows?|shown|following|below|are)\b[:\s]*"
+FILLERS = r"(?=[aoiwrpct=:])\b(?:at|of|is|was|are|reached|reaching|peaking|approximately|approx|about|around|roughly|circa|=|:|to)\b"
+INTRODUCTION = r"^.*\b(?:shows?|shown|following|below|are)\b[:\s]*"
 TITLED = r"(?i)titled\s+['\"]([^'\"]+)['\"]"
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
@@ -87,17 +87,20 @@ def _bound(each: DataFrame, label: Column) -> DataFrame:
 
 def figure_label(before: Column, words: int = 4) -> Column:
     """The label in the text before a value: its last clause without fillers and introduction."""
-    clause = F.regexp_replace(before, r"(?i)^.*(?:,|;|\band\b)", "")
-    plain = F.regexp_replace(F.regexp_replace(clause, f"(?i){FILLERS}", " "), f"(?i){INTRODUCTION}", "")
+    after = F.substring_index(F.substring_index(before, ",", -1), ";", -1)
+    clause = F.when(F.lower(after).contains("and"), F.regexp_replace(after, r"(?i)^.*\band\b", "")).otherwise(after)
+    plain = F.regexp_replace(F.regexp_replace(clause, f"(?i){FILLERS}", " "), f"(?im){INTRODUCTION}", "")
     return last_words(plain, words)
 
 
 def figure_values(rows: DataFrame, text: str = "description", title: str | None = None) -> DataFrame:
     """A row for each value of a figure's description, named by the chart's title and the label before it."""
     clean = squeezed(F.col(text))
-    own = F.nullif(F.trim(F.regexp_extract(clean, TITLED, 1)), F.lit(""))
-    each = rows.withColumns({"_chart": own, "_span": F.explode(value_spans(clean, _last_clause, lambda x: x.rlike(_MARK)))})
-    named = _bound(each, figure_label(_last_clause(F.col("_span.before")))).where("_named.field_name <> ''")
-    name = joined_context(*([F.col(title)] if title else []), F.col("_chart"), F.col("_named.field_name"))
+    own = lambda c: F.trim(F.regexp_extract(c, TITLED, 1))
+    found = lambda c: F.struct(own(c).alias("chart"), value_spans(c, _last_clause, lambda x: x.rlike(_MARK)).alias("spans"))
+    # once a text, before its values are rows; a column beside the generator would be computed for each of them
+    each = rows.withColumn("_found", F.explode(F.transform(F.array(clean), found))).withColumn("_span", F.explode("_found.spans"))
+    named = _bound(each, figure_label(F.col("_span.before"))).where("_named.field_name <> ''")
+    name = joined_context(*([F.col(title)] if title else []), F.col("_found.chart"), F.col("_named.field_name"))
     out = named.withColumns({"field_name": F.col("_named.field_name"), "n": F.col("_span.n"), "canonical_metric": name, "value": F.col("_named.value"), "unit": F.col("_named.unit"), "element_type": F.lit("text"), "confidence": F.lit(0.75), "citation_tier": F.lit(ESTIMATED)})
-    return out.drop("_span", "_chart", "_named")
+    return out.drop("_span", "_found", "_named")
