@@ -9,6 +9,7 @@ where one of its own may be among them. One batch at a time may write to a layer
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Sequence
 
@@ -22,6 +23,14 @@ BITS, KEYS_A_BLOCK, HASHES = 32768, 2500, 6
 FOLDERS = 1000
 #: Attempts named in a filter, at most; beyond them they are joined.
 NAMED = 5000
+#: Keys whose bits one task sets, about.
+KEYS_A_TASK = 500_000
+#: Filters are asked only if a layer has so many times a batch's rows; reading and dealing fewer keys costs less.
+AS_MANY = 2
+#: Share of a batch's keys that is looked at for such with many copies, and how often one is then seen.
+LOOKED_AT, OFTEN = 0.001, 50
+#: How files are packed: an append writes most of what it gets twice.
+PACKED = "zstd"
 
 
 def _system(spark: SparkSession, path: str):
@@ -108,15 +117,21 @@ def _bits(key: str) -> Column:
     return F.array(*[F.pmod(F.xxhash64(F.col(key), F.lit(k)), F.lit(BITS)).cast("int") for k in range(HASHES)])
 
 
-def filters(keys: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
-    """(by, of, block, bits): Bloom filters of the keys of each folder, in ``of`` blocks, a power of two."""
+def filters(keys: DataFrame, key: str, by: tuple[str, ...], rows: int | None = None) -> DataFrame:
+    """(by, of, block, bits): Bloom filters of the keys of each folder, in ``of`` blocks, a power of two.
+
+    ``rows``, the number of keys, is counted if it isn't known. Keys are dealt by block before they become
+    bits, of which each has several; the few folders are sent to all tasks, as a join would deal keys by folder.
+    """
+    tasks = math.ceil((keys.count() if rows is None else rows) / KEYS_A_TASK) or 1
     sizes = keys.groupBy(*by).agg(F.count("*").alias("_rows"))
     power = F.greatest(F.lit(0), F.ceil(F.log2(F.col("_rows") / KEYS_A_BLOCK)))
     sized = sizes.withColumn("of", F.pow(F.lit(2.0), power).cast("long")).drop("_rows")
     named = sized.withColumnsRenamed({c: f"_{c}" for c in by}).withColumn("_all", F.lit(1))
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] or [F.col("_one") == F.col("_all")]
-    joined = keys.withColumn("_one", F.lit(1)).join(named, same)
-    marks = joined.select(*by, "of", _block(key, F.col("of")).alias("block"), F.explode(_bits(key)).alias("bit"))
+    joined = keys.withColumn("_one", F.lit(1)).join(F.broadcast(named), same)
+    dealt = joined.select(*by, "of", _block(key, F.col("of")).alias("block"), key).repartition(tasks, *by, "of", "block")
+    marks = dealt.select(*by, "of", "block", F.explode(_bits(key)).alias("bit"))
     return marks.groupBy(*by, "of", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
@@ -171,42 +186,45 @@ class Batch:
     def written(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` written for this batch alone and read again: it is computed once, whatever reads it."""
         path = f"{self.work}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=PACKED)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, rows: DataFrame, layer: str, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos"), by: tuple[str, ...] = ("team", "report_type")) -> int:
         """Append the rows that a layer lacks, in folders by ``by``; returns their number. Columns may be new.
 
         Rows without a key get the hash of their JSON. Of rows with one key the first by ``order`` is
-        taken. Filters of the touched folders are read, and stored keys of those folders only
-        if a key may be among them. Without new rows nothing is written.
+        taken. Where much more is stored than comes, filters of the touched folders are read, and
+        stored keys of those folders only if a key may be among them. Without rows nothing is written.
         """
-        from .layers import new_rows, typed
+        from .layers import keyed, new_rows, typed
 
         if self.done:
             return 0
         path = f"{self.out}/{layer}"
-        fresh = self.written(new_rows(typed(rows), None, key, order), layer)
-        found = fresh.select(*[F.col(c).cast("string").alias(c) for c in by]).distinct()
+        known = self.written(keyed(typed(rows), key), layer)
+        rows_given = known.count()
+        found = known.select(*[F.col(c).cast("string").alias(c) for c in by]).distinct()
         few = found.limit(FOLDERS + 1).collect() if by else [()]
         if not few:
             return 0
         folders = found if len(few) > FOLDERS else [tuple(r) for r in few]
-        stored = _stored(self.spark, path, self.known)
+        held, stored = None, _stored(self.spark, path, self.known)
         if stored is not None:
-            attempts = [c["attempt"] for c in self.known if layer in c["layers"]]
-            seen = self.spark.read.schema(", ".join([*(f"`{c}` string" for c in by), "of long, block long, bits binary, batch string"])).parquet(f"{self.out}/seen/{layer}")
-            maybe = self.written(possible(fresh, key, in_folders(_only(seen, attempts), folders, by), by), "possible")
-            if not maybe.isEmpty():
-                held = in_folders(stored, folders, by).select(key).join(maybe, key, "left_semi")
-                fresh = fresh.join(held, key, "left_anti")
+            held, mine = in_folders(stored, folders, by).select(key), [c for c in self.known if layer in c["layers"]]
+            if sum(c["layers"][layer]["rows"] for c in mine) > AS_MANY * rows_given:
+                seen = self.spark.read.schema(", ".join([*(f"`{c}` string" for c in by), "of long, block long, bits binary, batch string"])).parquet(f"{self.out}/seen/{layer}")
+                maybe = self.written(possible(known, key, in_folders(_only(seen, [c["attempt"] for c in mine]), folders, by), by), "possible")
+                held = None if maybe.isEmpty() else held.join(maybe, key, "left_semi")
+        copies = rows_given * LOOKED_AT > OFTEN and not known.sample(LOOKED_AT, 1).groupBy(key).count().where(F.col("count") >= OFTEN).isEmpty()
+        # stored keys are taken out where the first row of each key is found: whole rows are dealt once
+        fresh = new_rows(known, held, key, order, copies)
         added = Observation()
         marked = fresh.observe(added, F.count(F.lit(1)).alias("n")).withColumn("batch", F.lit(self.attempt))
-        marked.write.mode("append").partitionBy(*by, "batch").parquet(path)
+        marked.write.mode("append").partitionBy(*by, "batch").parquet(path, compression=PACKED)
         n = added.get["n"]
         if n:
             kept = self.spark.read.schema(fresh.schema.add("batch", "string")).parquet(path).where(F.col("batch") == self.attempt)
-            made = filters(kept.select(*by, key), key, by).withColumn("batch", F.lit(self.attempt))
+            made = filters(kept.select(*by, key), key, by, n).withColumn("batch", F.lit(self.attempt))
             made.write.mode("append").partitionBy(*by, "batch").parquet(f"{self.out}/seen/{layer}")
             self.layers[layer] = {"rows": n, "schema": fresh.schema.jsonValue()}
         return n

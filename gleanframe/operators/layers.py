@@ -34,16 +34,23 @@ def typed(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in nested else F.col(c).try_cast(TYPED.get(c, "string")).alias(c) for c in rows.columns])
 
 
-def first_of_each(rows: DataFrame, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos")) -> DataFrame:
-    """The first row of each key."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("_n", n).where("_n = 1").drop("_n")
+def first_of_each(rows: DataFrame, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos"), copies: bool = True) -> DataFrame:
+    """The first row of each key. With many ``copies`` each task drops its own before rows are dealt, for which it sorts them; else rows are sorted once they are dealt."""
+    w = Window.partitionBy(key).orderBy(*order)
+    if copies:
+        return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return rows.withColumn("_before", F.lag(F.lit(1)).over(w)).where("_before is null").drop("_before")
 
 
-def new_rows(rows: DataFrame, stored: DataFrame | None, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos")) -> DataFrame:
+def keyed(rows: DataFrame, key: str = "content_hash") -> DataFrame:
+    """Rows without a key get the hash of their JSON."""
+    own = short_hash(F.to_json(F.struct(*sorted(rows.columns))))
+    return rows.withColumn(key, F.coalesce(key, own) if key in rows.columns else own)
+
+
+def new_rows(rows: DataFrame, stored: DataFrame | None, key: str = "content_hash", order: tuple[str, ...] = ("doc", "pos"), copies: bool = True) -> DataFrame:
     """Rows whose key isn't stored yet, one for each key; rows without one get the hash of their JSON."""
-    known = rows.withColumn(key, F.coalesce(key, short_hash(F.to_json(F.struct(*sorted(rows.columns)))))) if key in rows.columns else rows.withColumn(key, short_hash(F.to_json(F.struct(*sorted(rows.columns)))))
-    fresh = first_of_each(known, key, order)
+    fresh = first_of_each(keyed(rows, key), key, order, copies)
     return fresh if stored is None else fresh.join(stored.select(key), key, "left_anti")
 
 
