@@ -12,10 +12,12 @@ from ..schemas import ESTIMATED, PARSED
 
 # A value with a currency or unit (the first alternative that fits wins), words
 # between a label and its value, and words that end an introduction.
-VALUE = r"(?:[£$€]\s?\d[\d,]*(?:\.\d+)?\s?(?:m|bn|k|bps|%)?|\d[\d,]*(?:\.\d+)?\s?(?:m|bn|k|bps|%|million|billion))"
+# A number is taken whole and looked for from its first digit alone: shorter or later ones end alike.
+VALUE = r"(?:[£$€]\s?+\d[\d,]*+(?:\.\d++)?+\s?+(?:m|bn|k|bps|%)?|(?<!\d)\d[\d,]*+(?:\.\d++)?+\s?+(?:m|bn|k|bps|%|million|billion))"
 FILLERS = r"(?=[aoiwrpct=:])\b(?:at|of|is|was|are|reached|reaching|peaking|approximately|approx|about|around|roughly|circa|=|:|to)\b"
 INTRODUCTION = r"^.*\b(?:shows?|shown|following|below|are)\b[:\s]*"
 TITLED = r"(?i)titled\s+['\"]([^'\"]+)['\"]"
+_UNITS = ("%", "bps", "m", "bn", "k", "million", "billion")
 _OPEN, _CLOSE = "\u0001", "\u0002"
 
 
@@ -28,7 +30,7 @@ def value_spans(text: Column, kept: Callable[[Column], Column], enough: Callable
     the text alone. The cut text is bound as the one element of an array: the optimizer would have
     it computed again for each value.
     """
-    clean = F.translate(text, _OPEN + _CLOSE, "  ")
+    clean = F.replace(F.replace(text, F.lit(_OPEN), F.lit(" ")), F.lit(_CLOSE), F.lit(" "))
     parts = F.split(F.regexp_replace(clean, f"(?iU){VALUE}", f"{_OPEN}$0{_CLOSE}"), _OPEN)
     none = F.array().cast("array<struct<value: string, before: string, n: int>>")
     value = lambda part: F.substring_index(part, _CLOSE, 1)
@@ -82,7 +84,14 @@ def prose_values(rows: DataFrame, text: str = "content", title: str | None = Non
 def _bound(each: DataFrame, label: Column) -> DataFrame:
     """Adds ``_named`` (field_name, value, unit) of a span, as a generated column: the optimizer would compute the label again wherever it is used."""
     value = squeezed(F.col("_span.value"))
-    return each.withColumn("_named", F.explode(F.array(F.struct(label.alias("field_name"), value.alias("value"), unit_of(value).alias("unit")))))
+    return each.withColumn("_named", F.explode(F.array(F.struct(label.alias("field_name"), value.alias("value"), _unit(value).alias("unit")))))
+
+
+def _unit(value: Column) -> Column:
+    """``unit_of`` a value as ``VALUE`` finds it: told by its ends, without looking for tokens, where these are in lower case."""
+    sign, last = F.left(value, F.lit(1)), F.coalesce(*[F.when(value.endswith(u), F.lit(u)) for u in _UNITS])
+    money = F.when(last.isin("m", "bn", "k"), F.concat(sign, last)).when(last.isin("%", "bps") | F.right(value, F.lit(1)).between("0", "9"), sign)
+    return F.coalesce(F.when(sign.isin("£", "$", "€"), money).otherwise(last), unit_of(value))
 
 
 def figure_label(before: Column, words: int = 4) -> Column:
